@@ -214,5 +214,66 @@ UNION ALL SELECT 'region', count(*) FROM region
 """,
     "parquet_roundtrip": """
 SELECT * FROM orders
+""",
+    "medallion_fact": """
+WITH it AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
+         CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+         l_shipdate AS shipping_limit_date, l_extendedprice AS price, l_tax AS freight_value
+  FROM lineitem),
+itd AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (
+             PARTITION BY order_id, order_item_id
+             ORDER BY shipping_limit_date DESC NULLS LAST, product_id ASC NULLS LAST,
+                      seller_id ASC NULLS LAST, price ASC NULLS LAST,
+                      freight_value ASC NULLS LAST) AS rn
+    FROM it) x
+  WHERE rn = 1),
+o AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+         lower(o_orderstatus) AS order_status, o_orderdate AS purchased,
+         CAST(CAST(o_orderdate AS DATE) + 30 AS DATE) AS estimated
+  FROM orders),
+od AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (
+             PARTITION BY order_id
+             ORDER BY purchased DESC NULLS LAST, customer_id ASC NULLS LAST,
+                      order_status ASC NULLS LAST, estimated ASC NULLS LAST) AS rn
+    FROM o) x
+  WHERE rn = 1)
+SELECT itd.order_id AS sk_pedido, od.customer_id AS nk_cliente, itd.product_id AS nk_produto,
+       itd.seller_id AS nk_vendedor, itd.order_item_id AS quantidade_itens,
+       itd.price AS valor_produto, itd.freight_value AS valor_frete,
+       itd.price + itd.freight_value AS valor_total_item,
+       od.purchased AS data_compra, od.purchased AS data_aprovacao,
+       CAST(NULL AS TIMESTAMP) AS data_postagem, CAST(NULL AS TIMESTAMP) AS data_entrega,
+       od.estimated AS data_estimada_entrega, od.order_status AS status_pedido
+FROM itd JOIN od ON itd.order_id = od.order_id
+""",
+    "medallion_geo_dim": """
+SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS nk_cep_prefixo_cliente,
+       round(avg(c_acctbal), 4) AS latitude_cliente,
+       round(avg(CAST(c_custkey AS DOUBLE)), 4) AS longitude_cliente,
+       translate(lower(n_name), 'áàâãéèêíìîóòôõúùûç', 'aaaaeeeiiioooouuuc') AS cidade_cliente,
+       lower(r_name) AS estado_cliente
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+GROUP BY 1, 4, 5
+""",
+    "medallion_customers": """
+SELECT CAST(c_custkey AS VARCHAR) AS nk_cliente, c_name AS id_unico_cliente,
+       lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS cep_prefixo_cliente,
+       lower(n_name) AS cidade_cliente, lower(r_name) AS estado_cliente
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+""",
+    "medallion_reviews": """
+SELECT concat(CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR)) AS sk_avaliacao,
+       CAST(conv_id AS VARCHAR) AS sk_pedido,
+       CAST(length(role) % 5 + 1 AS INTEGER) AS nota_avaliacao,
+       trim(role) AS titulo_comentario, trim(text) AS mensagem_comentario,
+       CAST(NULL AS TIMESTAMP) AS data_criacao_avaliacao,
+       CAST(NULL AS TIMESTAMP) AS data_resposta_vendedor
+FROM conversations
 """,
 }

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from alloy.functions.cast import cast_failures, safe_date, safe_double, safe_int, safe_timestamp
 from alloy.functions.text import normalise, strip
 from alloy.operators import aggregate, clean as cl, dedup, kpi, quality, star
+from alloy.plans.medallion import Layout, run_layers
+from alloy.plans.tpch_landing import write_landing
 from alloy.session import scratch_path
 from alloy.sources.csv import read_csv, write_csv
 from alloy.sources.landing import landing_counts
@@ -350,6 +352,44 @@ def parquet_roundtrip(spark, d):
     return read_table(spark, root, "orders")
 
 
+# ---------------------------------------------------------------- full layer run
+
+_RUNS: dict[tuple[str, str], Layout] = {}
+
+
+def lake_run(spark: SparkSession, d: str) -> Layout:
+    """Landing (derived from the test tables) → bronze → silver → gold, once per app."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _RUNS:
+        root = scratch_path(spark, "lake")
+        layout = Layout(landing=f"{root}/landing", bronze=f"{root}/bronze",
+                        silver=f"{root}/silver", gold=f"{root}/gold",
+                        quarantine=f"{root}/quarantine")
+        write_landing(spark, d, layout.landing)
+        run_layers(spark, layout)
+        _RUNS[key] = layout
+    return _RUNS[key]
+
+
+def medallion_fact(spark, d):
+    return read_table(spark, lake_run(spark, d).gold, "fato_vendas")
+
+
+def medallion_geo_dim(spark, d):
+    g = read_table(spark, lake_run(spark, d).gold, "dim_geolocalizacao_clientes")
+    return g.select("nk_cep_prefixo_cliente", F.round("latitude_cliente", 4).alias("latitude_cliente"),
+                    F.round("longitude_cliente", 4).alias("longitude_cliente"),
+                    "cidade_cliente", "estado_cliente")
+
+
+def medallion_customers(spark, d):
+    return read_table(spark, lake_run(spark, d).gold, "dim_clientes")
+
+
+def medallion_reviews(spark, d):
+    return read_table(spark, lake_run(spark, d).gold, "dim_avaliacoes")
+
+
 QUERIES = {
     "project_rename": project_rename,
     "trim_lower": trim_lower,
@@ -383,4 +423,8 @@ QUERIES = {
     "csv_multiline_roundtrip": csv_multiline_roundtrip,
     "landing_glob_scan": landing_glob_scan,
     "parquet_roundtrip": parquet_roundtrip,
+    "medallion_fact": medallion_fact,
+    "medallion_geo_dim": medallion_geo_dim,
+    "medallion_customers": medallion_customers,
+    "medallion_reviews": medallion_reviews,
 }
