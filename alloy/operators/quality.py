@@ -30,9 +30,9 @@ def null_blank_profile(df: DataFrame, columns: Sequence[str], trim: bool = True)
 
 
 def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys seen more than once, with their row count ``n``."""
-    return (df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-              .filter(F.col("n") > 1))
+    """Keys seen more than once, with their row count ``n_rows``."""
+    return (df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
+              .filter(F.col("n_rows") > 1))
 
 
 def check_range(df: DataFrame, value: str, low, high,

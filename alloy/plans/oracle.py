@@ -140,7 +140,7 @@ SELECT user_id, event_id, event_type FROM (
 WHERE rn = 1
 """,
     "key_uniqueness": """
-SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 """,
     "group_avg_two": """
