@@ -2,8 +2,10 @@
 
 ``dropDuplicates`` keeps an arbitrary row per key: which one depends on the
 order rows reach the final aggregate.  ``keep_one`` keeps the *first* row per
-key in a declared total order (the ``order_by`` columns, then every other
-column ascending), so reruns and different partition counts agree.
+key in a declared total order, so reruns and different partition counts
+agree: first the ``order_by`` columns (NULLs last in either direction), then
+every other column ascending as tie-breakers (Spark's natural order, NULLs
+first).
 
 It is planned as an aggregation, not a window: ``min`` over a struct whose
 fields are the ordering keys followed by the row.  Aggregations combine map
@@ -35,11 +37,12 @@ def _orderable(dt: T.DataType) -> bool:
     return True
 
 
-def _ntz_micros(c: Column) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP_NTZ, free of the session zone."""
-    return F.unix_micros(F.make_timestamp(
-        F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
-        F.date_part(F.lit("SECOND"), c), F.lit("UTC")))
+def _ntz_parts(c: Column) -> list[Column]:
+    """(epoch day, microsecond of day) of a TIMESTAMP_NTZ, free of the session zone."""
+    day = F.unix_date(c.cast("date"))
+    tod = (F.hour(c).cast("long") * 3_600_000_000 + F.minute(c).cast("long") * 60_000_000
+           + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long"))
+    return [day, tod]
 
 
 def _descending_key(c: Column, dt: T.DataType) -> list[Column] | None:
@@ -58,7 +61,7 @@ def _descending_key(c: Column, dt: T.DataType) -> list[Column] | None:
     if isinstance(dt, T.TimestampType):
         return [F.bitwise_not(F.unix_micros(c))]
     if isinstance(dt, T.TimestampNTZType):
-        return [F.bitwise_not(_ntz_micros(c))]
+        return [F.bitwise_not(x) for x in _ntz_parts(c)]
     return None
 
 
@@ -77,9 +80,10 @@ def keep_one(df: DataFrame, key: Sequence[str],
              order_by: Sequence[str | tuple[str, str]] = ()) -> DataFrame:
     """One row per ``key``: the first by ``order_by`` then all other columns.
 
-    ``order_by`` items are a column name (ascending) or ``(name, "desc")``.
-    NULLs sort last in either direction.  NULL key parts form one group, as
-    in ``dropDuplicates``.  Output columns keep the input order.
+    ``order_by`` items are a column name (ascending) or ``(name, "desc")``;
+    their NULLs sort last in either direction.  Remaining columns break ties
+    ascending with NULLs first.  NULL key parts form one group, as in
+    ``dropDuplicates``.  Output columns keep the input order.
     """
     key = list(key)
     order = _normalise_order(order_by)
@@ -106,8 +110,7 @@ def keep_one(df: DataFrame, key: Sequence[str],
 
     tie = [c for c in rest if _orderable(schema[c].dataType)]
     carried = [c for c in rest if c not in tie]
-    for j, name in enumerate(tie):
-        fields.extend([F.col(name).isNull().alias(f"__tnull{j}"), F.col(name)])
+    fields.extend(F.col(name) for name in tie)
 
     payload = [name for name, _ in order] + tie
     if carried:
@@ -123,7 +126,7 @@ def keep_one(df: DataFrame, key: Sequence[str],
 def _keep_one_window(df: DataFrame, key: list[str], order: list[tuple[str, bool]],
                      rest: list[str]) -> DataFrame:
     sort = [F.col(n).desc_nulls_last() if d else F.col(n).asc_nulls_last() for n, d in order]
-    sort += [F.col(c).asc_nulls_last() for c in rest if _orderable(df.schema[c].dataType)]
+    sort += [F.col(c).asc_nulls_first() for c in rest if _orderable(df.schema[c].dataType)]
     w = Window.partitionBy(*key).orderBy(*sort)
     return (df.withColumn("__rn", F.row_number().over(w))
               .filter(F.col("__rn") == 1).drop("__rn"))

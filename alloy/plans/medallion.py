@@ -8,11 +8,17 @@ at most a retried stage of the current job.
 A failing table does not stop the others, but it is never hidden: tables
 that depend on it are skipped, and the run raises ``LayerError`` at the end
 listing every failure.
+
+The tables of one layer are independent, so their jobs are submitted from
+a few driver threads at once (``parallel``); Spark's scheduler interleaves
+their stages, which keeps executors busy while one table's job is in a
+short or skewed tail.  Layers still run in order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -63,67 +69,93 @@ class RunReport:
         return any(s.startswith(FAILED) for d in self.as_dict().values() for s in d.values())
 
 
+DEFAULT_PARALLEL = 4
+
+
+def _each(names: Iterable[str], work: Callable[[str], str], parallel: int) -> dict[str, str]:
+    """Run ``work(name)`` for every name on up to ``parallel`` threads."""
+    names = list(names)
+    if parallel <= 1 or len(names) <= 1:
+        return {n: work(n) for n in names}
+    with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="alloy-layer") as pool:
+        return dict(zip(names, pool.map(work, names)))
+
+
 def _failure(e: Exception) -> str:
     return f"{FAILED}: {type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
 
 
-def run_bronze(spark: SparkSession, layout: Layout, report: RunReport | None = None) -> RunReport:
+def run_bronze(spark: SparkSession, layout: Layout, report: RunReport | None = None,
+               parallel: int = DEFAULT_PARALLEL) -> RunReport:
     """PL1: every landing CSV table → Parquet, all columns as text.
 
     Tables with no silver spec are ingested as well and reported.
     """
     report = report or RunReport()
-    for name, path in landing_tables(spark, layout.landing).items():
+    found = landing_tables(spark, layout.landing)
+
+    def work(name: str) -> str:
         try:
-            write_table(read_csv(spark, path), layout.bronze, name)
-            report.bronze[name] = OK if name in SILVER_SPECS else UNMAPPED
+            write_table(read_csv(spark, found[name]), layout.bronze, name)
+            return OK if name in SILVER_SPECS else UNMAPPED
         except Exception as e:  # isolate, report at the end
-            report.bronze[name] = _failure(e)
+            return _failure(e)
+
+    report.bronze.update(_each(found, work, parallel))
     return report
 
 
 def run_silver(spark: SparkSession, layout: Layout, report: RunReport | None = None,
-               tables: Iterable[str] | None = None) -> RunReport:
+               tables: Iterable[str] | None = None,
+               parallel: int = DEFAULT_PARALLEL) -> RunReport:
     """PL2: each spec'd bronze table → clean table (and its rejected rows)."""
     report = report or RunReport()
-    for name in tables or SILVER_SPECS:
+
+    def work(name: str) -> str:
         spec = SILVER_SPECS[name]
         if report.bronze.get(name, OK).startswith(FAILED):
-            report.silver[name] = SKIPPED
-            continue
+            return SKIPPED
         try:
             raw = read_table(spark, layout.bronze, name)
             write_table(silver_post(name, clean(raw, spec)), layout.silver, name)
             if layout.quarantine:
                 write_table(quarantine(raw, spec), layout.quarantine, name)
-            report.silver[name] = OK
+            return OK
         except Exception as e:
-            report.silver[name] = _failure(e)
+            return _failure(e)
+
+    report.silver.update(_each(tables or SILVER_SPECS, work, parallel))
     return report
 
 
 def run_gold(spark: SparkSession, layout: Layout, report: RunReport | None = None,
-             tables: dict[str, GoldTable] | None = None) -> RunReport:
+             tables: dict[str, GoldTable] | None = None,
+             parallel: int = DEFAULT_PARALLEL) -> RunReport:
     """PL3: star schema from silver; a table whose input failed is skipped."""
     report = report or RunReport()
-    for name, gold in (tables or GOLD_TABLES).items():
+    tables = tables or GOLD_TABLES
+
+    def work(name: str) -> str:
+        gold = tables[name]
         if any(report.silver.get(i, OK) != OK for i in gold.inputs):
-            report.gold[name] = SKIPPED
-            continue
+            return SKIPPED
         try:
             inputs = [read_table(spark, layout.silver, i) for i in gold.inputs]
             write_table(gold.build(*inputs), layout.gold, name)
-            report.gold[name] = OK
+            return OK
         except Exception as e:
-            report.gold[name] = _failure(e)
+            return _failure(e)
+
+    report.gold.update(_each(tables, work, parallel))
     return report
 
 
-def run_layers(spark: SparkSession, layout: Layout, raise_on_failure: bool = True) -> RunReport:
+def run_layers(spark: SparkSession, layout: Layout, raise_on_failure: bool = True,
+               parallel: int = DEFAULT_PARALLEL) -> RunReport:
     """PL4: bronze, silver, gold in order; raise at the end if anything failed."""
-    report = run_bronze(spark, layout)
-    run_silver(spark, layout, report)
-    run_gold(spark, layout, report)
+    report = run_bronze(spark, layout, parallel=parallel)
+    run_silver(spark, layout, report, parallel=parallel)
+    run_gold(spark, layout, report, parallel=parallel)
     if raise_on_failure and report.failed():
         raise LayerError(report.as_dict())
     return report

@@ -88,8 +88,8 @@ WHERE trim(order_id) <> '' AND trim(customer_id) <> ''
 SELECT order_id, customer_id, order_status, purchased_on, total FROM (
   SELECT *, row_number() OVER (
            PARTITION BY order_id
-           ORDER BY purchased_on DESC NULLS LAST, customer_id ASC NULLS LAST,
-                    order_status ASC NULLS LAST, total ASC NULLS LAST) AS rn
+           ORDER BY purchased_on DESC NULLS LAST, customer_id ASC NULLS FIRST,
+                    order_status ASC NULLS FIRST, total ASC NULLS FIRST) AS rn
   FROM (SELECT trim(order_id) AS order_id, trim(customer_id) AS customer_id,
                lower(trim(order_status)) AS order_status,
                TRY_CAST(purchased_at AS DATE) AS purchased_on,
@@ -119,10 +119,10 @@ FROM {_D}
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM (
   SELECT *, row_number() OVER (
            PARTITION BY l_orderkey, l_linenumber
-           ORDER BY l_shipdate DESC NULLS LAST, l_partkey ASC NULLS LAST, l_suppkey ASC NULLS LAST,
-                    l_quantity ASC NULLS LAST, l_extendedprice ASC NULLS LAST,
-                    l_discount ASC NULLS LAST, l_tax ASC NULLS LAST,
-                    l_returnflag ASC NULLS LAST, l_linestatus ASC NULLS LAST) AS rn
+           ORDER BY l_shipdate DESC NULLS LAST, l_partkey ASC NULLS FIRST, l_suppkey ASC NULLS FIRST,
+                    l_quantity ASC NULLS FIRST, l_extendedprice ASC NULLS FIRST,
+                    l_discount ASC NULLS FIRST, l_tax ASC NULLS FIRST,
+                    l_returnflag ASC NULLS FIRST, l_linestatus ASC NULLS FIRST) AS rn
   FROM lineitem) x
 WHERE rn = 1
 """,
@@ -134,8 +134,8 @@ FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) g
 SELECT user_id, event_id, event_type FROM (
   SELECT *, row_number() OVER (
            PARTITION BY user_id
-           ORDER BY ts DESC NULLS LAST, event_id ASC NULLS LAST, event_type ASC NULLS LAST,
-                    value ASC NULLS LAST, props ASC NULLS LAST) AS rn
+           ORDER BY ts DESC NULLS LAST, event_id ASC NULLS FIRST, event_type ASC NULLS FIRST,
+                    value ASC NULLS FIRST, props ASC NULLS FIRST) AS rn
   FROM events) x
 WHERE rn = 1
 """,
@@ -225,9 +225,9 @@ itd AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (
              PARTITION BY order_id, order_item_id
-             ORDER BY shipping_limit_date DESC NULLS LAST, product_id ASC NULLS LAST,
-                      seller_id ASC NULLS LAST, price ASC NULLS LAST,
-                      freight_value ASC NULLS LAST) AS rn
+             ORDER BY shipping_limit_date DESC NULLS LAST, product_id ASC NULLS FIRST,
+                      seller_id ASC NULLS FIRST, price ASC NULLS FIRST,
+                      freight_value ASC NULLS FIRST) AS rn
     FROM it) x
   WHERE rn = 1),
 o AS (
@@ -239,8 +239,8 @@ od AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (
              PARTITION BY order_id
-             ORDER BY purchased DESC NULLS LAST, customer_id ASC NULLS LAST,
-                      order_status ASC NULLS LAST, estimated ASC NULLS LAST) AS rn
+             ORDER BY purchased DESC NULLS LAST, customer_id ASC NULLS FIRST,
+                      order_status ASC NULLS FIRST, estimated ASC NULLS FIRST) AS rn
     FROM o) x
   WHERE rn = 1)
 SELECT itd.order_id AS sk_pedido, od.customer_id AS nk_cliente, itd.product_id AS nk_produto,

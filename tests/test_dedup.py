@@ -54,7 +54,7 @@ def _brute(data, desc):
         k = r[0]
         ts = r[1]
         key = ((ts is None), (-ts if ts is not None else 0) if desc else (ts if ts is not None else 0),
-               (r[2] is None), r[2] if r[2] is not None else 0)
+               (r[2] is not None), r[2] if r[2] is not None else 0)
         if k not in best or key < best[k][0]:
             best[k] = (key, r)
     return sorted(v[1] for v in best.values())
