@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 MONEY = "decimal(18,2)"
 
 
-def order_totals(items: DataFrame, key: str, value: str) -> DataFrame:
+def order_totals(items: DataFrame, key: str, value: str, as_key: str | None = None) -> DataFrame:
     """Per order key: item count and exact revenue (DECIMAL)."""
-    return items.groupBy(key).agg(
+    return items.groupBy(F.col(key).alias(as_key or key)).agg(
         F.count(F.lit(1)).alias("n_items"),
         F.sum(F.col(value).cast(MONEY)).alias("revenue"),
     )
@@ -31,14 +31,14 @@ def monthly_sales(items: DataFrame, orders: DataFrame, *, item_key: str,
 
     Only orders with at least one item count (inner join semantics).
     """
-    per_order = order_totals(items, item_key, value)
-    joined = orders.select(order_key, date_col).join(
-        per_order, orders[order_key] == per_order[item_key], "inner")
+    per_order = order_totals(items, item_key, value, as_key="__order")
+    joined = (orders.select(F.col(order_key).alias("__key"), F.col(date_col).alias("__date"))
+              .join(per_order, F.col("__key") == F.col("__order"), "inner"))
     return joined.groupBy(
-        F.year(date_col).cast("int").alias("y"),
-        F.month(date_col).cast("int").alias("m"),
+        F.year("__date").cast("int").alias("y"),
+        F.month("__date").cast("int").alias("m"),
     ).agg(
-        F.count_distinct(F.col(order_key)).alias("n_orders"),
+        F.count_distinct(F.col("__key")).alias("n_orders"),
         F.sum("revenue").cast("double").alias("revenue"),
     )
 
@@ -52,15 +52,19 @@ def sales_by_group(items: DataFrame, orders: DataFrame, customer_group: DataFram
     ``customer_group`` maps a customer key to its group (e.g. region).  The
     orders are reduced to (customer, attribute) before that join, so a
     customer with a huge share of the orders costs one row per attribute.
+    Output columns are named ``group_col`` and ``order_attr``.
     """
-    per_order = order_totals(items, item_key, value)
-    per_customer = (orders.select(order_key, order_customer, order_attr)
-                    .join(per_order, orders[order_key] == per_order[item_key], "inner")
-                    .groupBy(order_customer, order_attr)
+    per_order = order_totals(items, item_key, value, as_key="__order")
+    per_customer = (orders.select(F.col(order_key).alias("__key"),
+                                  F.col(order_customer).alias("__cust"),
+                                  F.col(order_attr).alias("__attr"))
+                    .join(per_order, F.col("__key") == F.col("__order"), "inner")
+                    .groupBy("__cust", "__attr")
                     .agg(F.sum("n_items").alias("n_items"), F.sum("revenue").alias("revenue")))
-    groups = customer_group.select(customer_key, group_col)
-    joined = per_customer.join(groups, per_customer[order_customer] == groups[customer_key], "inner")
-    return joined.groupBy(group_col, order_attr).agg(
+    groups = customer_group.select(F.col(customer_key).alias("__ckey"),
+                                   F.col(group_col).alias("__group"))
+    joined = per_customer.join(groups, F.col("__cust") == F.col("__ckey"), "inner")
+    return joined.groupBy(F.col("__group").alias(group_col), F.col("__attr").alias(order_attr)).agg(
         F.sum("n_items").alias("n_items"),
         F.sum("revenue").cast("double").alias("revenue"),
     )

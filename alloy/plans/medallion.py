@@ -17,14 +17,14 @@ short or skewed tail.  Layers still run in order.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
 from alloy.operators.clean import clean, quarantine
-from alloy.plans.marketplace import GOLD_TABLES, SILVER_SPECS, GoldTable, silver_post
+from alloy.plans.jobs import DEFAULT_PARALLEL, each as _each
+from alloy.plans.marketplace import GOLD_TABLES, KPI_TABLES, SILVER_SPECS, GoldTable, silver_post
 from alloy.sources.csv import read_csv
 from alloy.sources.landing import landing_tables
 from alloy.sources.parquet import read_table, table_path, write_table
@@ -69,18 +69,6 @@ class RunReport:
         return any(s.startswith(FAILED) for d in self.as_dict().values() for s in d.values())
 
 
-DEFAULT_PARALLEL = 4
-
-
-def _each(names: Iterable[str], work: Callable[[str], str], parallel: int) -> dict[str, str]:
-    """Run ``work(name)`` for every name on up to ``parallel`` threads."""
-    names = list(names)
-    if parallel <= 1 or len(names) <= 1:
-        return {n: work(n) for n in names}
-    with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="alloy-layer") as pool:
-        return dict(zip(names, pool.map(work, names)))
-
-
 def _failure(e: Exception) -> str:
     return f"{FAILED}: {type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
 
@@ -151,11 +139,15 @@ def run_gold(spark: SparkSession, layout: Layout, report: RunReport | None = Non
 
 
 def run_layers(spark: SparkSession, layout: Layout, raise_on_failure: bool = True,
-               parallel: int = DEFAULT_PARALLEL) -> RunReport:
-    """PL4: bronze, silver, gold in order; raise at the end if anything failed."""
+               parallel: int = DEFAULT_PARALLEL, kpis: bool = False) -> RunReport:
+    """PL4: bronze, silver, gold in order; raise at the end if anything failed.
+
+    ``kpis`` adds the aggregate indicator tables to the gold layer.
+    """
     report = run_bronze(spark, layout, parallel=parallel)
     run_silver(spark, layout, report, parallel=parallel)
-    run_gold(spark, layout, report, parallel=parallel)
+    run_gold(spark, layout, report, parallel=parallel,
+             tables={**GOLD_TABLES, **KPI_TABLES} if kpis else GOLD_TABLES)
     if raise_on_failure and report.failed():
         raise LayerError(report.as_dict())
     return report

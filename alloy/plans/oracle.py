@@ -34,6 +34,39 @@ _LOCATED = f"""
    AND lng IS NOT NULL AND NOT isnan(lng)) geo
 """
 
+
+# Silver items and orders of the lake derived from lineitem and orders, after
+# the items' and orders' de-duplication (the fact is itd ⋈ od).
+_LAKE_ITEMS_ORDERS = """
+it AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
+         CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+         l_shipdate AS shipping_limit_date, l_extendedprice AS price, l_tax AS freight_value
+  FROM lineitem),
+itd AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (
+             PARTITION BY order_id, order_item_id
+             ORDER BY shipping_limit_date DESC NULLS LAST, product_id ASC NULLS FIRST,
+                      seller_id ASC NULLS FIRST, price ASC NULLS FIRST,
+                      freight_value ASC NULLS FIRST) AS rn
+    FROM it) x
+  WHERE rn = 1),
+o AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+         lower(o_orderstatus) AS order_status, o_orderdate AS purchased,
+         CAST(CAST(o_orderdate AS DATE) + 30 AS DATE) AS estimated
+  FROM orders),
+od AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (
+             PARTITION BY order_id
+             ORDER BY purchased DESC NULLS LAST, customer_id ASC NULLS FIRST,
+                      order_status ASC NULLS FIRST, estimated ASC NULLS FIRST) AS rn
+    FROM o) x
+  WHERE rn = 1)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "project_rename": """
 SELECT p_partkey AS nk_part, p_type AS category, p_size AS size_cm FROM part
@@ -215,34 +248,8 @@ UNION ALL SELECT 'region', count(*) FROM region
     "parquet_roundtrip": """
 SELECT * FROM orders
 """,
-    "medallion_fact": """
-WITH it AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
-         CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
-         l_shipdate AS shipping_limit_date, l_extendedprice AS price, l_tax AS freight_value
-  FROM lineitem),
-itd AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (
-             PARTITION BY order_id, order_item_id
-             ORDER BY shipping_limit_date DESC NULLS LAST, product_id ASC NULLS FIRST,
-                      seller_id ASC NULLS FIRST, price ASC NULLS FIRST,
-                      freight_value ASC NULLS FIRST) AS rn
-    FROM it) x
-  WHERE rn = 1),
-o AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
-         lower(o_orderstatus) AS order_status, o_orderdate AS purchased,
-         CAST(CAST(o_orderdate AS DATE) + 30 AS DATE) AS estimated
-  FROM orders),
-od AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (
-             PARTITION BY order_id
-             ORDER BY purchased DESC NULLS LAST, customer_id ASC NULLS FIRST,
-                      order_status ASC NULLS FIRST, estimated ASC NULLS FIRST) AS rn
-    FROM o) x
-  WHERE rn = 1)
+    "medallion_fact": f"""
+WITH {_LAKE_ITEMS_ORDERS}
 SELECT itd.order_id AS sk_pedido, od.customer_id AS nk_cliente, itd.product_id AS nk_produto,
        itd.seller_id AS nk_vendedor, itd.order_item_id AS quantidade_itens,
        itd.price AS valor_produto, itd.freight_value AS valor_frete,
@@ -275,5 +282,22 @@ SELECT concat(CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR)) AS sk_avalia
        CAST(NULL AS TIMESTAMP) AS data_criacao_avaliacao,
        CAST(NULL AS TIMESTAMP) AS data_resposta_vendedor
 FROM conversations
+""",
+    "medallion_kpi_monthly": f"""
+WITH {_LAKE_ITEMS_ORDERS}
+SELECT CAST(year(od.purchased) AS INTEGER) AS y, CAST(month(od.purchased) AS INTEGER) AS m,
+       count(DISTINCT od.order_id) AS n_orders,
+       CAST(sum(CAST(itd.price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM itd JOIN od ON itd.order_id = od.order_id
+GROUP BY year(od.purchased), month(od.purchased)
+""",
+    "medallion_kpi_state": f"""
+WITH {_LAKE_ITEMS_ORDERS}
+SELECT lower(r_name) AS customer_state, od.order_status AS order_status, count(*) AS n_items,
+       CAST(sum(CAST(itd.price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM itd JOIN od ON itd.order_id = od.order_id
+JOIN customer ON od.customer_id = CAST(c_custkey AS VARCHAR)
+JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+GROUP BY lower(r_name), od.order_status
 """,
 }

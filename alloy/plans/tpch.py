@@ -366,7 +366,7 @@ def lake_run(spark: SparkSession, d: str, fresh: bool = False) -> Layout:
                         silver=f"{root}/silver", gold=f"{root}/gold",
                         quarantine=f"{root}/quarantine")
         write_landing(spark, d, layout.landing)
-        run_layers(spark, layout)
+        run_layers(spark, layout, kpis=True)
         _RUNS[key] = layout
     return _RUNS[key]
 
@@ -390,6 +390,14 @@ def medallion_reviews(spark, d):
     return read_table(spark, lake_run(spark, d).gold, "dim_avaliacoes")
 
 
+def medallion_kpi_monthly(spark, d):
+    return read_table(spark, lake_run(spark, d).gold, "kpi_vendas_mensais")
+
+
+def medallion_kpi_state(spark, d):
+    return read_table(spark, lake_run(spark, d).gold, "kpi_vendas_por_estado")
+
+
 QUERIES = {
     "project_rename": project_rename,
     "trim_lower": trim_lower,
@@ -427,4 +435,6 @@ QUERIES = {
     "medallion_geo_dim": medallion_geo_dim,
     "medallion_customers": medallion_customers,
     "medallion_reviews": medallion_reviews,
+    "medallion_kpi_monthly": medallion_kpi_monthly,
+    "medallion_kpi_state": medallion_kpi_state,
 }

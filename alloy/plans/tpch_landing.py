@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alloy.plans import marketplace as mp
+from alloy.plans.jobs import each
 from alloy.sources.csv import write_csv
 
 
@@ -86,6 +87,5 @@ def landing_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def write_landing(spark: SparkSession, sf_dir: str, root: str) -> list[str]:
     """Write all eight landing tables below ``root`` as ``<table>.csv`` folders."""
     frames = landing_frames(spark, sf_dir)
-    for name, df in frames.items():
-        write_csv(df, f"{root.rstrip('/')}/{name}.csv")
+    each(frames, lambda name: write_csv(frames[name], f"{root.rstrip('/')}/{name}.csv"))
     return sorted(frames)
