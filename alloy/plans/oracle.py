@@ -299,5 +299,36 @@ FROM itd JOIN od ON itd.order_id = od.order_id
 JOIN customer ON od.customer_id = CAST(c_custkey AS VARCHAR)
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 GROUP BY lower(r_name), od.order_status
+""",
+    "medallion_quality": f"""
+WITH {_LAKE_ITEMS_ORDERS},
+fact AS (SELECT itd.order_id, od.customer_id, itd.product_id, itd.seller_id
+         FROM itd JOIN od ON itd.order_id = od.order_id),
+cust AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS k FROM customer),
+prod AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS k FROM part),
+sell AS (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS k FROM supplier),
+geo AS (SELECT DISTINCT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip, lower(n_name) AS city,
+               lower(r_name) AS state
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT 'orphan_key' AS "check", 'dim_clientes' AS table_name,
+       (SELECT count(*) FROM fact WHERE customer_id NOT IN (SELECT k FROM cust)) AS n_bad
+UNION ALL SELECT 'orphan_key', 'dim_produtos',
+       (SELECT count(*) FROM fact WHERE product_id NOT IN (SELECT k FROM prod))
+UNION ALL SELECT 'orphan_key', 'dim_vendedores',
+       (SELECT count(*) FROM fact WHERE seller_id NOT IN (SELECT k FROM sell))
+UNION ALL SELECT 'order_without_items', 'dim_pagamentos',
+       (SELECT count(*) FROM orders WHERE CAST(o_orderkey AS VARCHAR) NOT IN (SELECT order_id FROM fact))
+UNION ALL SELECT 'duplicate_key', 'dim_clientes',
+       (SELECT count(*) FROM (SELECT k FROM cust GROUP BY k HAVING count(*) > 1) x)
+UNION ALL SELECT 'duplicate_key', 'dim_produtos',
+       (SELECT count(*) FROM (SELECT k FROM prod GROUP BY k HAVING count(*) > 1) x)
+UNION ALL SELECT 'duplicate_key', 'dim_vendedores',
+       (SELECT count(*) FROM (SELECT k FROM sell GROUP BY k HAVING count(*) > 1) x)
+UNION ALL SELECT 'zip_fanout', 'dim_geolocalizacao_clientes',
+       (SELECT count(*) FROM (SELECT zip FROM geo GROUP BY zip HAVING count(*) > 1) x)
+UNION ALL SELECT 'score_out_of_range', 'dim_avaliacoes',
+       (SELECT count(*) FROM conversations WHERE NOT ((length(role) % 5 + 1) BETWEEN 1 AND 5))
+UNION ALL SELECT 'negative_value', 'dim_pagamentos',
+       (SELECT count(*) FROM orders WHERE o_totalprice < 0)
 """,
 }

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from alloy.functions.cast import cast_failures, safe_date, safe_double, safe_int, safe_timestamp
 from alloy.functions.text import normalise, strip
 from alloy.operators import aggregate, clean as cl, dedup, kpi, quality, star
+from alloy.plans.lake_checks import quality_report
 from alloy.plans.medallion import Layout, run_layers
 from alloy.plans.tpch_landing import write_landing
 from alloy.session import scratch_path
@@ -390,6 +391,10 @@ def medallion_reviews(spark, d):
     return read_table(spark, lake_run(spark, d).gold, "dim_avaliacoes")
 
 
+def medallion_quality(spark, d):
+    return quality_report(spark, lake_run(spark, d).gold)
+
+
 def medallion_kpi_monthly(spark, d):
     return read_table(spark, lake_run(spark, d).gold, "kpi_vendas_mensais")
 
@@ -437,4 +442,5 @@ QUERIES = {
     "medallion_reviews": medallion_reviews,
     "medallion_kpi_monthly": medallion_kpi_monthly,
     "medallion_kpi_state": medallion_kpi_state,
+    "medallion_quality": medallion_quality,
 }

@@ -160,3 +160,28 @@ def test_broken_table_is_isolated_and_raised(spark, tmp_dir):
     assert report["gold"]["dim_produtos"] == SKIPPED
     assert report["gold"]["fato_vendas"] == "ok"
     assert _gold(spark, layout, "fato_vendas").count() == 3
+
+
+def test_quality_report_and_indicators_on_fixtures(spark, tmp_dir):
+    from alloy.plans.lake_checks import quality_report
+
+    layout = _layout(tmp_dir)
+    _write_landing(layout.landing)
+    run_layers(spark, layout, kpis=True)
+    report = {(r.check, r.table_name): r.n_bad for r in quality_report(spark, layout.gold).collect()}
+    assert report == {
+        ("orphan_key", "dim_clientes"): 0,
+        ("orphan_key", "dim_produtos"): 0,
+        ("orphan_key", "dim_vendedores"): 1,        # item of o5 sold by s2, dropped (blank id row)
+        ("order_without_items", "dim_pagamentos"): 0,
+        ("duplicate_key", "dim_clientes"): 0,
+        ("duplicate_key", "dim_produtos"): 0,
+        ("duplicate_key", "dim_vendedores"): 0,
+        ("zip_fanout", "dim_geolocalizacao_clientes"): 1,  # 01037: sao paulo and osasco
+        ("score_out_of_range", "dim_avaliacoes"): 2,       # scores 0 and 6
+        ("negative_value", "dim_pagamentos"): 1,
+    }
+    monthly = rows(_gold(spark, layout, "kpi_vendas_mensais"))
+    assert monthly == [(None, None, 1, None), (2017, 10, 1, 16.5)]
+    by_state = rows(_gold(spark, layout, "kpi_vendas_por_estado"))
+    assert by_state == [("sp", "delivered", 2, 16.5), ("sp", "invoiced", 1, None)]
