@@ -12,7 +12,8 @@ fields are the ordering keys followed by the row.  Aggregations combine map
 side, so a key that holds a third of the table is reduced to one row per
 input partition before the shuffle; a ``row_number`` window would instead
 sort all of that key's rows in one task.  The window form is used only when
-a descending key has a type with no order-reversing expression (strings).
+a descending key has a type with no order-reversing expression (arrays,
+structs).
 """
 
 from __future__ import annotations
@@ -26,6 +27,13 @@ from pyspark.sql import types as T
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOAT = (T.FloatType, T.DoubleType)
 
+# Each hex digit d of a byte string becomes 15 - d, which reverses the
+# byte-wise order; the terminator sorts above every digit, so a string sorts
+# after its own extensions, as descending order needs.
+_HEX = "0123456789ABCDEF"
+_HEX_REVERSED = "FEDCBA9876543210"
+_TERMINATOR = "Z"
+
 
 def _orderable(dt: T.DataType) -> bool:
     if isinstance(dt, (T.MapType, T.VariantType)):
@@ -62,6 +70,9 @@ def _descending_key(c: Column, dt: T.DataType) -> list[Column] | None:
         return [F.bitwise_not(F.unix_micros(c))]
     if isinstance(dt, T.TimestampNTZType):
         return [F.bitwise_not(x) for x in _ntz_parts(c)]
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        # Spark orders strings by their UTF-8 bytes (the default collation).
+        return [F.concat(F.translate(F.hex(c), _HEX, _HEX_REVERSED), F.lit(_TERMINATOR))]
     return None
 
 

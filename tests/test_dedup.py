@@ -31,11 +31,27 @@ def test_output_keeps_column_order(spark):
     assert keep_one(df, ["k"], ["y"]).columns == ["x", "k", "y"]
 
 
-def test_string_desc_uses_window_fallback(spark):
+def test_string_desc(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", None), ("b", "c")], "k string, s string")
     assert rows(keep_one(df, ["k"], [("s", "desc")])) == [("a", "y"), ("b", "c")]
 
 
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3),
+                          st.one_of(st.none(), st.text(alphabet="ab\x00é€😀Z", max_size=4))),
+                min_size=1, max_size=30))
+def test_string_desc_matches_byte_order(spark, data):
+    df = spark.createDataFrame(data, "k int, s string")
+    got = dict((r.k, r.s) for r in keep_one(df, ["k"], [("s", "desc")]).collect())
+    want = {}
+    for k, v in data:
+        if k not in want or (v is not None and (want[k] is None or v.encode() > want[k].encode())):
+            want[k] = v
+    assert got == want
+    plan = keep_one(df, ["k"], [("s", "desc")])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_nan_counts_as_largest_when_descending(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", None)], "k string, x double")
     got = keep_one(df, ["k"], [("x", "desc")]).collect()[0].x
