@@ -53,7 +53,10 @@ def _ntz_parts(c: Column) -> list[Column]:
     return [day, tod]
 
 
-def _descending_key(c: Column, dt: T.DataType) -> list[Column] | None:
+_UTC_ZONES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Zulu", "UCT"}
+
+
+def _descending_key(c: Column, dt: T.DataType, utc_session: bool = False) -> list[Column] | None:
     """Columns that sort ascending in the order of ``c`` descending, or None."""
     if isinstance(dt, _INTEGRAL):
         return [F.bitwise_not(c)]
@@ -69,6 +72,8 @@ def _descending_key(c: Column, dt: T.DataType) -> list[Column] | None:
     if isinstance(dt, T.TimestampType):
         return [F.bitwise_not(F.unix_micros(c))]
     if isinstance(dt, T.TimestampNTZType):
+        if utc_session:  # the cast to an instant is exact when the zone has no DST
+            return [F.bitwise_not(F.unix_micros(c.cast("timestamp")))]
         return [F.bitwise_not(x) for x in _ntz_parts(c)]
     if isinstance(dt, (T.StringType, T.BinaryType)):
         # Spark orders strings by their UTF-8 bytes (the default collation).
@@ -104,13 +109,14 @@ def keep_one(df: DataFrame, key: Sequence[str],
     if not rest and not order:
         return df.select(*key).distinct()
 
+    utc = df.sparkSession.conf.get("spark.sql.session.timeZone", "") in _UTC_ZONES
     fields: list[Column] = []
     invertible = True
     for i, (name, desc) in enumerate(order):
         c = F.col(name)
         fields.append(c.isNull().alias(f"__null{i}"))
         if desc:
-            inv = _descending_key(c, schema[name].dataType)
+            inv = _descending_key(c, schema[name].dataType, utc)
             if inv is None:
                 invertible = False
                 break

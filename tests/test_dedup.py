@@ -110,3 +110,17 @@ def test_plan_is_one_exchange_with_partial_aggregation(spark):
     plan = keep_one(df, ["k"], [("t", "desc")])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert "partial_min" in plan
+
+
+def test_ntz_order_is_zone_independent(spark):
+    rows_in = [("k", dt.datetime(2021, 3, 28, 2, 30)), ("k", dt.datetime(2021, 3, 28, 3, 10)),
+               ("j", dt.datetime(2020, 1, 1, 0, 0, 0, 1)), ("j", dt.datetime(2020, 1, 1))]
+    df = spark.createDataFrame(rows_in, "k string, t timestamp_ntz")
+    want = {"k": dt.datetime(2021, 3, 28, 3, 10), "j": dt.datetime(2020, 1, 1, 0, 0, 0, 1)}
+    for zone in ["UTC", "Europe/Berlin"]:  # 02:30 does not exist in Berlin on that day
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = {r.k: r.t for r in keep_one(df, ["k"], [("t", "desc")]).collect()}
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == want, zone
