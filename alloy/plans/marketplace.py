@@ -25,6 +25,9 @@ from pyspark.sql import DataFrame
 from alloy.operators import aggregate, kpi, star
 from alloy.operators.clean import TableSpec, code, trimmed, typed
 
+# The raw table (landing file) names of the public marketplace
+# dataset, in the order the silver stage processes them.  Silver tables keep
+# these names; the gold table and column names below are fixed values too.
 ORDERS = "olist_orders_dataset"
 ITEMS = "olist_order_items_dataset"
 PAYMENTS = "olist_order_payments_dataset"

@@ -1,7 +1,7 @@
 import datetime as dt
 
 from alloy.operators.clean import REASON_COLUMN, TableSpec, clean, code, project, quarantine, trimmed, typed
-from alloy.plans.marketplace import ORDERS, SILVER_SPECS
+from alloy.plans.marketplace import ORDERS, PRODUCTS, SILVER_SPECS
 
 from conftest import rows
 
@@ -57,7 +57,7 @@ def test_cleaning_is_idempotent(spark):
 
 
 def test_project_renames_typo_columns(spark):
-    spec = SILVER_SPECS["olist_products_dataset"]
+    spec = SILVER_SPECS[PRODUCTS]
     raw = spark.createDataFrame([(" p1 ", " Beleza_Saude ", "40", "287", "1", "225", "16", "10", "14")],
                                 ", ".join(f"{c} string" for c in spec.source_columns))
     out = project(raw, spec)
