@@ -363,7 +363,7 @@ _RUNS: dict[tuple[str, str], Layout] = {}
 
 def lake_run(spark: SparkSession, d: str, fresh: bool = False) -> Layout:
     """Landing (derived from the test tables) → bronze → silver → gold, once per app."""
-    key = (spark.sparkContext.applicationId, d)
+    key = (spark.conf.get("spark.app.id", "app"), d)
     if fresh or key not in _RUNS:
         root = scratch_path(spark, "lake")
         layout = Layout(landing=f"{root}/landing", bronze=f"{root}/bronze",

@@ -81,7 +81,10 @@ def get_spark(
     for key, value in {**_DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # Spark Connect: logging is the server's
+        pass
     return spark
 
 
@@ -92,12 +95,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     jobs that cut lineage or stage files survive a lost executor.  Only when
     it is unset (local tests) a private temporary folder is set instead.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:  # classic sessions: a directory set with setCheckpointDir
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect has no SparkContext
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="alloy-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        spark.conf.set("spark.checkpoint.dir", root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:
+            pass
     return root.rstrip("/")
 
 
@@ -109,6 +119,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable and return the root it uses."""
     root = checkpoint_root(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
