@@ -244,6 +244,9 @@ SELECT conv_id, turn, role, text FROM conversations
     "landing_glob_scan": """
 SELECT 'nation' AS table_name, count(*) AS n_rows FROM nation
 UNION ALL SELECT 'region', count(*) FROM region
+""",
+    "stream_ingest": """
+SELECT conv_id, turn, role, text FROM conversations
 """,
     "parquet_roundtrip": """
 SELECT * FROM orders

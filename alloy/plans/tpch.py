@@ -23,6 +23,7 @@ from alloy.plans.lake_checks import quality_report
 from alloy.plans.medallion import Layout, run_layers
 from alloy.plans.tpch_landing import write_landing
 from alloy.session import scratch_path
+from alloy.streaming.ingest import ingest_stream
 from alloy.sources.csv import read_csv, write_csv
 from alloy.sources.landing import landing_counts
 from alloy.sources.parquet import read_table, write_table
@@ -347,6 +348,19 @@ def landing_glob_scan(spark, d):
     return landing_counts(spark, root)
 
 
+def stream_ingest(spark, d):
+    """Landing CSV (conversations, multi-line text) → bronze by an availableNow stream."""
+    root = scratch_path(spark, "stream")
+    write_csv(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"),
+              f"{root}/landing/conversations.csv")
+    ingest_stream(spark, f"{root}/landing", f"{root}/bronze",
+                  checkpoint=f"{root}/checkpoint").awaitTermination()
+    spec = cl.TableSpec("conversations", (
+        cl.typed("conv_id", "bigint"), cl.typed("turn", "bigint"),
+        cl.keep("role"), cl.keep("text")))
+    return cl.project(spark.read.parquet(f"{root}/bronze"), spec)
+
+
 def parquet_roundtrip(spark, d):
     """Replace a table twice, then read it back."""
     root = scratch_path(spark, "parquet")
@@ -439,6 +453,7 @@ QUERIES = {
     "csv_multiline_roundtrip": csv_multiline_roundtrip,
     "landing_glob_scan": landing_glob_scan,
     "parquet_roundtrip": parquet_roundtrip,
+    "stream_ingest": stream_ingest,
     "medallion_fact": medallion_fact,
     "medallion_geo_dim": medallion_geo_dim,
     "medallion_customers": medallion_customers,

@@ -19,7 +19,7 @@ import sys
 from alloy.plans import tpch
 from alloy.session import get_spark
 
-FILE_QUERIES = {"csv_multiline_roundtrip", "landing_glob_scan", "parquet_roundtrip"}
+FILE_QUERIES = {"csv_multiline_roundtrip", "landing_glob_scan", "parquet_roundtrip", "stream_ingest"}
 
 
 def plan_text(df) -> str:
