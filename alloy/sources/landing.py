@@ -11,6 +11,7 @@ notes, markers and other formats in the landing area are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,15 @@ from pyspark.sql import functions as F
 from alloy.sources.csv import read_csv
 
 
+_SCHEME = re.compile(r"^[A-Za-z][\w+.-]*:")
+
+
 def _root_tail(root: str) -> str:
-    """Path of ``root`` without scheme and leading slashes (matches listed paths)."""
-    return re.sub(r"^[A-Za-z][\w+.-]*:", "", root.rstrip("/")).lstrip("/")
+    """Path of ``root`` without scheme and leading slashes, made absolute when local."""
+    root = root.rstrip("/")
+    if not _SCHEME.match(root):
+        root = os.path.abspath(root)
+    return _SCHEME.sub("", root).lstrip("/")
 
 
 def list_landing(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
@@ -31,7 +38,8 @@ def list_landing(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFra
              .option("recursiveFileLookup", "true")
              .load(root)
              .select("path", "length"))
-    pattern = "/" + re.escape(_root_tail(root)) + "/([^/]+)"
+    # listed paths are qualified (``file:/…``, ``s3a://bucket/…``): anchor at the start
+    pattern = r"^[A-Za-z][\w+.-]*:/*" + re.escape(_root_tail(root)) + "/([^/]+)"
     entry = F.regexp_extract("path", pattern, 1)
     return (files.withColumn("entry", entry)
                  .withColumn("table_name", F.regexp_replace("entry", r"\.csv$", "")))

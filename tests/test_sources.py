@@ -62,3 +62,12 @@ def test_parquet_overwrite_replaces(spark, tmp_dir):
     write_table(spark.range(10), tmp_dir, "t")
     write_table(spark.range(3), tmp_dir, "t")
     assert read_table(spark, tmp_dir, "t").count() == 3
+
+
+def test_landing_root_named_like_an_outer_folder(spark, tmp_dir):
+    outer = os.path.join(tmp_dir, "landing", "x")
+    root = os.path.join(outer, "landing")
+    os.makedirs(root)
+    with open(os.path.join(root, "orders.csv"), "w") as f:
+        f.write("order_id\no1\n")
+    assert set(landing_tables(spark, root)) == {"orders"}
