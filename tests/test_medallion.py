@@ -185,3 +185,22 @@ def test_quality_report_and_indicators_on_fixtures(spark, tmp_dir):
     assert monthly == [(None, None, 1, None), (2017, 10, 1, 16.5)]
     by_state = rows(_gold(spark, layout, "kpi_vendas_por_estado"))
     assert by_state == [("sp", "delivered", 2, 16.5), ("sp", "invoiced", 1, None)]
+
+
+def test_command_line_runs_each_stage(spark, tmp_dir, capsys):
+    import json
+
+    from alloy.__main__ import main
+
+    layout = _layout(tmp_dir)
+    _write_landing(layout.landing)
+    paths = ["--landing", layout.landing, "--bronze", layout.bronze, "--silver", layout.silver,
+             "--gold", layout.gold]
+    for stage in ("bronze", "silver"):
+        assert main([stage, *paths]) == 0
+    capsys.readouterr()
+    assert main(["gold", *paths, "--checks"]) == 0
+    out = json.loads(capsys.readouterr().out)
+    assert set(out["report"]["gold"].values()) == {"ok"}
+    assert len(out["checks"]) == 10
+    assert _gold(spark, layout, "fato_vendas").count() == 3
