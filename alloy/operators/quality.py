@@ -73,6 +73,21 @@ def find_orphans(child: DataFrame, parent: DataFrame,
     return child.join(keys, on=cond, how="left_anti")
 
 
+def count_orphans(child: DataFrame, parent: DataFrame,
+                  child_key: Sequence[str], parent_key: Sequence[str] | None = None) -> DataFrame:
+    """One row ``n_orphans``: the number of child rows ``find_orphans`` returns.
+
+    The child is first reduced to one row per key with its row count (map-side
+    partial aggregation), so the anti join moves one row per distinct key and a
+    key holding a third of the child rows costs one row per map task.
+    """
+    names = [f"__ck{i}" for i in range(len(child_key))]
+    per_key = child.groupBy(*[F.col(c).alias(n) for c, n in zip(child_key, names)]).agg(
+        F.count(F.lit(1)).alias("__n"))
+    orphans = find_orphans(per_key, parent, names, list(parent_key or child_key))
+    return orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("n_orphans"))
+
+
 def check_fanout(dim: DataFrame, key: Sequence[str], distinct: bool = True) -> DataFrame:
     """Dimension keys that map to more than one row (``n_rows`` > 1).
 

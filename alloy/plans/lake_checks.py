@@ -19,6 +19,11 @@ def _count(name: str, table: str, df: DataFrame) -> DataFrame:
         F.lit(name).alias("check"), F.lit(table).alias("table_name"), "n_bad")
 
 
+def _orphans(name: str, table: str, counted: DataFrame) -> DataFrame:
+    return counted.select(F.lit(name).alias("check"), F.lit(table).alias("table_name"),
+                          F.col("n_orphans").alias("n_bad"))
+
+
 def _bad_rows(name: str, table: str, summary: DataFrame) -> DataFrame:
     return summary.agg(F.coalesce(F.sum("rows_bad"), F.lit(0)).cast("long").alias("n_bad")).select(
         F.lit(name).alias("check"), F.lit(table).alias("table_name"), "n_bad")
@@ -28,14 +33,14 @@ def gold_checks(gold: dict[str, DataFrame]) -> DataFrame:
     """The checks over gold frames keyed by table name."""
     fact = gold["fato_vendas"]
     parts = [
-        _count("orphan_key", "dim_clientes",
-               quality.find_orphans(fact, gold["dim_clientes"], ["nk_cliente"])),
-        _count("orphan_key", "dim_produtos",
-               quality.find_orphans(fact, gold["dim_produtos"], ["nk_produto"])),
-        _count("orphan_key", "dim_vendedores",
-               quality.find_orphans(fact, gold["dim_vendedores"], ["nk_vendedor"])),
-        _count("order_without_items", "dim_pagamentos",
-               quality.find_orphans(gold["dim_pagamentos"], fact, ["sk_pedido"])),
+        _orphans("orphan_key", "dim_clientes",
+                 quality.count_orphans(fact, gold["dim_clientes"], ["nk_cliente"])),
+        _orphans("orphan_key", "dim_produtos",
+                 quality.count_orphans(fact, gold["dim_produtos"], ["nk_produto"])),
+        _orphans("orphan_key", "dim_vendedores",
+                 quality.count_orphans(fact, gold["dim_vendedores"], ["nk_vendedor"])),
+        _orphans("order_without_items", "dim_pagamentos",
+                 quality.count_orphans(gold["dim_pagamentos"], fact, ["sk_pedido"])),
         _count("duplicate_key", "dim_clientes", quality.check_unique(gold["dim_clientes"], ["nk_cliente"])),
         _count("duplicate_key", "dim_produtos", quality.check_unique(gold["dim_produtos"], ["nk_produto"])),
         _count("duplicate_key", "dim_vendedores",

@@ -74,17 +74,22 @@ def _failure(e: Exception) -> str:
 
 
 def run_bronze(spark: SparkSession, layout: Layout, report: RunReport | None = None,
-               parallel: int = DEFAULT_PARALLEL) -> RunReport:
+               parallel: int = DEFAULT_PARALLEL, single_line: Iterable[str] = ()) -> RunReport:
     """PL1: every landing CSV table → Parquet, all columns as text.
 
-    Tables with no silver spec are ingested as well and reported.
+    Tables with no silver spec are ingested as well and reported.  Records
+    may span lines, which makes each file one task; tables named in
+    ``single_line`` are known to hold no line breaks inside values and are
+    read line by line instead, so Spark splits their large files.
     """
     report = report or RunReport()
     found = landing_tables(spark, layout.landing)
+    single = set(single_line)
 
     def work(name: str) -> str:
         try:
-            write_table(read_csv(spark, found[name]), layout.bronze, name)
+            options = {"multiLine": "false"} if name in single else {}
+            write_table(read_csv(spark, found[name], **options), layout.bronze, name)
             return OK if name in SILVER_SPECS else UNMAPPED
         except Exception as e:  # isolate, report at the end
             return _failure(e)
@@ -139,12 +144,14 @@ def run_gold(spark: SparkSession, layout: Layout, report: RunReport | None = Non
 
 
 def run_layers(spark: SparkSession, layout: Layout, raise_on_failure: bool = True,
-               parallel: int = DEFAULT_PARALLEL, kpis: bool = False) -> RunReport:
+               parallel: int = DEFAULT_PARALLEL, kpis: bool = False,
+               single_line: Iterable[str] = ()) -> RunReport:
     """PL4: bronze, silver, gold in order; raise at the end if anything failed.
 
-    ``kpis`` adds the aggregate indicator tables to the gold layer.
+    ``kpis`` adds the aggregate indicator tables to the gold layer;
+    ``single_line`` is passed to ``run_bronze``.
     """
-    report = run_bronze(spark, layout, parallel=parallel)
+    report = run_bronze(spark, layout, parallel=parallel, single_line=single_line)
     run_silver(spark, layout, report, parallel=parallel)
     run_gold(spark, layout, report, parallel=parallel,
              tables={**GOLD_TABLES, **KPI_TABLES} if kpis else GOLD_TABLES)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from alloy.functions.cast import cast_failures, safe_date, safe_double, safe_int, safe_timestamp
 from alloy.functions.text import normalise, strip
 from alloy.operators import aggregate, clean as cl, dedup, kpi, quality, star
+from alloy.plans import marketplace as mp
 from alloy.plans.lake_checks import quality_report
 from alloy.plans.medallion import Layout, run_layers
 from alloy.plans.tpch_landing import write_landing
@@ -373,6 +374,7 @@ def parquet_roundtrip(spark, d):
 # ---------------------------------------------------------------- full layer run
 
 _RUNS: dict[tuple[str, str], Layout] = {}
+SINGLE_LINE_TABLES = (mp.ORDERS, mp.ITEMS)
 
 
 def lake_run(spark: SparkSession, d: str, fresh: bool = False) -> Layout:
@@ -384,7 +386,9 @@ def lake_run(spark: SparkSession, d: str, fresh: bool = False) -> Layout:
                         silver=f"{root}/silver", gold=f"{root}/gold",
                         quarantine=f"{root}/quarantine")
         write_landing(spark, d, layout.landing)
-        run_layers(spark, layout, kpis=True)
+        # items and orders are ids, numbers and dates: no line breaks, so their
+        # files are split; every other table is read record-wise (multi-line)
+        run_layers(spark, layout, kpis=True, single_line=SINGLE_LINE_TABLES)
         _RUNS[key] = layout
     return _RUNS[key]
 

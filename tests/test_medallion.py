@@ -204,3 +204,13 @@ def test_command_line_runs_each_stage(spark, tmp_dir, capsys):
     assert set(out["report"]["gold"].values()) == {"ok"}
     assert len(out["checks"]) == 10
     assert _gold(spark, layout, "fato_vendas").count() == 3
+
+
+def test_single_line_bronze_gives_the_same_gold(spark, tmp_dir):
+    a, b = _layout(os.path.join(tmp_dir, "a")), _layout(os.path.join(tmp_dir, "b"))
+    _write_landing(a.landing)
+    _write_landing(b.landing)
+    run_layers(spark, a)
+    run_layers(spark, b, single_line=[mp.ORDERS, mp.ITEMS])
+    for t in mp.GOLD_TABLES:
+        assert rows(_gold(spark, a, t)) == rows(_gold(spark, b, t)), t

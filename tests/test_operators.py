@@ -109,3 +109,11 @@ def test_kpis_match_brute_force(spark):
                            order_attr="st", customer_key="ck", group_col="grp", value="v")
     assert rows(g) == [("AM", "F", 3, 0.03), ("EU", "F", 2, 3.3), ("EU", "O", 1, 3.3)]
     assert not any(isinstance(v, float) and math.isnan(v) for r in rows(g) for v in r)
+
+
+def test_count_orphans_equals_rows_found(spark):
+    child = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS v")
+    parent = spark.range(0, 3000, 2).selectExpr("id AS pk")  # even keys only; 7 (hot) is missing
+    n = quality.count_orphans(child, parent, ["k"], ["pk"]).collect()[0].n_orphans
+    assert n == quality.find_orphans(child, parent, ["k"], ["pk"]).count()
+    assert n == child.join(parent, child.k == parent.pk, "left_anti").count()
