@@ -132,6 +132,17 @@ def test_full_run_outputs(spark, tmp_dir):
     assert reviews["r1/o5"].mensagem_comentario == "\tcomeça com tab"
     assert reviews["r1/o5"].nota_avaliacao == 6 and reviews["r3/o5"].nota_avaliacao is None
 
+    silver_rows = {t: read_table(spark, layout.silver, t).count() for t in mp.SILVER_SPECS}
+    assert silver_rows == {
+        mp.ORDERS: 3,       # o1, o5, o6 (later of two rows)
+        mp.ITEMS: 4,        # o1/1, o1/2 (deduped), o5/NULL (deduped), o9/1 (no order yet)
+        mp.PAYMENTS: 3,     # duplicate (o1, 2) kept once
+        mp.PRODUCTS: 2,     # blank id dropped
+        mp.CUSTOMERS: 2,    # c2 without unique id dropped, c2/u2 kept
+        mp.SELLERS: 1,      # blank id dropped
+        mp.REVIEWS: 4,      # (review, order) pairs are unique
+        mp.GEOLOCATION: 3,  # two groups for 01037, NULL-city group for 09000
+    }
     q = read_table(spark, layout.quarantine, mp.ORDERS)
     # "" in CSV reads as NULL, so only the "   " id counts as blank
     assert sorted(r.reject_reason for r in q.collect()) == ["blank_key", "null_key", "null_key"]
