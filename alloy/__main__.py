@@ -49,7 +49,7 @@ def main(argv: list[str] | None = None) -> int:
                "gold": lambda: run_gold(spark, layout, report, tables=gold_tables,
                                         parallel=args.parallel)}
         run[args.stage]()
-    out = {"report": report.as_dict()}
+    out = {"report": report.as_dict(), "seconds": report.seconds}
     if args.checks and args.stage in ("gold", "all") and not report.failed():
         from alloy.plans.lake_checks import quality_report
         out["checks"] = [r.asDict() for r in quality_report(spark, layout.gold).collect()]

@@ -8,10 +8,13 @@ happens in these threads; all data work stays on the executors.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import contextlib
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark.sql import SparkSession
+
 T = TypeVar("T")
 
 DEFAULT_PARALLEL = 4
@@ -25,3 +28,18 @@ def each(names: Iterable[str], work: Callable[[str], T],
         return {n: work(n) for n in names}
     with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="alloy-jobs") as pool:
         return dict(zip(names, pool.map(work, names)))
+
+
+@contextlib.contextmanager
+def described(spark: SparkSession, text: str) -> Iterator[None]:
+    """Label the jobs started in this thread (shown in event logs and the UI)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no job descriptions
+        yield
+        return
+    sc.setJobDescription(text)
+    try:
+        yield
+    finally:
+        sc.setJobDescription(None)

@@ -17,13 +17,14 @@ short or skewed tail.  Layers still run in order.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
 from alloy.operators.clean import clean, quarantine
-from alloy.plans.jobs import DEFAULT_PARALLEL, each as _each
+from alloy.plans.jobs import DEFAULT_PARALLEL, described, each as _each
 from alloy.plans.marketplace import GOLD_TABLES, KPI_TABLES, SILVER_SPECS, GoldTable, silver_post
 from alloy.sources.csv import read_csv
 from alloy.sources.landing import landing_tables
@@ -61,6 +62,7 @@ class RunReport:
     bronze: dict[str, str] = field(default_factory=dict)
     silver: dict[str, str] = field(default_factory=dict)
     gold: dict[str, str] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)  # "layer/table" → wall time
 
     def as_dict(self) -> dict[str, dict[str, str]]:
         return {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}
@@ -69,6 +71,15 @@ class RunReport:
         return any(s.startswith(FAILED) for d in self.as_dict().values() for s in d.values())
 
 
+def _timed(spark: SparkSession, report: RunReport, layer: str, name: str, work) -> str:
+    """Run one table's work with a job description and record its wall time."""
+    start = time.perf_counter()
+    with described(spark, f"{layer}/{name}"):
+        status = work()
+    report.seconds[f"{layer}/{name}"] = round(time.perf_counter() - start, 3)
+    return status
+
+
 def _failure(e: Exception) -> str:
     return f"{FAILED}: {type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
 
@@ -86,7 +97,7 @@ def run_bronze(spark: SparkSession, layout: Layout, report: RunReport | None = N
     found = landing_tables(spark, layout.landing)
     single = set(single_line)
 
-    def work(name: str) -> str:
+    def one(name: str) -> str:
         try:
             options = {"multiLine": "false"} if name in single else {}
             write_table(read_csv(spark, found[name], **options), layout.bronze, name)
@@ -94,7 +105,8 @@ def run_bronze(spark: SparkSession, layout: Layout, report: RunReport | None = N
         except Exception as e:  # isolate, report at the end
             return _failure(e)
 
-    report.bronze.update(_each(found, work, parallel))
+    report.bronze.update(_each(
+        found, lambda n: _timed(spark, report, "bronze", n, lambda: one(n)), parallel))
     return report
 
 
@@ -104,7 +116,7 @@ def run_silver(spark: SparkSession, layout: Layout, report: RunReport | None = N
     """PL2: each spec'd bronze table → clean table (and its rejected rows)."""
     report = report or RunReport()
 
-    def work(name: str) -> str:
+    def one(name: str) -> str:
         spec = SILVER_SPECS[name]
         if report.bronze.get(name, OK).startswith(FAILED):
             return SKIPPED
@@ -117,7 +129,9 @@ def run_silver(spark: SparkSession, layout: Layout, report: RunReport | None = N
         except Exception as e:
             return _failure(e)
 
-    report.silver.update(_each(tables or SILVER_SPECS, work, parallel))
+    report.silver.update(_each(
+        tables or SILVER_SPECS, lambda n: _timed(spark, report, "silver", n, lambda: one(n)),
+        parallel))
     return report
 
 
@@ -128,7 +142,7 @@ def run_gold(spark: SparkSession, layout: Layout, report: RunReport | None = Non
     report = report or RunReport()
     tables = tables or GOLD_TABLES
 
-    def work(name: str) -> str:
+    def one(name: str) -> str:
         gold = tables[name]
         if any(report.silver.get(i, OK) != OK for i in gold.inputs):
             return SKIPPED
@@ -139,7 +153,8 @@ def run_gold(spark: SparkSession, layout: Layout, report: RunReport | None = Non
         except Exception as e:
             return _failure(e)
 
-    report.gold.update(_each(tables, work, parallel))
+    report.gold.update(_each(
+        tables, lambda n: _timed(spark, report, "gold", n, lambda: one(n)), parallel))
     return report
 
 
