@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
-import pandas as pd  # noqa: F401  (Timestamp values)
+import pandas as pd
 
 
 def _norm(v):

@@ -1,6 +1,5 @@
 """Landing CSV fixtures → bronze → silver → gold, all 16 output tables checked."""
 
-import datetime as dt
 import os
 
 import pytest

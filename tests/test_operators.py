@@ -1,7 +1,6 @@
 import math
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from alloy.operators import aggregate, kpi, quality, star
 from alloy.plans.marketplace import GEOLOCATION, SILVER_SPECS, build_fact, silver_post
