@@ -13,8 +13,8 @@ import argparse
 import json
 import sys
 
-from alloy.plans.medallion import (Layout, LayerError, RunReport, run_bronze, run_gold,
-                                   run_layers, run_silver)
+from alloy.plans.medallion import (Layout, LayerError, NoLandingFiles, RunReport, run_bronze,
+                                   run_gold, run_layers, run_silver)
 from alloy.plans.marketplace import GOLD_TABLES, KPI_TABLES
 from alloy.session import get_spark, object_store_conf
 
@@ -40,8 +40,12 @@ def main(argv: list[str] | None = None) -> int:
     layout = Layout(args.landing, args.bronze, args.silver, args.gold, args.quarantine)
     gold_tables = {**GOLD_TABLES, **KPI_TABLES} if args.kpis else GOLD_TABLES
     if args.stage == "all":
-        report = run_layers(spark, layout, raise_on_failure=False,
-                            parallel=args.parallel, kpis=args.kpis)
+        try:
+            report = run_layers(spark, layout, raise_on_failure=False,
+                                parallel=args.parallel, kpis=args.kpis)
+        except NoLandingFiles as e:
+            print(str(e), file=sys.stderr)
+            return 2
     else:
         report = RunReport()
         run = {"bronze": lambda: run_bronze(spark, layout, report, parallel=args.parallel),

@@ -36,6 +36,10 @@ SKIPPED = "skipped"
 UNMAPPED = "unmapped"
 
 
+class NoLandingFiles(RuntimeError):
+    """The landing root holds no CSV file: nothing to ingest."""
+
+
 class LayerError(RuntimeError):
     """One or more tables of a run failed; ``report`` holds every status."""
 
@@ -167,6 +171,8 @@ def run_layers(spark: SparkSession, layout: Layout, raise_on_failure: bool = Tru
     ``single_line`` is passed to ``run_bronze``.
     """
     report = run_bronze(spark, layout, parallel=parallel, single_line=single_line)
+    if not report.bronze:  # stop early, before silver reads stale or missing tables
+        raise NoLandingFiles(f"no landing CSV files below {layout.landing}")
     run_silver(spark, layout, report, parallel=parallel)
     run_gold(spark, layout, report, parallel=parallel,
              tables={**GOLD_TABLES, **KPI_TABLES} if kpis else GOLD_TABLES)

@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,10 +49,16 @@ def list_landing(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFra
 def landing_tables(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[str, str]:
     """Table name → path to read, for every table with at least one file.
 
-    Only the distinct entries (one per table) reach the driver.
+    Only the distinct entries (one per table) reach the driver.  A missing
+    root has no tables.
     """
-    rows = (list_landing(spark, root, glob)
-            .select("entry", "table_name").distinct().collect())
+    try:
+        rows = (list_landing(spark, root, glob)
+                .select("entry", "table_name").distinct().collect())
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return {}
+        raise
     base = root.rstrip("/")
     return {r.table_name: f"{base}/{r.entry}" for r in sorted(rows, key=lambda r: r.table_name)}
 

@@ -224,3 +224,16 @@ def test_single_line_bronze_gives_the_same_gold(spark, tmp_dir):
     run_layers(spark, b, single_line=[mp.ORDERS, mp.ITEMS])
     for t in mp.GOLD_TABLES:
         assert rows(_gold(spark, a, t)) == rows(_gold(spark, b, t)), t
+
+
+def test_no_landing_files_stops_early(spark, tmp_dir):
+    from alloy.plans.medallion import NoLandingFiles, run_bronze
+
+    layout = _layout(tmp_dir)
+    assert run_bronze(spark, layout).bronze == {}          # root does not exist
+    os.makedirs(layout.landing)
+    with open(os.path.join(layout.landing, "notes.txt"), "w") as f:
+        f.write("no tables here\n")
+    with pytest.raises(NoLandingFiles):
+        run_layers(spark, layout)
+    assert not os.path.exists(layout.silver)
