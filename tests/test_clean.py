@@ -69,3 +69,26 @@ def test_nan_in_required_double_is_dropped(spark):
     spec = TableSpec("g", (typed("lat", "double"),), required=("lat",))
     raw = spark.createDataFrame([("1.5",), ("NaN",), (None,)], "lat string")
     assert rows(clean(raw, spec)) == [(1.5,)]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_ids = st.one_of(st.none(), st.sampled_from(["", " ", "a", " a ", "b", "c\t"]))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(_ids, _ids, st.one_of(st.none(), st.sampled_from(["1", "x", " 2 "]))),
+                max_size=25))
+def test_every_row_is_kept_rejected_or_a_duplicate(spark, data):
+    spec = TableSpec("t", (trimmed("id"), trimmed("other"), typed("n", "int")),
+                     required=("id",), non_blank=("id", "other"), key=("id",),
+                     order_by=(("n", "desc"),))
+    raw = spark.createDataFrame(data, "id string, other string, n string")
+    kept = clean(raw, spec).count()
+    rejected = quarantine(raw, spec).count()
+    valid = clean(raw, spec, dedup=False)
+    duplicates = valid.count() - valid.select("id").distinct().count()
+    assert len(data) == kept + rejected + duplicates
+    # a kept id is never blank or NULL, and appears once
+    ids = [r.id for r in clean(raw, spec).collect()]
+    assert all(i for i in ids) and len(ids) == len(set(ids))
