@@ -7,7 +7,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
 
 def all_of(preds: list[Column]) -> Column:
@@ -28,11 +28,16 @@ def is_missing(name: str, schema: StructType) -> Column:
     return c.isNull()
 
 
-def is_blank(name: str) -> Column:
-    """The value equals ``""`` (apply after trim, as the cleaning does)."""
+def is_blank(name: str, schema: StructType | None = None) -> Column:
+    """The value equals ``""`` (apply after trim, as the cleaning does).
+
+    Only text can be blank: for other types (given a schema) this is FALSE.
+    """
+    if schema is not None and not isinstance(schema[name].dataType, StringType):
+        return F.lit(False)
     return F.col(name) == ""
 
 
-def non_blank(names: list[str]) -> Column:
-    """``col != ""`` for every name; NULL makes the row fail too."""
-    return all_of([F.col(n) != "" for n in names])
+def non_blank(names: list[str], schema: StructType | None = None) -> Column:
+    """``col != ""`` for every text name, NOT NULL for others; NULL fails too."""
+    return all_of([F.col(n).isNotNull() & ~is_blank(n, schema) for n in names])

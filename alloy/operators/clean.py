@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alloy.functions.cast import safe_cast
-from alloy.functions.predicates import any_of, is_missing, non_blank
+from alloy.functions.predicates import any_of, is_blank, is_missing, non_blank
 from alloy.functions.text import text_rule
 from alloy.operators.dedup import keep_one
 
@@ -93,7 +93,7 @@ def valid_rows(projected: DataFrame, spec: TableSpec) -> DataFrame:
     if spec.required:
         out = out.dropna(subset=list(spec.required))
     if spec.non_blank:
-        out = out.filter(non_blank(list(spec.non_blank)))
+        out = out.filter(non_blank(list(spec.non_blank), out.schema))
     return out
 
 
@@ -102,7 +102,7 @@ def reject_reason(projected: DataFrame, spec: TableSpec) -> Column:
     schema = projected.schema
     missing = [is_missing(c, schema) for c in spec.required]
     missing += [F.col(c).isNull() for c in spec.non_blank if c not in spec.required]
-    blank = [F.col(c) == "" for c in spec.non_blank]
+    blank = [is_blank(c, schema) for c in spec.non_blank]
     return (F.when(any_of(missing), F.lit("null_key"))
              .when(any_of(blank), F.lit("blank_key")))
 

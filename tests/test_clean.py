@@ -92,3 +92,10 @@ def test_every_row_is_kept_rejected_or_a_duplicate(spark, data):
     # a kept id is never blank or NULL, and appears once
     ids = [r.id for r in clean(raw, spec).collect()]
     assert all(i for i in ids) and len(ids) == len(set(ids))
+
+
+def test_non_blank_on_a_typed_column(spark):
+    spec = TableSpec("t", (trimmed("id"), typed("n", "int")), non_blank=("id", "n"))
+    raw = spark.createDataFrame([("a", "1"), ("b", "x"), ("", "2")], "id string, n string")
+    assert rows(clean(raw, spec)) == [("a", 1)]
+    assert rows(quarantine(raw, spec).select("id", REASON_COLUMN)) == [("", "blank_key"), ("b", "null_key")]
