@@ -67,6 +67,14 @@ od AS (
   WHERE rn = 1)
 """
 
+# Line items with a third of the rows moved onto order key 1 (tpch.hot_items).
+_HOT_ITEMS = """
+(SELECT CASE WHEN l_partkey % 3 = 0 THEN CAST(1 AS BIGINT) ELSE l_orderkey END AS l_orderkey,
+        l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+        l_returnflag, l_linestatus, l_shipdate
+ FROM lineitem) hot
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "project_rename": """
 SELECT p_partkey AS nk_part, p_type AS category, p_size AS size_cm FROM part
@@ -171,6 +179,24 @@ SELECT user_id, event_id, event_type FROM (
                     value ASC NULLS FIRST, props ASC NULLS FIRST) AS rn
   FROM events) x
 WHERE rn = 1
+""",
+    "dedup_hot_key": f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM (
+  SELECT *, row_number() OVER (
+           PARTITION BY l_orderkey, l_linenumber
+           ORDER BY l_shipdate DESC NULLS LAST, l_partkey ASC NULLS FIRST, l_suppkey ASC NULLS FIRST,
+                    l_quantity ASC NULLS FIRST, l_extendedprice ASC NULLS FIRST,
+                    l_discount ASC NULLS FIRST, l_tax ASC NULLS FIRST,
+                    l_returnflag ASC NULLS FIRST, l_linestatus ASC NULLS FIRST) AS rn
+  FROM {_HOT_ITEMS}) x
+WHERE rn = 1
+""",
+    "fact_join_hot_order": f"""
+SELECT o_orderkey AS sk_order, o_custkey AS nk_customer, l_partkey AS nk_part, l_suppkey AS nk_supplier,
+       l_linenumber AS line_no, l_extendedprice AS item_value, l_tax AS freight_value,
+       round(l_extendedprice + l_tax, 4) AS total_value, o_orderdate AS ordered_at,
+       l_shipdate AS shipped_at, o_orderstatus AS order_status
+FROM {_HOT_ITEMS} JOIN orders ON l_orderkey = o_orderkey
 """,
     "key_uniqueness": """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem

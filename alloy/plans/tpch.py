@@ -181,6 +181,27 @@ def dedup_single_key(spark, d):
     return kept.select("user_id", "event_id", "event_type")
 
 
+def hot_items(spark, d) -> DataFrame:
+    """Line items where every third part's lines belong to one order (key 1).
+
+    A third of all rows on one key: the skew every keyed operator must take.
+    """
+    li = table(spark, d, "lineitem")
+    return li.withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, F.lit(1).cast("long"))
+                         .otherwise(F.col("l_orderkey")))
+
+
+def dedup_hot_key(spark, d):
+    kept = dedup.keep_one(hot_items(spark, d), ["l_orderkey", "l_linenumber"],
+                          [("l_shipdate", "desc")])
+    return kept.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+
+
+def fact_join_hot_order(spark, d):
+    items = hot_items(spark, d).withColumnRenamed("l_orderkey", "order_key")
+    return star.rename(star.fact_join(items, _orders(spark, d), "order_key"), fact_mapping())
+
+
 def key_uniqueness(spark, d):
     return quality.check_unique(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -443,6 +464,8 @@ QUERIES = {
     "dedup_key_count": dedup_key_count,
     "dedup_single_key": dedup_single_key,
     "key_uniqueness": key_uniqueness,
+    "dedup_hot_key": dedup_hot_key,
+    "fact_join_hot_order": fact_join_hot_order,
     "group_avg_two": group_avg_two,
     "centroid_3key": centroid_3key,
     "zip_centroid": zip_centroid,

@@ -28,7 +28,8 @@ from alloy.plans.tpch_landing import write_landing  # noqa: E402
 from alloy.session import get_spark, scratch_path  # noqa: E402
 
 HEADLINE = [
-    "fact_sales_join", "role_playing_dims", "dedup_composite_key", "dedup_single_key",
+    "fact_sales_join", "fact_join_hot_order", "role_playing_dims", "dedup_composite_key",
+    "dedup_hot_key", "dedup_single_key",
     "silver_orders", "quarantine_rows", "centroid_3key", "group_avg_two", "key_uniqueness",
     "ri_orphans", "kpi_monthly_sales", "kpi_sales_by_region", "translate_accents",
     "computed_sum_col", "csv_multiline_roundtrip", "parquet_roundtrip", "stream_ingest",
