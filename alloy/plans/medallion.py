@@ -27,7 +27,8 @@ from alloy.operators.clean import clean, quarantine
 from alloy.plans.jobs import DEFAULT_PARALLEL, described, each as _each
 from alloy.plans.marketplace import GOLD_TABLES, KPI_TABLES, SILVER_SPECS, GoldTable, silver_post
 from alloy.sources.csv import read_csv
-from alloy.sources.landing import landing_tables
+from alloy.sources.csv_records import read_landing_csv
+from alloy.sources.landing import landing_entries
 from alloy.sources.parquet import read_table, table_path, write_table
 
 OK = "ok"
@@ -93,18 +94,24 @@ def run_bronze(spark: SparkSession, layout: Layout, report: RunReport | None = N
     """PL1: every landing CSV table → Parquet, all columns as text.
 
     Tables with no silver spec are ingested as well and reported.  Records
-    may span lines, which makes each file one task; tables named in
+    may span lines: a table whose files all fit in one scan split is read
+    file by file, a table with a larger file is read split-wise with its
+    records put back together (``read_landing_csv``).  Tables named in
     ``single_line`` are known to hold no line breaks inside values and are
-    read line by line instead, so Spark splits their large files.
+    simply read line by line, which Spark splits too.
     """
     report = report or RunReport()
-    found = landing_tables(spark, layout.landing)
+    found = landing_entries(spark, layout.landing)
     single = set(single_line)
 
     def one(name: str) -> str:
+        path, largest = found[name]
         try:
-            options = {"multiLine": "false"} if name in single else {}
-            write_table(read_csv(spark, found[name], **options), layout.bronze, name)
+            if name in single:
+                raw = read_csv(spark, path, multiLine="false")
+            else:
+                raw = read_landing_csv(spark, path, largest)
+            write_table(raw, layout.bronze, name)
             return OK if name in SILVER_SPECS else UNMAPPED
         except Exception as e:  # isolate, report at the end
             return _failure(e)

@@ -266,6 +266,9 @@ GROUP BY r_name, o_orderstatus
 """,
     "csv_multiline_roundtrip": """
 SELECT conv_id, turn, role, text FROM conversations
+""",
+    "csv_split_records": """
+SELECT conv_id, turn, role, text FROM conversations
 """,
     "landing_glob_scan": """
 SELECT 'nation' AS table_name, count(*) AS n_rows FROM nation

@@ -26,6 +26,7 @@ from alloy.plans.tpch_landing import write_landing
 from alloy.session import scratch_path
 from alloy.streaming.ingest import ingest_stream
 from alloy.sources.csv import read_csv, write_csv
+from alloy.sources.csv_records import read_csv_records
 from alloy.sources.landing import landing_counts
 from alloy.sources.parquet import read_table, write_table
 
@@ -361,6 +362,21 @@ def csv_multiline_roundtrip(spark, d):
     return cl.project(read_csv(spark, path), spec)
 
 
+def csv_split_records(spark, d):
+    """The same CSV read split-wise: records are put back together from lines.
+
+    This is the reader a landing table gets when a file exceeds one scan
+    split; here it is used on a file of any size.
+    """
+    path = scratch_path(spark, "csv-split")
+    write_csv(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"), path)
+    raw = read_csv_records(spark, path, read_csv(spark, path).schema)
+    spec = cl.TableSpec("conversations", (
+        cl.typed("conv_id", "bigint"), cl.typed("turn", "bigint"),
+        cl.keep("role"), cl.keep("text")))
+    return cl.project(raw, spec)
+
+
 def landing_glob_scan(spark, d):
     """A landing root with two CSV tables and a text note; count each table."""
     root = scratch_path(spark, "landing")
@@ -478,6 +494,7 @@ QUERIES = {
     "kpi_monthly_sales": kpi_monthly_sales,
     "kpi_sales_by_region": kpi_sales_by_region,
     "csv_multiline_roundtrip": csv_multiline_roundtrip,
+    "csv_split_records": csv_split_records,
     "landing_glob_scan": landing_glob_scan,
     "parquet_roundtrip": parquet_roundtrip,
     "stream_ingest": stream_ingest,

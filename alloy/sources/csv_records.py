@@ -1,0 +1,233 @@
+"""Splittable reading of CSV whose quoted values span lines (IO1 at scale).
+
+Spark's ``multiLine`` CSV reader cannot split a file: one task reads it
+from start to end, so a single landing file holding a third of a table's
+rows is a third of the table in one task.  ``read_csv_records`` reads the
+same records from line-based file splits instead:
+
+1. The text source splits every file (``spark.sql.files.maxPartitionBytes``)
+   and gives each line its file and split start (``_metadata``).  Inside one
+   task the lines of a split arrive in file order, so a ``mapInArrow`` pass
+   numbers them and keeps running counts of quote characters: the parity of
+   the quotes before a line tells whether it starts inside a quoted value,
+   given the parity the split starts with.  No shuffle.
+2. A summary with one row per split (quote parity, the last line that would
+   start a record for either starting parity) is aggregated, then a window
+   per file over these small rows gives every split its starting parity and
+   the record that runs into it from an earlier split.  It is checkpointed
+   to the shared checkpoint folder, then joined back to the lines
+   (broadcast when its row count is within a bound; a split is
+   ``maxPartitionBytes`` of text, so this table has one row per 128 MB).
+3. Lines that are whole records are parsed in place with ``from_csv``; only
+   lines of records spanning several lines are shuffled, grouped by the
+   record's first line, put back in order and parsed.
+
+Quotes escaped by doubling (``""``) keep the parity, so the escape of the
+landing files is handled; a backslash escape is not (``multiLine`` is then
+the only exact reader).  Records, values and line breaks inside values are
+the same as the ``multiLine`` reader gives (``\\r\\n`` and ``\\n`` files).
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from alloy.operators.star import bounded_broadcast
+from alloy.session import ensure_checkpoint_dir
+
+# Python workers get this module's code with the task, so they need no
+# installed copy of the package (the driver may import it from a checkout).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+QUOTE = '"'
+# Split rows broadcast to every task: at 128 MB splits this covers 256 TB of
+# text; beyond it the split table is joined by a shuffle instead.
+MAX_BROADCAST_SPLITS = 2_000_000
+
+_LINE_STATE = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("block", T.LongType()),
+    T.StructField("pos", T.LongType()),
+    T.StructField("q", T.IntegerType()),
+    T.StructField("lp", T.IntegerType()),
+    T.StructField("last_even", T.LongType()),
+    T.StructField("last_odd", T.LongType()),
+    T.StructField("value", T.StringType()),
+])
+
+
+def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per split, in file order: line number, quote parity before the line,
+    and the last line so far that starts a record when the split starts
+    outside (``last_even``) or inside (``last_odd``) a quoted value.
+
+    State is carried across batches; a split's lines are contiguous.
+    """
+    key = None          # (path, block) of the split in progress
+    pos0 = par0 = 0     # lines seen, quote parity so far
+    even0 = odd0 = -1   # last record-start line numbers so far
+    for batch in batches:
+        n = batch.num_rows
+        if n == 0:
+            continue
+        path = batch.column("path")
+        block = batch.column("block").to_numpy(zero_copy_only=False)
+        q = batch.column("q").to_numpy(zero_copy_only=False).astype(np.int64)
+        change = np.zeros(n, dtype=bool)
+        if n > 1:
+            same_path = pc.equal(path.slice(1), path.slice(0, n - 1))
+            change[1:] = ~same_path.to_numpy(zero_copy_only=False) | (block[1:] != block[:-1])
+        starts = np.flatnonzero(change).tolist()
+        bounds = [0, *starts, n]
+        pos = np.empty(n, dtype=np.int64)
+        lp = np.empty(n, dtype=np.int64)
+        last_even = np.empty(n, dtype=np.int64)
+        last_odd = np.empty(n, dtype=np.int64)
+        for s, e in zip(bounds[:-1], bounds[1:]):
+            seg_key = (path[s].as_py(), int(block[s]))
+            if seg_key != key:
+                key, pos0, par0, even0, odd0 = seg_key, 0, 0, -1, -1
+            qs = q[s:e]
+            incl = np.cumsum(qs) + par0
+            lps = (incl - qs) % 2
+            ps = np.arange(pos0, pos0 + (e - s), dtype=np.int64)
+            ev = np.maximum(np.maximum.accumulate(np.where(lps == 0, ps, -1)), even0)
+            od = np.maximum(np.maximum.accumulate(np.where(lps == 1, ps, -1)), odd0)
+            pos[s:e], lp[s:e], last_even[s:e], last_odd[s:e] = ps, lps, ev, od
+            pos0, par0, even0, odd0 = pos0 + (e - s), int(incl[-1] % 2), int(ev[-1]), int(od[-1])
+        yield pa.RecordBatch.from_arrays(
+            [path, batch.column("block"), pa.array(pos), batch.column("q"),
+             pa.array(lp.astype(np.int32)),
+             pa.array(last_even, mask=last_even < 0), pa.array(last_odd, mask=last_odd < 0),
+             batch.column("value")],
+            schema=pa.schema([
+                ("path", pa.string()), ("block", pa.int64()), ("pos", pa.int64()),
+                ("q", pa.int32()), ("lp", pa.int32()), ("last_even", pa.int64()),
+                ("last_odd", pa.int64()), ("value", pa.string())]))
+
+
+def _lines(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
+    reader = spark.read.option("lineSep", "\n")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    text = reader.text(path)
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit(QUOTE), F.lit("")))
+    raw = text.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        (quotes % 2).cast("int").alias("q"),
+        "value",
+    )
+    return raw.mapInArrow(_number_lines, _LINE_STATE)
+
+
+def _split_table(lines: DataFrame) -> DataFrame:
+    """One row per split: starting quote parity and the record running into it."""
+    first_line = (F.col("block") == 0) & (F.col("pos") == 0)
+    per_split = lines.groupBy("path", "block").agg(
+        (F.sum("q") % 2).cast("int").alias("parity"),
+        F.max("last_even").alias("split_even"),
+        F.max("last_odd").alias("split_odd"),
+        F.max(F.when(first_line, F.col("value").endswith("\r"))).alias("first_crlf"),
+    )
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    incoming = (F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2).cast("int")
+    # like the multiLine reader, the first line's ending is the file's separator
+    crlf = F.coalesce(F.max("first_crlf").over(Window.partitionBy("path")), F.lit(False))
+    with_in = per_split.withColumn("incoming", incoming).withColumn("crlf", crlf)
+    last_start = F.when(F.col("incoming") == 0, F.col("split_even")).otherwise(F.col("split_odd"))
+    start_ref = F.when(last_start.isNotNull(), F.struct(F.col("block").alias("b"),
+                                                        last_start.alias("p")))
+    carry = F.last(start_ref, ignorenulls=True).over(before)
+    return with_in.select("path", "block", "incoming", "crlf", carry.alias("carry"))
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}"
+                     for f in schema.fields)
+
+
+def read_csv_records(spark: SparkSession, path: str | list[str], schema: T.StructType,
+                     *, header: bool = True, glob: str | None = "*.csv",
+                     max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
+    """The records of CSV files below ``path`` as ``schema`` columns, read split-wise.
+
+    ``schema`` names the columns (e.g. all strings, from the header);
+    ``header`` drops the first record of every file.  Quotes are ``"`` and
+    escaped by doubling.  Empty lines outside quoted values are skipped.
+    """
+    lines = _lines(spark, path, glob)
+    ensure_checkpoint_dir(spark)
+    splits = _split_table(lines).checkpoint(eager=True)
+    joined = lines.join(bounded_broadcast(splits, max_broadcast_splits), ["path", "block"])
+
+    inc = F.col("incoming")
+    starts_inside = ((inc + F.col("lp")) % 2) == 1
+    ends_inside = ((inc + F.col("lp") + F.col("q")) % 2) == 1
+    local = F.when(inc == 0, F.col("last_even")).otherwise(F.col("last_odd"))
+    rid_block = F.when(local.isNotNull(), F.col("block")).otherwise(F.col("carry.b"))
+    rid_pos = F.coalesce(local, F.col("carry.p"))
+    # CRLF files: the CR of every line end goes; line breaks in values become LF
+    value = F.when(F.col("crlf") & F.col("value").endswith("\r"),
+                   F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value"))
+    tagged = joined.select(
+        "path", "block", "pos", value.alias("value"),
+        (~starts_inside & ~ends_inside).alias("whole"),
+        rid_block.alias("rid_block"), rid_pos.alias("rid_pos"))
+    if header:
+        tagged = tagged.filter(~((F.col("rid_block") == 0) & (F.col("rid_pos") == 0)))
+
+    options = {"quote": QUOTE, "escape": QUOTE, "mode": "PERMISSIVE"}
+    ddl = _ddl(schema)
+    single = (tagged.filter(F.col("whole") & (F.col("value") != ""))
+                    .select(F.col("value").alias("record")))
+    parts = (tagged.filter(~F.col("whole"))
+                   .groupBy("path", "rid_block", "rid_pos")
+                   .agg(F.array_sort(F.collect_list(F.struct("block", "pos", "value")))
+                         .alias("lines")))
+    multi = parts.select(
+        F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("record"))
+    records = single.unionByName(multi)
+    parsed = records.select(F.from_csv("record", ddl, options).alias("r"))
+    return parsed.select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
+
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """The session's scan split size (``spark.sql.files.maxPartitionBytes``)."""
+    text = str(spark.conf.get("spark.sql.files.maxPartitionBytes", "128MB")).strip().lower()
+    digits = text.rstrip("bkmgt")
+    return int(digits) * _UNITS[text[len(digits):]]
+
+
+def read_landing_csv(spark: SparkSession, path: str | list[str], largest_file: int,
+                     glob: str | None = "*.csv", **options: str) -> DataFrame:
+    """All-string records of a landing table, read so that no task gets more
+    than one split of text.
+
+    When every file fits in one split, the ``multiLine`` reader reads each
+    file in one task anyway and is the cheaper plan; when a file is larger,
+    the records are read split-wise (``read_csv_records``).  Both give the
+    same rows.  ``largest_file`` is the size in bytes of the table's largest
+    file (from the landing listing).
+    """
+    from alloy.sources.csv import read_csv
+
+    whole_files = read_csv(spark, path, glob=glob, **options)
+    if largest_file <= split_bytes(spark):
+        return whole_files
+    # the header of the first file names the columns; no inference pass
+    return read_csv_records(spark, path, whole_files.schema, glob=glob)

@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloy.sources.csv import read_csv
+from alloy.sources.csv_records import read_landing_csv
 
 
 _SCHEME = re.compile(r"^[A-Za-z][\w+.-]*:")
@@ -46,27 +46,39 @@ def list_landing(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFra
                  .withColumn("table_name", F.regexp_replace("entry", r"\.csv$", "")))
 
 
-def landing_tables(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[str, str]:
-    """Table name → path to read, for every table with at least one file.
+def landing_entries(spark: SparkSession, root: str,
+                    glob: str = "*.csv") -> dict[str, tuple[str, int]]:
+    """Table name → (path to read, size of its largest file in bytes).
 
-    Only the distinct entries (one per table) reach the driver.  A missing
-    root has no tables.
+    Only one aggregated row per table reaches the driver.  A missing root
+    has no tables.
     """
     try:
         rows = (list_landing(spark, root, glob)
-                .select("entry", "table_name").distinct().collect())
+                .groupBy("entry", "table_name").agg(F.max("length").alias("largest"))
+                .collect())
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return {}
         raise
     base = root.rstrip("/")
-    return {r.table_name: f"{base}/{r.entry}" for r in sorted(rows, key=lambda r: r.table_name)}
+    return {r.table_name: (f"{base}/{r.entry}", int(r.largest))
+            for r in sorted(rows, key=lambda r: r.table_name)}
+
+
+def landing_tables(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[str, str]:
+    """Table name → path to read, for every table with at least one file."""
+    return {name: path for name, (path, _) in landing_entries(spark, root, glob).items()}
 
 
 def scan_landing(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[str, DataFrame]:
-    """Every landing table as an all-string DataFrame (lazy)."""
-    return {name: read_csv(spark, path, glob=glob)
-            for name, path in landing_tables(spark, root, glob).items()}
+    """Every landing table as an all-string DataFrame.
+
+    A table whose largest file exceeds one scan split is read split-wise
+    (``read_landing_csv``), so no file is a single task.
+    """
+    return {name: read_landing_csv(spark, path, largest, glob=glob)
+            for name, (path, largest) in landing_entries(spark, root, glob).items()}
 
 
 def landing_counts(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:

@@ -1,0 +1,92 @@
+"""Split-wise reading of multi-line CSV gives the multiLine reader's records."""
+
+import os
+import random
+
+import pytest
+
+from alloy.sources.csv import read_csv, write_csv
+from alloy.sources.csv_records import read_csv_records, read_landing_csv, split_bytes
+from alloy.sources.landing import landing_counts, landing_entries
+
+from conftest import rows
+
+TINY_SPLITS = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "0"}
+
+
+@pytest.fixture()
+def tiny_splits(spark):
+    """Cut every file into 64-byte splits, so records cross split boundaries."""
+    before = {k: spark.conf.get(k, None) for k in TINY_SPLITS}
+    for k, v in TINY_SPLITS.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+PIECES = ["a", "b c", 'q"x', '""', "\n", "\r\n", ",", "x\n\ny", "", "  ", "é ç", "\t"]
+
+
+def _awkward_files(folder: str, n_files: int, n_rows: int, newline: str, seed: int) -> None:
+    rnd = random.Random(seed)
+    os.makedirs(folder, exist_ok=True)
+    for fi in range(n_files):
+        lines = ["id,text,n"]
+        for i in range(n_rows):
+            t = "".join(rnd.choice(PIECES) for _ in range(rnd.randint(0, 6)))
+            if any(c in t for c in '",\n\r') or rnd.random() < 0.3:
+                t = '"' + t.replace('"', '""') + '"'
+            lines.append(f"{fi}-{i},{t},{i}")
+            if rnd.random() < 0.05:
+                lines.append("")
+        end = newline if fi % 2 else ""  # last record with and without a line end
+        with open(os.path.join(folder, f"part-{fi}.csv"), "w", newline="") as f:
+            f.write(newline.join(lines) + end)
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_split_records_equal_multiline_reader(spark, tmp_dir, tiny_splits, newline):
+    folder = os.path.join(tmp_dir, "t.csv")
+    _awkward_files(folder, 3, 150, newline, seed=len(newline))
+    assert spark.read.text(folder).rdd.getNumPartitions() > 20
+    whole = read_csv(spark, folder)
+    split = read_csv_records(spark, folder, whole.schema)
+    assert split.columns == whole.columns
+    assert rows(split) == rows(whole)
+    assert split.count() == 450
+
+
+def test_split_records_table_roundtrip(spark, tmp_dir, tiny_splits):
+    data = [(i, f"linha {i}\n\"citação\", fim\r\nok" if i % 3 else f"simples {i}")
+            for i in range(120)]
+    df = spark.createDataFrame(data, "id long, text string")
+    path = os.path.join(tmp_dir, "conv.csv")
+    write_csv(df, path)
+    back = read_csv_records(spark, path, read_csv(spark, path).schema)
+    assert rows(back.selectExpr("CAST(id AS BIGINT) AS id", "text")) == rows(df)
+
+
+def test_landing_reader_choice_follows_file_size(spark, tmp_dir, tiny_splits):
+    root = os.path.join(tmp_dir, "landing")
+    _awkward_files(os.path.join(root, "reviews.csv"), 2, 80, "\n", seed=7)
+    (path, largest), = landing_entries(spark, root).values()
+    assert largest > split_bytes(spark) == 64
+    plan = read_landing_csv(spark, path, largest)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan  # read split-wise
+    small = read_landing_csv(spark, path, 10)._jdf.queryExecution().toString()
+    assert "MapInArrow" not in small
+    assert rows(landing_counts(spark, root)) == [("reviews", 160)]
+
+
+def test_split_bytes_units(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for text, n in [("128MB", 128 << 20), ("64k", 64 << 10), ("1000", 1000), ("2g", 2 << 30)]:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", text)
+            assert split_bytes(spark) == n
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
