@@ -53,3 +53,64 @@ def test_indicators_with_hot_order_and_customer(spark):
                       F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("revenue")))
     assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
     assert check_unique(got, ["c_mktsegment", "o_orderstatus"]).count() == 0
+
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+}
+
+
+def _with_conf(spark, conf, work):
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return work()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_order_partition_is_split_in_the_fact_join(spark, tmp_dir):
+    """The hot key's reducer partition is cut into several tasks at run time.
+
+    AQE splits a partition along map outputs, so the items come from several
+    files, as a large table does.
+    """
+    from alloy.operators import star
+    from alloy.plans.tpch import fact_mapping
+    _skewed_items(spark).repartition(8).write.parquet(f"{tmp_dir}/items")
+    items = spark.read.parquet(f"{tmp_dir}/items").withColumnRenamed("l_orderkey", "order_key")
+    orders = spark.read.parquet(f"{SF}/orders.parquet").withColumnRenamed("o_orderkey", "order_key")
+
+    def work():
+        df = star.rename(star.fact_join(items, orders, "order_key"), fact_mapping())
+        return df.count(), _final_plan(df)
+
+    n, plan = _with_conf(spark, SKEW_CONF, work)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert n == items.join(orders, "order_key").count()
+
+
+def test_hot_key_partition_is_split_in_the_orphan_join(spark, tmp_dir):
+    from alloy.operators.quality import find_orphans
+    _skewed_items(spark).repartition(8).write.parquet(f"{tmp_dir}/items")
+    items = spark.read.parquet(f"{tmp_dir}/items")
+    parents = spark.read.parquet(f"{SF}/orders.parquet").filter("o_orderstatus <> 'F'")
+
+    def work():
+        df = find_orphans(items, parents, ["l_orderkey"], ["o_orderkey"])
+        return df.count(), _final_plan(df)
+
+    n, plan = _with_conf(spark, SKEW_CONF, work)
+    assert "(skew=true)" in plan
+    keys = parents.select("o_orderkey")
+    assert n == items.join(keys, items.l_orderkey == keys.o_orderkey, "left_anti").count()
