@@ -32,7 +32,8 @@ HEADLINE = [
     "dedup_hot_key", "dedup_single_key",
     "silver_orders", "quarantine_rows", "centroid_3key", "group_avg_two", "key_uniqueness",
     "ri_orphans", "kpi_monthly_sales", "kpi_sales_by_region", "translate_accents",
-    "computed_sum_col", "csv_multiline_roundtrip", "parquet_roundtrip", "stream_ingest",
+    "computed_sum_col", "csv_multiline_roundtrip", "csv_split_records", "parquet_roundtrip",
+    "stream_ingest",
 ]
 
 

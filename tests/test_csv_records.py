@@ -90,3 +90,33 @@ def test_split_bytes_units(spark):
             assert split_bytes(spark) == n
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_VALUE = st.text(alphabet=st.sampled_from(list('ab ,"\n\ré')), max_size=12)
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.tuples(_VALUE, _VALUE), min_size=1, max_size=40),
+       split=st.integers(min_value=16, max_value=200),
+       newline=st.sampled_from(["\n", "\r\n"]))
+def test_split_records_property(spark, tmp_dir, values, split, newline):
+    """Any quoted content, any split size: the same records as ``multiLine``."""
+    folder = os.path.join(tmp_dir, f"p{split}{len(newline)}{abs(hash(str(values))) % 10**6}")
+    os.makedirs(folder)
+    def field(v: str) -> str:
+        return '"' + v.replace('"', '""') + '"'
+    lines = ["a,b"] + [f"{field(x)},{field(y)}" for x, y in values]
+    with open(os.path.join(folder, "part-0.csv"), "w", newline="") as f:
+        f.write(newline.join(lines) + newline)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        whole = read_csv(spark, folder)
+        split_read = read_csv_records(spark, folder, whole.schema)
+        assert rows(split_read) == rows(whole)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
