@@ -19,7 +19,8 @@ import sys
 from alloy.plans import tpch
 from alloy.session import get_spark
 
-FILE_QUERIES = {"csv_multiline_roundtrip", "landing_glob_scan", "parquet_roundtrip", "stream_ingest"}
+FILE_QUERIES = {"csv_multiline_roundtrip", "csv_split_records", "landing_glob_scan",
+                "parquet_roundtrip", "stream_ingest"}
 
 
 def plan_text(df) -> str:
