@@ -276,6 +276,9 @@ UNION ALL SELECT 'region', count(*) FROM region
 """,
     "stream_ingest": """
 SELECT conv_id, turn, role, text FROM conversations
+""",
+    "stream_ingest_split": """
+SELECT conv_id, turn, role, text FROM conversations
 """,
     "parquet_roundtrip": """
 SELECT * FROM orders

@@ -24,7 +24,7 @@ from alloy.plans.lake_checks import quality_report
 from alloy.plans.medallion import Layout, run_layers
 from alloy.plans.tpch_landing import write_landing
 from alloy.session import scratch_path
-from alloy.streaming.ingest import ingest_stream
+from alloy.streaming.ingest import ingest_stream, ingest_stream_split
 from alloy.sources.csv import read_csv, write_csv
 from alloy.sources.csv_records import read_csv_records
 from alloy.sources.landing import landing_counts
@@ -399,6 +399,19 @@ def stream_ingest(spark, d):
     return cl.project(spark.read.parquet(f"{root}/bronze"), spec)
 
 
+def stream_ingest_split(spark, d):
+    """The same stream, reading the files' lines split-wise and rebuilding records."""
+    root = scratch_path(spark, "stream-split")
+    write_csv(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"),
+              f"{root}/landing/conversations.csv")
+    ingest_stream_split(spark, f"{root}/landing", f"{root}/bronze",
+                        checkpoint=f"{root}/checkpoint").awaitTermination()
+    spec = cl.TableSpec("conversations", (
+        cl.typed("conv_id", "bigint"), cl.typed("turn", "bigint"),
+        cl.keep("role"), cl.keep("text")))
+    return cl.project(spark.read.parquet(f"{root}/bronze"), spec)
+
+
 def parquet_roundtrip(spark, d):
     """Replace a table twice, then read it back."""
     root = scratch_path(spark, "parquet")
@@ -498,6 +511,7 @@ QUERIES = {
     "landing_glob_scan": landing_glob_scan,
     "parquet_roundtrip": parquet_roundtrip,
     "stream_ingest": stream_ingest,
+    "stream_ingest_split": stream_ingest_split,
     "medallion_fact": medallion_fact,
     "medallion_geo_dim": medallion_geo_dim,
     "medallion_customers": medallion_customers,

@@ -115,19 +115,27 @@ def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 ("last_odd", pa.int64()), ("value", pa.string())]))
 
 
-def _lines(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
+def raw_lines(spark: SparkSession, path: str | list[str], glob: str | None = "*.csv") -> DataFrame:
+    """Lines of the files below ``path`` with their file and split start."""
     reader = spark.read.option("lineSep", "\n")
     if glob:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-    text = reader.text(path)
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit(QUOTE), F.lit("")))
-    raw = text.select(
+    return with_split_columns(reader.text(path))
+
+
+def with_split_columns(text: DataFrame) -> DataFrame:
+    """``path``, ``block``, ``value`` from a text-source frame (batch or stream)."""
+    return text.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
-        (quotes % 2).cast("int").alias("q"),
         "value",
     )
-    return raw.mapInArrow(_number_lines, _LINE_STATE)
+
+
+def _numbered(raw: DataFrame) -> DataFrame:
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit(QUOTE), F.lit("")))
+    with_q = raw.select("path", "block", (quotes % 2).cast("int").alias("q"), "value")
+    return with_q.mapInArrow(_number_lines, _LINE_STATE)
 
 
 def _split_table(lines: DataFrame) -> DataFrame:
@@ -166,8 +174,20 @@ def read_csv_records(spark: SparkSession, path: str | list[str], schema: T.Struc
     ``header`` drops the first record of every file.  Quotes are ``"`` and
     escaped by doubling.  Empty lines outside quoted values are skipped.
     """
-    lines = _lines(spark, path, glob)
-    ensure_checkpoint_dir(spark)
+    return records_from_lines(raw_lines(spark, path, glob), schema, header=header,
+                              max_broadcast_splits=max_broadcast_splits)
+
+
+def records_from_lines(raw: DataFrame, schema: T.StructType, *, header: bool = True,
+                       max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
+    """CSV records from whole files' lines (``path``, ``block``, ``value``).
+
+    ``raw`` must hold every line of each file it touches, in the text
+    source's split order, e.g. ``raw_lines`` or one micro-batch of a text
+    file stream (``with_split_columns``).  It is evaluated three times.
+    """
+    lines = _numbered(raw)
+    ensure_checkpoint_dir(raw.sparkSession)
     splits = _split_table(lines).checkpoint(eager=True)
     joined = lines.join(bounded_broadcast(splits, max_broadcast_splits), ["path", "block"])
 

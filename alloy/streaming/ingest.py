@@ -5,6 +5,13 @@ files only ever arrive (never change), the same CSV → Parquet step can run
 as a file stream with an ``availableNow`` trigger: each run reads only files
 not seen before, and the checkpoint plus the Parquet sink's log make the
 result exactly-once even when executors or the driver die mid-run.
+
+``ingest_stream`` reads each new file in one task (``multiLine``).
+``ingest_stream_split`` streams the files' lines instead, split by the text
+source like any large file, and rebuilds the records of each micro-batch
+with ``records_from_lines``; every micro-batch replaces its own folder
+``batch=<id>`` below the target, so a replayed batch (after a failure)
+writes the same rows again instead of adding them twice.
 """
 
 from __future__ import annotations
@@ -15,6 +22,7 @@ from pyspark.sql.types import StructType
 
 from alloy.session import checkpoint_root
 from alloy.sources.csv import CSV_READ_OPTIONS, read_csv
+from alloy.sources.csv_records import records_from_lines, with_split_columns
 
 
 def header_schema(spark: SparkSession, path: str, glob: str = "*.csv") -> StructType:
@@ -43,3 +51,30 @@ def ingest_stream(spark: SparkSession, source: str, target: str, *,
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
+
+
+def ingest_stream_split(spark: SparkSession, source: str, target: str, *,
+                        schema: StructType | None = None, checkpoint: str | None = None,
+                        glob: str = "*.csv", name: str = "landing-split") -> StreamingQuery:
+    """Like ``ingest_stream``, but no file is read by a single task.
+
+    The target is a Parquet folder with one ``batch=<id>`` folder per
+    micro-batch; read it with ``spark.read.parquet(target)``.
+    """
+    schema = schema or header_schema(spark, source, glob)
+    checkpoint = checkpoint or f"{checkpoint_root(spark)}/alloy-streams/{name}"
+    text = (spark.readStream.format("text")
+            .option("lineSep", "\n")
+            .option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true")
+            .load(source))
+
+    def write_batch(lines, batch_id: int) -> None:
+        records = records_from_lines(lines, schema)
+        records.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
+
+    return (with_split_columns(text).writeStream
+            .foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start())

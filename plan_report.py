@@ -20,7 +20,7 @@ from alloy.plans import tpch
 from alloy.session import get_spark
 
 FILE_QUERIES = {"csv_multiline_roundtrip", "csv_split_records", "landing_glob_scan",
-                "parquet_roundtrip", "stream_ingest"}
+                "parquet_roundtrip", "stream_ingest", "stream_ingest_split"}
 
 
 def plan_text(df) -> str:
