@@ -11,9 +11,10 @@ It is planned as an aggregation, not a window: ``min`` over a struct whose
 fields are the ordering keys followed by the row.  Aggregations combine map
 side, so a key that holds a third of the table is reduced to one row per
 input partition before the shuffle; a ``row_number`` window would instead
-sort all of that key's rows in one task.  The window form is used only when
-a descending key has a type with no order-reversing expression (arrays,
-structs).
+sort all of that key's rows in one task.  Every orderable type has an
+order-reversing key expression for descending ``order_by`` columns, arrays
+and structs included (built from their elements' and fields' keys), so the
+window form is kept only as the reference formulation in tests.
 """
 
 from __future__ import annotations
@@ -78,9 +79,37 @@ def _descending_key(c: Column, dt: T.DataType, utc_session: bool = False) -> lis
     if isinstance(dt, (T.StringType, T.BinaryType)):
         # Spark orders strings by their UTF-8 bytes (the default collation).
         return [F.concat(F.translate(F.hex(c), _HEX, _HEX_REVERSED), F.lit(_TERMINATOR))]
+    if isinstance(dt, T.ArrayType):
+        # Elements compare in turn, a NULL element below any value and a
+        # prefix below its extensions; reversed: each element becomes
+        # (0, its key) or (1, NULL) for a NULL, and an end mark (2) follows.
+        if _descending_key(F.lit(None).cast(dt.elementType), dt.elementType, utc_session) is None:
+            return None
+        def element(e: Column) -> Column:
+            return F.struct(F.when(e.isNull(), 1).otherwise(0).alias("f"),
+                            _one(_descending_key(e, dt.elementType, utc_session)).alias("v"))
+        end = F.array(F.struct(F.lit(2).alias("f"), F.lit(None).alias("v")))
+        return [F.concat(F.transform(c, element), end)]
+    if isinstance(dt, T.StructType):
+        # Fields compare in turn, a NULL field below any value.
+        keys = []
+        for i, f in enumerate(dt.fields):
+            sub = c.getField(f.name)
+            inv = _descending_key(sub, f.dataType, utc_session)
+            if inv is None:
+                return None
+            keys.append(F.struct(sub.isNull().alias("n"), _one(inv).alias("v")).alias(f"f{i}"))
+        return [F.struct(*keys)]
     return None
 
 
+def _one(parts: list[Column]) -> Column:
+    """Several key columns as one (a struct compares field by field)."""
+    if len(parts) == 1:
+        return parts[0]
+    return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
+
+
 def _normalise_order(order_by) -> list[tuple[str, bool]]:
     out = []
     for item in order_by or ():
