@@ -152,7 +152,8 @@ def keep_one(df: DataFrame, key: Sequence[str],
             fields.extend(x.alias(f"__ord{i}_{j}") for j, x in enumerate(inv))
         fields.append(c)
     if not invertible:
-        return _keep_one_window(df, key, order, rest)
+        bad = [n for n, _ in order if not _orderable(schema[n].dataType)]
+        raise TypeError(f"order_by columns have no order: {bad}")
 
     tie = [c for c in rest if _orderable(schema[c].dataType)]
     carried = [c for c in rest if c not in tie]
