@@ -271,8 +271,8 @@ SELECT conv_id, turn, role, text FROM conversations
 SELECT conv_id, turn, role, text FROM conversations
 """,
     "landing_glob_scan": """
-SELECT 'nation' AS table_name, count(*) AS n_rows FROM nation
-UNION ALL SELECT 'region', count(*) FROM region
+SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer
+UNION ALL SELECT 'supplier', count(*) FROM supplier
 """,
     "stream_ingest": """
 SELECT conv_id, turn, role, text FROM conversations

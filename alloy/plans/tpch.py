@@ -380,9 +380,9 @@ def csv_split_records(spark, d):
 def landing_glob_scan(spark, d):
     """A landing root with two CSV tables and a text note; count each table."""
     root = scratch_path(spark, "landing")
-    write_csv(table(spark, d, "nation"), f"{root}/nation.csv")
-    write_csv(table(spark, d, "region"), f"{root}/region.csv")
-    table(spark, d, "region").select("r_name").write.mode("overwrite").text(f"{root}/note.txt")
+    write_csv(table(spark, d, "customer"), f"{root}/customer.csv")
+    write_csv(table(spark, d, "supplier"), f"{root}/supplier.csv")
+    table(spark, d, "part").select("p_name").write.mode("overwrite").text(f"{root}/note.txt")
     return landing_counts(spark, root)
 
 
