@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,17 +82,11 @@ def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         path = batch.column("path")
         block = batch.column("block").to_numpy(zero_copy_only=False)
         q = batch.column("q").to_numpy(zero_copy_only=False).astype(np.int64)
-        change = np.zeros(n, dtype=bool)
-        if n > 1:
-            same_path = pc.equal(path.slice(1), path.slice(0, n - 1))
-            change[1:] = ~same_path.to_numpy(zero_copy_only=False) | (block[1:] != block[:-1])
-        starts = np.flatnonzero(change).tolist()
-        bounds = [0, *starts, n]
         pos = np.empty(n, dtype=np.int64)
         lp = np.empty(n, dtype=np.int64)
         last_even = np.empty(n, dtype=np.int64)
         last_odd = np.empty(n, dtype=np.int64)
-        for s, e in zip(bounds[:-1], bounds[1:]):
+        for s, e in _segments(path, block):
             seg_key = (path[s].as_py(), int(block[s]))
             if seg_key != key:
                 key, pos0, par0, even0, odd0 = seg_key, 0, 0, -1, -1
@@ -115,6 +109,75 @@ def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 ("last_odd", pa.int64()), ("value", pa.string())]))
 
 
+_SPLIT_SUMMARY = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("block", T.LongType()),
+    T.StructField("parity", T.IntegerType()),
+    T.StructField("split_even", T.LongType()),
+    T.StructField("split_odd", T.LongType()),
+    T.StructField("first_crlf", T.BooleanType()),
+])
+
+
+def _segments(path: pa.Array, block: np.ndarray) -> list[tuple[int, int]]:
+    """Row ranges of one batch that belong to one split (same file and start)."""
+    n = len(block)
+    change = np.zeros(n, dtype=bool)
+    if n > 1:
+        same_path = pc.equal(path.slice(1), path.slice(0, n - 1))
+        change[1:] = ~same_path.to_numpy(zero_copy_only=False) | (block[1:] != block[:-1])
+    bounds = [0, *np.flatnonzero(change).tolist(), n]
+    return list(zip(bounds[:-1], bounds[1:]))
+
+
+def _summarise_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per split: quote parity of all its lines, the last line that
+    starts a record when the split starts outside (``split_even``) or inside
+    (``split_odd``) a quoted value, and for a file's first split whether its
+    first line ends in CR.  Only numbers reach Python, not the text.
+    """
+    rows: list[tuple] = []
+    key = None
+    n0 = par0 = 0
+    even0 = odd0 = -1
+    cr0 = None
+
+    def summary() -> tuple:
+        return (key[0], key[1], par0, even0 if even0 >= 0 else None,
+                odd0 if odd0 >= 0 else None, cr0)
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        path = batch.column("path")
+        block = batch.column("block").to_numpy(zero_copy_only=False)
+        q = batch.column("q").to_numpy(zero_copy_only=False).astype(np.int64)
+        cr = batch.column("cr")
+        for s, e in _segments(path, block):
+            seg_key = (path[s].as_py(), int(block[s]))
+            if seg_key != key:
+                if key is not None:
+                    rows.append(summary())
+                key, n0, par0, even0, odd0 = seg_key, 0, 0, -1, -1
+                cr0 = bool(cr[s].as_py()) if seg_key[1] == 0 else None
+            qs = q[s:e]
+            incl = np.cumsum(qs) + par0
+            lps = (incl - qs) % 2
+            idx = np.arange(n0, n0 + (e - s), dtype=np.int64)
+            ev, od = idx[lps == 0], idx[lps == 1]
+            even0 = int(ev[-1]) if len(ev) else even0
+            odd0 = int(od[-1]) if len(od) else odd0
+            n0, par0 = n0 + (e - s), int(incl[-1] % 2)
+    if key is not None:
+        rows.append(summary())
+    if rows:
+        yield pa.RecordBatch.from_pylist(
+            [dict(zip(_SPLIT_SUMMARY.fieldNames(), r)) for r in rows],
+            schema=pa.schema([("path", pa.string()), ("block", pa.int64()),
+                              ("parity", pa.int32()), ("split_even", pa.int64()),
+                              ("split_odd", pa.int64()), ("first_crlf", pa.bool_())]))
+
+
 def raw_lines(spark: SparkSession, path: str | list[str], glob: str | None = "*.csv") -> DataFrame:
     """Lines of the files below ``path`` with their file and split start."""
     reader = spark.read.option("lineSep", "\n")
@@ -132,21 +195,21 @@ def with_split_columns(text: DataFrame) -> DataFrame:
     )
 
 
-def _numbered(raw: DataFrame) -> DataFrame:
+def _quote_parity() -> Column:
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit(QUOTE), F.lit("")))
-    with_q = raw.select("path", "block", (quotes % 2).cast("int").alias("q"), "value")
+    return (quotes % 2).cast("int").alias("q")
+
+
+def _numbered(raw: DataFrame) -> DataFrame:
+    with_q = raw.select("path", "block", _quote_parity(), "value")
     return with_q.mapInArrow(_number_lines, _LINE_STATE)
 
 
-def _split_table(lines: DataFrame) -> DataFrame:
+def _split_table(raw: DataFrame) -> DataFrame:
     """One row per split: starting quote parity and the record running into it."""
-    first_line = (F.col("block") == 0) & (F.col("pos") == 0)
-    per_split = lines.groupBy("path", "block").agg(
-        (F.sum("q") % 2).cast("int").alias("parity"),
-        F.max("last_even").alias("split_even"),
-        F.max("last_odd").alias("split_odd"),
-        F.max(F.when(first_line, F.col("value").endswith("\r"))).alias("first_crlf"),
-    )
+    numbers = raw.select("path", "block", _quote_parity(),
+                         F.col("value").endswith("\r").alias("cr"))
+    per_split = numbers.mapInArrow(_summarise_splits, _SPLIT_SUMMARY)
     before = Window.partitionBy("path").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1)
     incoming = (F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2).cast("int")
@@ -186,9 +249,9 @@ def records_from_lines(raw: DataFrame, schema: T.StructType, *, header: bool = T
     source's split order, e.g. ``raw_lines`` or one micro-batch of a text
     file stream (``with_split_columns``).  It is evaluated three times.
     """
-    lines = _numbered(raw)
     ensure_checkpoint_dir(raw.sparkSession)
-    splits = _split_table(lines).checkpoint(eager=True)
+    splits = _split_table(raw).checkpoint(eager=True)
+    lines = _numbered(raw)
     joined = lines.join(bounded_broadcast(splits, max_broadcast_splits), ["path", "block"])
 
     inc = F.col("incoming")
@@ -233,21 +296,29 @@ def split_bytes(spark: SparkSession) -> int:
     return int(digits) * _UNITS[text[len(digits):]]
 
 
+# A file is read whole by one task until it exceeds this many scan splits.
+SPLIT_FACTOR = 8
+
+
 def read_landing_csv(spark: SparkSession, path: str | list[str], largest_file: int,
-                     glob: str | None = "*.csv", **options: str) -> DataFrame:
-    """All-string records of a landing table, read so that no task gets more
-    than one split of text.
-
-    When every file fits in one split, the ``multiLine`` reader reads each
-    file in one task anyway and is the cheaper plan; when a file is larger,
-    the records are read split-wise (``read_csv_records``).  Both give the
-    same rows.  ``largest_file`` is the size in bytes of the table's largest
-    file (from the landing listing).
+                     glob: str | None = "*.csv", split_above: int | None = None,
+                     **options: str) -> DataFrame:
+    """All-string records of a landing table; no file is a straggler task.
+
+    Up to ``split_above`` bytes (default: ``SPLIT_FACTOR`` scan splits,
+    1 GB at the default 128 MB) a file is read by one task with the
+    ``multiLine`` reader, which is the cheaper plan: it scans the text once,
+    while the split-wise reader scans it three times and runs a Python pass.
+    When the table's largest file is bigger, the records are read split-wise
+    (``read_csv_records``) so that file is spread over many tasks.  Both give
+    the same rows.  ``largest_file`` is the size in bytes of the table's
+    largest file (from the landing listing).
     """
     from alloy.sources.csv import read_csv
 
     whole_files = read_csv(spark, path, glob=glob, **options)
-    if largest_file <= split_bytes(spark):
+    limit = split_above if split_above is not None else SPLIT_FACTOR * split_bytes(spark)
+    if largest_file <= limit:
         return whole_files
     # the header of the first file names the columns; no inference pass
     return read_csv_records(spark, path, whole_files.schema, glob=glob)

@@ -74,11 +74,11 @@ def test_landing_reader_choice_follows_file_size(spark, tmp_dir, tiny_splits):
     root = os.path.join(tmp_dir, "landing")
     _awkward_files(os.path.join(root, "reviews.csv"), 2, 80, "\n", seed=7)
     (path, largest), = landing_entries(spark, root).values()
-    assert largest > split_bytes(spark) == 64
+    assert largest > 8 * split_bytes(spark) == 8 * 64
     plan = read_landing_csv(spark, path, largest)._jdf.queryExecution().toString()
     assert "MapInArrow" in plan  # read split-wise
-    small = read_landing_csv(spark, path, 10)._jdf.queryExecution().toString()
-    assert "MapInArrow" not in small
+    small = read_landing_csv(spark, path, 8 * 64)._jdf.queryExecution().toString()
+    assert "MapInArrow" not in small  # within 8 splits: one task per file
     assert rows(landing_counts(spark, root)) == [("reviews", 160)]
 
 

@@ -246,7 +246,7 @@ def test_split_wise_bronze_gives_the_same_gold(spark, tmp_dir):
     _write_landing(b.landing)
     run_layers(spark, a)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "48")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
     try:
         run_layers(spark, b)
         for name in mp.SILVER_SPECS:
