@@ -18,9 +18,15 @@ same records from line-based file splits instead:
    to the shared checkpoint folder, then joined back to the lines
    (broadcast when its row count is within a bound; a split is
    ``maxPartitionBytes`` of text, so this table has one row per 128 MB).
-3. Lines that are whole records are parsed in place with ``from_csv``; only
-   lines of records spanning several lines are shuffled, grouped by the
-   record's first line, put back in order and parsed.
+3. The lines are joined to the broadcast split table (a broadcast hash join
+   streams them through in scan order) and two more ``mapInArrow`` passes
+   read them in file order: one puts together every record that starts
+   and ends inside its split and emits it whole, the other emits only the
+   head and tail pieces of records crossing a split boundary; only those
+   pieces are shuffled, grouped by the record's first line and joined.
+   All records are then parsed with ``from_csv``.  When the split table is
+   beyond the broadcast bound, the lines are numbered, joined to it by a
+   shuffle, and the lines of multi-line records are grouped by record.
 
 Quotes escaped by doubling (``""``) keep the parity, so the escape of the
 landing files is handled; a backslash escape is not (``multiLine`` is then
@@ -41,7 +47,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alloy.operators.star import bounded_broadcast
 from alloy.session import ensure_checkpoint_dir
 
 # Python workers get this module's code with the task, so they need no
@@ -178,6 +183,136 @@ def _summarise_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                               ("split_odd", pa.int64()), ("first_crlf", pa.bool_())]))
 
 
+_RECORDS = T.StructType([
+    T.StructField("rid_block", T.LongType()),
+    T.StructField("rid_pos", T.LongType()),
+    T.StructField("record", T.StringType()),
+])
+_FRAGMENTS = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("rid_block", T.LongType()),
+    T.StructField("rid_pos", T.LongType()),
+    T.StructField("ord_block", T.LongType()),
+    T.StructField("ord_pos", T.LongType()),
+    T.StructField("text", T.StringType()),
+])
+
+
+def _join_lines(parts: list[pa.Array]) -> str:
+    return "\n".join(pa.concat_arrays(parts).to_pylist())
+
+
+def _assemble(batches: Iterator[pa.RecordBatch], fragments: bool) -> Iterator[pa.RecordBatch]:
+    """Records of each split, given the quote state the split starts in.
+
+    Lines arrive in file order with their split's ``incoming`` parity and
+    ``carry`` (the record running into the split).  With ``fragments`` off,
+    every record that starts and ends inside the split is emitted whole;
+    with it on, only the pieces of records that cross a split boundary are:
+    the lines before the split's first record start (head, belonging to the
+    carried record) and the open record at its end (tail).
+    """
+    schema = _arrow_schema(fragments)
+    out: dict[str, list[pa.Array]] = {f.name: [] for f in schema}
+    n_out = 0
+    st: dict = {"key": None}
+
+    def put(**cols) -> None:
+        nonlocal n_out
+        for f in schema:
+            v = cols[f.name]
+            out[f.name].append(v if isinstance(v, pa.Array) else pa.array([v], f.type))
+        n_out += len(out[schema[0].name][-1])
+
+    def flush() -> pa.RecordBatch:
+        nonlocal out, n_out
+        arrays = [pa.concat_arrays(out[f.name]).cast(f.type) for f in schema]
+        out, n_out = {f.name: [] for f in schema}, 0
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    def finish() -> None:
+        if st["key"] is None or not st["pending"]:
+            return
+        path, block = st["key"]
+        inside = (st["p"] + st["par"]) % 2 == 1
+        if inside and fragments:      # tail: the open record goes on in the next split
+            put(path=path, rid_block=block, rid_pos=st["pstart"], ord_block=block,
+                ord_pos=st["pstart"], text=_join_lines(st["pending"]))
+        elif not inside and not fragments:
+            put(rid_block=block, rid_pos=st["pstart"], record=_join_lines(st["pending"]))
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        path = batch.column("path")
+        block = batch.column("block").to_numpy(zero_copy_only=False)
+        q = batch.column("q").to_numpy(zero_copy_only=False).astype(np.int64)
+        incoming = batch.column("incoming")
+        carry_b, carry_p = batch.column("carry_b"), batch.column("carry_p")
+        value = batch.column("value")
+        if value.offset:                 # list offsets below index the buffer from 0
+            value = pa.concat_arrays([value])
+        for s, e in _segments(path, block):
+            key = (path[s].as_py(), int(block[s]))
+            if key != st["key"]:
+                finish()
+                st.update(key=key, pos0=0, par=0, p=int(incoming[s].as_py()), seen=False,
+                          pending=[], pstart=None,
+                          carry=(carry_b[s].as_py(), carry_p[s].as_py()))
+            m = e - s
+            vals = value.slice(s, m)
+            qs = q[s:e]
+            incl = np.cumsum(qs) + st["par"]
+            lps = (incl - qs) % 2
+            starts = np.flatnonzero((lps + st["p"]) % 2 == 0)
+            pos0 = st["pos0"]
+            if not st["seen"]:
+                head = int(starts[0]) if len(starts) else m
+                if head and fragments:
+                    put(path=key[0], rid_block=st["carry"][0], rid_pos=st["carry"][1],
+                        ord_block=key[1], ord_pos=pos0, text=_join_lines([vals.slice(0, head)]))
+            elif len(starts):         # the record open since an earlier batch ends here
+                if not fragments:
+                    put(rid_block=key[1], rid_pos=st["pstart"],
+                        record=_join_lines(st["pending"] + [vals.slice(0, int(starts[0]))]))
+            else:
+                st["pending"].append(vals)
+            if len(starts):
+                st["seen"] = True
+                if len(starts) > 1 and not fragments:
+                    # records between consecutive starts, joined in Arrow
+                    lists = pa.ListArray.from_arrays(pa.array(starts + s, pa.int32()), value)
+                    k = len(starts) - 1
+                    put(rid_block=pa.array(np.full(k, key[1], dtype=np.int64)),
+                        rid_pos=pa.array(pos0 + starts[:-1].astype(np.int64)),
+                        record=pc.binary_join(lists, "\n"))
+                last = int(starts[-1])
+                st["pending"], st["pstart"] = [vals.slice(last)], pos0 + last
+            st["pos0"], st["par"] = pos0 + m, int(incl[-1] % 2)
+        if n_out >= 4096:
+            yield flush()
+    finish()
+    if n_out:
+        yield flush()
+
+
+def _arrow_schema(fragments: bool) -> pa.Schema:
+    if fragments:
+        return pa.schema([("path", pa.string()), ("rid_block", pa.int64()),
+                          ("rid_pos", pa.int64()), ("ord_block", pa.int64()),
+                          ("ord_pos", pa.int64()), ("text", pa.string())])
+    return pa.schema([("rid_block", pa.int64()), ("rid_pos", pa.int64()),
+                      ("record", pa.string())])
+
+
+def _whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _assemble(batches, fragments=False)
+
+
+def _boundary_fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _assemble(batches, fragments=True)
+
+
 def raw_lines(spark: SparkSession, path: str | list[str], glob: str | None = "*.csv") -> DataFrame:
     """Lines of the files below ``path`` with their file and split start."""
     reader = spark.read.option("lineSep", "\n")
@@ -251,38 +386,73 @@ def records_from_lines(raw: DataFrame, schema: T.StructType, *, header: bool = T
     """
     ensure_checkpoint_dir(raw.sparkSession)
     splits = _split_table(raw).checkpoint(eager=True)
-    lines = _numbered(raw)
-    joined = lines.join(bounded_broadcast(splits, max_broadcast_splits), ["path", "block"])
+    if splits.limit(max_broadcast_splits + 1).count() <= max_broadcast_splits:
+        records = _records_in_order(raw, splits)
+    else:
+        records = _records_by_shuffle(raw, splits)
+    if header:  # the first record of every file
+        records = records.filter(~((F.col("rid_block") == 0) & (F.col("rid_pos") == 0)))
+    records = records.filter(F.col("record") != "")  # an empty line outside quotes
+    options = {"quote": QUOTE, "escape": QUOTE, "mode": "PERMISSIVE"}
+    parsed = records.select(F.from_csv("record", _ddl(schema), options).alias("r"))
+    return parsed.select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
+
 
+def _clean_value() -> Column:
+    """CRLF files: the CR of every line end goes, so line breaks in values become LF."""
+    return F.when(F.col("crlf") & F.col("value").endswith("\r"),
+                  F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value"))
+
+
+def _records_in_order(raw: DataFrame, splits: DataFrame) -> DataFrame:
+    """Records put together inside each split's task; only boundary pieces shuffle.
+
+    The split table is broadcast and joined to the lines before the Python
+    passes: a broadcast hash join streams the lines through in scan order,
+    so each pass sees every split's lines in file order, with the split's
+    starting quote state.  One pass emits the records that lie inside a
+    split, the other only the head and tail pieces of records that cross a
+    split boundary (at most one record per boundary), which are grouped by
+    the record's first line and joined.
+    """
+    prepared = raw.join(F.broadcast(splits), ["path", "block"]).select(
+        "path", "block", _quote_parity(), _clean_value().alias("value"), "incoming",
+        F.col("carry.b").alias("carry_b"), F.col("carry.p").alias("carry_p"))
+    inside = prepared.mapInArrow(_whole_records, _RECORDS)
+    pieces = prepared.mapInArrow(_boundary_fragments, _FRAGMENTS)
+    crossing = (pieces.groupBy("path", "rid_block", "rid_pos")
+                      .agg(F.array_sort(F.collect_list(F.struct("ord_block", "ord_pos", "text")))
+                            .alias("parts"))
+                      .select("rid_block", "rid_pos",
+                              F.array_join(F.transform("parts", lambda x: x["text"]), "\n")
+                               .alias("record")))
+    return inside.unionByName(crossing)
+
+
+def _records_by_shuffle(raw: DataFrame, splits: DataFrame) -> DataFrame:
+    """Fallback when the split table is too large to broadcast: lines are
+    numbered, joined to their split by a shuffle, whole-line records kept in
+    place and the lines of multi-line records grouped by record."""
+    lines = _numbered(raw)
+    joined = lines.join(splits, ["path", "block"])
     inc = F.col("incoming")
     starts_inside = ((inc + F.col("lp")) % 2) == 1
     ends_inside = ((inc + F.col("lp") + F.col("q")) % 2) == 1
     local = F.when(inc == 0, F.col("last_even")).otherwise(F.col("last_odd"))
-    rid_block = F.when(local.isNotNull(), F.col("block")).otherwise(F.col("carry.b"))
-    rid_pos = F.coalesce(local, F.col("carry.p"))
-    # CRLF files: the CR of every line end goes; line breaks in values become LF
-    value = F.when(F.col("crlf") & F.col("value").endswith("\r"),
-                   F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value"))
     tagged = joined.select(
-        "path", "block", "pos", value.alias("value"),
+        "path", "block", "pos", _clean_value().alias("value"),
         (~starts_inside & ~ends_inside).alias("whole"),
-        rid_block.alias("rid_block"), rid_pos.alias("rid_pos"))
-    if header:
-        tagged = tagged.filter(~((F.col("rid_block") == 0) & (F.col("rid_pos") == 0)))
-
-    options = {"quote": QUOTE, "escape": QUOTE, "mode": "PERMISSIVE"}
-    ddl = _ddl(schema)
-    single = (tagged.filter(F.col("whole") & (F.col("value") != ""))
-                    .select(F.col("value").alias("record")))
+        F.when(local.isNotNull(), F.col("block")).otherwise(F.col("carry.b")).alias("rid_block"),
+        F.coalesce(local, F.col("carry.p")).alias("rid_pos"))
+    single = (tagged.filter(F.col("whole"))
+                    .select("rid_block", "rid_pos", F.col("value").alias("record")))
     parts = (tagged.filter(~F.col("whole"))
                    .groupBy("path", "rid_block", "rid_pos")
                    .agg(F.array_sort(F.collect_list(F.struct("block", "pos", "value")))
                          .alias("lines")))
-    multi = parts.select(
-        F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("record"))
-    records = single.unionByName(multi)
-    parsed = records.select(F.from_csv("record", ddl, options).alias("r"))
-    return parsed.select(*[F.col("r").getField(f.name).alias(f.name) for f in schema.fields])
+    multi = parts.select("rid_block", "rid_pos", F.array_join(
+        F.transform("lines", lambda x: x["value"]), "\n").alias("record"))
+    return single.unionByName(multi)
 
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,

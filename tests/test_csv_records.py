@@ -49,12 +49,14 @@ def _awkward_files(folder: str, n_files: int, n_rows: int, newline: str, seed: i
 
 
 @pytest.mark.parametrize("newline", ["\n", "\r\n"])
-def test_split_records_equal_multiline_reader(spark, tmp_dir, tiny_splits, newline):
+@pytest.mark.parametrize("bound", [None, 0])  # split table broadcast / joined by a shuffle
+def test_split_records_equal_multiline_reader(spark, tmp_dir, tiny_splits, newline, bound):
     folder = os.path.join(tmp_dir, "t.csv")
     _awkward_files(folder, 3, 150, newline, seed=len(newline))
     assert spark.read.text(folder).rdd.getNumPartitions() > 20
     whole = read_csv(spark, folder)
-    split = read_csv_records(spark, folder, whole.schema)
+    kw = {} if bound is None else {"max_broadcast_splits": bound}
+    split = read_csv_records(spark, folder, whole.schema, **kw)
     assert split.columns == whole.columns
     assert rows(split) == rows(whole)
     assert split.count() == 450
