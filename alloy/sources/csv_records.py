@@ -46,6 +46,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from alloy.session import ensure_checkpoint_dir
 
@@ -108,10 +109,7 @@ def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
              pa.array(lp.astype(np.int32)),
              pa.array(last_even, mask=last_even < 0), pa.array(last_odd, mask=last_odd < 0),
              batch.column("value")],
-            schema=pa.schema([
-                ("path", pa.string()), ("block", pa.int64()), ("pos", pa.int64()),
-                ("q", pa.int32()), ("lp", pa.int32()), ("last_even", pa.int64()),
-                ("last_odd", pa.int64()), ("value", pa.string())]))
+            schema=to_arrow_schema(_LINE_STATE))
 
 
 _SPLIT_SUMMARY = T.StructType([
@@ -178,9 +176,7 @@ def _summarise_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     if rows:
         yield pa.RecordBatch.from_pylist(
             [dict(zip(_SPLIT_SUMMARY.fieldNames(), r)) for r in rows],
-            schema=pa.schema([("path", pa.string()), ("block", pa.int64()),
-                              ("parity", pa.int32()), ("split_even", pa.int64()),
-                              ("split_odd", pa.int64()), ("first_crlf", pa.bool_())]))
+            schema=to_arrow_schema(_SPLIT_SUMMARY))
 
 
 _RECORDS = T.StructType([
@@ -212,7 +208,7 @@ def _assemble(batches: Iterator[pa.RecordBatch], fragments: bool) -> Iterator[pa
     the lines before the split's first record start (head, belonging to the
     carried record) and the open record at its end (tail).
     """
-    schema = _arrow_schema(fragments)
+    schema = to_arrow_schema(_FRAGMENTS if fragments else _RECORDS)
     out: dict[str, list[pa.Array]] = {f.name: [] for f in schema}
     n_out = 0
     st: dict = {"key": None}
@@ -296,15 +292,6 @@ def _assemble(batches: Iterator[pa.RecordBatch], fragments: bool) -> Iterator[pa
         yield flush()
 
 
-def _arrow_schema(fragments: bool) -> pa.Schema:
-    if fragments:
-        return pa.schema([("path", pa.string()), ("rid_block", pa.int64()),
-                          ("rid_pos", pa.int64()), ("ord_block", pa.int64()),
-                          ("ord_pos", pa.int64()), ("text", pa.string())])
-    return pa.schema([("rid_block", pa.int64()), ("rid_pos", pa.int64()),
-                      ("record", pa.string())])
-
-
 def _whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _assemble(batches, fragments=False)
 
