@@ -6,18 +6,20 @@ rows is a third of the table in one task.  ``read_csv_records`` reads the
 same records from line-based file splits instead:
 
 1. The text source splits every file (``spark.sql.files.maxPartitionBytes``)
-   and gives each line its file and split start (``_metadata``).  Inside one
-   task the lines of a split arrive in file order, so a ``mapInArrow`` pass
-   numbers them and keeps running counts of quote characters: the parity of
-   the quotes before a line tells whether it starts inside a quoted value,
-   given the parity the split starts with.  No shuffle.
-2. A summary with one row per split (quote parity, the last line that would
-   start a record for either starting parity) is aggregated, then a window
-   per file over these small rows gives every split its starting parity and
-   the record that runs into it from an earlier split.  It is checkpointed
-   to the shared checkpoint folder, then joined back to the lines
-   (broadcast when its row count is within a bound; a split is
-   ``maxPartitionBytes`` of text, so this table has one row per 128 MB).
+   and gives each line its file and split start (``_metadata``).  Two
+   regular expressions (JVM side) give each line's effect on the quote
+   state, following the reader's rules: a quote opens a quoted value only
+   as the first character of a field, ``""`` inside it is a quote, and a
+   quote followed by anything else closes it (the value then runs to the
+   next delimiter or line end).  ``a`` is the state after the line if it
+   starts outside a quoted value, ``b`` if it starts inside one.
+2. Inside one task the lines of a split arrive in file order, so a
+   ``mapInArrow`` pass (numbers only, no text) folds these transitions and
+   gives one row per split: its end state and last record start for either
+   starting state.  A per-file fold over those small rows
+   (``applyInPandas``) gives every split its starting state and the record
+   running into it.  The table is checkpointed to the shared checkpoint
+   folder; it has one row per split (128 MB by default).
 3. The lines are joined to the broadcast split table (a broadcast hash join
    streams them through in scan order) and two more ``mapInArrow`` passes
    read them in file order: one puts together every record that starts
@@ -28,10 +30,9 @@ same records from line-based file splits instead:
    beyond the broadcast bound, the lines are numbered, joined to it by a
    shuffle, and the lines of multi-line records are grouped by record.
 
-Quotes escaped by doubling (``""``) keep the parity, so the escape of the
-landing files is handled; a backslash escape is not (``multiLine`` is then
-the only exact reader).  Records, values and line breaks inside values are
-the same as the ``multiLine`` reader gives (``\\r\\n`` and ``\\n`` files).
+The quote is ``"``, escaped by doubling, the delimiter ``,`` (the landing
+files' format).  Records, values and line breaks inside values are the same
+as the ``multiLine`` reader gives (``\\r\\n`` and ``\\n`` files).
 """
 
 from __future__ import annotations
@@ -40,10 +41,11 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -59,67 +61,35 @@ QUOTE = '"'
 # text; beyond it the split table is joined by a shuffle instead.
 MAX_BROADCAST_SPLITS = 2_000_000
 
-_LINE_STATE = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("block", T.LongType()),
-    T.StructField("pos", T.LongType()),
-    T.StructField("q", T.IntegerType()),
-    T.StructField("lp", T.IntegerType()),
-    T.StructField("last_even", T.LongType()),
-    T.StructField("last_odd", T.LongType()),
-    T.StructField("value", T.StringType()),
-])
+# Line shapes (Java regular expressions, possessive so they run in linear
+# time): a complete field, a quoted field left open at the line end.
+_FIELD = r'(?:"(?:[^"]++|"")*+"[^,]*+|[^,"][^,]*+|)'
+_OPEN = r'"(?:[^"]++|"")*+'
+_OUT_TO_IN = rf'^(?:{_FIELD},)*+{_OPEN}\z'
+_IN_TO_IN = rf'^(?:(?:[^"]++|"")*+\z|(?:[^"]++|"")*+"[^,]*+,(?:{_FIELD},)*+{_OPEN}\z)'
 
 
-def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per split, in file order: line number, quote parity before the line,
-    and the last line so far that starts a record when the split starts
-    outside (``last_even``) or inside (``last_odd``) a quoted value.
+def _transitions() -> list[Column]:
+    """``a``/``b``: 1 when the line ends inside a quoted value, having
+    started outside (``a``) or inside (``b``) one."""
+    return [F.col("value").rlike(_OUT_TO_IN).cast("int").alias("a"),
+            F.col("value").rlike(_IN_TO_IN).cast("int").alias("b")]
 
-    State is carried across batches; a split's lines are contiguous.
-    """
-    key = None          # (path, block) of the split in progress
-    pos0 = par0 = 0     # lines seen, quote parity so far
-    even0 = odd0 = -1   # last record-start line numbers so far
-    for batch in batches:
-        n = batch.num_rows
-        if n == 0:
-            continue
-        path = batch.column("path")
-        block = batch.column("block").to_numpy(zero_copy_only=False)
-        q = batch.column("q").to_numpy(zero_copy_only=False).astype(np.int64)
-        pos = np.empty(n, dtype=np.int64)
-        lp = np.empty(n, dtype=np.int64)
-        last_even = np.empty(n, dtype=np.int64)
-        last_odd = np.empty(n, dtype=np.int64)
-        for s, e in _segments(path, block):
-            seg_key = (path[s].as_py(), int(block[s]))
-            if seg_key != key:
-                key, pos0, par0, even0, odd0 = seg_key, 0, 0, -1, -1
-            qs = q[s:e]
-            incl = np.cumsum(qs) + par0
-            lps = (incl - qs) % 2
-            ps = np.arange(pos0, pos0 + (e - s), dtype=np.int64)
-            ev = np.maximum(np.maximum.accumulate(np.where(lps == 0, ps, -1)), even0)
-            od = np.maximum(np.maximum.accumulate(np.where(lps == 1, ps, -1)), odd0)
-            pos[s:e], lp[s:e], last_even[s:e], last_odd[s:e] = ps, lps, ev, od
-            pos0, par0, even0, odd0 = pos0 + (e - s), int(incl[-1] % 2), int(ev[-1]), int(od[-1])
-        yield pa.RecordBatch.from_arrays(
-            [path, batch.column("block"), pa.array(pos), batch.column("q"),
-             pa.array(lp.astype(np.int32)),
-             pa.array(last_even, mask=last_even < 0), pa.array(last_odd, mask=last_odd < 0),
-             batch.column("value")],
-            schema=to_arrow_schema(_LINE_STATE))
 
+def _states(a: np.ndarray, b: np.ndarray, start: int) -> tuple[np.ndarray, int]:
+    """Quote state before each line, and after the last, from ``start``.
 
-_SPLIT_SUMMARY = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("block", T.LongType()),
-    T.StructField("parity", T.IntegerType()),
-    T.StructField("split_even", T.LongType()),
-    T.StructField("split_odd", T.LongType()),
-    T.StructField("first_crlf", T.BooleanType()),
-])
+    Most lines leave the state as it is (``a == 0``, ``b == 1``); only the
+    others are stepped through one by one.
+    """
+    before = np.empty(len(a), dtype=np.int8)
+    state, prev = start, 0
+    for i in np.flatnonzero((a != 0) | (b != 1)).tolist():
+        before[prev:i + 1] = state
+        state = int(a[i]) if state == 0 else int(b[i])
+        prev = i + 1
+    before[prev:] = state
+    return before, state
 
 
 def _segments(path: pa.Array, block: np.ndarray) -> list[tuple[int, int]]:
@@ -133,50 +103,118 @@ def _segments(path: pa.Array, block: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(bounds[:-1], bounds[1:]))
 
 
+def _columns(batch: pa.RecordBatch) -> tuple:
+    return (batch.column("path"), batch.column("block").to_numpy(zero_copy_only=False),
+            batch.column("a").to_numpy(zero_copy_only=False),
+            batch.column("b").to_numpy(zero_copy_only=False))
+
+
+_SPLIT_SUMMARY = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("block", T.LongType()),
+    T.StructField("end0", T.IntegerType()),
+    T.StructField("end1", T.IntegerType()),
+    T.StructField("last0", T.LongType()),
+    T.StructField("last1", T.LongType()),
+    T.StructField("first_crlf", T.BooleanType()),
+    T.StructField("nbytes", T.LongType()),
+    T.StructField("size", T.LongType()),
+])
+
+
 def _summarise_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per split: quote parity of all its lines, the last line that
-    starts a record when the split starts outside (``split_even``) or inside
-    (``split_odd``) a quoted value, and for a file's first split whether its
-    first line ends in CR.  Only numbers reach Python, not the text.
-    """
-    rows: list[tuple] = []
-    key = None
-    n0 = par0 = 0
-    even0 = odd0 = -1
-    cr0 = None
+    """One row per split, for either starting state h (0 outside, 1 inside a
+    quoted value): the state after its last line (``end<h>``) and its last
+    line that starts a record (``last<h>``); for a file's first split,
+    whether its first line ends in CR; the bytes its lines take in the file
+    (with their line ends) and the file size.  Only numbers reach Python."""
+    rows: list[dict] = []
+    st: dict = {"key": None}
 
-    def summary() -> tuple:
-        return (key[0], key[1], par0, even0 if even0 >= 0 else None,
-                odd0 if odd0 >= 0 else None, cr0)
+    def close() -> None:
+        if st["key"] is not None:
+            rows.append({"path": st["key"][0], "block": st["key"][1],
+                         "end0": st["state"][0], "end1": st["state"][1],
+                         "last0": st["last"][0], "last1": st["last"][1], "first_crlf": st["cr"],
+                         "nbytes": st["nbytes"], "size": st["size"]})
 
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        path = batch.column("path")
-        block = batch.column("block").to_numpy(zero_copy_only=False)
-        q = batch.column("q").to_numpy(zero_copy_only=False).astype(np.int64)
+        path, block, a, b = _columns(batch)
         cr = batch.column("cr")
+        nb = batch.column("nb").to_numpy(zero_copy_only=False)
+        size = batch.column("size")
         for s, e in _segments(path, block):
-            seg_key = (path[s].as_py(), int(block[s]))
-            if seg_key != key:
-                if key is not None:
-                    rows.append(summary())
-                key, n0, par0, even0, odd0 = seg_key, 0, 0, -1, -1
-                cr0 = bool(cr[s].as_py()) if seg_key[1] == 0 else None
-            qs = q[s:e]
-            incl = np.cumsum(qs) + par0
-            lps = (incl - qs) % 2
-            idx = np.arange(n0, n0 + (e - s), dtype=np.int64)
-            ev, od = idx[lps == 0], idx[lps == 1]
-            even0 = int(ev[-1]) if len(ev) else even0
-            odd0 = int(od[-1]) if len(od) else odd0
-            n0, par0 = n0 + (e - s), int(incl[-1] % 2)
-    if key is not None:
-        rows.append(summary())
+            key = (path[s].as_py(), int(block[s]))
+            if key != st["key"]:
+                close()
+                st.update(key=key, n=0, state=[0, 1], last=[None, None], nbytes=0,
+                          size=size[s].as_py(), cr=bool(cr[s].as_py()) if key[1] == 0 else None)
+            st["nbytes"] += int(nb[s:e].sum())
+            for h in (0, 1):
+                before, st["state"][h] = _states(a[s:e], b[s:e], st["state"][h])
+                starts = np.flatnonzero(before == 0)
+                if len(starts):
+                    st["last"][h] = st["n"] + int(starts[-1])
+            st["n"] += e - s
+    close()
     if rows:
-        yield pa.RecordBatch.from_pylist(
-            [dict(zip(_SPLIT_SUMMARY.fieldNames(), r)) for r in rows],
-            schema=to_arrow_schema(_SPLIT_SUMMARY))
+        yield pa.RecordBatch.from_pylist(rows, schema=to_arrow_schema(_SPLIT_SUMMARY))
+
+
+_SPLIT_STATE = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("block", T.LongType()),
+    T.StructField("incoming", T.IntegerType()),
+    T.StructField("crlf", T.BooleanType()),
+    T.StructField("carry_b", T.LongType()),
+    T.StructField("carry_p", T.LongType()),
+    T.StructField("eof_b", T.LongType()),
+    T.StructField("eof_p", T.LongType()),
+])
+
+
+def _fold_file(splits: pd.DataFrame) -> pd.DataFrame:
+    """One file's splits in order: the quote state each starts in, and the
+    record (first split, line) that runs into it from an earlier split.
+    Like the ``multiLine`` reader, the first line's ending is the file's
+    line separator (``crlf``), and a quoted value still open at the end of
+    a file keeps the file's last line break: ``eof_b``/``eof_p`` name that
+    record when the file ends in a line break."""
+    splits = splits.sort_values("block")
+    first = splits["first_crlf"].dropna()
+    crlf = bool(first.iloc[0]) if len(first) else False
+    state, carry = 0, (None, None)
+    incoming, carry_b, carry_p = [], [], []
+    for block, end0, end1, last0, last1 in zip(splits["block"], splits["end0"], splits["end1"],
+                                               splits["last0"], splits["last1"]):
+        incoming.append(state)
+        carry_b.append(carry[0])
+        carry_p.append(carry[1])
+        last = last0 if state == 0 else last1
+        if not pd.isna(last):
+            carry = (int(block), int(last))
+        state = int(end0) if state == 0 else int(end1)
+    # every line was counted with its "\n": equal to the size when the last one has it too
+    ends_in_newline = int(splits["nbytes"].sum()) == int(splits["size"].iloc[0])
+    eof = carry if state == 1 and ends_in_newline else (None, None)
+    n = len(splits)
+    return pd.DataFrame({"path": splits["path"].to_numpy(), "block": splits["block"].to_numpy(),
+                         "incoming": incoming, "crlf": crlf,
+                         "carry_b": pd.array(carry_b, dtype="Int64"),
+                         "carry_p": pd.array(carry_p, dtype="Int64"),
+                         "eof_b": pd.array([eof[0]] * n, dtype="Int64"),
+                         "eof_p": pd.array([eof[1]] * n, dtype="Int64")})
+
+
+def _split_table(raw: DataFrame) -> DataFrame:
+    """One row per split: starting quote state, CRLF flag, record running in."""
+    numbers = raw.select("path", "block", *_transitions(),
+                         F.col("value").endswith("\r").alias("cr"),
+                         (F.octet_length("value") + 1).cast("long").alias("nb"), "size")
+    per_split = numbers.mapInArrow(_summarise_splits, _SPLIT_SUMMARY)
+    return per_split.groupBy("path").applyInPandas(_fold_file, _SPLIT_STATE)
 
 
 _RECORDS = T.StructType([
@@ -191,6 +229,7 @@ _FRAGMENTS = T.StructType([
     T.StructField("ord_block", T.LongType()),
     T.StructField("ord_pos", T.LongType()),
     T.StructField("text", T.StringType()),
+    T.StructField("eof", T.BooleanType()),
 ])
 
 
@@ -201,7 +240,7 @@ def _join_lines(parts: list[pa.Array]) -> str:
 def _assemble(batches: Iterator[pa.RecordBatch], fragments: bool) -> Iterator[pa.RecordBatch]:
     """Records of each split, given the quote state the split starts in.
 
-    Lines arrive in file order with their split's ``incoming`` parity and
+    Lines arrive in file order with their split's ``incoming`` state and
     ``carry`` (the record running into the split).  With ``fragments`` off,
     every record that starts and ends inside the split is emitted whole;
     with it on, only the pieces of records that cross a split boundary are:
@@ -230,21 +269,20 @@ def _assemble(batches: Iterator[pa.RecordBatch], fragments: bool) -> Iterator[pa
         if st["key"] is None or not st["pending"]:
             return
         path, block = st["key"]
-        inside = (st["p"] + st["par"]) % 2 == 1
-        if inside and fragments:      # tail: the open record goes on in the next split
+        if st["state"] == 1 and fragments:    # tail: the open record goes on
             put(path=path, rid_block=block, rid_pos=st["pstart"], ord_block=block,
-                ord_pos=st["pstart"], text=_join_lines(st["pending"]))
-        elif not inside and not fragments:
+                ord_pos=st["pstart"], text=_join_lines(st["pending"]),
+                eof=(block, st["pstart"]) == st["eof"])
+        elif st["state"] == 0 and not fragments:
             put(rid_block=block, rid_pos=st["pstart"], record=_join_lines(st["pending"]))
 
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        path = batch.column("path")
-        block = batch.column("block").to_numpy(zero_copy_only=False)
-        q = batch.column("q").to_numpy(zero_copy_only=False).astype(np.int64)
+        path, block, a, b = _columns(batch)
         incoming = batch.column("incoming")
         carry_b, carry_p = batch.column("carry_b"), batch.column("carry_p")
+        eof_b, eof_p = batch.column("eof_b"), batch.column("eof_p")
         value = batch.column("value")
         if value.offset:                 # list offsets below index the buffer from 0
             value = pa.concat_arrays([value])
@@ -252,21 +290,21 @@ def _assemble(batches: Iterator[pa.RecordBatch], fragments: bool) -> Iterator[pa
             key = (path[s].as_py(), int(block[s]))
             if key != st["key"]:
                 finish()
-                st.update(key=key, pos0=0, par=0, p=int(incoming[s].as_py()), seen=False,
+                st.update(key=key, pos0=0, state=int(incoming[s].as_py()), seen=False,
                           pending=[], pstart=None,
-                          carry=(carry_b[s].as_py(), carry_p[s].as_py()))
+                          carry=(carry_b[s].as_py(), carry_p[s].as_py()),
+                          eof=(eof_b[s].as_py(), eof_p[s].as_py()))
             m = e - s
             vals = value.slice(s, m)
-            qs = q[s:e]
-            incl = np.cumsum(qs) + st["par"]
-            lps = (incl - qs) % 2
-            starts = np.flatnonzero((lps + st["p"]) % 2 == 0)
+            before, st["state"] = _states(a[s:e], b[s:e], st["state"])
+            starts = np.flatnonzero(before == 0)
             pos0 = st["pos0"]
             if not st["seen"]:
                 head = int(starts[0]) if len(starts) else m
                 if head and fragments:
                     put(path=key[0], rid_block=st["carry"][0], rid_pos=st["carry"][1],
-                        ord_block=key[1], ord_pos=pos0, text=_join_lines([vals.slice(0, head)]))
+                        ord_block=key[1], ord_pos=pos0, text=_join_lines([vals.slice(0, head)]),
+                        eof=st["eof"][0] is not None and st["carry"] == st["eof"])
             elif len(starts):         # the record open since an earlier batch ends here
                 if not fragments:
                     put(rid_block=key[1], rid_pos=st["pstart"],
@@ -284,7 +322,7 @@ def _assemble(batches: Iterator[pa.RecordBatch], fragments: bool) -> Iterator[pa
                         record=pc.binary_join(lists, "\n"))
                 last = int(starts[-1])
                 st["pending"], st["pstart"] = [vals.slice(last)], pos0 + last
-            st["pos0"], st["par"] = pos0 + m, int(incl[-1] % 2)
+            st["pos0"] = pos0 + m
         if n_out >= 4096:
             yield flush()
     finish()
@@ -300,6 +338,54 @@ def _boundary_fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     return _assemble(batches, fragments=True)
 
 
+_LINE_STATE = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("block", T.LongType()),
+    T.StructField("pos", T.LongType()),
+    T.StructField("a", T.IntegerType()),
+    T.StructField("b", T.IntegerType()),
+    T.StructField("s0", T.IntegerType()),
+    T.StructField("s1", T.IntegerType()),
+    T.StructField("last0", T.LongType()),
+    T.StructField("last1", T.LongType()),
+    T.StructField("value", T.StringType()),
+])
+
+
+def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per split, in file order: line number, and for either starting state
+    h the state before the line (``s<h>``) and the last record start so far
+    (``last<h>``).  Used when the split table is too large to broadcast."""
+    st: dict = {"key": None}
+    for batch in batches:
+        n = batch.num_rows
+        if n == 0:
+            continue
+        path, block, a, b = _columns(batch)
+        pos = np.empty(n, dtype=np.int64)
+        before = [np.empty(n, dtype=np.int32), np.empty(n, dtype=np.int32)]
+        last = [np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)]
+        for s, e in _segments(path, block):
+            key = (path[s].as_py(), int(block[s]))
+            if key != st["key"]:
+                st.update(key=key, n=0, state=[0, 1], last=[-1, -1])
+            ps = np.arange(st["n"], st["n"] + (e - s), dtype=np.int64)
+            pos[s:e] = ps
+            for h in (0, 1):
+                bh, st["state"][h] = _states(a[s:e], b[s:e], st["state"][h])
+                before[h][s:e] = bh
+                lh = np.maximum(np.maximum.accumulate(np.where(bh == 0, ps, -1)), st["last"][h])
+                last[h][s:e] = lh
+                st["last"][h] = int(lh[-1])
+            st["n"] += e - s
+        yield pa.RecordBatch.from_arrays(
+            [path, batch.column("block"), pa.array(pos), batch.column("a"), batch.column("b"),
+             pa.array(before[0]), pa.array(before[1]),
+             pa.array(last[0], mask=last[0] < 0), pa.array(last[1], mask=last[1] < 0),
+             batch.column("value")],
+            schema=to_arrow_schema(_LINE_STATE))
+
+
 def raw_lines(spark: SparkSession, path: str | list[str], glob: str | None = "*.csv") -> DataFrame:
     """Lines of the files below ``path`` with their file and split start."""
     reader = spark.read.option("lineSep", "\n")
@@ -309,42 +395,15 @@ def raw_lines(spark: SparkSession, path: str | list[str], glob: str | None = "*.
 
 
 def with_split_columns(text: DataFrame) -> DataFrame:
-    """``path``, ``block``, ``value`` from a text-source frame (batch or stream)."""
+    """``path``, ``block``, ``size``, ``value`` from a text-source frame (batch or stream)."""
     return text.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("size"),
         "value",
     )
 
 
-def _quote_parity() -> Column:
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit(QUOTE), F.lit("")))
-    return (quotes % 2).cast("int").alias("q")
-
-
-def _numbered(raw: DataFrame) -> DataFrame:
-    with_q = raw.select("path", "block", _quote_parity(), "value")
-    return with_q.mapInArrow(_number_lines, _LINE_STATE)
-
-
-def _split_table(raw: DataFrame) -> DataFrame:
-    """One row per split: starting quote parity and the record running into it."""
-    numbers = raw.select("path", "block", _quote_parity(),
-                         F.col("value").endswith("\r").alias("cr"))
-    per_split = numbers.mapInArrow(_summarise_splits, _SPLIT_SUMMARY)
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1)
-    incoming = (F.coalesce(F.sum("parity").over(before), F.lit(0)) % 2).cast("int")
-    # like the multiLine reader, the first line's ending is the file's separator
-    crlf = F.coalesce(F.max("first_crlf").over(Window.partitionBy("path")), F.lit(False))
-    with_in = per_split.withColumn("incoming", incoming).withColumn("crlf", crlf)
-    last_start = F.when(F.col("incoming") == 0, F.col("split_even")).otherwise(F.col("split_odd"))
-    start_ref = F.when(last_start.isNotNull(), F.struct(F.col("block").alias("b"),
-                                                        last_start.alias("p")))
-    carry = F.last(start_ref, ignorenulls=True).over(before)
-    return with_in.select("path", "block", "incoming", "crlf", carry.alias("carry"))
-
-
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}"
                      for f in schema.fields)
@@ -365,7 +424,7 @@ def read_csv_records(spark: SparkSession, path: str | list[str], schema: T.Struc
 
 def records_from_lines(raw: DataFrame, schema: T.StructType, *, header: bool = True,
                        max_broadcast_splits: int = MAX_BROADCAST_SPLITS) -> DataFrame:
-    """CSV records from whole files' lines (``path``, ``block``, ``value``).
+    """CSV records from whole files' lines (``path``, ``block``, ``size``, ``value``).
 
     ``raw`` must hold every line of each file it touches, in the text
     source's split order, e.g. ``raw_lines`` or one micro-batch of a text
@@ -403,42 +462,49 @@ def _records_in_order(raw: DataFrame, splits: DataFrame) -> DataFrame:
     the record's first line and joined.
     """
     prepared = raw.join(F.broadcast(splits), ["path", "block"]).select(
-        "path", "block", _quote_parity(), _clean_value().alias("value"), "incoming",
-        F.col("carry.b").alias("carry_b"), F.col("carry.p").alias("carry_p"))
+        "path", "block", *_transitions(), _clean_value().alias("value"), "incoming",
+        "carry_b", "carry_p", "eof_b", "eof_p")
     inside = prepared.mapInArrow(_whole_records, _RECORDS)
     pieces = prepared.mapInArrow(_boundary_fragments, _FRAGMENTS)
     crossing = (pieces.groupBy("path", "rid_block", "rid_pos")
                       .agg(F.array_sort(F.collect_list(F.struct("ord_block", "ord_pos", "text")))
-                            .alias("parts"))
-                      .select("rid_block", "rid_pos",
-                              F.array_join(F.transform("parts", lambda x: x["text"]), "\n")
-                               .alias("record")))
+                            .alias("parts"), F.max("eof").alias("eof"))
+                      .select("rid_block", "rid_pos", _with_eof(
+                          F.array_join(F.transform("parts", lambda x: x["text"]), "\n"))))
     return inside.unionByName(crossing)
 
 
+def _with_eof(record: Column) -> Column:
+    """A record open at the end of a file keeps the file's last line break."""
+    return F.when(F.col("eof"), F.concat(record, F.lit("\n"))).otherwise(record).alias("record")
+
+
 def _records_by_shuffle(raw: DataFrame, splits: DataFrame) -> DataFrame:
     """Fallback when the split table is too large to broadcast: lines are
     numbered, joined to their split by a shuffle, whole-line records kept in
     place and the lines of multi-line records grouped by record."""
-    lines = _numbered(raw)
+    lines = raw.select("path", "block", *_transitions(), "value").mapInArrow(
+        _number_lines, _LINE_STATE)
     joined = lines.join(splits, ["path", "block"])
     inc = F.col("incoming")
-    starts_inside = ((inc + F.col("lp")) % 2) == 1
-    ends_inside = ((inc + F.col("lp") + F.col("q")) % 2) == 1
-    local = F.when(inc == 0, F.col("last_even")).otherwise(F.col("last_odd"))
+    starts_inside = F.when(inc == 0, F.col("s0")).otherwise(F.col("s1")) == 1
+    ends_inside = F.when(starts_inside, F.col("b")).otherwise(F.col("a")) == 1
+    local = F.when(inc == 0, F.col("last0")).otherwise(F.col("last1"))
     tagged = joined.select(
         "path", "block", "pos", _clean_value().alias("value"),
         (~starts_inside & ~ends_inside).alias("whole"),
-        F.when(local.isNotNull(), F.col("block")).otherwise(F.col("carry.b")).alias("rid_block"),
-        F.coalesce(local, F.col("carry.p")).alias("rid_pos"))
+        F.when(local.isNotNull(), F.col("block")).otherwise(F.col("carry_b")).alias("rid_block"),
+        F.coalesce(local, F.col("carry_p")).alias("rid_pos"), "eof_b", "eof_p")
     single = (tagged.filter(F.col("whole"))
                     .select("rid_block", "rid_pos", F.col("value").alias("record")))
     parts = (tagged.filter(~F.col("whole"))
                    .groupBy("path", "rid_block", "rid_pos")
                    .agg(F.array_sort(F.collect_list(F.struct("block", "pos", "value")))
-                         .alias("lines")))
-    multi = parts.select("rid_block", "rid_pos", F.array_join(
-        F.transform("lines", lambda x: x["value"]), "\n").alias("record"))
+                         .alias("lines"),
+                        F.max((F.col("rid_block") == F.col("eof_b"))
+                              & (F.col("rid_pos") == F.col("eof_p"))).alias("eof")))
+    multi = parts.select("rid_block", "rid_pos", _with_eof(F.array_join(
+        F.transform("lines", lambda x: x["value"]), "\n")))
     return single.unionByName(multi)
 
 
