@@ -72,8 +72,9 @@ _IN_TO_IN = rf'^(?:(?:[^"]++|"")*+\z|(?:[^"]++|"")*+"[^,]*+,(?:{_FIELD},)*+{_OPE
 def _transitions() -> list[Column]:
     """``a``/``b``: 1 when the line ends inside a quoted value, having
     started outside (``a``) or inside (``b``) one."""
-    return [F.col("value").rlike(_OUT_TO_IN).cast("int").alias("a"),
-            F.col("value").rlike(_IN_TO_IN).cast("int").alias("b")]
+    quoted = F.col("value").contains(QUOTE)  # a line with no quote keeps the state
+    return [F.when(quoted, F.col("value").rlike(_OUT_TO_IN).cast("int")).otherwise(0).alias("a"),
+            F.when(quoted, F.col("value").rlike(_IN_TO_IN).cast("int")).otherwise(1).alias("b")]
 
 
 def _states(a: np.ndarray, b: np.ndarray, start: int) -> tuple[np.ndarray, int]:
