@@ -153,3 +153,12 @@ def test_quotes_that_open_nothing_and_open_quotes_at_the_end(spark, tmp_dir, tin
         f.write("id,t,n\n" + body)
     whole = read_csv(spark, folder)
     assert rows(read_csv_records(spark, folder, whole.schema)) == rows(whole)
+
+
+def test_only_boundary_pieces_are_shuffled(spark, tmp_dir, tiny_splits):
+    folder = os.path.join(tmp_dir, "t.csv")
+    _awkward_files(folder, 2, 60, "\n", seed=3)
+    df = read_csv_records(spark, folder, read_csv(spark, folder).schema)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("MapInArrow") == 2
+    assert plan.count("Exchange hashpartitioning") == 1  # pieces of crossing records only
