@@ -114,3 +114,20 @@ def test_hot_key_partition_is_split_in_the_orphan_join(spark, tmp_dir):
     assert "(skew=true)" in plan
     keys = parents.select("o_orderkey")
     assert n == items.join(keys, items.l_orderkey == keys.o_orderkey, "left_anti").count()
+
+
+def test_hot_supplier_partition_is_split_in_the_supplier_join(spark, tmp_dir):
+    """A third of the items on one supplier: the second star join splits it too."""
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    li.withColumn("l_suppkey", F.when(F.col("l_partkey") % 3 == 0, F.lit(1))
+                  .otherwise(F.col("l_suppkey"))).repartition(8).write.parquet(f"{tmp_dir}/items")
+    items = spark.read.parquet(f"{tmp_dir}/items").select("l_orderkey", "l_suppkey")
+    suppliers = spark.read.parquet(f"{SF}/supplier.parquet").select("s_suppkey", "s_nationkey")
+
+    def work():
+        df = items.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        return df.count(), _final_plan(df)
+
+    n, plan = _with_conf(spark, SKEW_CONF, work)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert n == items.count()  # every item has its supplier
