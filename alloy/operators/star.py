@@ -3,7 +3,7 @@
 Joins are declared and left to Catalyst and AQE: an equi-join of two large
 tables becomes a sort-merge join on the key (AQE splits a skewed key's
 partitions); a side that proves small is broadcast.  ``bounded_broadcast``
-is the only explicit hint, and it checks the row count first.
+is the explicit hint for star joins, and it checks the row count first.
 """
 
 from __future__ import annotations
