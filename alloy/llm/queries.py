@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloy.llm import byte_bpe, ring, url_filter
+from alloy.llm import byte_bpe, language_id, line_frequency, ring, secret_scan, url_filter
 from alloy.llm.common import pick, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -17,6 +17,10 @@ URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
 LISTED_HOSTS = r"(^|\.)(spam-farm|cheap-pills)\."
 
 
+def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_frequency.line_quality(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return byte_bpe.token_digests(table(spark, sf_dir, "documents"),
@@ -41,10 +45,66 @@ def op8_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op6_url_filter, op8_ring_shards)}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_line_frequency, op3_byte_bpe, op6_url_filter, op8_ring_shards, op9_language_id,
+    op10_secret_scan)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL = {
+    "op1_line_frequency": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM docs),
+windows AS (
+  SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM words WHERE len(w) >= 3),
+grams AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM windows),
+found AS (SELECT r, g FROM grams GROUP BY r, g HAVING count(*) > 1),
+hit AS (SELECT r, unnest([i, i + 1, i + 2]) AS pos FROM grams JOIN found USING (r, g)),
+repeats AS (SELECT r, count(DISTINCT pos) AS n_repeat_words FROM hit GROUP BY r),
+split AS (SELECT r, source, text, unnest(string_split(text, chr(10))) AS line FROM docs),
+full_lines AS (SELECT * FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dups AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM full_lines GROUP BY r),
+normal AS (
+  SELECT source, text, trim(regexp_replace(regexp_replace(
+    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'),
+    '[\x20\x09-\x0D]+', ' ', 'g')) AS line
+  FROM (SELECT DISTINCT source, text, r0.line, r0.k FROM (
+    SELECT source, text, line, row_number() OVER (PARTITION BY r, line) AS k FROM full_lines) r0) u),
+lines AS (
+  SELECT source, text, line, count(*) * (len(string_split(line, ' '))) AS size
+  FROM normal GROUP BY source, text, line),
+per_host AS (SELECT source, count(DISTINCT text) AS texts FROM docs GROUP BY source),
+frequent AS (
+  SELECT l.source, l.line FROM lines l JOIN per_host h ON l.source IS NOT DISTINCT FROM h.source
+  GROUP BY l.source, l.line, h.texts HAVING count(*) > 10 AND count(*) > 0.01 * h.texts),
+gone AS (
+  SELECT l.source, l.text, sum(l.size) AS gone FROM lines l JOIN frequent f
+  ON l.source IS NOT DISTINCT FROM f.source AND l.line = f.line GROUP BY l.source, l.text),
+stats AS (
+  SELECT d.doc_id, d.source, d.text, CAST(len(w.w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(d.text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM docs d JOIN words w USING (r) LEFT JOIN dups USING (r) LEFT JOIN repeats USING (r)),
+judged AS (
+  SELECT s.*, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+    CAST(n_words - coalesce(g.gone, 0) AS BIGINT) AS n_words_left
+  FROM stats s LEFT JOIN gone g ON s.source IS NOT DISTINCT FROM g.source AND s.text = g.text)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_words_left,
+  (NOT base_failed AND n_words_left >= 0.3 * n_words) AS kept
+FROM judged""",
     "op6_url_filter": r"""
 WITH parts AS (
   SELECT page_id,
