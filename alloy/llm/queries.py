@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloy.llm import byte_bpe, language_id, line_frequency, ring, secret_scan, url_filter
+from alloy.llm import byte_bpe, language_id, line_frequency, mixing, ring, secret_scan, url_filter
 from alloy.llm.common import pick, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -39,6 +39,12 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, listed_urls(pages), URL_RULES)
 
 
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix_plan_rows(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target",
+                       (F.size("draws") * F.col("size")).cast("long").alias("taken"), "draws")
+
+
 def op8_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ring.shard_documents(table(spark, sf_dir, "documents"), shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
@@ -56,7 +62,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_frequency, op3_byte_bpe, op6_url_filter, op8_ring_shards, op9_language_id,
+    op1_line_frequency, op3_byte_bpe, op6_url_filter, op7_mix_sources, op8_ring_shards, op9_language_id,
     op10_secret_scan)}
 
 #: DuckDB SQL of the queries that SQL can express.
