@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloy.llm import byte_bpe, language_id, line_frequency, mixing, ring, secret_scan, url_filter
+from alloy.llm import byte_bpe, language_id, line_frequency, minhash, mixing, ring, secret_scan, url_filter
 from alloy.llm.common import pick, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -27,6 +27,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, similarity=0.8)
+
+
 def listed_urls(pages: DataFrame) -> DataFrame:
     """Canonical URLs of all pages on the listed hosts."""
     url = F.col("url")
@@ -62,7 +66,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_frequency, op3_byte_bpe, op6_url_filter, op7_mix_sources, op8_ring_shards, op9_language_id,
+    op1_line_frequency, op3_byte_bpe, op5_minhash, op6_url_filter, op7_mix_sources, op8_ring_shards, op9_language_id,
     op10_secret_scan)}
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -111,6 +115,28 @@ judged AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_words_left,
   (NOT base_failed AND n_words_left >= 0.3 * n_words) AS kept
 FROM judged""",
+    "op5_minhash": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+pairs AS (
+  SELECT a, b FROM common JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id
+  WHERE 100 * n_both >= 80 * (p.n + q.n - n_both)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)""",
     "op6_url_filter": r"""
 WITH parts AS (
   SELECT page_id,
