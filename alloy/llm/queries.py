@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloy.llm import byte_bpe, language_id, line_frequency, minhash, mixing, ring, secret_scan, url_filter
+from alloy.llm import byte_bpe, language_id, line_frequency, minhash, mixing, ring, rp_forest, secret_scan, url_filter
 from alloy.llm.common import pick, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -27,6 +27,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op4_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.linked_vectors(table(spark, sf_dir, "embeddings"), similarity=0.98)
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, similarity=0.8)
 
@@ -66,7 +70,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_frequency, op3_byte_bpe, op5_minhash, op6_url_filter, op7_mix_sources, op8_ring_shards, op9_language_id,
+    op1_line_frequency, op3_byte_bpe, op4_rp_forest, op5_minhash, op6_url_filter, op7_mix_sources, op8_ring_shards, op9_language_id,
     op10_secret_scan)}
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -115,6 +119,23 @@ judged AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_words_left,
   (NOT base_failed AND n_words_left >= 0.3 * n_words) AS kept
 FROM judged""",
+    "op4_rp_forest": r"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+    AND len(list_filter(embedding, lambda v: v <> 0)) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y
+  ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least USING (vec_id) LEFT JOIN counts ON e.vec_id = a""",
     "op5_minhash": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
