@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloy.llm import byte_bpe, language_id, line_frequency, minhash, mixing, ring, rp_forest, secret_scan, url_filter
+from alloy.llm import byte_bpe, importance, language_id, line_frequency, minhash, mixing, ring, rp_forest, secret_scan, url_filter
 from alloy.llm.common import pick, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -21,6 +21,10 @@ def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.line_quality(table(spark, sf_dir, "documents"))
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return byte_bpe.token_digests(table(spark, sf_dir, "documents"),
@@ -70,7 +74,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_frequency, op3_byte_bpe, op4_rp_forest, op5_minhash, op6_url_filter, op7_mix_sources, op8_ring_shards, op9_language_id,
+    op1_line_frequency, op2_importance_resampling, op3_byte_bpe, op4_rp_forest, op5_minhash, op6_url_filter, op7_mix_sources, op8_ring_shards, op9_language_id,
     op10_secret_scan)}
 
 #: DuckDB SQL of the queries that SQL can express.
