@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from alloy.functions.cast import safe_cast
@@ -115,6 +115,23 @@ def clean(df: DataFrame, spec: TableSpec, dedup: bool = True) -> DataFrame:
     return out
 
 
+def clean_counted(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, Observation]:
+    """``clean``, and an observation whose ``rejected`` is the number of rows it rejects.
+
+    The observation has its value once the frame has been written.
+    """
+    projected = project(df, spec)
+    seen = Observation()
+    reason = reject_reason(projected, spec)
+    out = valid_rows(projected.observe(seen, F.count(F.when(reason.isNotNull(), 1)).alias("rejected")), spec)
+    return (keep_one(out, spec.key, spec.order_by) if spec.key else out), seen
+
+
+def empty_quarantine(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """No rows, with the columns of ``quarantine``; ``df`` isn't read."""
+    return df.sparkSession.createDataFrame([], quarantine(df, spec).schema)
+
+
 def quarantine(df: DataFrame, spec: TableSpec,
                keep_columns: Sequence[str] | None = None) -> DataFrame:
     """The rows ``clean`` rejects, with a ``reject_reason`` column.

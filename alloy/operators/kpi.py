@@ -1,70 +1,64 @@
 """Business indicators over the star (AG2).
 
-Money is summed as DECIMAL(18,2) and only the total is turned back into a
-double, so totals do not depend on the order rows are added in.
+Money is summed as DECIMAL(38,2) and only the total is turned back into a
+double, so totals do not depend on the order rows are added in.  A value
+that isn't such a decimal (NaN, infinite, 37 digits or more) is left out of
+the revenue and counted as ``n_bad_values``.
 
-Both indicators first reduce the item table to one row per order, then join
-the orders: the join then reads a quarter of the item rows' width and count,
-the reduced side is already hash-partitioned on the order key (the join
-shuffles the orders only), and a very large order is a single row.
+``sales`` is one row per item sold with its order's columns: the fact table,
+or a join of items and orders.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,2)"
 
 
-def order_totals(items: DataFrame, key: str, value: str, as_key: str | None = None) -> DataFrame:
-    """Per order key: item count and exact revenue (DECIMAL)."""
-    return items.groupBy(F.col(key).alias(as_key or key)).agg(
-        F.count(F.lit(1)).alias("n_items"),
-        F.sum(F.col(value).cast(MONEY)).alias("revenue"),
-    )
+def _money(value: str) -> Column:
+    return F.col(value).try_cast(MONEY)
+
 
+def _bad(value: str) -> Column:
+    return F.count(F.when(F.col(value).isNotNull() & _money(value).isNull(), 1))
 
-def monthly_sales(items: DataFrame, orders: DataFrame, *, item_key: str,
-                  order_key: str, date_col: str, value: str) -> DataFrame:
-    """Per calendar month of ``date_col``: distinct orders and revenue.
 
-    Only orders with at least one item count (inner join semantics).
+def monthly_sales(sales: DataFrame, *, order_key: str, date_col: str, value: str) -> DataFrame:
+    """Per calendar month of ``date_col``: distinct orders, revenue, bad values.
+
+    The sales are first reduced to one row per order and month.
     """
-    per_order = order_totals(items, item_key, value, as_key="__order")
-    joined = (orders.select(F.col(order_key).alias("__key"), F.col(date_col).alias("__date"))
-              .join(per_order, F.col("__key") == F.col("__order"), "inner"))
-    return joined.groupBy(
-        F.year("__date").cast("int").alias("y"),
-        F.month("__date").cast("int").alias("m"),
-    ).agg(
-        F.count_distinct(F.col("__key")).alias("n_orders"),
+    per_order = sales.groupBy(
+        F.col(order_key).alias("__key"), F.year(date_col).cast("int").alias("y"),
+        F.month(date_col).cast("int").alias("m"),
+    ).agg(F.sum(_money(value)).alias("revenue"), _bad(value).alias("n_bad_values"))
+    return per_order.groupBy("y", "m").agg(
+        F.count(F.lit(1)).alias("n_orders"),
         F.sum("revenue").cast("double").alias("revenue"),
+        F.sum("n_bad_values").alias("n_bad_values"),
     )
 
 
-def sales_by_group(items: DataFrame, orders: DataFrame, customer_group: DataFrame, *,
-                   item_key: str, order_key: str, order_customer: str,
-                   order_attr: str, customer_key: str, group_col: str,
-                   value: str) -> DataFrame:
-    """Per (customer group, order attribute): item rows and revenue.
+def sales_by_group(sales: DataFrame, customer_group: DataFrame, *, customer: str, attr: str,
+                   customer_key: str, group_col: str, value: str,
+                   attr_name: str | None = None) -> DataFrame:
+    """Per (customer group, attribute): item rows, revenue, bad values.
 
     ``customer_group`` maps a customer key to its group (e.g. region).  The
-    orders are reduced to (customer, attribute) before that join, so a
-    customer with a huge share of the orders costs one row per attribute.
-    Output columns are named ``group_col`` and ``order_attr``.
+    sales meet that map at once: one shuffle by customer, in which AQE splits
+    a hot customer, and an aggregate that leaves a row per group and task.
+    Output columns are named ``group_col`` and ``attr_name`` (or ``attr``).
     """
-    per_order = order_totals(items, item_key, value, as_key="__order")
-    per_customer = (orders.select(F.col(order_key).alias("__key"),
-                                  F.col(order_customer).alias("__cust"),
-                                  F.col(order_attr).alias("__attr"))
-                    .join(per_order, F.col("__key") == F.col("__order"), "inner")
-                    .groupBy("__cust", "__attr")
-                    .agg(F.sum("n_items").alias("n_items"), F.sum("revenue").alias("revenue")))
+    sold = sales.select(F.col(customer).alias("__cust"), F.col(attr).alias("__attr"),
+                        F.col(value).alias("__value"))
     groups = customer_group.select(F.col(customer_key).alias("__ckey"),
                                    F.col(group_col).alias("__group"))
-    joined = per_customer.join(groups, F.col("__cust") == F.col("__ckey"), "inner")
-    return joined.groupBy(F.col("__group").alias(group_col), F.col("__attr").alias(order_attr)).agg(
-        F.sum("n_items").alias("n_items"),
-        F.sum("revenue").cast("double").alias("revenue"),
+    joined = sold.join(groups, F.col("__cust") == F.col("__ckey"), "inner")
+    return joined.groupBy(F.col("__group").alias(group_col),
+                          F.col("__attr").alias(attr_name or attr)).agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.sum(_money("__value")).cast("double").alias("revenue"),
+        _bad("__value").alias("n_bad_values"),
     )

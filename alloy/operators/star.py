@@ -2,8 +2,7 @@
 
 Joins are declared and left to Catalyst and AQE: an equi-join of two large
 tables becomes a sort-merge join on the key (AQE splits a skewed key's
-partitions); a side that proves small is broadcast.  ``bounded_broadcast``
-is the explicit hint for star joins, and it checks the row count first.
+partitions); a side that proves small is broadcast.
 """
 
 from __future__ import annotations
@@ -44,14 +43,3 @@ def role_view(df: DataFrame, mapping: Mapping, role: str) -> DataFrame:
     """
     return rename(df, [(s, d.format(role=role)) for s, d in mapping])
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only when the frame has at most ``max_rows`` rows.
-
-    The check runs ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is passed, so it stays cheap even on a large table.  Beyond the
-    bound the frame is returned unhinted and the planner (and AQE, from
-    runtime sizes) picks the join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alloy.operators import quality
+from alloy.operators.clean import clean
+from alloy.plans import marketplace as mp
 from alloy.sources.parquet import read_table
 
 
@@ -67,3 +69,14 @@ GOLD_INPUTS = ("fato_vendas", "dim_clientes", "dim_produtos", "dim_vendedores",
 def quality_report(spark: SparkSession, gold_root: str) -> DataFrame:
     """Run ``gold_checks`` on the tables below ``gold_root``."""
     return gold_checks({t: read_table(spark, gold_root, t) for t in GOLD_INPUTS})
+
+
+def bronze_checks(spark: SparkSession, bronze_root: str) -> DataFrame:
+    """Keys that bronze holds more than once among its valid rows: what silver's dedup removes."""
+    out = None
+    for name in (mp.CUSTOMERS, mp.PRODUCTS, mp.SELLERS):
+        spec = mp.SILVER_SPECS[name]
+        valid = clean(read_table(spark, bronze_root, name), spec, dedup=False)
+        part = _count("repeated_input_key", name, quality.check_unique(valid, spec.key))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -23,24 +23,28 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-from alloy.operators.clean import clean, quarantine
+from alloy.operators.clean import clean_counted, empty_quarantine, quarantine
 from alloy.plans.jobs import DEFAULT_PARALLEL, described, each as _each
 from alloy.plans.marketplace import GOLD_TABLES, KPI_TABLES, SILVER_SPECS, GoldTable, silver_post
-from alloy.sources.csv import read_csv
-from alloy.sources.csv_records import read_landing_csv
+from alloy.sources.csv import open_quote_lines, read_csv
 from alloy.sources.landing import landing_entries
-from alloy.sources.parquet import read_table, table_path, write_table
+from alloy.sources.parquet import read_table, write_table
 
 OK = "ok"
 FAILED = "failed"
 SKIPPED = "skipped"
 UNMAPPED = "unmapped"
+MISSING = "missing"
 
 
 class NoLandingFiles(RuntimeError):
     """The landing root holds no CSV file: nothing to ingest."""
 
 
+class OpenQuote(ValueError):
+    """A table that is read line by line has a line that isn't a whole record."""
+
+
 class LayerError(RuntimeError):
     """One or more tables of a run failed; ``report`` holds every status."""
 
@@ -68,10 +72,16 @@ class RunReport:
     silver: dict[str, str] = field(default_factory=dict)
     gold: dict[str, str] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)  # "layer/table" → wall time
+    largest_file: dict[str, int] = field(default_factory=dict)  # landing table → bytes, for information
+    ingested: bool = False  # bronze ran in this run: tables it doesn't list are missing
 
     def as_dict(self) -> dict[str, dict[str, str]]:
         return {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}
 
+    def missing(self) -> list[str]:
+        """Silver tables without landing files in this run; older outputs of theirs are left as they were."""
+        return [t for t, s in self.silver.items() if s == MISSING]
+
     def failed(self) -> bool:
         return any(s.startswith(FAILED) for d in self.as_dict().values() for s in d.values())
 
@@ -94,23 +104,24 @@ def run_bronze(spark: SparkSession, layout: Layout, report: RunReport | None = N
     """PL1: every landing CSV table → Parquet, all columns as text.
 
     Tables with no silver spec are ingested as well and reported.  Records
-    may span lines: a table whose files all fit in one scan split is read
-    file by file, a table with a larger file is read split-wise with its
-    records put back together (``read_landing_csv``).  Tables named in
-    ``single_line`` are known to hold no line breaks inside values and are
-    simply read line by line, which Spark splits too.
+    may span lines, so a file is read by one task, whatever its size.  Tables
+    named in ``single_line`` are declared to hold no line breaks inside
+    values and are read line by line, which Spark splits; a line with an open
+    quote fails such a table.
     """
     report = report or RunReport()
     found = landing_entries(spark, layout.landing)
     single = set(single_line)
 
+    report.ingested = True
+    report.largest_file.update({name: t.largest for name, t in found.items()})
+
     def one(name: str) -> str:
-        path, largest = found[name]
+        paths = list(found[name].paths)
         try:
-            if name in single:
-                raw = read_csv(spark, path, multiLine="false")
-            else:
-                raw = read_landing_csv(spark, path, largest)
+            if name in single and not open_quote_lines(spark, paths).isEmpty():
+                raise OpenQuote(f"{name} is read line by line and has a line with an open quote")
+            raw = read_csv(spark, paths, multiLine=str(name not in single).lower())
             write_table(raw, layout.bronze, name)
             return OK if name in SILVER_SPECS else UNMAPPED
         except Exception as e:  # isolate, report at the end
@@ -124,18 +135,28 @@ def run_bronze(spark: SparkSession, layout: Layout, report: RunReport | None = N
 def run_silver(spark: SparkSession, layout: Layout, report: RunReport | None = None,
                tables: Iterable[str] | None = None,
                parallel: int = DEFAULT_PARALLEL) -> RunReport:
-    """PL2: each spec'd bronze table → clean table (and its rejected rows)."""
+    """PL2: each spec'd bronze table → clean table (and its rejected rows).
+
+    The rejected rows are counted while the clean table is written; the
+    quarantine reads bronze again only when there are any.  After a bronze
+    run in the same report, tables it didn't ingest are ``missing``.
+    """
     report = report or RunReport()
 
     def one(name: str) -> str:
         spec = SILVER_SPECS[name]
         if report.bronze.get(name, OK).startswith(FAILED):
             return SKIPPED
+        if report.ingested and name not in report.bronze:
+            return MISSING
         try:
             raw = read_table(spark, layout.bronze, name)
-            write_table(silver_post(name, clean(raw, spec)), layout.silver, name)
+            cleaned, rejected = clean_counted(raw, spec)
+            write_table(silver_post(name, cleaned), layout.silver, name)
             if layout.quarantine:
-                write_table(quarantine(raw, spec), layout.quarantine, name)
+                some = rejected.get["rejected"] > 0
+                write_table(quarantine(raw, spec) if some else empty_quarantine(raw, spec),
+                            layout.quarantine, name)
             return OK
         except Exception as e:
             return _failure(e)
@@ -149,23 +170,30 @@ def run_silver(spark: SparkSession, layout: Layout, report: RunReport | None = N
 def run_gold(spark: SparkSession, layout: Layout, report: RunReport | None = None,
              tables: dict[str, GoldTable] | None = None,
              parallel: int = DEFAULT_PARALLEL) -> RunReport:
-    """PL3: star schema from silver; a table whose input failed is skipped."""
+    """PL3: star schema from silver; a table whose input failed is skipped.
+
+    Tables built from gold tables (indicators) run after the others.
+    """
     report = report or RunReport()
     tables = tables or GOLD_TABLES
 
     def one(name: str) -> str:
         gold = tables[name]
-        if any(report.silver.get(i, OK) != OK for i in gold.inputs):
+        done = report.gold if gold.from_gold else report.silver
+        if any(done.get(i, OK) != OK for i in gold.inputs):
             return SKIPPED
         try:
-            inputs = [read_table(spark, layout.silver, i) for i in gold.inputs]
+            root = layout.gold if gold.from_gold else layout.silver
+            inputs = [read_table(spark, root, i) for i in gold.inputs]
             write_table(gold.build(*inputs), layout.gold, name)
             return OK
         except Exception as e:
             return _failure(e)
 
-    report.gold.update(_each(
-        tables, lambda n: _timed(spark, report, "gold", n, lambda: one(n)), parallel))
+    for late in (False, True):
+        report.gold.update(_each(
+            [n for n, t in tables.items() if t.from_gold == late],
+            lambda n: _timed(spark, report, "gold", n, lambda: one(n)), parallel))
     return report
 
 
@@ -186,7 +214,3 @@ def run_layers(spark: SparkSession, layout: Layout, raise_on_failure: bool = Tru
     if raise_on_failure and report.failed():
         raise LayerError(report.as_dict())
     return report
-
-
-def gold_path(layout: Layout, name: str) -> str:
-    return table_path(layout.gold, name)

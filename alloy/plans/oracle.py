@@ -35,36 +35,101 @@ _LOCATED = f"""
 """
 
 
-# Silver items and orders of the lake derived from lineitem and orders, after
-# the items' and orders' de-duplication (the fact is itd ⋈ od).
-_LAKE_ITEMS_ORDERS = """
+def _one_per_key(source: str, key: str, order: str) -> str:
+    """The first row per key by ``order``."""
+    return (f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) "
+            f"AS rn FROM {source}) ranked WHERE rn = 1)")
+
+
+def _asc(columns: str) -> str:
+    return ", ".join(f"{c.strip()} ASC NULLS FIRST" for c in columns.split(","))
+
+
+# The silver tables of the lake (tpch_landing injects the same defects): the
+# valid rows of each, typed, then one row per key (itd, od, pay, prod, cust, sell, rev).
+LAKE = f"""
 it AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
-         CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
-         l_shipdate AS shipping_limit_date, l_extendedprice AS price, l_tax AS freight_value
-  FROM lineitem),
-itd AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (
-             PARTITION BY order_id, order_item_id
-             ORDER BY shipping_limit_date DESC NULLS LAST, product_id ASC NULLS FIRST,
-                      seller_id ASC NULLS FIRST, price ASC NULLS FIRST,
-                      freight_value ASC NULLS FIRST) AS rn
-    FROM it) x
-  WHERE rn = 1),
+         CASE WHEN l_partkey % 109 = 0 THEN 'x' ELSE '' END || l_partkey AS product_id,
+         CASE WHEN l_partkey % 107 = 0 THEN 'x' ELSE '' END || l_suppkey AS seller_id,
+         l_shipdate AS shipping_limit_date,
+         CASE WHEN l_partkey % 103 = 0 THEN NULL WHEN l_partkey % 499 = 0 THEN CAST('1e40' AS DOUBLE)
+              ELSE l_extendedprice END AS price,
+         l_tax AS freight_value
+  FROM lineitem WHERE l_partkey % 113 <> 0 AND l_partkey % 127 <> 0),
+itd AS (SELECT * FROM {_one_per_key("it", "order_id, order_item_id",
+    "shipping_limit_date DESC NULLS LAST, " + _asc("product_id, seller_id, price, freight_value"))} x),
 o AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
-         lower(o_orderstatus) AS order_status, o_orderdate AS purchased,
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+         CASE WHEN o_orderkey % 79 = 0 THEN 'x' ELSE '' END || o_custkey AS customer_id,
+         CASE WHEN v = 1 THEN 'z' ELSE lower(o_orderstatus) END AS order_status,
+         o_orderdate + to_days(v) AS purchased,
+         CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate + to_hours(o_orderkey % 5 + 1) END AS approved,
+         o_orderdate + to_days(CAST(o_orderkey % 3 + 1 AS INTEGER)) + to_hours(2) AS posted,
+         CASE WHEN o_orderkey % 13 <> 0
+              THEN o_orderdate + to_days(CAST(o_orderkey % 4 + 5 AS INTEGER)) END AS delivered,
          CAST(CAST(o_orderdate AS DATE) + 30 AS DATE) AS estimated
-  FROM orders),
-od AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (
-             PARTITION BY order_id
-             ORDER BY purchased DESC NULLS LAST, customer_id ASC NULLS FIRST,
-                      order_status ASC NULLS FIRST, estimated ASC NULLS FIRST) AS rn
-    FROM o) x
-  WHERE rn = 1)
+  FROM (SELECT *, 0 AS v FROM orders UNION ALL SELECT *, 1 FROM orders WHERE o_orderkey % 53 = 0) both_versions
+  WHERE o_orderkey % 89 <> 0 AND o_orderkey % 97 <> 0 AND o_orderkey % 83 <> 0),
+od AS (SELECT * FROM {_one_per_key("o", "order_id", "purchased DESC NULLS LAST, "
+    + _asc("customer_id, order_status, approved, posted, delivered, estimated"))} x),
+p AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, seq, kind, parts, amount FROM (
+    SELECT o_orderkey, 1 AS seq, lower(o_orderpriority) AS kind, CAST(o_orderkey % 4 + 1 AS INTEGER) AS parts,
+           CASE WHEN o_orderkey % 61 = 0 THEN -o_totalprice ELSE o_totalprice END AS amount FROM orders
+    UNION ALL SELECT o_orderkey, 2, 'voucher', 1, o_orderkey % 100 + CAST(0.5 AS DOUBLE) FROM orders
+      WHERE o_orderkey % 3 = 0
+    UNION ALL SELECT o_orderkey, 1, '0-other', 9, CAST(1 AS DOUBLE) FROM orders WHERE o_orderkey % 59 = 0) all_payments
+  WHERE o_orderkey % 89 <> 0 AND o_orderkey % 97 <> 0),
+pay AS (SELECT * FROM {_one_per_key("p", "order_id, seq", _asc("kind, parts, amount"))} x),
+pr AS (
+  SELECT p_partkey, lower(p_type) AS category, CAST(length(p_name) AS INTEGER) AS name_length,
+         CAST(length(p_brand) * 7 AS INTEGER) AS description_length, CAST(p_size % 6 AS INTEGER) AS photos,
+         p_retailprice AS weight, CAST(p_size AS DOUBLE) AS len,
+         CAST(p_size * 2 + 0.5 AS DOUBLE) AS height, CAST(p_size * 3 + 0.25 AS DOUBLE) AS width
+  FROM part UNION ALL SELECT p_partkey, '0dup', 1, 2, 3, 4, 5, 6, 7 FROM part WHERE p_partkey % 47 = 0),
+prv AS (SELECT * FROM pr WHERE p_partkey % 91 <> 0 AND p_partkey % 93 <> 0),
+prod AS (SELECT CAST(p_partkey AS VARCHAR) AS product_id, x.* EXCLUDE (p_partkey) FROM {_one_per_key(
+    "prv", "p_partkey", _asc("category, name_length, description_length, photos, weight, len, height, width"))} x),
+place AS (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+cuv AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS customer_id, unique_id, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip,
+         CASE WHEN c_custkey % 2 = 0 THEN 'são ' ELSE '' END || lower(n_name) AS city, lower(r_name) AS state
+  FROM (SELECT *, c_name AS unique_id FROM customer
+        UNION ALL SELECT *, '0' FROM customer WHERE c_custkey % 45 = 0) c JOIN place ON c_nationkey = n_nationkey
+  WHERE c_custkey % 67 <> 0),
+cust AS (SELECT * FROM {_one_per_key("cuv", "customer_id", _asc("unique_id, zip, city, state"))} x),
+sev AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS seller_id,
+         CASE WHEN v = 1 THEN '00000' ELSE lpad(CAST(s_nationkey AS VARCHAR), 5, '0') END AS zip,
+         CASE WHEN v = 1 THEN 'a' ELSE 'é ' || lower(n_name) END AS city, lower(r_name) AS state
+  FROM (SELECT *, 0 AS v FROM supplier UNION ALL SELECT *, 1 FROM supplier WHERE s_suppkey % 9 = 0) s
+  JOIN place ON s_nationkey = n_nationkey
+  WHERE s_suppkey % 31 <> 0),
+sell AS (SELECT * FROM {_one_per_key("sev", "seller_id", _asc("zip, city, state"))} x),
+r AS (
+  SELECT conv_id || '-' || turn AS review_id, CAST(conv_id AS VARCHAR) AS order_id,
+         CAST(CASE WHEN conv_id % 13 = 0 THEN 0 WHEN conv_id % 17 = 0 THEN 9
+              WHEN conv_id % 19 <> 0 THEN length(role) % 5 + 1 END AS INTEGER) AS score,
+         CASE WHEN v = 1 THEN 'dup' ELSE trim(role) END AS title, trim(text) AS message,
+         TIMESTAMP '2018-01-01' + to_days(CAST(conv_id % 300 AS INTEGER)) AS created,
+         CASE WHEN v = 0 THEN TIMESTAMP '2018-01-01' + to_days(CAST(conv_id % 300 AS INTEGER))
+              + to_hours(turn + 1) END AS answered
+  FROM (SELECT *, 0 AS v FROM conversations
+        UNION ALL SELECT *, 1 FROM conversations WHERE conv_id % 7 = 0) c
+  WHERE conv_id % 23 <> 0),
+rev AS (SELECT * FROM {_one_per_key("r", "review_id, order_id",
+    "answered DESC NULLS LAST, " + _asc("score, title, message, created"))} x),
+geo AS (
+  SELECT CASE WHEN c_custkey % 41 = 0 THEN '' ELSE lpad(CAST(c_nationkey AS VARCHAR), 5, '0') END AS zip,
+         translate(CASE WHEN c_custkey % 3 = 0 THEN 'águas ' ELSE '' END || lower(n_name),
+                   'áàâãéèêíìîóòôõúùûç', 'aaaaeeeiiioooouuuc') AS city,
+         lower(r_name) AS state, round(avg(c_acctbal), 4) AS lat,
+         round(avg(CAST(c_custkey AS DOUBLE)), 4) AS lng
+  FROM customer JOIN place ON c_nationkey = n_nationkey
+  WHERE c_custkey % 37 <> 0 AND c_custkey % 39 <> 0
+  GROUP BY 1, 2, 3),
+fact AS (SELECT itd.*, od.* EXCLUDE (order_id) FROM itd JOIN od ON itd.order_id = od.order_id)
 """
 
 # Line items with a third of the rows moved onto order key 1 (tpch.hot_items).
@@ -247,123 +312,140 @@ SELECT l_returnflag, count(*) AS rows_seen,
 FROM lineitem GROUP BY l_returnflag
 """,
     "ri_orphans": """
-SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
-WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'F')
+SELECT i.l_orderkey, i.l_linenumber, i.l_partkey FROM (
+  SELECT CASE WHEN l_partkey % 101 <> 0
+              THEN CASE WHEN l_partkey % 7 = 0 THEN -l_orderkey ELSE l_orderkey END END AS l_orderkey,
+         l_linenumber, l_partkey FROM lineitem) i
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = i.l_orderkey)
 """,
     "kpi_monthly_sales": """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m,
        count(DISTINCT o_orderkey) AS n_orders,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+       CAST(sum(TRY_CAST(l_extendedprice AS DECIMAL(38,2))) AS DOUBLE) AS revenue,
+       count(*) FILTER (WHERE l_extendedprice IS NOT NULL
+                          AND TRY_CAST(l_extendedprice AS DECIMAL(38,2)) IS NULL) AS n_bad_values
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 GROUP BY year(o_orderdate), month(o_orderdate)
 """,
     "kpi_sales_by_region": """
 SELECT r_name, o_orderstatus, count(*) AS n_items,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+       CAST(sum(TRY_CAST(l_extendedprice AS DECIMAL(38,2))) AS DOUBLE) AS revenue,
+       count(*) FILTER (WHERE l_extendedprice IS NOT NULL
+                          AND TRY_CAST(l_extendedprice AS DECIMAL(38,2)) IS NULL) AS n_bad_values
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 GROUP BY r_name, o_orderstatus
 """,
     "csv_multiline_roundtrip": """
 SELECT conv_id, turn, role, text FROM conversations
-""",
-    "csv_split_records": """
-SELECT conv_id, turn, role, text FROM conversations
 """,
     "landing_glob_scan": """
 SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer
 UNION ALL SELECT 'supplier', count(*) FROM supplier
+UNION ALL SELECT 'orders', count(*) FROM orders
 """,
     "stream_ingest": """
 SELECT conv_id, turn, role, text FROM conversations
-""",
-    "stream_ingest_split": """
-SELECT conv_id, turn, role, text FROM conversations
 """,
     "parquet_roundtrip": """
 SELECT * FROM orders
 """,
     "medallion_fact": f"""
-WITH {_LAKE_ITEMS_ORDERS}
-SELECT itd.order_id AS sk_pedido, od.customer_id AS nk_cliente, itd.product_id AS nk_produto,
-       itd.seller_id AS nk_vendedor, itd.order_item_id AS quantidade_itens,
-       itd.price AS valor_produto, itd.freight_value AS valor_frete,
-       itd.price + itd.freight_value AS valor_total_item,
-       od.purchased AS data_compra, od.purchased AS data_aprovacao,
-       CAST(NULL AS TIMESTAMP) AS data_postagem, CAST(NULL AS TIMESTAMP) AS data_entrega,
-       od.estimated AS data_estimada_entrega, od.order_status AS status_pedido
-FROM itd JOIN od ON itd.order_id = od.order_id
-""",
-    "medallion_geo_dim": """
-SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS nk_cep_prefixo_cliente,
-       round(avg(c_acctbal), 4) AS latitude_cliente,
-       round(avg(CAST(c_custkey AS DOUBLE)), 4) AS longitude_cliente,
-       translate(lower(n_name), 'áàâãéèêíìîóòôõúùûç', 'aaaaeeeiiioooouuuc') AS cidade_cliente,
-       lower(r_name) AS estado_cliente
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-GROUP BY 1, 4, 5
-""",
-    "medallion_customers": """
-SELECT CAST(c_custkey AS VARCHAR) AS nk_cliente, c_name AS id_unico_cliente,
-       lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS cep_prefixo_cliente,
-       lower(n_name) AS cidade_cliente, lower(r_name) AS estado_cliente
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-""",
-    "medallion_reviews": """
-SELECT concat(CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR)) AS sk_avaliacao,
-       CAST(conv_id AS VARCHAR) AS sk_pedido,
-       CAST(length(role) % 5 + 1 AS INTEGER) AS nota_avaliacao,
-       trim(role) AS titulo_comentario, trim(text) AS mensagem_comentario,
-       CAST(NULL AS TIMESTAMP) AS data_criacao_avaliacao,
-       CAST(NULL AS TIMESTAMP) AS data_resposta_vendedor
-FROM conversations
+WITH {LAKE}
+SELECT order_id AS sk_pedido, customer_id AS nk_cliente, product_id AS nk_produto,
+       seller_id AS nk_vendedor, order_item_id AS quantidade_itens, price AS valor_produto,
+       freight_value AS valor_frete, price + freight_value AS valor_total_item,
+       purchased AS data_compra, approved AS data_aprovacao, posted AS data_postagem,
+       delivered AS data_entrega, estimated AS data_estimada_entrega, order_status AS status_pedido
+FROM fact
+""",
+    "medallion_products": f"""
+WITH {LAKE}
+SELECT product_id AS nk_produto, category AS categoria_produto, name_length AS comprimento_nome_produto,
+       description_length AS comprimento_descricao_produto, photos AS qtd_fotos_produto,
+       weight AS peso_gramas, len AS comprimento_cm, height AS altura_cm, width AS largura_cm
+FROM prod
+""",
+    "medallion_customers": f"""
+WITH {LAKE}
+SELECT customer_id AS nk_cliente, unique_id AS id_unico_cliente, zip AS cep_prefixo_cliente,
+       city AS cidade_cliente, state AS estado_cliente
+FROM cust
+""",
+    "medallion_sellers": f"""
+WITH {LAKE}
+SELECT seller_id AS nk_vendedor, zip AS cep_prefixo_vendedor, city AS cidade_vendedor,
+       state AS estado_vendedor
+FROM sell
+""",
+    "medallion_payments": f"""
+WITH {LAKE}
+SELECT order_id AS sk_pedido, seq AS sequencial_pagamento, kind AS tipo_pagamento,
+       parts AS qtd_parcelas, amount AS valor_pagamento
+FROM pay
+""",
+    "medallion_geo_dim": f"""
+WITH {LAKE}
+SELECT zip AS nk_cep_prefixo_cliente, lat AS latitude_cliente, lng AS longitude_cliente,
+       city AS cidade_cliente, state AS estado_cliente
+FROM geo
+""",
+    "medallion_geo_sellers": f"""
+WITH {LAKE}
+SELECT zip AS nk_cep_prefixo_vendedor, lat AS latitude_vendedor, lng AS longitude_vendedor,
+       city AS cidade_vendedor, state AS estado_vendedor
+FROM geo
+""",
+    "medallion_reviews": f"""
+WITH {LAKE}
+SELECT review_id AS sk_avaliacao, order_id AS sk_pedido, score AS nota_avaliacao,
+       title AS titulo_comentario, message AS mensagem_comentario,
+       created AS data_criacao_avaliacao, answered AS data_resposta_vendedor
+FROM rev
 """,
     "medallion_kpi_monthly": f"""
-WITH {_LAKE_ITEMS_ORDERS}
-SELECT CAST(year(od.purchased) AS INTEGER) AS y, CAST(month(od.purchased) AS INTEGER) AS m,
-       count(DISTINCT od.order_id) AS n_orders,
-       CAST(sum(CAST(itd.price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
-FROM itd JOIN od ON itd.order_id = od.order_id
-GROUP BY year(od.purchased), month(od.purchased)
+WITH {LAKE}
+SELECT CAST(year(purchased) AS INTEGER) AS y, CAST(month(purchased) AS INTEGER) AS m,
+       count(DISTINCT order_id) AS n_orders,
+       CAST(sum(TRY_CAST(price AS DECIMAL(38,2))) AS DOUBLE) AS revenue,
+       count(*) FILTER (WHERE price IS NOT NULL AND TRY_CAST(price AS DECIMAL(38,2)) IS NULL) AS n_bad_values
+FROM fact GROUP BY year(purchased), month(purchased)
 """,
     "medallion_kpi_state": f"""
-WITH {_LAKE_ITEMS_ORDERS}
-SELECT lower(r_name) AS customer_state, od.order_status AS order_status, count(*) AS n_items,
-       CAST(sum(CAST(itd.price AS DECIMAL(18,2))) AS DOUBLE) AS revenue
-FROM itd JOIN od ON itd.order_id = od.order_id
-JOIN customer ON od.customer_id = CAST(c_custkey AS VARCHAR)
-JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-GROUP BY lower(r_name), od.order_status
+WITH {LAKE}
+SELECT state AS customer_state, order_status, count(*) AS n_items,
+       CAST(sum(TRY_CAST(price AS DECIMAL(38,2))) AS DOUBLE) AS revenue,
+       count(*) FILTER (WHERE price IS NOT NULL AND TRY_CAST(price AS DECIMAL(38,2)) IS NULL) AS n_bad_values
+FROM fact JOIN cust ON fact.customer_id = cust.customer_id
+GROUP BY state, order_status
 """,
     "medallion_quality": f"""
-WITH {_LAKE_ITEMS_ORDERS},
-fact AS (SELECT itd.order_id, od.customer_id, itd.product_id, itd.seller_id
-         FROM itd JOIN od ON itd.order_id = od.order_id),
-cust AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS k FROM customer),
-prod AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS k FROM part),
-sell AS (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS k FROM supplier),
-geo AS (SELECT DISTINCT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip, lower(n_name) AS city,
-               lower(r_name) AS state
-        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+WITH {LAKE}
 SELECT 'orphan_key' AS "check", 'dim_clientes' AS table_name,
-       (SELECT count(*) FROM fact WHERE customer_id NOT IN (SELECT k FROM cust)) AS n_bad
+       (SELECT count(*) FROM fact WHERE customer_id NOT IN (SELECT customer_id FROM cust)) AS n_bad
 UNION ALL SELECT 'orphan_key', 'dim_produtos',
-       (SELECT count(*) FROM fact WHERE product_id NOT IN (SELECT k FROM prod))
+       (SELECT count(*) FROM fact WHERE product_id NOT IN (SELECT product_id FROM prod))
 UNION ALL SELECT 'orphan_key', 'dim_vendedores',
-       (SELECT count(*) FROM fact WHERE seller_id NOT IN (SELECT k FROM sell))
+       (SELECT count(*) FROM fact WHERE seller_id NOT IN (SELECT seller_id FROM sell))
 UNION ALL SELECT 'order_without_items', 'dim_pagamentos',
-       (SELECT count(*) FROM orders WHERE CAST(o_orderkey AS VARCHAR) NOT IN (SELECT order_id FROM fact))
+       (SELECT count(*) FROM pay WHERE order_id NOT IN (SELECT order_id FROM fact))
 UNION ALL SELECT 'duplicate_key', 'dim_clientes',
-       (SELECT count(*) FROM (SELECT k FROM cust GROUP BY k HAVING count(*) > 1) x)
+       (SELECT count(*) FROM (SELECT 1 FROM cust GROUP BY customer_id HAVING count(*) > 1) x)
 UNION ALL SELECT 'duplicate_key', 'dim_produtos',
-       (SELECT count(*) FROM (SELECT k FROM prod GROUP BY k HAVING count(*) > 1) x)
+       (SELECT count(*) FROM (SELECT 1 FROM prod GROUP BY product_id HAVING count(*) > 1) x)
 UNION ALL SELECT 'duplicate_key', 'dim_vendedores',
-       (SELECT count(*) FROM (SELECT k FROM sell GROUP BY k HAVING count(*) > 1) x)
+       (SELECT count(*) FROM (SELECT 1 FROM sell GROUP BY seller_id HAVING count(*) > 1) x)
+UNION ALL SELECT 'repeated_input_key', 'olist_customers_dataset',
+       (SELECT count(*) FROM (SELECT 1 FROM cuv GROUP BY customer_id HAVING count(*) > 1) x)
+UNION ALL SELECT 'repeated_input_key', 'olist_products_dataset',
+       (SELECT count(*) FROM (SELECT 1 FROM prv GROUP BY p_partkey HAVING count(*) > 1) x)
+UNION ALL SELECT 'repeated_input_key', 'olist_sellers_dataset',
+       (SELECT count(*) FROM (SELECT 1 FROM sev GROUP BY seller_id HAVING count(*) > 1) x)
 UNION ALL SELECT 'zip_fanout', 'dim_geolocalizacao_clientes',
        (SELECT count(*) FROM (SELECT zip FROM geo GROUP BY zip HAVING count(*) > 1) x)
 UNION ALL SELECT 'score_out_of_range', 'dim_avaliacoes',
-       (SELECT count(*) FROM conversations WHERE NOT ((length(role) % 5 + 1) BETWEEN 1 AND 5))
+       (SELECT count(*) FROM rev WHERE NOT (score BETWEEN 1 AND 5))
 UNION ALL SELECT 'negative_value', 'dim_pagamentos',
-       (SELECT count(*) FROM orders WHERE o_totalprice < 0)
+       (SELECT count(*) FROM pay WHERE amount < 0)
 """,
 }

@@ -20,13 +20,12 @@ from alloy.functions.cast import cast_failures, safe_date, safe_double, safe_int
 from alloy.functions.text import normalise, strip
 from alloy.operators import aggregate, clean as cl, dedup, kpi, quality, star
 from alloy.plans import marketplace as mp
-from alloy.plans.lake_checks import quality_report
+from alloy.plans.lake_checks import bronze_checks, quality_report
 from alloy.plans.medallion import Layout, run_layers
 from alloy.plans.tpch_landing import write_landing
 from alloy.session import scratch_path
-from alloy.streaming.ingest import ingest_stream, ingest_stream_split
+from alloy.streaming.ingest import ingest_stream
 from alloy.sources.csv import read_csv, write_csv
-from alloy.sources.csv_records import read_csv_records
 from alloy.sources.landing import landing_counts
 from alloy.sources.parquet import read_table, write_table
 
@@ -317,19 +316,20 @@ def rule_money_min(spark, d):
 
 
 def ri_orphans(spark, d):
-    # Parents: an extract holding only orders that are not finished ('F').
-    open_orders = table(spark, d, "orders").filter(F.col("o_orderstatus") != "F")
-    orphans = quality.find_orphans(table(spark, d, "lineitem"), open_orders,
-                                   ["l_orderkey"], ["o_orderkey"])
+    """Items with injected orphans: the key is negative for every seventh part and NULL for every 101st."""
+    part, key = F.col("l_partkey"), F.col("l_orderkey")
+    items = table(spark, d, "lineitem").withColumn(
+        "l_orderkey", F.when(part % 101 != 0, F.when(part % 7 == 0, -key).otherwise(key)))
+    orphans = quality.find_orphans(items, table(spark, d, "orders"), ["l_orderkey"], ["o_orderkey"])
     return orphans.select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 # ---------------------------------------------------------------- indicators
 
 def kpi_monthly_sales(spark, d):
-    return kpi.monthly_sales(table(spark, d, "lineitem"), table(spark, d, "orders"),
-                             item_key="l_orderkey", order_key="o_orderkey",
-                             date_col="o_orderdate", value="l_extendedprice")
+    sales = star.fact_join(_items(spark, d), _orders(spark, d), "order_key")
+    return kpi.monthly_sales(sales, order_key="order_key", date_col="o_orderdate",
+                             value="l_extendedprice")
 
 
 def _customer_region(spark, d) -> DataFrame:
@@ -342,12 +342,10 @@ def _customer_region(spark, d) -> DataFrame:
 
 
 def kpi_sales_by_region(spark, d):
-    return kpi.sales_by_group(table(spark, d, "lineitem"), table(spark, d, "orders"),
-                              _customer_region(spark, d),
-                              item_key="l_orderkey", order_key="o_orderkey",
-                              order_customer="o_custkey", order_attr="o_orderstatus",
-                              customer_key="c_custkey", group_col="r_name",
-                              value="l_extendedprice")
+    sales = star.fact_join(_items(spark, d), _orders(spark, d), "order_key")
+    return kpi.sales_by_group(sales, _customer_region(spark, d), customer="o_custkey",
+                              attr="o_orderstatus", customer_key="c_custkey",
+                              group_col="r_name", value="l_extendedprice")
 
 
 # ---------------------------------------------------------------- files
@@ -362,26 +360,15 @@ def csv_multiline_roundtrip(spark, d):
     return cl.project(read_csv(spark, path), spec)
 
 
-def csv_split_records(spark, d):
-    """The same CSV read split-wise: records are put back together from lines.
-
-    This is the reader a landing table gets when a file exceeds one scan
-    split; here it is used on a file of any size.
-    """
-    path = scratch_path(spark, "csv-split")
-    write_csv(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"), path)
-    raw = read_csv_records(spark, path, read_csv(spark, path).schema)
-    spec = cl.TableSpec("conversations", (
-        cl.typed("conv_id", "bigint"), cl.typed("turn", "bigint"),
-        cl.keep("role"), cl.keep("text")))
-    return cl.project(raw, spec)
-
-
 def landing_glob_scan(spark, d):
-    """A landing root with two CSV tables and a text note; count each table."""
+    """Count each table of a landing root: one in the root, one in a sub-folder in
+    several part files, one in two places, and a text note that is no table."""
     root = scratch_path(spark, "landing")
     write_csv(table(spark, d, "customer"), f"{root}/customer.csv")
-    write_csv(table(spark, d, "supplier"), f"{root}/supplier.csv")
+    write_csv(table(spark, d, "supplier").repartition(2), f"{root}/market/supplier.csv")
+    orders = table(spark, d, "orders")
+    write_csv(orders.where(F.col("o_orderkey") % 3 == 0), f"{root}/market/orders.csv")
+    write_csv(orders.where(F.col("o_orderkey") % 3 != 0), f"{root}/late/orders.csv")
     table(spark, d, "part").select("p_name").write.mode("overwrite").text(f"{root}/note.txt")
     return landing_counts(spark, root)
 
@@ -399,19 +386,6 @@ def stream_ingest(spark, d):
     return cl.project(spark.read.parquet(f"{root}/bronze"), spec)
 
 
-def stream_ingest_split(spark, d):
-    """The same stream, reading the files' lines split-wise and rebuilding records."""
-    root = scratch_path(spark, "stream-split")
-    write_csv(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"),
-              f"{root}/landing/conversations.csv")
-    ingest_stream_split(spark, f"{root}/landing", f"{root}/bronze",
-                        checkpoint=f"{root}/checkpoint").awaitTermination()
-    spec = cl.TableSpec("conversations", (
-        cl.typed("conv_id", "bigint"), cl.typed("turn", "bigint"),
-        cl.keep("role"), cl.keep("text")))
-    return cl.project(spark.read.parquet(f"{root}/bronze"), spec)
-
-
 def parquet_roundtrip(spark, d):
     """Replace a table twice, then read it back."""
     root = scratch_path(spark, "parquet")
@@ -458,12 +432,30 @@ def medallion_customers(spark, d):
     return read_table(spark, lake_run(spark, d).gold, "dim_clientes")
 
 
+def medallion_products(spark, d):
+    return read_table(spark, lake_run(spark, d).gold, "dim_produtos")
+
+
+def medallion_sellers(spark, d):
+    return read_table(spark, lake_run(spark, d).gold, "dim_vendedores")
+
+
+def medallion_payments(spark, d):
+    return read_table(spark, lake_run(spark, d).gold, "dim_pagamentos")
+
+
+def medallion_geo_sellers(spark, d):
+    g = read_table(spark, lake_run(spark, d).gold, "dim_geolocalizacao_vendedores")
+    return g.withColumns({c: F.round(c, 4) for c in ("latitude_vendedor", "longitude_vendedor")})
+
+
 def medallion_reviews(spark, d):
     return read_table(spark, lake_run(spark, d).gold, "dim_avaliacoes")
 
 
 def medallion_quality(spark, d):
-    return quality_report(spark, lake_run(spark, d).gold)
+    lake = lake_run(spark, d)
+    return quality_report(spark, lake.gold).unionByName(bronze_checks(spark, lake.bronze))
 
 
 def medallion_kpi_monthly(spark, d):
@@ -507,14 +499,16 @@ QUERIES = {
     "kpi_monthly_sales": kpi_monthly_sales,
     "kpi_sales_by_region": kpi_sales_by_region,
     "csv_multiline_roundtrip": csv_multiline_roundtrip,
-    "csv_split_records": csv_split_records,
     "landing_glob_scan": landing_glob_scan,
     "parquet_roundtrip": parquet_roundtrip,
     "stream_ingest": stream_ingest,
-    "stream_ingest_split": stream_ingest_split,
     "medallion_fact": medallion_fact,
     "medallion_geo_dim": medallion_geo_dim,
     "medallion_customers": medallion_customers,
+    "medallion_products": medallion_products,
+    "medallion_sellers": medallion_sellers,
+    "medallion_payments": medallion_payments,
+    "medallion_geo_sellers": medallion_geo_sellers,
     "medallion_reviews": medallion_reviews,
     "medallion_kpi_monthly": medallion_kpi_monthly,
     "medallion_kpi_state": medallion_kpi_state,

@@ -92,8 +92,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach, so
-    jobs that cut lineage or stage files survive a lost executor.  Only when
-    it is unset (local tests) a private temporary folder is set instead.
+    jobs that cut lineage or stage files survive a lost executor.  Where it
+    is unset, a session in one process (master ``local…``) gets a private
+    temporary folder; any other raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -102,6 +103,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="alloy-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         try:

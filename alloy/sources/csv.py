@@ -1,8 +1,13 @@
 """CSV reader and writer for landing files (IO1).
 
 Landing CSV holds free text with line breaks and doubled quotes, so records
-may span lines (``multiLine``).  Such a file cannot be split; a table's
-parallelism comes from its number of files, all read in one job.
+may span lines (``multiLine``).  Spark reads such a file in one task at any
+size; a table's parallelism comes from its number of files, all read in one
+job, so a large table should land as a folder of part files.
+
+Every file's header must name the columns of the first: ``enforceSchema`` is
+off, so a file with other or reordered columns fails the read instead of
+being matched by position.
 
 No schema is inferred: without ``inferSchema`` every column is a string
 named by the header, which keeps leading zeros (zip ``"01037"``) and avoids a
@@ -12,6 +17,7 @@ full extra pass over the data.  Types are set later by safe casts.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CSV_READ_OPTIONS = {
@@ -20,6 +26,7 @@ CSV_READ_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
+    "enforceSchema": "false",
 }
 
 # Spark's CSV writer trims values unless told not to; text must stay whole.
@@ -49,6 +56,14 @@ def read_csv(spark: SparkSession, path: str | list[str],
     return reader.csv(path)
 
 
+def open_quote_lines(spark: SparkSession, path: str | list[str], glob: str = "*.csv") -> DataFrame:
+    """Lines with an odd number of quotes: they can't be whole records."""
+    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+             .text(path))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return lines.where(quotes % 2 == 1)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options: str) -> None:
     """Write with a header and quotes escaped by doubling (readable by ``read_csv``)."""
     df.write.mode(mode).options(**{**CSV_WRITE_OPTIONS, **options}).csv(path)

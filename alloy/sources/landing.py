@@ -1,29 +1,37 @@
 """Landing-zone discovery (IO2, IO3).
 
-A landing root holds one entry per table: either a single file
-``<table>.csv`` or a folder ``<table>.csv/`` (or ``<table>/``) of CSV part
-files, possibly in sub-folders.  Discovery is one listing by Spark's file
-index (``binaryFile`` with only path and length read, so no file content
-is loaded); the table name is the first path part below the root without
-its ``.csv`` suffix.  Only files whose name matches the glob are kept, so
-notes, markers and other formats in the landing area are ignored.
+A table is named by its file: ``<table>.csv``, or a folder ``<table>.csv/``
+of CSV part files, in the landing root or in any sub-folder.  Discovery is
+one listing by Spark's file index (``binaryFile`` with only path and length
+read, so no file content is loaded).  Only files whose name matches the glob
+are kept, so notes, markers and other formats in the landing area are
+ignored.  A name found in several places is one table: all its files are
+read together, and the reader raises if their headers differ.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloy.sources.csv_records import read_landing_csv
-
+from alloy.sources.csv import read_csv
 
 _SCHEME = re.compile(r"^[A-Za-z][\w+.-]*:")
 
 
+@dataclass(frozen=True)
+class LandingTable:
+    """Where a table's files are: files and folders to read, and its largest file in bytes."""
+
+    paths: tuple[str, ...]
+    largest: int
+
+
 def _root_tail(root: str) -> str:
     """Path of ``root`` without scheme and leading slashes, made absolute when local."""
     root = root.rstrip("/")
@@ -33,52 +41,54 @@ def _root_tail(root: str) -> str:
 
 
 def list_landing(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """One row per landing file: ``path``, ``length``, ``entry``, ``table_name``."""
+    """One row per landing file: ``path``, ``length``, ``entry``, ``table_name``.
+
+    ``entry`` is the file, or the outermost folder named like one, relative
+    to the root; ``table_name`` is its last part without ``.csv``.
+    """
     files = (spark.read.format("binaryFile")
              .option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true")
              .load(root)
              .select("path", "length"))
     # listed paths are qualified (``file:/…``, ``s3a://bucket/…``): anchor at the start
-    pattern = r"^[A-Za-z][\w+.-]*:/*" + re.escape(_root_tail(root)) + "/([^/]+)"
-    entry = F.regexp_extract("path", pattern, 1)
+    below = F.regexp_extract("path", r"^[A-Za-z][\w+.-]*:/*" + re.escape(_root_tail(root)) + "/(.+)", 1)
+    folder = F.regexp_extract(below, r"^((?:[^/]+/)*?[^/]+\.csv)/", 1)
+    entry = F.when(folder != "", folder).otherwise(below)
     return (files.withColumn("entry", entry)
-                 .withColumn("table_name", F.regexp_replace("entry", r"\.csv$", "")))
+                 .withColumn("table_name", F.regexp_replace(
+                     F.regexp_extract("entry", r"([^/]+)$", 1), r"\.csv$", "")))
 
 
-def landing_entries(spark: SparkSession, root: str,
-                    glob: str = "*.csv") -> dict[str, tuple[str, int]]:
-    """Table name → (path to read, size of its largest file in bytes).
+def landing_entries(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[str, LandingTable]:
+    """Table name → its places below the root, in the order of their paths.
 
-    Only one aggregated row per table reaches the driver.  A missing root
-    has no tables.
+    One row per table reaches the driver.  A missing root has no tables.
     """
     try:
         rows = (list_landing(spark, root, glob)
-                .groupBy("entry", "table_name").agg(F.max("length").alias("largest"))
+                .groupBy("table_name")
+                .agg(F.sort_array(F.collect_set("entry")).alias("entries"),
+                     F.max("length").alias("largest"))
                 .collect())
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return {}
         raise
     base = root.rstrip("/")
-    return {r.table_name: (f"{base}/{r.entry}", int(r.largest))
+    return {r.table_name: LandingTable(tuple(f"{base}/{e}" for e in r.entries), int(r.largest))
             for r in sorted(rows, key=lambda r: r.table_name)}
 
 
-def landing_tables(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[str, str]:
-    """Table name → path to read, for every table with at least one file."""
-    return {name: path for name, (path, _) in landing_entries(spark, root, glob).items()}
+def landing_tables(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[str, list[str]]:
+    """Table name → paths to read, for every table with at least one file."""
+    return {name: list(t.paths) for name, t in landing_entries(spark, root, glob).items()}
 
 
 def scan_landing(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[str, DataFrame]:
-    """Every landing table as an all-string DataFrame.
-
-    A table whose largest file exceeds one scan split is read split-wise
-    (``read_landing_csv``), so no file is a single task.
-    """
-    return {name: read_landing_csv(spark, path, largest, glob=glob)
-            for name, (path, largest) in landing_entries(spark, root, glob).items()}
+    """Every landing table as an all-string DataFrame."""
+    return {name: read_csv(spark, paths, glob=glob)
+            for name, paths in landing_tables(spark, root, glob).items()}
 
 
 def landing_counts(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:

@@ -1,9 +1,10 @@
 """Parquet tables in a layer root (IO4-IO6).
 
 A layer (bronze, silver, gold) is a folder or bucket prefix with one
-sub-folder per table.  Writes replace the table through Spark's commit
-protocol: task output is committed only when the job succeeds, so a retried
-task or a lost executor leaves no partial table behind.
+sub-folder per table.  Task output is committed only when the job succeeds,
+so a retried task or a lost executor leaves no partial table behind.  An
+overwrite removes the old table before its job runs: a job that fails as a
+whole leaves no table, and the run reports it as failed.
 """
 
 from __future__ import annotations

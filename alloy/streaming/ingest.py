@@ -4,25 +4,24 @@ The batch ``run_bronze`` rewrites every table on every run.  When landing
 files only ever arrive (never change), the same CSV → Parquet step can run
 as a file stream with an ``availableNow`` trigger: each run reads only files
 not seen before, and the checkpoint plus the Parquet sink's log make the
-result exactly-once even when executors or the driver die mid-run.
-
-``ingest_stream`` reads each new file in one task (``multiLine``).
-``ingest_stream_split`` streams the files' lines instead, split by the text
-source like any large file, and rebuilds the records of each micro-batch
-with ``records_from_lines``; every micro-batch replaces its own folder
-``batch=<id>`` below the target, so a replayed batch (after a failure)
-writes the same rows again instead of adding them twice.
+result exactly-once even when executors or the driver die mid-run.  Each new
+file is read by one task (``multiLine``).
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from alloy.session import checkpoint_root
 from alloy.sources.csv import CSV_READ_OPTIONS, read_csv
-from alloy.sources.csv_records import records_from_lines, with_split_columns
+
+
+class LostCheckpoint(RuntimeError):
+    """The target was written by a stream whose checkpoint isn't there."""
 
 
 def header_schema(spark: SparkSession, path: str, glob: str = "*.csv") -> StructType:
@@ -30,16 +29,32 @@ def header_schema(spark: SparkSession, path: str, glob: str = "*.csv") -> Struct
     return read_csv(spark, path, glob=glob).schema
 
 
+def default_checkpoint(spark: SparkSession, source: str, target: str) -> str:
+    """A folder below the shared checkpoint root of this source and target alone."""
+    name = hashlib.sha256(f"{source.rstrip('/')}\n{target.rstrip('/')}".encode()).hexdigest()[:24]
+    return f"{checkpoint_root(spark)}/alloy-streams/{name}"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+
+
 def ingest_stream(spark: SparkSession, source: str, target: str, *,
                   schema: StructType | None = None, checkpoint: str | None = None,
-                  glob: str = "*.csv", name: str = "landing") -> StreamingQuery:
+                  glob: str = "*.csv") -> StreamingQuery:
     """Start an ``availableNow`` stream from CSV files below ``source`` to Parquet.
 
     Call ``awaitTermination()`` on the result to wait for the run to finish.
-    The checkpoint defaults to a folder below the shared checkpoint root.
+    The checkpoint defaults to a folder of this source and target below the
+    shared checkpoint root.  A target that has a sink log while the
+    checkpoint doesn't exist is refused: the sink would skip the new
+    checkpoint's first batches as already written.
     """
     schema = schema or header_schema(spark, source, glob)
-    checkpoint = checkpoint or f"{checkpoint_root(spark)}/alloy-streams/{name}"
+    checkpoint = checkpoint or default_checkpoint(spark, source, target)
+    if _exists(spark, f"{target.rstrip('/')}/_spark_metadata") and not _exists(spark, checkpoint):
+        raise LostCheckpoint(f"{target} was written by a stream, and its checkpoint {checkpoint} doesn't exist")
     stream = (spark.readStream.format("csv")
               .options(**CSV_READ_OPTIONS)
               .option("pathGlobFilter", glob)
@@ -51,30 +66,3 @@ def ingest_stream(spark: SparkSession, source: str, target: str, *,
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())
-
-
-def ingest_stream_split(spark: SparkSession, source: str, target: str, *,
-                        schema: StructType | None = None, checkpoint: str | None = None,
-                        glob: str = "*.csv", name: str = "landing-split") -> StreamingQuery:
-    """Like ``ingest_stream``, but no file is read by a single task.
-
-    The target is a Parquet folder with one ``batch=<id>`` folder per
-    micro-batch; read it with ``spark.read.parquet(target)``.
-    """
-    schema = schema or header_schema(spark, source, glob)
-    checkpoint = checkpoint or f"{checkpoint_root(spark)}/alloy-streams/{name}"
-    text = (spark.readStream.format("text")
-            .option("lineSep", "\n")
-            .option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true")
-            .load(source))
-
-    def write_batch(lines, batch_id: int) -> None:
-        records = records_from_lines(lines, schema)
-        records.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
-
-    return (with_split_columns(text).writeStream
-            .foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start())

@@ -19,8 +19,8 @@ import sys
 from alloy.plans import tpch
 from alloy.session import get_spark
 
-FILE_QUERIES = {"csv_multiline_roundtrip", "csv_split_records", "landing_glob_scan",
-                "parquet_roundtrip", "stream_ingest", "stream_ingest_split"}
+FILE_QUERIES = {"csv_multiline_roundtrip", "landing_glob_scan",
+                "parquet_roundtrip", "stream_ingest"}
 
 
 def plan_text(df) -> str:

@@ -1,0 +1,15 @@
+"""The window form of keep-one, to compare the aggregate form with."""
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from alloy.operators.dedup import _orderable
+
+
+def keep_one_window(df: DataFrame, key: list[str], order: list[tuple[str, bool]],
+                     rest: list[str]) -> DataFrame:
+    sort = [F.col(n).desc_nulls_last() if d else F.col(n).asc_nulls_last() for n, d in order]
+    sort += [F.col(c).asc_nulls_first() for c in rest if _orderable(df.schema[c].dataType)]
+    w = Window.partitionBy(*key).orderBy(*sort)
+    return (df.withColumn("__rn", F.row_number().over(w))
+              .filter(F.col("__rn") == 1).drop("__rn"))

@@ -138,7 +138,7 @@ _NESTED_ROWS = st.lists(st.tuples(
 @given(_NESTED_ROWS)
 def test_array_and_struct_desc_match_the_window_order(spark, data):
     """Descending arrays/structs: the aggregate form keeps the window's row."""
-    from alloy.operators.dedup import _keep_one_window
+    from reference_dedup import keep_one_window
     df = spark.createDataFrame(
         data, "k int, arr array<int>, st struct<s:string, x:float>, v int")
     for col in ("arr", "st"):
@@ -146,5 +146,5 @@ def test_array_and_struct_desc_match_the_window_order(spark, data):
         text = got._jdf.queryExecution().optimizedPlan().toString()
         assert "Window" not in text
         rest = [c for c in df.columns if c not in ("k", col)]
-        want = _keep_one_window(df, ["k"], [(col, True)], rest)
+        want = keep_one_window(df, ["k"], [(col, True)], rest)
         assert rows(got) == rows(want.select(*got.columns)), col

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from alloy.plans import marketplace as mp
-from alloy.plans.medallion import SKIPPED, Layout, LayerError, run_layers
+from alloy.plans.medallion import MISSING, SKIPPED, Layout, LayerError, run_layers
 from alloy.sources.parquet import read_table
 
 from conftest import rows
@@ -192,9 +192,9 @@ def test_quality_report_and_indicators_on_fixtures(spark, tmp_dir):
         ("negative_value", "dim_pagamentos"): 1,
     }
     monthly = rows(_gold(spark, layout, "kpi_vendas_mensais"))
-    assert monthly == [(None, None, 1, None), (2017, 10, 1, 16.5)]
+    assert monthly == [(None, None, 1, None, 0), (2017, 10, 1, 16.5, 0)]
     by_state = rows(_gold(spark, layout, "kpi_vendas_por_estado"))
-    assert by_state == [("sp", "delivered", 2, 16.5), ("sp", "invoiced", 1, None)]
+    assert by_state == [("sp", "delivered", 2, 16.5, 0), ("sp", "invoiced", 1, None, 0)]
 
 
 def test_command_line_runs_each_stage(spark, tmp_dir, capsys):
@@ -239,19 +239,44 @@ def test_no_landing_files_stops_early(spark, tmp_dir):
     assert not os.path.exists(layout.silver)
 
 
-def test_split_wise_bronze_gives_the_same_gold(spark, tmp_dir):
-    """Every landing file larger than a (tiny) split is read split-wise."""
-    a, b = _layout(os.path.join(tmp_dir, "a")), _layout(os.path.join(tmp_dir, "b"))
-    _write_landing(a.landing)
-    _write_landing(b.landing)
-    run_layers(spark, a)
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
-    try:
-        run_layers(spark, b)
-        for name in mp.SILVER_SPECS:
-            assert rows(read_table(spark, a.bronze, name)) == rows(read_table(spark, b.bronze, name)), name
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    for t in mp.GOLD_TABLES:
-        assert rows(_gold(spark, a, t)) == rows(_gold(spark, b, t)), t
+def test_a_withheld_file_is_missing_not_stale(spark, tmp_dir):
+    layout = _layout(tmp_dir)
+    _write_landing(layout.landing)
+    run_layers(spark, layout)
+    os.remove(os.path.join(layout.landing, f"{mp.PRODUCTS}.csv"))
+    report = run_layers(spark, layout)
+    assert mp.PRODUCTS not in report.bronze
+    assert report.silver[mp.PRODUCTS] == MISSING and report.missing() == [mp.PRODUCTS]
+    assert report.gold["dim_produtos"] == SKIPPED
+    assert report.gold["fato_vendas"] == "ok"
+
+
+def test_a_price_beyond_any_decimal_is_counted(spark, tmp_dir):
+    layout = _layout(tmp_dir)
+    _write_landing(layout.landing)
+    with open(os.path.join(layout.landing, f"{mp.ITEMS}.csv"), "a") as f:
+        f.write("o1,3,p1,s1,2017-10-06 11:07:15,1e20,0\no1,4,p1,s1,2017-10-06 11:07:15,1e40,0\n")
+    run_layers(spark, layout, kpis=True)
+    assert rows(_gold(spark, layout, "kpi_vendas_mensais")) == [
+        (None, None, 1, None, 0), (2017, 10, 1, 1e20 + 16.5, 1)]
+    assert _gold(spark, layout, "fato_vendas").count() == 5
+
+
+def test_single_line_table_with_an_open_quote_fails(spark, tmp_dir):
+    layout = _layout(tmp_dir)
+    _write_landing(layout.landing)
+    with pytest.raises(LayerError, match="OpenQuote"):
+        run_layers(spark, layout, single_line=[mp.REVIEWS])
+
+
+def test_quarantine_is_empty_after_a_clean_run(spark, tmp_dir):
+    layout = _layout(tmp_dir)
+    _write_landing(layout.landing)
+    run_layers(spark, layout)
+    assert read_table(spark, layout.quarantine, mp.SELLERS).count() == 1
+    with open(os.path.join(layout.landing, f"{mp.SELLERS}.csv"), "w") as f:
+        f.write("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,09000,x,SP\n")
+    report = run_layers(spark, layout)
+    q = read_table(spark, layout.quarantine, mp.SELLERS)
+    assert q.count() == 0 and "reject_reason" in q.columns
+    assert report.largest_file[mp.SELLERS] > 0

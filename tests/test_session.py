@@ -1,3 +1,5 @@
+import pytest
+
 from alloy.session import checkpoint_root, object_store_conf, scratch_path
 
 
@@ -13,3 +15,22 @@ def test_scratch_lives_below_the_checkpoint_root(spark):
     root = checkpoint_root(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a.startswith(root) and b.startswith(root) and a != b
+
+
+class _Cluster:
+    """A session of a cluster without a shared folder."""
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class sparkContext:
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_Cluster)

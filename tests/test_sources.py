@@ -1,7 +1,9 @@
 import os
 
+import pytest
+
 from alloy.sources.csv import read_csv, write_csv
-from alloy.sources.landing import landing_counts, landing_tables
+from alloy.sources.landing import landing_counts, landing_tables, scan_landing
 from alloy.sources.parquet import read_table, write_table
 
 from conftest import rows
@@ -71,3 +73,57 @@ def test_landing_root_named_like_an_outer_folder(spark, tmp_dir):
     with open(os.path.join(root, "orders.csv"), "w") as f:
         f.write("order_id\no1\n")
     assert set(landing_tables(spark, root)) == {"orders"}
+
+
+def _write(path, text, encoding="utf-8"):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding=encoding, newline="") as f:
+        f.write(text)
+
+
+#: Files that readers disagree on: first line empty, CR line ends, mixed line ends, a Latin-1 byte, another delimiter.
+ODD_FILES = [
+    ("\na,b\n1,x\n2,y\n", "utf-8", {}), ("a,b\r1,x\r2,y\r", "utf-8", {}),
+    ("a,b\r\n1,x\n2,y\r\n", "utf-8", {}), ("a,b\n1,caf\u00e9\n2,y\n", "latin-1", {}),
+    ("a;b\n1;x\n2;y\n", "utf-8", {"sep": ";"}),
+]
+
+
+@pytest.mark.parametrize("k", range(len(ODD_FILES)))
+def test_rows_do_not_depend_on_the_split_size(spark, tmp_dir, k):
+    text, encoding, options = ODD_FILES[k]
+    path = os.path.join(tmp_dir, "t.csv")
+    _write(path, text, encoding)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = []
+    try:
+        for size in ("4", "64", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = read_csv(spark, path, **options)
+            got.append((df.columns, rows(df)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got[0] == got[1] == got[2] and got[0][1]
+
+
+def test_one_name_in_two_places_is_one_table(spark, tmp_dir):
+    _write(os.path.join(tmp_dir, "orders.csv"), "id\no1\n")
+    _write(os.path.join(tmp_dir, "late", "orders.csv", "part-0.csv"), "id\no2\no3\n")
+    _write(os.path.join(tmp_dir, "orders", "sellers.csv"), "id\ns1\n")
+    assert rows(landing_counts(spark, tmp_dir)) == [("orders", 3), ("sellers", 1)]
+
+
+def test_files_of_a_sub_folder_are_tables_of_their_own(spark, tmp_dir):
+    _write(os.path.join(tmp_dir, "market", "orders.csv"), "order_id,n\no1,1\n")
+    _write(os.path.join(tmp_dir, "market", "sellers.csv"), "seller_id,zip\ns1,01037\n")
+    found = scan_landing(spark, tmp_dir)
+    assert {n: df.columns for n, df in found.items()} == {
+        "orders": ["order_id", "n"], "sellers": ["seller_id", "zip"]}
+
+
+@pytest.mark.parametrize("other", ["b,a\ny,2\n", "a,b,c\n1,2,3\n"])
+def test_differing_headers_fail_the_read(spark, tmp_dir, other):
+    _write(os.path.join(tmp_dir, "t.csv", "part-0.csv"), "a,b\n1,x\n")
+    _write(os.path.join(tmp_dir, "t.csv", "part-1.csv"), other)
+    with pytest.raises(Exception, match="header"):
+        scan_landing(spark, tmp_dir)["t"].collect()

@@ -1,6 +1,8 @@
 import os
 
-from alloy.streaming.ingest import ingest_stream
+import pytest
+
+from alloy.streaming.ingest import LostCheckpoint, ingest_stream
 
 from conftest import rows
 
@@ -20,29 +22,28 @@ def test_available_now_ingests_only_new_files(spark, tmp_dir):
     assert rows(spark.read.parquet(target)) == [("1", "one\nline"), ("2", "two"), ("3", "three")]
 
 
-def test_split_stream_rebuilds_records_and_reads_only_new_files(spark, tmp_dir):
-    from alloy.streaming.ingest import ingest_stream_split
+def _landing(tmp_dir):
     src = os.path.join(tmp_dir, "landing")
     os.makedirs(src)
-    body = "".join(f'{i},"linha {i}\nsegue ""{i}""\r\nfim"\n' if i % 2 else f"{i},simples\n"
-                   for i in range(40))
-    with open(os.path.join(src, "a.csv"), "w", newline="") as f:
-        f.write("id,text\n" + body)
-    target = os.path.join(tmp_dir, "bronze")
-    ckpt = os.path.join(tmp_dir, "ckpt")
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")  # records cross splits
-    try:
-        ingest_stream_split(spark, src, target, checkpoint=ckpt).awaitTermination()
-        got = spark.read.parquet(target).select("id", "text")
-        assert rows(got) == rows(spark.read.options(header=True, multiLine=True, escape='"')
-                                  .csv(os.path.join(src, "a.csv")))
-        assert got.count() == 40
-        with open(os.path.join(src, "b.csv"), "w") as f:
-            f.write("id,text\n40,quarenta\n")
-        ingest_stream_split(spark, src, target, checkpoint=ckpt).awaitTermination()
-        back = spark.read.parquet(target)
-        assert back.count() == 41
-        assert back.select("batch").distinct().count() == 2  # the second run read b.csv only
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write("id,text\n1,one\n2,two\n")
+    return src
+
+
+def test_two_targets_of_one_source_have_their_own_checkpoints(spark, tmp_dir):
+    src = _landing(tmp_dir)
+    for name in ("first", "second"):
+        target = os.path.join(tmp_dir, name)
+        ingest_stream(spark, src, target).awaitTermination()
+        assert rows(spark.read.parquet(target)) == [("1", "one"), ("2", "two")]
+
+
+def test_a_target_without_its_checkpoint_is_refused(spark, tmp_dir):
+    src, target = _landing(tmp_dir), os.path.join(tmp_dir, "bronze")
+    ingest_stream(spark, src, target, checkpoint=os.path.join(tmp_dir, "old")).awaitTermination()
+    with open(os.path.join(src, "b.csv"), "w") as f:
+        f.write("id,text\n3,three\n")
+    with pytest.raises(LostCheckpoint):
+        ingest_stream(spark, src, target, checkpoint=os.path.join(tmp_dir, "new"))
+    ingest_stream(spark, src, target, checkpoint=os.path.join(tmp_dir, "old")).awaitTermination()
+    assert spark.read.parquet(target).count() == 3
