@@ -1,0 +1,33 @@
+"""Documents with the awkward cases that every operator has to take."""
+
+WORDS = "the plan of a long river and its many small towns is drawn by hand on old paper".split()
+
+
+def prose(seed: int, n: int) -> str:
+    """``n`` words that differ from seed to seed."""
+    return " ".join(f"{WORDS[(seed * 7 + i * i) % len(WORDS)]}{(seed * 31 + i) % 97}" for i in range(n))
+
+
+LONG = prose(3, 60_000)
+
+EDGE = [
+    (1, prose(1, 120), "en", "a"), (2, None, "en", "a"), (3, "", None, "a"), (4, " \n\t ", "en", None),
+    (5, prose(1, 120), "en", "b"), (6, prose(6, 70), "fr", "b"), (6, prose(6, 70), "fr", "b"),
+    (None, prose(8, 60), "en", "a"), (None, None, None, None), (9, LONG, "en", "a"), (10, "x", "en", "a"),
+    (11, "é" * 40 + " ß\u2028 \U0001F600 #$%", "de", "c"),
+]
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+def documents(spark, rows=EDGE, clash=True):
+    """The rows, with extra columns named like results and like the columns read but for case."""
+    df = spark.createDataFrame(rows, SCHEMA)
+    if clash:
+        for name in ("kept", "size", "score", "shard", "draws", "component_id", "n_words", "host", "__cell"):
+            df = df.selectExpr("*", f"'clash' AS {name}")
+        df = df.selectExpr("*", "'other' AS TEXT", "0 AS Doc_ID")
+    return df
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)

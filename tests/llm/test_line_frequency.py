@@ -1,0 +1,61 @@
+import re
+from collections import Counter, defaultdict
+
+from edge import EDGE, documents, empty, prose
+
+from alloy.llm import line_frequency as lf
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(rows, min_docs, max_share, min_left):
+    def norm(line):
+        line = re.sub("[A-Z]", lambda m: m[0].lower(), line)
+        return " ".join(WORD.findall(re.sub("[0-9]", "0", line)))
+
+    texts = defaultdict(set)
+    for _, t, _, s in rows:
+        texts[s].add(t or "")
+    bad = {}
+    for s, ts in texts.items():
+        seen = Counter(x for t in ts for x in {norm(y) for y in t.split("\n")} if x)
+        bad[s] = {x for x, n in seen.items() if n > min_docs and n > max_share * len(ts)}
+    out = []
+    for i, t, _, s in rows:
+        t = t or ""
+        w = WORD.findall(t)
+        tri = [tuple(w[k:k + 3]) for k in range(len(w) - 2)]
+        many = Counter(tri)
+        hit = {k + j for k, x in enumerate(tri) if many[x] > 1 for j in range(3)}
+        full = [x for x in t.split("\n") if WORD.search(x)]
+        left = len(w) - sum(len(WORD.findall(x)) for x in full if norm(x) in bad[s])
+        failed = len(w) < 50 or 100 * len(hit) > 50 * len(w)
+        out.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(full) - len(set(full)), len(hit),
+                    failed, left, not failed and left >= min_left * len(w)))
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_equals_brute_force(spark):
+    rows = list(EDGE)
+    for i in range(60):
+        menu = "Home | About | Contact us 2024\nSign UP  for our letter"
+        body = prose(i, 30 + 5 * (i % 20)) + "\n" + (prose(i, 40) if i % 4 else prose(7, 12))
+        rows.append((100 + i, (f"{menu}\n" * (1 + 6 * (i % 3))) + body, "en", "abc"[i % 3]))
+        rows.append((200 + i, prose(99, 80).upper() + "\n" + prose(i, 25), "en", "abc"[i % 3]))
+    rows += [(500 + i, "same text " + prose(1, 80), "en", "a") for i in range(40)]  # copies: one text
+    got = rows_of(lf.line_quality(documents(spark, rows), min_docs=5, max_share=0.1, min_left=0.5))
+    want = brute(rows, 5, 0.1, 0.5)
+    assert got == want
+    assert any(not k and not f for *_, f, _, k in want)  # some are depleted
+    assert all(r[-1] for r in want if r[0] is not None and r[0] >= 500)
+
+
+def test_windows_overlap_and_empty_tables(spark):
+    assert lf.repeat_words(b"a a a a".split()) == 4
+    assert lf.repeat_words(b"a b c d a b c".split()) == 6
+    assert lf.repeat_words(b"a b".split()) == 0
+    assert lf.line_quality(empty(spark)).count() == 0

@@ -1,0 +1,105 @@
+import numpy as np
+import pytest
+from edge import EDGE, documents, empty, prose
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from alloy.llm import mixing
+
+
+def brute_targets(sizes, weights, most):
+    """Fill all open sources by weight in many small steps."""
+    out, left = np.zeros(len(sizes)), float(sum(sizes))
+    for _ in range(4000):
+        w = np.array([x if o < most * s - 1e-9 else 0 for x, o, s in zip(weights, out, sizes, strict=True)], float)
+        if left <= 1e-9 or not w.sum():
+            break
+        step = np.minimum(left * w / w.sum(), np.array(sizes) * most - out)
+        out += step
+        left -= step.sum()
+    return out
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 500), st.sampled_from([1, 2, 5])), max_size=12))
+def test_targets(pairs):
+    sizes, weights = [p[0] for p in pairs], [p[1] for p in pairs]
+    got = mixing.targets(sizes, weights)
+    assert got == pytest.approx(list(brute_targets(sizes, weights, 3)), rel=1e-6, abs=1e-6)
+    assert sum(got) == pytest.approx(sum(sizes))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 200), min_size=1, max_size=6), st.integers(1, 20))
+def test_the_tree_splits_the_quotas_exactly(quotas, shards):
+    q = np.array(quotas)
+    parts = [mixing.shard_ranges(q, shards, s) for s in range(shards)]
+    for k, n in enumerate(quotas):  # ranges in shard order cover each source's draws once
+        assert [x for p in parts for x in range(*p[k])] == list(range(n))
+    sizes = [sum(b - a for a, b in p) for p in parts]
+    assert max(sizes) - min(sizes) <= 1
+
+
+def test_fill_takes_what_fits_then_the_nearest():
+    assert mixing.fill([5, 9, 2], 8) == [True, False, True]
+    assert mixing.fill([5], 3) == [True] and mixing.fill([7], 3) == [False]
+    assert mixing.fill([0, 4], 0) == [False, False]
+
+
+def corpus():
+    rng = np.random.default_rng(4)
+    rows = [(i, prose(i, int(rng.integers(1, 60))), "en", "abcdefg"[min(6, int(rng.integers(0, 12)))]) for i in range(1500)]
+    return rows + [(5000 + i, prose(i, 20), "en", None) for i in range(90)]
+
+
+def test_targets_are_met_and_reruns_agree(spark):
+    docs = documents(spark, corpus())
+    a = mixing.mix_plan_rows(docs, shard_words=4000).toPandas()
+    b = mixing.mix_plan_rows(docs.repartition(11), shard_words=4000).toPandas()
+    plain = [sorted((r.doc_id, tuple(map(tuple, r.draws))) for r in d.itertuples()) for d in (a, b)]
+    assert plain[0] == plain[1] and len(a) == 1590
+    a["n"] = a.draws.map(len)
+    a["taken"] = a.n * a["size"]
+    assert a.n.max() <= 3
+    by = a.assign(source=a.source.fillna("~")).groupby("source").agg(
+        size=("size", "sum"), told=("source_size", "first"), target=("target", "first"), taken=("taken", "sum"))
+    assert (by["size"] == by.told).all()
+    assert (abs(by.taken - by.target) <= 0.01 * by.target + 3).all()
+    goal = mixing.targets(by["size"].tolist(), [5, 2, 1, 5, 2, 1, 5, 2][:len(by)])
+    assert by.target.tolist() == pytest.approx(goal)
+    # a document is in a pass once, and the shards hold about equal shares
+    assert all(len({d[0] for d in r}) == len(r) for r in a.draws)
+    shards = np.bincount([d[1] for r in a.draws for d in r])
+    assert len(shards) == -(-int(a["size"].sum()) // 4000) and shards.min() > 0
+
+
+def test_a_source_that_reaches_its_bound(spark):
+    rows = [(1, "one two", "en", "a"), (2, "x y z", "en", "b"), *[(10 + i, prose(i, 30), "en", "c") for i in range(50)]]
+    got = mixing.mix_plan_rows(documents(spark, rows)).toPandas().set_index("doc_id")
+    assert got.target[1] == 6 and len(got.draws[1]) == 3
+    assert got.target[2] == 9 and len(got.draws[2]) == 3
+
+
+def test_rows_of_the_mix(spark):
+    docs = documents(spark, corpus())
+    plan = mixing.mix_plan_rows(docs, shard_words=4000).toPandas()
+    mix = mixing.mix_documents(docs, shard_words=4000)
+    assert mix.columns == docs.columns
+    want = {r.doc_id: len(r.draws) for r in plan.itertuples() if len(r.draws)}
+    got = {}
+    for r in mix.collect():
+        got[r[0]] = got.get(r[0], 0) + 1
+    assert got == want
+
+
+def test_edge_cases(spark):
+    got = mixing.mix_plan_rows(documents(spark)).toPandas()
+    assert len(got) == len(EDGE)
+    same = got[got.doc_id == 6].draws.tolist()
+    assert list(map(tuple, same[0])) == list(map(tuple, same[1]))
+    assert mixing.mix_plan_rows(empty(spark)).count() == 0
+    nothing = documents(spark, [(1, None, "en", "a"), (2, "", "en", None)])
+    assert mixing.mix_plan_rows(nothing).toPandas().draws.map(len).tolist() == [0, 0]
+    assert mixing.mix_documents(nothing).count() == 0
+    with pytest.raises(ValueError, match="sources"):
+        mixing.plan_mix(documents(spark, corpus()), max_sources=3)
