@@ -150,26 +150,27 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, per_language: int = 800, max_languages: int = 200,
-                    max_chars: int = 20_000) -> tuple[list[str], list[str]]:
+                    max_docs: int = 6_000, max_chars: int = 20_000) -> tuple[list[str], list[str]]:
     """A bounded sample of labelled documents, the same on every run.
 
     Of each of the ``max_languages`` most frequent languages about
     ``per_language`` documents of up to ``max_chars`` characters, drawn by
-    the hash of doc_id; held-out documents and those without id, text or
-    language are left out.
+    the hash of doc_id, or fewer so that all come to about ``max_docs``;
+    held-out documents and those without id, text or language are left out.
     """
     rows = pick(docs, "doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     if not counts:
         return [], []
+    each = max(1, min(per_language, max_docs // len(counts)))
     part = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rates = rows.sparkSession.createDataFrame(
-        [(r["lang"], min(1.0, per_language / r["count"])) for r in counts], "lang string, rate double")
+        [(r["lang"], min(1.0, each / r["count"])) for r in counts], "lang string, rate double")
     drawn = (rows.join(F.broadcast(rates), "lang").where(part < F.col("rate"))  # max_languages rows
              .where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
              .select("doc_id", "text", "lang").orderBy("doc_id", "lang", "text")
-             .limit(2 * per_language * len(counts)).collect())
+             .limit(2 * each * len(counts)).collect())
     drawn = [r for r in drawn if has_letter(r["text"])]
     return [r["text"] for r in drawn], [r["lang"] for r in drawn]
 
