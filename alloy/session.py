@@ -115,9 +115,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/alloy-scratch/{spark.conf.get('spark.app.id', 'app')}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/alloy-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder of this application below the shared checkpoint root."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch folders.
+
+    Frames that operators have returned read them until they are written.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

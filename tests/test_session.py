@@ -1,6 +1,6 @@
 import pytest
 
-from alloy.session import checkpoint_root, object_store_conf, scratch_path
+from alloy.session import checkpoint_root, drop_scratch, object_store_conf, scratch_path
 
 
 def test_object_store_conf_has_no_secrets():
@@ -34,3 +34,14 @@ class _Cluster:
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(_Cluster)
+
+
+def test_scratch_of_the_application_can_be_dropped(spark, monkeypatch):
+    root = f"{checkpoint_root(spark)}/other-application"
+    monkeypatch.setattr("alloy.session._scratch_root", lambda _: root)
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    drop_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
