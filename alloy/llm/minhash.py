@@ -5,10 +5,14 @@
    with the bucket's head, a member drawn by a hash, so different buckets of
    a group have different heads; pairs whose signatures agree too little
    for the threshold are dropped, the rest are confirmed on full sets.
-3. Components of these links.  What a bucket holds besides its head's
+3. Components of these links.  What a bucket holds besides its largest
    component is compared with all its members, in blocks of bounded size;
    members that are already in one component are not.
 4. Components of all links.
+
+Signatures and texts are shuffled for the classes that a comparison needs
+only: a Bloom filter of fixed size, broadcast, leaves out most others before
+the join that leaves out the rest.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 
 from alloy.llm.common import pick, stored
 from alloy.llm.components import components
+from alloy.llm.url_filter import bloom, with_possible
 
 BANDS, ROWS = 25, 5
 SEED = 5
@@ -94,6 +99,11 @@ def band_hashes(sig: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def short(sig: np.ndarray) -> bytes:
+    """The low 16 bits of the minima: enough to count agreement."""
+    return sig.astype(np.uint16).tobytes()
+
+
 def least_agreement(similarity: float) -> int:
     """Agreeing minima below which a pair of that similarity is left out with a chance of 1e-6 or so."""
     n = BANDS * ROWS
@@ -114,7 +124,7 @@ def _measure(size: int):
                     sh = shingles(words, size)
                     n.append(len(sh))
                     s = signature(sh) if len(sh) else None
-                    sig.append(None if s is None else s.tobytes())
+                    sig.append(None if s is None else short(s))
                     bands.append(None if s is None else band_hashes(s))
                 yield pa.record_batch(
                     [batch.column(0), pa.array(key1, pa.int64()), pa.array(key2, pa.int64()),
@@ -130,7 +140,7 @@ def _agree(least: int, similarity: float):
             a, b, na, nb, sa, sb = (batch.column(i) for i in range(6))
             na, nb = na.to_numpy(), nb.to_numpy()
             same = np.fromiter(
-                (np.count_nonzero(np.frombuffer(x, np.uint32) == np.frombuffer(y, np.uint32))
+                (np.count_nonzero(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16))
                  for x, y in zip(sa.to_pylist(), sb.to_pylist(), strict=True)), np.int64, len(na))
             ok = (same >= least) & (np.minimum(na, nb) >= similarity * np.maximum(na, nb) - 1e-9)
             yield pa.record_batch([a, b], ["a", "b"]).filter(pa.array(ok))
@@ -158,44 +168,74 @@ def _confirm(size: int, percent: int):
     return run
 
 
-def _compare_block(size: int, percent: int, least: int):
-    """Links between the odd members of one block and the members of another, in one bucket.
+def _able(odd: pd.DataFrame, rest: pd.DataFrame, least: int) -> np.ndarray:
+    """Which pairs of two blocks of a bucket need a comparison.
 
-    Leaves out pairs in one component, pairs that share an earlier band (its
-    bucket compares them) and what the links found here already join.
+    Not those of one component, those whose signatures agree too little, and
+    those that share an earlier band: its bucket compares them.
     """
+    band = int(rest["band"].iloc[0])
+    roots = rest["root"].to_numpy()
+    sig = np.stack([np.frombuffer(s, np.uint16) for s in rest["sig"]])
+    bands = np.stack([np.asarray(x, np.int64)[:band] for x in rest["bands"]])
+    out = np.zeros((len(odd), len(rest)), bool)
+    for i, (root, own, own_bands) in enumerate(zip(odd["root"], odd["sig"], odd["bands"], strict=True)):
+        out[i] = (roots != root) & ((sig == np.frombuffer(own, np.uint16)).sum(axis=1) >= least)
+        out[i] &= ~(bands == np.asarray(own_bands, np.int64)[:band]).any(axis=1)
+    return out
+
+
+_SIDES = ["bucket", "i", "j", "band", "rep", "root", "sig", "bands", "odd_side"]
+_SIDES_SCHEMA = ("bucket long, i int, j int, band int, rep long, root long, sig binary, bands array<long>, "
+                 "odd_side boolean")
+
+
+def _agree_block(least: int):
+    """The members of two blocks that have a partner in the other."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         odd, rest = pdf[pdf["odd_side"]], pdf[~pdf["odd_side"]]
         if not len(odd) or not len(rest):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        band = int(pdf["band"].iloc[0])
+            return pdf[_SIDES].iloc[:0]
+        able = _able(odd, rest, least)
+        return pd.concat([odd[able.any(axis=1)], rest[able.any(axis=0)]])[_SIDES]
+    return run
 
-        def columns(d: pd.DataFrame) -> tuple:
-            return (d["rep"].to_numpy(), d["root"].to_numpy().copy(),
-                    np.stack([np.frombuffer(s, np.uint32) for s in d["sig"]]),
-                    np.stack([np.asarray(x, np.int64)[:band] for x in d["bands"]]),
-                    [shingles(words_of(t), size) for t in d["text"]])
 
-        ids, roots, sig, bands, sets = columns(odd)
-        ids2, roots2, sig2, bands2, sets2 = columns(rest)
+def _compare_block(size: int, percent: int, least: int):
+    """Links between the odd members of one block and the members of another.
+
+    Pairs that the links found so far already join are left out.
+    """
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        odd, rest = pdf[pdf["odd_side"]], pdf[~pdf["odd_side"]]
         out = []
-        for i in range(len(ids)):
-            able = (roots2 != roots[i]) & ((sig2 == sig[i]).sum(axis=1) >= least)
-            able &= ~(bands2 == bands[i]).any(axis=1)
-            for j in np.nonzero(able)[0]:
-                if roots2[j] != roots[i] and similar(sets[i], sets2[j], percent):
-                    out.append((int(ids[i]), int(ids2[j])))
-                    old, new = max(roots[i], roots2[j]), min(roots[i], roots2[j])
-                    roots[roots == old] = new
-                    roots2[roots2 == old] = new
+        if len(odd) and len(rest):
+            able = _able(odd, rest, least)
+            ids, ids2 = odd["rep"].tolist(), rest["rep"].tolist()
+            roots, roots2 = odd["root"].to_numpy().copy(), rest["root"].to_numpy().copy()
+            sets, sets2 = ([shingles(words_of(t), size) for t in d["text"]] for d in (odd, rest))
+            for i in range(len(ids)):
+                for j in np.nonzero(able[i])[0]:
+                    if roots2[j] != roots[i] and similar(sets[i], sets2[j], percent):
+                        out.append((ids[i], ids2[j]))
+                        old, new = max(roots[i], roots2[j]), min(roots[i], roots2[j])
+                        roots[roots == old] = new
+                        roots2[roots2 == old] = new
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
     return run
 
 
+def _only(rows: DataFrame, needed: DataFrame, column: str) -> DataFrame:
+    """``rows`` whose ``column`` is in ``needed`` (a column of that name): a Bloom filter first, then a join."""
+    ids = needed.select(column).distinct()
+    possible = with_possible(rows, column, bloom(ids, column)).where("__possible").drop("__possible")
+    return possible.join(ids, column, "left_semi")
+
+
 def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """(rep, text) of the needed classes, one row each."""
-    return (docs.join(needed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-            .groupBy("doc_id").agg(F.first("text").alias("text")).withColumnRenamed("doc_id", "rep"))
+    """(rep, text) of the classes in ``needed`` (rep), one row each."""
+    rows = docs.withColumnRenamed("doc_id", "rep")
+    return _only(rows, needed, "rep").groupBy("rep").agg(F.first("text").alias("text"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -229,13 +269,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     members = stored(each.join(heads, "bucket"), "minhash-members")
     pairs = members.where(F.col("rep") != F.col("head")).select(
         F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
-    sigs = classes.select("rep", "n", "sig")
+    pairs = stored(pairs, "minhash-candidates")
+    sigs = _only(classes.select("rep", "n", "sig"), _ends(pairs), "rep")
     agreed = (pairs.join(sigs.toDF("a", "na", "sa"), "a").join(sigs.toDF("b", "nb", "sb"), "b")
               .select("a", "b", "na", "nb", "sa", "sb")
               .mapInArrow(_agree(least, percent / 100), "a long, b long"))
     agreed = stored(agreed, "minhash-pairs")
-    ends = agreed.select(F.explode(F.array("a", "b")).alias("rep"))
-    texts = stored(_texts(docs, ends), "minhash-texts")
+    texts = stored(_texts(docs, _ends(agreed)), "minhash-texts")
     links = stored(agreed.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
                    .select("a", "b", "ta", "tb")
                    .mapInArrow(_confirm(size, percent), "a long, b long"), "minhash-links")
@@ -251,23 +291,27 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     return out.select("doc_id", "n_shingles", own.alias("component_id"), kept.alias("kept"))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+
+
 def _odd_members(docs: DataFrame, classes: DataFrame, members: DataFrame, roots: DataFrame,
                  size: int, percent: int, least: int) -> DataFrame | None:
-    """Links of members that are not in the component of their bucket's head, or None.
+    """Links of members that are not in their bucket's largest component, or None.
 
     Buckets of two are done: their only pair was compared.  Others deal
     their members and their odd members into blocks; every block of odd
-    members meets every block of members.
+    members meets every block of members, first by signatures, then those
+    with a partner by their full sets.
     """
-    known = roots.toDF("rep", "root")
-    placed = (members.where(F.col("members") > 2).join(known, "rep", "left")
-              .withColumn("root", F.coalesce("root", "rep"))
-              .join(known.toDF("head", "head_root"), "head", "left")
-              .withColumn("odd", F.col("root") != F.coalesce("head_root", "head"))
-              .select("bucket", "band", "rep", "root", "members", "odd"))
+    placed = (members.where(F.col("members") > 2).join(roots.toDF("rep", "root"), "rep", "left")
+              .select("bucket", "band", "rep", F.coalesce("root", "rep").alias("root"), "members"))
     placed = stored(placed, "minhash-placed")
-    odds = placed.where("odd").groupBy("bucket").agg(F.count("*").alias("odds"))
-    left = placed.join(odds, "bucket")
+    largest = (placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+               .groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"),
+                                      (F.sum("n") - F.max("n")).alias("odds"))
+               .where(F.col("odds") > 0))
+    left = placed.join(largest, "bucket").withColumn("odd", F.col("root") != F.col("largest"))
     blocks = (F.ceil(F.col("members") / BLOCK)).cast("int")
     odd_blocks = (F.ceil(F.col("odds") / BLOCK)).cast("int")
     place = F.xxhash64("rep", F.lit(SEED))
@@ -280,9 +324,11 @@ def _odd_members(docs: DataFrame, classes: DataFrame, members: DataFrame, roots:
     sides = stored(rest.unionByName(odd), "minhash-sides")
     if sides.isEmpty():
         return None
-    texts = _texts(docs, sides)
-    full = sides.join(classes.select("rep", "sig", "bands"), "rep").join(texts, "rep")
-    links = full.groupBy("bucket", "i", "j").applyInPandas(
+    group = ["bucket", "i", "j"]
+    sigs = _only(classes.select("rep", "sig", "bands"), sides, "rep")
+    partners = stored(sides.join(sigs, "rep").groupBy(*group).applyInPandas(
+        _agree_block(least), _SIDES_SCHEMA), "minhash-partners")
+    links = partners.join(_texts(docs, partners), "rep").groupBy(*group).applyInPandas(
         _compare_block(size, percent, least), "a long, b long")
     links = stored(links, "minhash-more")
     return None if links.isEmpty() else links
