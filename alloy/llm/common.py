@@ -32,6 +32,16 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def splittable(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with a long column as a value of its own, for a join on it.
+
+    An aggregate by the column would be joined where it was made, and AQE
+    could not split a hot key's partition of the other side.  As the value of
+    an expression the column is shuffled again, one row per key.
+    """
+    return df.withColumn(column, F.col(column).bitwiseXOR(F.lit(0).cast("long")))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written as a table in the shared folder and read back.
 

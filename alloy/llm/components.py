@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import stored
+from alloy.llm.common import splittable, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Each node joins its larger neighbours to the least of its neighbours and itself."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
-    out = both.join(least, "a").where(F.col("b") > F.col("a"))
+    out = both.join(splittable(least, "a"), "a").where(F.col("b") > F.col("a"))
     return out.select(F.col("b").alias("a"), F.least("m", "a").alias("b")).distinct()
 
 
@@ -20,7 +20,7 @@ def _small_star(links: DataFrame) -> DataFrame:
     """Each node joins its smaller neighbours and itself to the least of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    joined = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    joined = down.join(splittable(least, "a"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     own = least.select("a", F.col("m").alias("b"))
     return joined.where(F.col("a") != F.col("b")).unionByName(own).distinct()
 

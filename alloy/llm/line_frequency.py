@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import pick, stored
+from alloy.llm.common import pick, splittable, stored
 
 #: Characters that count as symbols, as bytes.
 SYMBOLS = b"#*$%&|<>"
@@ -126,11 +126,11 @@ def line_quality(docs: DataFrame, host: str = "source", min_docs: int = 10, max_
                 .join(per_host, "host")
                 .where(F.col("texts_with") > F.lit(max_share) * F.col("texts"))
                 .select("host", "line"))
-    removed = (lines.join(frequent, ["host", "line"]).groupBy(*unit)
+    removed = (lines.join(splittable(frequent, "line"), ["host", "line"]).groupBy(*unit)
                .agg(F.sum("size").alias("gone")))
     n = F.col("n_words")
     failed = (n < 50) | (100 * F.col("n_repeat_words") > 50 * n)
     left = n - F.coalesce("gone", F.lit(0))
-    return (measured.drop("hashes", "sizes").join(removed, unit, "left")
+    return (measured.drop("hashes", "sizes").join(splittable(removed, "text_hash"), unit, "left")
             .select("doc_id", *_STATS, failed.alias("base_failed"), left.alias("n_words_left"),
                     (~failed & (left >= F.lit(min_left) * n)).alias("kept")))

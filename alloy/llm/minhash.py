@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import pick, stored
+from alloy.llm.common import pick, splittable, stored
 from alloy.llm.components import components
 from alloy.llm.url_filter import bloom, with_possible
 
@@ -266,7 +266,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     each = classes.select("rep", F.posexplode("bands").alias("band", "bucket"))
     heads = (each.groupBy("bucket").agg(F.min_by("rep", F.xxhash64("rep", "bucket")).alias("head"),
                                         F.count("*").alias("members")).where(F.col("members") > 1))
-    members = stored(each.join(heads, "bucket"), "minhash-members")
+    members = stored(each.join(splittable(heads, "bucket"), "bucket"), "minhash-members")
     pairs = members.where(F.col("rep") != F.col("head")).select(
         F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
     pairs = stored(pairs, "minhash-candidates")
@@ -282,7 +282,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     roots = components(links)
     more = _odd_members(docs, classes, members, roots, size, percent, least)
     if more is not None:
-        roots = components(links.unionByName(more))
+        roots = components(roots.toDF("a", "b").unionByName(more))  # roots stand for the links found first
     ended = classes.select(*key, "rep").join(roots.toDF("rep", "component_id"), "rep", "left").select(
         *key, F.coalesce("component_id", "rep").alias("component_id"))
     out = measured.select("doc_id", *key, "n_shingles").join(ended, key, "left")
@@ -311,7 +311,7 @@ def _odd_members(docs: DataFrame, classes: DataFrame, members: DataFrame, roots:
                .groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"),
                                       (F.sum("n") - F.max("n")).alias("odds"))
                .where(F.col("odds") > 0))
-    left = placed.join(largest, "bucket").withColumn("odd", F.col("root") != F.col("largest"))
+    left = placed.join(splittable(largest, "bucket"), "bucket").withColumn("odd", F.col("root") != F.col("largest"))
     blocks = (F.ceil(F.col("members") / BLOCK)).cast("int")
     odd_blocks = (F.ceil(F.col("odds") / BLOCK)).cast("int")
     place = F.xxhash64("rep", F.lit(SEED))
