@@ -31,7 +31,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3  # times a source's size that its target may be
 #: Multipliers of the block permutations, one a pass; primes over any number of blocks.
 _TIMES = (2_147_483_647, 2_147_483_629, 2_147_483_587, 2_147_483_579)
-SHARD_WORDS = 4_000_000  # words in an output shard
+SHARD_WORDS = 1_000_000  # words in an output shard
 GROUP = 1024  # blocks in the first step of the search for a quota's end
 
 
@@ -242,7 +242,8 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: flo
                   shard_words: int = SHARD_WORDS, block_docs: int = 64) -> DataFrame:
     """The mix itself: rows of ``docs`` (its own columns), each as often as it is drawn.
 
-    One partition holds whole shards; rows of a shard are shuffled by a hash.
+    A partition holds whole shards, as many as the session's shuffle
+    partitions ask for; rows of a shard are in the order of a hash.
     """
     names = docs.columns
     mix = plan_mix(docs, weights, most, shard_words, block_docs)
@@ -253,5 +254,5 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: flo
     out = _drawn(rows, mix).select("*", F.explode("draws").alias("d"))
     out = out.withColumn("__shard", F.col("d.shard")).withColumn(
         "__order", F.xxhash64("doc_id", "d", F.lit(SEED + 2)))
-    return (out.repartition(mix.shards, "__shard").sortWithinPartitions("__shard", "__order")
+    return (out.repartition("__shard").sortWithinPartitions("__shard", "__order")
             .select(*[f"_c{i}" for i in range(len(names))]).toDF(*names))
