@@ -42,10 +42,10 @@ def test_indicators_with_hot_order_and_customer(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet").withColumn(
         "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey")))
     cust = spark.read.parquet(f"{SF}/customer.parquet").select("c_custkey", "c_mktsegment")
-    got = kpi.sales_by_group(items, orders, cust, item_key="l_orderkey", order_key="o_orderkey",
-                             order_customer="o_custkey", order_attr="o_orderstatus",
+    sales = items.join(orders, items.l_orderkey == orders.o_orderkey)
+    got = kpi.sales_by_group(sales, cust, customer="o_custkey", attr="o_orderstatus",
                              customer_key="c_custkey", group_col="c_mktsegment",
-                             value="l_extendedprice")
+                             value="l_extendedprice").drop("n_bad_values")
     want = (items.join(orders, items.l_orderkey == orders.o_orderkey)
                  .join(cust, F.col("o_custkey") == F.col("c_custkey"))
                  .groupBy("c_mktsegment", "o_orderstatus")
