@@ -22,6 +22,8 @@ from alloy.session import get_spark
 FILE_QUERIES = {"csv_multiline_roundtrip", "landing_glob_scan",
                 "parquet_roundtrip", "stream_ingest"}
 
+NOTES = "## Reading the at-scale rows"
+
 
 def plan_text(df) -> str:
     buf = io.StringIO()
@@ -81,8 +83,10 @@ def main() -> None:
                 lines.append(f"| {name} | {mode} | {summary(plan_text(q(spark, sf_dir)))} |")
             finally:
                 spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with open("PLANS.md") as f:  # the notes below the table are kept
+        notes = f.read().partition(NOTES)
     with open("PLANS.md", "w") as f:
-        f.write("\n".join(lines) + "\n")
+        f.write("\n".join(lines) + "\n\n" + notes[1] + notes[2])
     print("\n".join(lines))
 
 
