@@ -52,7 +52,7 @@ class _WordHashes(dict):
     """64-bit hash of each word, kept for the next texts."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
