@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import pick, stored
+from alloy.llm.common import pick, splittable, stored
 from alloy.llm.components import components
 
 TREES = 6
@@ -112,6 +112,7 @@ def _margin(similarity: float, dim: int) -> float:
 def _route_rows(similarity: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
+            out = []
             for (grp, tree, path), pdf in whole.groupby(_NODE):
                 x = unit(np.stack(pdf["vec"].to_numpy()))
                 first = pdf.iloc[0]
@@ -119,8 +120,10 @@ def _route_rows(similarity: float):
                           zip(first["at"], first["attempt"], first["point"], strict=True)}
                 ids = pdf["rep"].to_numpy()
                 for at, rows in route(x, int(tree), int(path), splits, _margin(similarity, x.shape[1])):
-                    yield pd.DataFrame({"rep": ids[rows], "grp": grp, "tree": tree, "path": at,
-                                        "grown": at != path})
+                    n = len(rows)
+                    out.append((ids[rows], np.full(n, grp), np.full(n, tree, np.int32), np.full(n, at), np.full(n, at != path)))
+            if out:
+                yield pd.DataFrame(dict(zip(("rep", *_NODE, "grown"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
     return run
 
 
@@ -216,7 +219,8 @@ def linked_vectors(rows: DataFrame, similarity: float = 0.98, trees: int = TREES
     leaves = leaves_of(classes, similarity, trees, leaf)
     sizes = leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     each = classes.join(leaves.groupBy("rep").agg(F.collect_set("leaf").alias("leaves")), "rep")
-    each = each.select("rep", "weight", "vec", "leaves", F.explode("leaves").alias("leaf")).join(sizes, "leaf")
+    each = each.select("rep", "weight", "vec", "leaves", F.explode("leaves").alias("leaf")).join(
+        splittable(sizes, "leaf"), "leaf")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     each = each.withColumn("block", F.pmod(F.xxhash64("rep", F.lit(SEED)), blocks).cast("int"))
     each = each.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
