@@ -17,7 +17,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from alloy.llm.common import pick
+from alloy.llm.common import map_arrow, pick
 
 #: Characters of a piece at least; the cut is the first safe one after them.
 PIECE = 1 << 16
@@ -86,8 +86,8 @@ def tokenize(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     repeat their result; other columns of ``docs`` are not read.  The rank
     file must be at ``path`` on every executor.
     """
-    return pick(docs, "doc_id", "text").mapInArrow(
-        _tokenize(path, pattern, False), "doc_id long, n_tokens long, ids array<int>")
+    return map_arrow(pick(docs, "doc_id", "text"), _tokenize(path, pattern, False),
+                     "doc_id long, n_tokens long, ids array<int>")
 
 
 def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -96,9 +96,8 @@ def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     ids_sha256: of the decimal ids joined by one space; decoded_sha256: of
     the bytes that the ids decode to.
     """
-    return pick(docs, "doc_id", "text").mapInArrow(
-        _tokenize(path, pattern, True),
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(pick(docs, "doc_id", "text"), _tokenize(path, pattern, True),
+                     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _detokenize(path: str, pattern: str):
@@ -112,5 +111,4 @@ def _detokenize(path: str, pattern: str):
 
 def detokenize(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per row of (doc_id, ids): doc_id and the decoded bytes ``data`` (NULL ids: NULL)."""
-    return pick(tokens, "doc_id", "ids").mapInArrow(
-        _detokenize(path, pattern), "doc_id long, data binary")
+    return map_arrow(pick(tokens, "doc_id", "ids"), _detokenize(path, pattern), "doc_id long, data binary")

@@ -10,6 +10,7 @@ from alloy.session import scratch_path
 
 #: A word is a run of characters other than these six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_BYTES = str(4 << 20)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,16 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow``, its Arrow batches bounded by ``BATCH_BYTES``.
+
+    Texts take from no byte to many megabytes, and a batch is held several
+    times on its way to Python and back.  The bound is set in the session.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def splittable(df: DataFrame, column: str) -> DataFrame:
     """``df`` with a long column as a value of its own, for a join on it.
 

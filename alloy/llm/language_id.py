@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from alloy.llm.common import pick
+from alloy.llm.common import map_arrow, pick
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -205,8 +205,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     ``rejected``: the score is under the calibrated threshold.  Rows are
     independent; repeated rows repeat their result.
     """
-    return pick(docs, "doc_id", "text").mapInArrow(
-        _predict(model), "doc_id long, lang_pred string, score double, rejected boolean")
+    return map_arrow(pick(docs, "doc_id", "text"), _predict(model),
+                     "doc_id long, lang_pred string, score double, rejected boolean")
 
 
 def identify(docs: DataFrame, per_language: int = 800) -> DataFrame:

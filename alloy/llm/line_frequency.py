@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import pick, splittable, stored
+from alloy.llm.common import map_arrow, pick, splittable, stored
 
 #: Characters that count as symbols, as bytes.
 SYMBOLS = b"#*$%&|<>"
@@ -112,8 +112,8 @@ def line_quality(docs: DataFrame, host: str = "source", min_docs: int = 10, max_
     """
     rows = pick(docs, "doc_id", host, "text").toDF("doc_id", "host", "text").withColumn(
         "host", F.xxhash64(F.isnull("host"), "host"))
-    measured = stored(rows.mapInArrow(
-        _measure, "doc_id long, host long, text_hash long, " + ", ".join(f"{s} long" for s in _STATS)
+    measured = stored(map_arrow(
+        rows, _measure, "doc_id long, host long, text_hash long, " + ", ".join(f"{s} long" for s in _STATS)
         + ", hashes array<long>, sizes array<int>"), "lines")
     unit = ["host", "text_hash"]
     lines = (measured.select(*unit, F.explode(F.arrays_zip("hashes", "sizes")).alias("l"))

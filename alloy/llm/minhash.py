@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloy.llm.common import pick, splittable, stored
+from alloy.llm.common import map_arrow, pick, splittable, stored
 from alloy.llm.components import components
 from alloy.llm.url_filter import bloom, with_possible
 
@@ -255,8 +255,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     percent = round(100 * similarity)
     least = least_agreement(percent / 100)
     docs = pick(docs, "doc_id", "text")
-    measured = stored(docs.mapInArrow(
-        _measure(size), "doc_id long, key1 long, key2 long, n_shingles long, sig binary, bands array<long>"),
+    measured = stored(map_arrow(
+        docs, _measure(size), "doc_id long, key1 long, key2 long, n_shingles long, sig binary, bands array<long>"),
         "minhash")
     key = ["key1", "key2"]
     # members of a class have equal texts but for blanks and case, so any member's signature is the class's
@@ -272,13 +272,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     pairs = stored(pairs, "minhash-candidates")
     sigs = _only(classes.select("rep", "n", "sig"), _ends(pairs), "rep")
     agreed = (pairs.join(sigs.toDF("a", "na", "sa"), "a").join(sigs.toDF("b", "nb", "sb"), "b")
-              .select("a", "b", "na", "nb", "sa", "sb")
-              .mapInArrow(_agree(least, percent / 100), "a long, b long"))
+              .select("a", "b", "na", "nb", "sa", "sb"))
+    agreed = map_arrow(agreed, _agree(least, percent / 100), "a long, b long")
     agreed = stored(agreed, "minhash-pairs")
     texts = stored(_texts(docs, _ends(agreed)), "minhash-texts")
-    links = stored(agreed.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
-                   .select("a", "b", "ta", "tb")
-                   .mapInArrow(_confirm(size, percent), "a long, b long"), "minhash-links")
+    links = (agreed.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
+             .select("a", "b", "ta", "tb"))
+    links = stored(map_arrow(links, _confirm(size, percent), "a long, b long"), "minhash-links")
     roots = components(links)
     more = _odd_members(docs, classes, members, roots, size, percent, least)
     if more is not None:

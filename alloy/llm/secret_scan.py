@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alloy.llm.byte_bpe import encoding
-from alloy.llm.common import pick
+from alloy.llm.common import map_arrow, pick
 
 #: Kinds in the order that breaks ties of equal starts; the last is the method's.
 KINDS = ("assign", "access", "hex", "random")
@@ -128,7 +128,7 @@ def scan_secrets(docs: DataFrame, path: str, pattern: str, max_ratio: float = 2.
     A NULL or empty text has no spans.  Rows are independent: repeated rows
     repeat their result; other columns of ``docs`` are not read.
     """
-    return pick(docs, "doc_id", "text").mapInArrow(_scan(path, pattern, max_ratio, False), _RESULT)
+    return map_arrow(pick(docs, "doc_id", "text"), _scan(path, pattern, max_ratio, False), _RESULT)
 
 
 def redact_secrets(docs: DataFrame, path: str, pattern: str, max_ratio: float = 2.2) -> DataFrame:
@@ -143,6 +143,6 @@ def redact_secrets(docs: DataFrame, path: str, pattern: str, max_ratio: float =
     rows = flat.select(F.lit(0).cast("long").alias("doc_id"), F.col(f"_c{at}").alias("text"),
                        *[f"_c{i}" for i in rest])
     fields = ", ".join(f"_c{i} {flat.schema[i].dataType.simpleString()}" for i in rest)
-    out = rows.mapInArrow(_scan(path, pattern, max_ratio, True),
-                          f"{_RESULT}, redacted string" + (", " + fields if rest else ""))
+    out = map_arrow(rows, _scan(path, pattern, max_ratio, True),
+                    f"{_RESULT}, redacted string" + (", " + fields if rest else ""))
     return out.select(*[F.col("redacted" if i == at else f"_c{i}") for i in range(len(names))]).toDF(*names)
