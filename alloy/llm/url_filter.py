@@ -115,7 +115,8 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = (),
     keys = listed.select("url_key").where(F.col("url_key").isNotNull())
     probed = with_possible(rows, "url_key", bloom(keys, "url_key", blocks), blocks)
     exact = keys.distinct().withColumn("listed", F.lit(True))
-    hits = probed.where("__possible").join(exact, "url_key", "left").withColumn(
+    # a hash join whatever the list's size: distinct keys, dealt evenly over the partitions
+    hits = probed.where("__possible").join(exact.hint("shuffle_hash"), "url_key", "left").withColumn(
         "listed", F.coalesce("listed", F.lit(False)))
     missed = probed.where(~F.col("__possible")).withColumn("listed", F.lit(False))
     judged = missed.unionByName(hits)
