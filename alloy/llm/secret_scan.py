@@ -1,8 +1,8 @@
 """Secret scan: base patterns, and a token-efficiency test for random strings.
 
 A byte-pair vocabulary spells ordinary words and names in few tokens and
-random strings in many.  A long run of key characters with few characters
-per token is reported, unless it is a known digest or an identifier.
+random strings in many.  Stretches of key characters with few characters
+per token are reported, unless they are known digests, UUIDs or numbers.
 """
 
 from __future__ import annotations
@@ -29,29 +29,17 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # runs of 32 or more: a longest run matches
 
 # The method's candidates and what it leaves out.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
-UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I)
-DIGEST = re.compile(r"(sha1|sha224|sha256|sha384|sha512|md5)[-_:=]?[A-Za-z0-9+/_-]+={0,2}", re.I)
+SHORTEST = 20
+#: UUIDs, and digests of the right length with their name, as whole parts.
+KNOWN = re.compile(r"(?<![A-Za-z0-9])(?:" + "|".join([
+    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
+    *(rf"(?i:{name})[-_]?(?:[0-9a-fA-F]{{{2 * n}}}|[A-Za-z0-9+/_-]{{{-(-4 * n // 3)}}}={{0,2}})"
+      for name, n in (("md5", 16), ("sha1", 20), ("sha224", 28), ("sha256", 32), ("sha384", 48), ("sha512", 64))),
+]) + r")(?![A-Za-z0-9])")
 #: Lengths of common digests in hexadecimal.
 DIGEST_HEX = frozenset({32, 40, 56, 64, 96, 128})
-PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
-
-
-def identifier(run: str) -> bool:
-    """Whether a run reads as a name: a UUID, a path, or words and numbers.
-
-    Words are parts of four letters or more in one case; a name is made of
-    them for the most part.
-    """
-    if UUID.fullmatch(run) or not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
-        return True
-    parts = PART.findall(run)
-    words = sum(len(p) for p in parts if p.isalpha() and len(p) >= 4)
-    return 2 * words >= len(run)
-
-
-def digest(run: str) -> bool:
-    return (len(run) in DIGEST_HEX and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run) is not None
-            or DIGEST.fullmatch(run) is not None)
+PART = re.compile(r"[A-Za-z0-9]+")
+_CAPITALS = re.compile(r"[A-Z]{4,}")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -69,15 +57,101 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def digest(run: str) -> bool:
+    return len(run) in DIGEST_HEX and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run) is not None
+
+
+def without(start: int, end: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the spans leave of start to end."""
+    out = []
+    for s, e in sorted(spans):
+        if start < s < end:
+            out.append((start, s))
+        start = max(start, e)
+    return [*out, (start, end)] if start < end else out
+
+
+def _scores(enc, run: str, max_ratio: float) -> tuple[list[int], list[float], list[int]]:
+    """Of each token of a run: its end, its score, and the characters it counts for.
+
+    A token scores ``max_ratio`` less its characters, so that a stretch with
+    at most ``max_ratio`` characters a token has no score below 0.  Separators
+    and numbers that are whole parts count for nothing, and a part that is
+    one token, a word of the vocabulary, gains nothing.  Capitals are spelled
+    as small letters: the vocabulary has few words in capitals.
+    """
+    ends, at = [], 0
+    for t in enc.encode_ordinary(_CAPITALS.sub(lambda m: m[0].lower(), run)):
+        at += len(enc.decode_single_token_bytes(t))
+        ends.append(at)
+    sizes = [e - s for s, e in zip([0, *ends], ends)]
+    score, counted, k = [0.0] * len(ends), [0] * len(ends), 0
+    for m in PART.finditer(run):
+        while ends[k] <= m.start():
+            k += 1
+        first = k
+        while k < len(ends) and ends[k] <= m.end():
+            k += 1
+        if m[0].isdigit():
+            continue
+        for i in range(first, k):
+            score[i] = max_ratio - sizes[i] if k - first > 1 else min(0.0, max_ratio - sizes[i])
+            counted[i] = sizes[i]
+    return ends, score, counted
+
+
+def random_parts(enc, run: str, max_ratio: float) -> list[tuple[int, int]]:
+    """Stretches of a run with at most ``max_ratio`` characters a token, words and paths around them left out.
+
+    Each is a stretch of the highest score, grown to whole parts if these
+    still hold the ratio; of ``SHORTEST`` characters or more, three quarters
+    of them in parts that count.  A run without any is one if it is as a whole.
+    """
+    ends, score, counted = _scores(enc, run, max_ratio)
+    starts = [0, *ends]
+    word = [run[s].isalnum() for s in starts[:-1]]
+
+    def enough(i: int, j: int) -> bool:
+        return (starts[j] - starts[i] >= SHORTEST and 4 * sum(counted[i:j]) >= 3 * SHORTEST
+                and sum(score[i:j]) > 0)
+
+    out, at = [], 0
+    while at < len(ends):
+        total, best, i, j, here = 0.0, 0.0, at, at, at
+        for k in range(at, len(ends)):
+            total += score[k]
+            if total <= 0:
+                if j > i:
+                    break
+                total, here = 0.0, k + 1
+            elif total > best:
+                best, i, j = total, here, k + 1
+        if j == i:
+            break
+        low, high = i, j
+        while low > at and word[low] and word[low - 1]:
+            low -= 1
+        while high < len(ends) and word[high] and word[high - 1]:
+            high += 1
+        for x, y in ((low, high), (i, j)):
+            if enough(x, y):
+                out.append((starts[x], starts[y]))
+                j = y
+                break
+        at = j
+    return out or [(0, len(run))] * enough(0, len(ends))
+
+
 def random_spans(enc, text: str, base: list[tuple[int, int, int]], max_ratio: float) -> list[tuple[int, int, int]]:
-    """Runs with at most ``max_ratio`` characters per token that meet no base span."""
+    """Random parts of the runs that meet no base span, known digests and UUIDs left out."""
     out = []
     for m in CANDIDATE.finditer(text):
-        run = m[0]
-        if any(s < m.end() and m.start() < e for s, _, e in base) or digest(run) or identifier(run):
+        if any(s < m.end() and m.start() < e for s, _, e in base) or digest(m[0]):
             continue
-        if len(run) <= max_ratio * len(enc.encode_ordinary(run)):
-            out.append((m.start(), 3, m.end()))
+        body = len(m[0].rstrip("="))
+        for s, e in without(0, body, [k.span() for k in KNOWN.finditer(m[0])]):
+            out += [(m.start() + s + x, 3, m.end() if s + y == body else m.start() + s + y)
+                    for x, y in random_parts(enc, m[0][s:e], max_ratio)]
     return out
 
 

@@ -54,6 +54,22 @@ def test_random_strings_are_found_and_names_are_not():
         assert ss.random_spans(enc, f"see {c} here", [], 2.2) == [], c
 
 
+def test_one_case_letters_only_and_prefixed_strings_are_found():
+    enc, rng = encoding(PATH, P.PATTERN), random.Random(6)
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    for letters in (low, up, low + up, low + digits, up + digits, low + up + digits, low + up + digits + "+/", low + up + digits + "-_"):
+        for pre in ("", "download/archive/files/customers/", "prod_customer_key_"):
+            found = 0
+            for _ in range(100):
+                run = "".join(rng.choice(letters) for _ in range(24))
+                spans = ss.random_spans(enc, f"see {pre}{run} here", [], 2.2)
+                found += sum(min(e, 28 + len(pre)) - max(s, 4 + len(pre)) for s, _, e in spans) >= 20
+            assert found >= 97, (letters, pre)
+    for c in ("MAX_CONNECTION_TIMEOUT_SECONDS", "AbstractSingletonProxyFactoryBean", "v2-2024-01-01-12-00-v3", "en/us/de/fr/it/es/pt/nl/se",
+              "download/archive/files/customers", "files/f81d4fae-7dec-11d0-a765-00a0c91e6bf6", "x86_64-unknown-linux-gnu", "_" * 30):
+        assert ss.random_spans(enc, f"see {c} here", [], 2.2) == [], c
+
+
 def test_redaction_keeps_the_other_columns(spark):
     rows = [(i, t, "en", "s") for i, t in enumerate(TEXTS)]
     docs = documents(spark, rows)
