@@ -143,13 +143,23 @@ def random_parts(enc, run: str, max_ratio: float) -> list[tuple[int, int]]:
 
 
 def random_spans(enc, text: str, base: list[tuple[int, int, int]], max_ratio: float) -> list[tuple[int, int, int]]:
-    """Random parts of the runs that meet no base span, known digests and UUIDs left out."""
-    out = []
+    """Random parts of the runs outside base spans, known digests and UUIDs.
+
+    ``base`` is sorted.  What a base span leaves of a run is judged by itself.
+    """
+    out, at = [], 0
     for m in CANDIDATE.finditer(text):
-        if any(s < m.end() and m.start() < e for s, _, e in base) or digest(m[0]):
+        if digest(m[0]):
             continue
+        while at < len(base) and base[at][2] <= m.start():
+            at += 1
+        known = [k.span() for k in KNOWN.finditer(m[0])]
+        k = at
+        while k < len(base) and base[k][0] < m.end():
+            known.append((base[k][0] - m.start(), base[k][2] - m.start()))
+            k += 1
         body = len(m[0].rstrip("="))
-        for s, e in without(0, body, [k.span() for k in KNOWN.finditer(m[0])]):
+        for s, e in without(0, body, known):
             out += [(m.start() + s + x, 3, m.end() if s + y == body else m.start() + s + y)
                     for x, y in random_parts(enc, m[0][s:e], max_ratio)]
     return out
