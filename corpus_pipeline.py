@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alloy.llm import byte_bpe, importance, minhash, mixing, secret_scan
-from alloy.llm.common import stored, table
+from alloy.llm.common import splittable, stored, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -25,15 +25,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity 0.8).
 
-    The least doc_id stays, once if its row is repeated.  Rows without an id
-    all stay: no group can name them.
+    Rows are judged one by one, by a number that is written with them.  Of
+    a group the row with the least doc_id stays, on ties that with the least
+    hash of the text; a row with a doc_id goes before rows without.  Rows
+    without shingles are in no group; one of equal doc_id and text stays, and
+    all without a doc_id.
     """
-    found = minhash.near_duplicates(docs, size=5, similarity=0.8)
-    gone = found.groupBy("doc_id").agg(F.min("kept").alias("kept")).where(~F.col("kept")).select(
-        F.col("doc_id").alias("__gone"))
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(0)
-    return left.withColumn("__own", own).dropDuplicates(["doc_id", "__own"]).drop("__own")
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup-rows")
+    found = minhash.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), size=5, similarity=0.8)
+    grouped = F.col("n_shingles") > 0
+    keys = rows.select("__row", F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash"))
+    keys = (found.withColumnRenamed("doc_id", "__row").join(keys, "__row").where(grouped | F.col("__id").isNotNull())
+            .select("__row", "__id", "__hash", grouped.alias("__grouped"),
+                    F.when(grouped, F.col("component_id")).otherwise(F.col("__id")).alias("__group"),
+                    F.when(grouped, F.lit(0)).otherwise(F.col("__hash")).alias("__same")))
+    keys = stored(keys, "dedup-keys")
+    group = ["__grouped", "__group", "__same"]
+    first = (keys.groupBy(*group).agg(
+        F.min(F.struct(F.col("__id").isNull(), "__id", "__hash", "__row"))["__row"].alias("__first"), F.count("*").alias("__n"))
+        .where(F.col("__n") > 1).drop("__n"))
+    gone = keys.join(splittable(first, "__group"), group).where(F.col("__row") != F.col("__first")).select("__row")
+    return rows.join(gone, "__row", "left_anti").drop("__row")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

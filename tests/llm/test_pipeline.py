@@ -3,7 +3,7 @@
 import hashlib
 
 import public_tokenizers as P
-from edge import EDGE, documents, empty
+from edge import EDGE, documents, empty, prose
 from test_minhash import brute as brute_components
 from test_secret_scan import PATH
 
@@ -60,6 +60,25 @@ def test_stages_on_the_smallest_tables(spark):
     assert sorted(map(tuple, cp.run(spark, SF).collect())) == sorted(map(tuple, last))
 
 
+def test_dedup_judges_rows_not_ids(spark):
+    """Several texts of one doc_id, and groups of rows without a doc_id."""
+    copies = [(None, prose(2, 80), "en", "s")] * 3
+    given = [(1, prose(1, 80), "en", "s"), (1, prose(50, 80), "en", "s"), (1, prose(90, 80), "en", "s"),
+             (0, prose(50, 80), "en", "s"), (None, prose(1, 80), "en", "s"), *copies,
+             (4, None, "en", "s"), (4, None, "en", "s"), (4, " ", "en", "s"), (None, "", "en", "s"), (None, "", "en", "s")]
+    want = [given[0], given[2], given[3], copies[0], *given[-5:-4], *given[-3:]]
+    names = ["doc_id", "text", "lang", "source"]
+    docs = documents(spark, given, clash=False)
+    for n in (1, 3, 7):
+        got = cp.dedup(spark, docs.repartition(n), SF)
+        assert got.columns == names
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    near = prose(7, 200)
+    ties = documents(spark, [(3, near, "en", "a"), (3, near + " more", "en", "b"), (5, near, "en", "c")], clash=False)
+    stay = {tuple(r) for n in (1, 2, 3) for r in cp.dedup(spark, ties.repartition(n), SF).collect()}
+    assert len(stay) == 1 and stay.pop()[0] == 3
+
+
 def test_stages_take_awkward_rows(spark):
     names = [n for n, _ in cp.STAGES]
     assert names == ["quality classifier", "MinHash near-dedup", "secret scans",
