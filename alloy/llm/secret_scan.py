@@ -28,11 +28,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # runs of 32 or more: a longest run matches whole or fails whole
 
 # The method's candidates and what it leaves out.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{14,}={0,2}")
 SHORTEST = 20
-#: UUIDs, and digests of the right length with their name, as whole parts.
+#: Parts from this length on are judged if they mix letters with digits or cases, by a ratio that is less by STRICTER.
+SHORT_PART = 14
+STRICTER = 0.4
+MIXED = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])|.*[a-z][A-Z]", re.S)
+#: UUIDs, times, and digests of the right length with their name, as whole parts.
 KNOWN = re.compile(r"(?<![A-Za-z0-9])(?:" + "|".join([
-    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
+    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9]{8}T[0-9]{4,6}Z?",
     *(rf"(?i:{name})[-_]?(?:[0-9a-fA-F]{{{2 * n}}}|[A-Za-z0-9+/_-]{{{-(-4 * n // 3)}}}={{0,2}})"
       for name, n in (("md5", 16), ("sha1", 20), ("sha224", 28), ("sha256", 32), ("sha384", 48), ("sha512", 64))),
 ]) + r")(?![A-Za-z0-9])")
@@ -142,6 +146,17 @@ def random_parts(enc, run: str, max_ratio: float) -> list[tuple[int, int]]:
     return out or [(0, len(run))] * enough(0, len(ends))
 
 
+def short_parts(enc, run: str, max_ratio: float) -> list[tuple[int, int]]:
+    """Parts of a run under ``SHORTEST`` characters that look random by the stricter ratio."""
+    out = []
+    for m in PART.finditer(run):
+        if SHORT_PART <= len(m[0]) < SHORTEST and MIXED.match(m[0]):
+            spelled = _CAPITALS.sub(lambda c: c[0].lower(), m[0])
+            if len(spelled) <= (max_ratio - STRICTER) * len(enc.encode_ordinary(spelled)):
+                out.append(m.span())
+    return out
+
+
 def random_spans(enc, text: str, base: list[tuple[int, int, int]], max_ratio: float) -> list[tuple[int, int, int]]:
     """Random parts of the runs outside base spans, known digests and UUIDs.
 
@@ -160,8 +175,10 @@ def random_spans(enc, text: str, base: list[tuple[int, int, int]], max_ratio: fl
             k += 1
         body = len(m[0].rstrip("="))
         for s, e in without(0, body, known):
-            out += [(m.start() + s + x, 3, m.end() if s + y == body else m.start() + s + y)
-                    for x, y in random_parts(enc, m[0][s:e], max_ratio)]
+            run = m[0][s:e]
+            found = random_parts(enc, run, max_ratio) if len(run) >= SHORTEST else []
+            found += [(x, y) for x, y in short_parts(enc, run, max_ratio) if all(y <= a or b <= x for a, b in found)]
+            out += [(m.start() + s + x, 3, m.end() if s + y == body else m.start() + s + y) for x, y in sorted(found)]
     return out
 
 

@@ -86,6 +86,19 @@ def test_what_a_base_span_leaves_of_a_run_is_judged():
         assert base and ss.random_spans(enc, text, base, 2.2) == [], text
 
 
+def test_short_random_strings_are_found():
+    enc, rng = encoding(PATH, P.PATTERN), random.Random(8)
+    for n in (14, 16, 18, 19):
+        for pre in ("", "files/customers/"):
+            runs = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n)) for _ in range(100)]
+            found = sum(any(s <= 4 + len(pre) and e >= 4 + len(pre) + n
+                            for s, _, e in ss.random_spans(enc, f"see {pre}{run} here", [], 2.2)) for run in runs)
+            assert found >= 95, (n, pre)
+    for c in ("getUserByIdAndName", "HTTPSConnection", "IOException2Impl", "20240101T120000Z", "id_2024_ab_cd_e", "2024-01-01T12-00",
+              "einpfchzuerein", "EINPFERERZUEIN", "Ououeuxaiauxeuxr"):
+        assert ss.random_spans(enc, f"see {c} here", [], 2.2) == [], c
+
+
 def test_redaction_keeps_the_other_columns(spark):
     rows = [(i, t, "en", "s") for i, t in enumerate(TEXTS)]
     docs = documents(spark, rows)
