@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloy.llm import byte_bpe, importance, language_id, line_frequency, minhash, mixing, ring, rp_forest, secret_scan, url_filter
+from alloy.llm import (byte_bpe, decontaminate, importance, language_id, line_frequency, minhash, mixing, ring, rp_forest,
+                       secret_scan, target_resampling, url_filter, whitening)
 from alloy.llm.common import pick, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -73,9 +74,23 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_frequency, op2_importance_resampling, op3_byte_bpe, op4_rp_forest, op5_minhash, op6_url_filter, op7_mix_sources, op8_ring_shards, op9_language_id,
-    op10_secret_scan)}
+    op10_secret_scan, op11_decontaminate, op12_whitening, op13_target_resampling)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL = {
@@ -194,4 +209,31 @@ SELECT b.page_id, b.host, b.path, b.rule,
   b.url_key, l.url_key IS NOT NULL AS listed
 FROM best b LEFT JOIN rules r ON b.rule = r.h || r.p
 LEFT JOIN listed l ON b.url_key = l.url_key""",
+    "op11_decontaminate": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs CROSS JOIN lengths WHERE len(w) >= n)),
+found AS (SELECT p.r, p.n, p.i, x.item_id FROM places p JOIN windows x ON p.n = x.n AND p.g = x.g),
+hit AS (
+  SELECT r, count(DISTINCT pos) AS n_hit
+  FROM (SELECT r, unnest(range(i, i + n)) AS pos FROM (SELECT DISTINCT r, n, i FROM found)) GROUP BY r),
+held AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN held USING (r)""",
 }

@@ -1,0 +1,118 @@
+import math
+
+import numpy as np
+import pytest
+
+from alloy.llm import whitening as wh
+
+RNG = np.random.default_rng(5)
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS n", "'x' AS EMBEDDING", "2 AS component")
+
+
+def vectors(n=300, d=24):
+    mix = RNG.standard_normal((d, d)) * np.exp(-np.arange(d) / 4)[:, None]
+    return [(int(i), [float(np.float32(x)) for x in v]) for i, v in enumerate(RNG.standard_normal((n, d)) @ mix * 0.1 + 0.3)]
+
+
+def brute(rows, k=8):
+    good = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    x = [[math.floor(1024 * c) + 100000 for c in v] for _, v in good]
+    n, s = len(x), [sum(c) for c in zip(*x)]
+    y = np.array([[(n * a - b) / n for a, b in zip(r, s)] for r in x])
+    v = y.T @ y / n
+    e, u = np.linalg.eigh(v)
+    e, u = e[::-1][:k], u[:, ::-1][:, :k]
+    dev = [sum((n * a - b) ** 2 for a, b in zip(r, s)) for r in x]
+    return [i for i, _ in good], n, dev, y @ u / np.sqrt(e), e / np.trace(v)
+
+
+def check(spark, rows, k=8):
+    got = wh.whitened_components(frame(spark, rows)).collect()
+    ids, n, dev, white, explained = brute(rows, k)
+    by = {}
+    for r in got:
+        by.setdefault(r["component"], []).append(r)
+    assert sorted(by) == list(range(1, k + 1))
+    order = sorted(range(len(ids)), key=lambda j: (ids[j] is None, ids[j] or 0, dev[j]))
+    for c, part in by.items():
+        part.sort(key=lambda r: (r["vec_id"] is None, r["vec_id"] or 0, r["deviation"]))
+        assert [r["vec_id"] for r in part] == [ids[j] for j in order]
+        assert [r["deviation"] for r in part] == [dev[j] for j in order]
+        assert {r["n"] for r in part} == {n}
+        w, want = np.array([r["whitened"] for r in part]), white[order, c - 1]
+        assert min(np.abs(w - want).max(), np.abs(w + want).max()) < 1e-9
+        assert abs(part[0]["explained"] / explained[c - 1] - 1) < 1e-10
+        assert part[0]["identity_error"] < 1e-9
+
+
+def test_equals_brute_force(spark):
+    rows = vectors()
+    odd = [(900, None), (901, [None] + rows[0][1][1:]), (902, [float("nan")] + rows[0][1][1:]), (903, [float("inf")] * 24),
+           (904, [0.0] * 24), (None, rows[1][1]), (5, rows[2][1]), (5, rows[5][1]), rows[7], rows[7]]
+    check(spark, rows + odd)
+
+
+def test_a_third_of_the_rows_is_one_vector(spark):
+    rows = vectors(200)
+    check(spark, rows + [(10_000 + i, rows[0][1]) for i in range(100)])
+
+
+def test_fewer_directions_than_components(spark):
+    rows = [(i, [float(i % 7), 1.0, 2.0 * (i % 5), 3.0]) for i in range(50)]
+    got = wh.whitened_components(frame(spark, rows))
+    assert {r["component"] for r in got.select("component").distinct().collect()} == {1, 2}
+    assert got.first()["identity_error"] < 1e-9
+    check(spark, [(i, [float(np.float32(c)) for c in RNG.standard_normal(3)]) for i in range(40)], k=3)
+
+
+def test_tables_without_directions(spark):
+    for rows in ([], [(1, None)], [(1, [1.0, 2.0])], [(1, [1.0, 2.0])] * 5, [(1, [])]):
+        got = wh.whitened_components(frame(spark, rows))
+        assert got.count() == 0 and got.columns[0] == "vec_id" and len(got.columns) == 7
+
+
+def test_widths_must_agree(spark):
+    with pytest.raises(ValueError, match="widths"):
+        wh.whitened_components(frame(spark, [(1, [1.0, 2.0]), (2, [1.0])]))
+    with pytest.raises(ValueError, match="more than 3"):
+        wh.fit_whitening(frame(spark, vectors(5)), max_width=3)
+
+
+def symmetric(values, seed=0):
+    q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(values), len(values))))
+    return (q * np.array(values)) @ q.T
+
+
+@pytest.mark.parametrize("values", [
+    list(range(1, 41)), [1.0] * 30, [5.0] * 4 + [3.0] * 20 + [1.0] * 6, [1e6, 1.0] + [1e-3] * 18, [2.0 ** -k for k in range(40)],
+    [1 + 1e-9 * k for k in range(20)], [3.0, 0.0, 0.0, 0.0], [7.0]])
+def test_contours_find_the_largest_eigenvalues(values):
+    v = symmetric(values)
+    v = (v + v.T) / 2
+    k = min(8, len(values))
+    e, u = wh.largest(v, k)
+    want = np.sort(values)[::-1][:k]
+    norm = max(np.abs(values))
+    assert np.abs(e - want).max() < 1e-11 * norm
+    assert np.abs(u.T @ u - np.eye(k)).max() < 1e-12
+    assert np.abs(v @ u - u * e).max() < 1e-10 * norm
+
+
+def test_inertia_counts():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5, 17, 40):
+        for _ in range(20):
+            a = rng.standard_normal((n, n)) * (rng.random((n, n)) < 0.5)
+            a = a + a.T
+            assert wh.positives(a + 1e-9 * np.eye(n)) == int((np.linalg.eigvalsh(a + 1e-9 * np.eye(n)) > 0).sum())
+    assert wh.positives(np.zeros((3, 3))) == 0
+    assert wh.positives(np.array([[0.0, 1.0], [1.0, 0.0]])) == 1
+
+
+def test_a_contour_that_misses_a_pair_is_an_error():
+    with pytest.raises(ArithmeticError):
+        wh.feast(symmetric([1.0, 0.5, 0.2]), 0.4, 1.1, 1, rounds=5)
