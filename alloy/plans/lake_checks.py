@@ -1,8 +1,9 @@
 """Data-quality report over a written gold layer (DQ1-DQ7, JN3 on the star).
 
-One row per check: ``check``, ``table_name``, ``n_bad``.  Every check is a
-distributed join or aggregation ending in a single count, so the report is
-a handful of rows whatever the size of the tables.
+One row per check: ``check``, ``table_name``, ``n_bad``.  All foreign keys and
+the uniqueness of the keys they point to are counted in one pass over each
+table; every other check is an aggregation ending in a single count.  The
+report is a handful of rows whatever the size of the tables.
 """
 
 from __future__ import annotations
@@ -21,11 +22,6 @@ def _count(name: str, table: str, df: DataFrame) -> DataFrame:
         F.lit(name).alias("check"), F.lit(table).alias("table_name"), "n_bad")
 
 
-def _orphans(name: str, table: str, counted: DataFrame) -> DataFrame:
-    return counted.select(F.lit(name).alias("check"), F.lit(table).alias("table_name"),
-                          F.col("n_orphans").alias("n_bad"))
-
-
 def _bad_rows(name: str, table: str, summary: DataFrame) -> DataFrame:
     return summary.agg(F.coalesce(F.sum("rows_bad"), F.lit(0)).cast("long").alias("n_bad")).select(
         F.lit(name).alias("check"), F.lit(table).alias("table_name"), "n_bad")
@@ -33,20 +29,15 @@ def _bad_rows(name: str, table: str, summary: DataFrame) -> DataFrame:
 
 def gold_checks(gold: dict[str, DataFrame]) -> DataFrame:
     """The checks over gold frames keyed by table name."""
-    fact = gold["fato_vendas"]
+    fact, payments = gold["fato_vendas"], gold["dim_pagamentos"]
+
+    def dim(table: str, key: str) -> quality.ForeignKey:
+        return quality.ForeignKey("orphan_key", table, fact, (key,), gold[table], (key,), "duplicate_key")
+
     parts = [
-        _orphans("orphan_key", "dim_clientes",
-                 quality.count_orphans(fact, gold["dim_clientes"], ["nk_cliente"])),
-        _orphans("orphan_key", "dim_produtos",
-                 quality.count_orphans(fact, gold["dim_produtos"], ["nk_produto"])),
-        _orphans("orphan_key", "dim_vendedores",
-                 quality.count_orphans(fact, gold["dim_vendedores"], ["nk_vendedor"])),
-        _orphans("order_without_items", "dim_pagamentos",
-                 quality.count_orphans(gold["dim_pagamentos"], fact, ["sk_pedido"])),
-        _count("duplicate_key", "dim_clientes", quality.check_unique(gold["dim_clientes"], ["nk_cliente"])),
-        _count("duplicate_key", "dim_produtos", quality.check_unique(gold["dim_produtos"], ["nk_produto"])),
-        _count("duplicate_key", "dim_vendedores",
-               quality.check_unique(gold["dim_vendedores"], ["nk_vendedor"])),
+        quality.integrity([
+            dim("dim_clientes", "nk_cliente"), dim("dim_produtos", "nk_produto"), dim("dim_vendedores", "nk_vendedor"),
+            quality.ForeignKey("order_without_items", "dim_pagamentos", payments, ("sk_pedido",), fact, ("sk_pedido",))]),
         _count("zip_fanout", "dim_geolocalizacao_clientes",
                quality.check_fanout(gold["dim_geolocalizacao_clientes"].select(
                    "nk_cep_prefixo_cliente", "cidade_cliente", "estado_cliente"),
@@ -54,7 +45,7 @@ def gold_checks(gold: dict[str, DataFrame]) -> DataFrame:
         _bad_rows("score_out_of_range", "dim_avaliacoes",
                   quality.check_range(gold["dim_avaliacoes"], "nota_avaliacao", 1, 5)),
         _bad_rows("negative_value", "dim_pagamentos",
-                  quality.check_min(gold["dim_pagamentos"], "valor_pagamento", 0)),
+                  quality.check_min(payments, "valor_pagamento", 0)),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -12,13 +12,22 @@ being matched by position.
 No schema is inferred: without ``inferSchema`` every column is a string
 named by the header, which keeps leading zeros (zip ``"01037"``) and avoids a
 full extra pass over the data.  Types are set later by safe casts.
+
+``read_csv`` is Spark's permissive reader: a record with too few fields gets
+NULLs, surplus fields are lost, an open quote swallows what follows.
+``read_checked`` loses nothing: records that don't fit the header are set
+apart with their text, and a file that ends inside a quote is named.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 CSV_READ_OPTIONS = {
     "header": "true",
@@ -56,14 +65,132 @@ def read_csv(spark: SparkSession, path: str | list[str],
     return reader.csv(path)
 
 
-def open_quote_lines(spark: SparkSession, path: str | list[str], glob: str = "*.csv") -> DataFrame:
-    """Lines with an odd number of quotes: they can't be whole records."""
-    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-             .text(path))
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return lines.where(quotes % 2 == 1)
-
-
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options: str) -> None:
     """Write with a header and quotes escaped by doubling (readable by ``read_csv``)."""
     df.write.mode(mode).options(**{**CSV_WRITE_OPTIONS, **options}).csv(path)
+
+
+# ------------------------------------------------------------------ checked reads
+
+FEW = "too_few_fields"
+SURPLUS = "surplus_fields"
+QUOTES = "text_after_quote"
+OPEN = "open_quote"
+#: Reasons of a record that is set apart, in the order of precedence.
+REASONS = (OPEN, QUOTES, FEW, SURPLUS)
+
+
+@dataclass(frozen=True)
+class Checked:
+    """A checked read of one table's files; all frames read the same records.
+
+    ``rows``: records that fit the header.  ``seen`` has its values once they
+    have been written: ``n_rows``, ``n_odd`` (all other records but blank
+    ones: headers and misfits) and ``header_files``, a hash of the files that
+    hold the headers.  ``misfits``: (file, reason, record) of the records that
+    don't fit.  ``per_file``: (file, n_headers, n_records).
+    """
+
+    rows: DataFrame
+    seen: Observation
+    misfits: DataFrame
+    per_file: DataFrame
+
+
+def _plain(char: str) -> str:
+    """A pattern of one character, in the form that splits fastest."""
+    return "\\" + char if char in r".$|()[{^?*+\\" else char
+
+
+def _count_in(text: Column, sep: str) -> Column:
+    return F.size(F.split(text, r"\Q" + sep + r"\E" if len(sep) > 1 else _plain(sep), -1)) - 1
+
+
+def _quoting(record: Column, sep: str, quote: str) -> Column:
+    """(n_seps, bad, open) of a record with quotes, by walking over the pieces between them.
+
+    A quote opens a value only at the start of a field; inside, two quotes are
+    one character, and the closing one must be followed by a separator or the
+    end.  bad: other text follows it.  open: the record ends inside a value.
+    A quote inside an unquoted field is a character like any other.
+    """
+    begin, out, within, maybe = 0, 1, 2, 3  # maybe: a quote within, closing unless another follows at once
+
+    def step(at: Column, piece: Column) -> Column:
+        state = at["state"]
+        opens = (state == out) & at["start"]
+        closes = (state == within) & (piece != "")
+        outside = (state == begin) | ((state == out) & ~at["start"]) | closes
+        follows = piece.rlike(r"^[ \t\r\n]*(\Q" + sep + r"\E|$)")
+        return F.struct(
+            F.when(opens | (state == maybe), within).when((state == within) & (piece == ""), maybe).otherwise(out).alias("state"),
+            (outside & (piece.endswith(sep) | ((state == begin) & (piece == "")))).alias("start"),
+            (at["n_seps"] + F.when(outside, _count_in(piece, sep)).otherwise(0)).alias("n_seps"),
+            (at["bad"] | (closes & ~follows)).alias("bad"))
+
+    start = F.struct(F.lit(begin).alias("state"), F.lit(False).alias("start"), F.lit(0).alias("n_seps"), F.lit(False).alias("bad"))
+    return F.aggregate(F.split(record, _plain(quote), -1), start, step, lambda at: F.struct(
+        at["n_seps"].alias("n_seps"), at["bad"].alias("bad"), (at["state"] == within).alias("open")))
+
+
+def file_print(file: Column, where: Column) -> Column:
+    """Order-free hash of the files of some rows, as an aggregate."""
+    return F.coalesce(F.bit_xor(F.when(where, F.xxhash64(file))), F.lit(0).cast("long"))
+
+
+def read_checked(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True,
+                 glob: str = "*.csv", **options: str) -> Checked:
+    """Read CSV files so that no value is lost.
+
+    The files are read once, one column wider than their header, so that
+    Spark hands over the text of every record that has not exactly one field
+    too many, and the text tells how many fields it has and whether its
+    quotes are closed.  A record with fewer fields than the header, with
+    more, or with text after a closing quote is a misfit; blank records are
+    skipped, as by Spark's reader.  Header records are told by their values,
+    wherever they are.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    given = {**CSV_READ_OPTIONS, **options, "multiLine": str(multi_line).lower()}
+    sep, quote = given.get("sep", ","), given["quote"]
+    names = read_csv(spark, paths, glob=glob, **{**options, "multiLine": given["multiLine"]}).columns
+    n = len(names)
+
+    def reader():
+        return (spark.read.options(**{**given, "header": "false"})
+                .option("pathGlobFilter", glob).option("recursiveFileLookup", "true"))
+
+    slots = [f"__f{i}" for i in range(n)]
+    schema = StructType()
+    for c in [*slots, "__more", "__record"]:
+        schema = schema.add(c, StringType())
+    first = StructType()
+    for c in slots:
+        first = first.add(c, StringType())
+    header = reader().schema(first).csv(paths).head()  # the first record of some file
+    wide = reader().option("columnNameOfCorruptRecord", "__record").schema(schema).csv(paths)
+
+    record, more = F.col("__record"), F.col("__more")
+    quoted = F.when(record.contains(quote), _quoting(record, sep, quote))
+    fields = F.when(record.isNull(), n + 1).otherwise(F.coalesce(F.col("__q.n_seps"), _count_in(record, sep)) + 1)
+    bad, open_ = (F.coalesce(F.col(f"__q.{c}"), F.lit(False)) for c in ("bad", "open"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(h)) for c, h in zip(slots, header or [None] * n)])
+    blank = more.isNull() & (F.trim(record) == "")
+    kind = (F.when(open_, OPEN).when(bad, QUOTES).when(F.col("__n") < n, F.when(blank, "blank").otherwise(FEW))
+            .when(F.col("__n") > n, SURPLUS).when(same, "header"))
+    judged = wide.withColumn("__q", quoted).withColumn("__n", fields).withColumn("__kind", kind)
+    good = F.col("__kind").isNull()
+    odd = ~good & (F.col("__kind") != "blank")
+    header_ = F.col("__kind").eqNullSafe("header")
+    judged = judged.withColumn("__file", F.when(odd, F.input_file_name()))
+
+    seen = Observation()
+    rows = (judged.observe(seen, F.count_if(good).alias("n_rows"), F.count_if(odd).alias("n_odd"),
+                           file_print(F.col("__file"), header_).alias("header_files"))
+            .where(good).select(*[F.col(s).alias(c) for s, c in zip(slots, names)]))
+    whole = F.coalesce(record, F.to_csv(F.struct(*slots, "__more"), {"quote": quote, "escape": quote, "sep": sep}))
+    misfits = judged.where(odd & ~header_).select(
+        F.col("__file").alias("file"), F.col("__kind").alias("reason"), whole.alias("record"))
+    per_file = (judged.where(good | odd).groupBy(F.input_file_name().alias("file"))
+                .agg(F.count_if(header_).alias("n_headers"), F.count_if(good).alias("n_records")))
+    return Checked(rows, seen, misfits, per_file)

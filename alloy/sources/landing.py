@@ -19,17 +19,25 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloy.sources.csv import read_csv
+from alloy.sources.csv import file_print, read_csv
 
 _SCHEME = re.compile(r"^[A-Za-z][\w+.-]*:")
 
 
 @dataclass(frozen=True)
 class LandingTable:
-    """Where a table's files are: files and folders to read, and its largest file in bytes."""
+    """Where a table's files are: files and folders to read, and its largest file in bytes.
+
+    ``files`` that hold anything, ``file_print`` a hash of their names (see
+    ``csv.file_print``), and ``state``, a fingerprint of the paths, lengths
+    and times of all files.
+    """
 
     paths: tuple[str, ...]
     largest: int
+    files: int = 0
+    file_print: int = 0
+    state: str = ""
 
 
 def _root_tail(root: str) -> str:
@@ -41,16 +49,18 @@ def _root_tail(root: str) -> str:
 
 
 def list_landing(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """One row per landing file: ``path``, ``length``, ``entry``, ``table_name``.
+    """One row per landing file: ``path``, ``length``, ``modified``, ``file``, ``entry``, ``table_name``.
 
     ``entry`` is the file, or the outermost folder named like one, relative
-    to the root; ``table_name`` is its last part without ``.csv``.
+    to the root; ``table_name`` is its last part without ``.csv``.  ``file``
+    is the path as ``input_file_name`` spells it.
     """
     files = (spark.read.format("binaryFile")
              .option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true")
              .load(root)
-             .select("path", "length"))
+             .select("path", "length", F.col("modificationTime").alias("modified"),
+                     F.input_file_name().alias("file")))
     # listed paths are qualified (``file:/…``, ``s3a://bucket/…``): anchor at the start
     below = F.regexp_extract("path", r"^[A-Za-z][\w+.-]*:/*" + re.escape(_root_tail(root)) + "/(.+)", 1)
     folder = F.regexp_extract(below, r"^((?:[^/]+/)*?[^/]+\.csv)/", 1)
@@ -69,14 +79,20 @@ def landing_entries(spark: SparkSession, root: str, glob: str = "*.csv") -> dict
         rows = (list_landing(spark, root, glob)
                 .groupBy("table_name")
                 .agg(F.sort_array(F.collect_set("entry")).alias("entries"),
-                     F.max("length").alias("largest"))
+                     F.max("length").alias("largest"),
+                     F.count_if(F.col("length") > 0).alias("files"),
+                     file_print(F.col("file"), F.col("length") > 0).alias("file_print"),
+                     F.concat_ws("-", F.count(F.lit(1)), F.sum("length"),
+                                 *[F.hex(F.bit_xor(F.xxhash64("path", "length", "modified", F.lit(k))))
+                                   for k in (0, 1)]).alias("state"))
                 .collect())
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return {}
         raise
     base = root.rstrip("/")
-    return {r.table_name: LandingTable(tuple(f"{base}/{e}" for e in r.entries), int(r.largest))
+    return {r.table_name: LandingTable(tuple(f"{base}/{e}" for e in r.entries), int(r.largest),
+                                       int(r.files), int(r.file_print), r.state)
             for r in sorted(rows, key=lambda r: r.table_name)}
 
 

@@ -1,0 +1,141 @@
+"""Records that don't fit their header are set apart with their text; none is lost."""
+
+import csv as pycsv
+import io
+import os
+
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from alloy.plans import marketplace as mp
+from alloy.plans.medallion import LayerError, Layout, landing_quarantine, run_bronze, run_layers
+from alloy.sources.csv import FEW, OPEN, QUOTES, SURPLUS, read_checked, read_csv, write_csv
+from alloy.sources.parquet import manifest, read_table
+from test_medallion import FIXTURES, _layout, _write_landing
+
+
+def write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(text)
+    return path
+
+
+def got(spark, path, multi_line=True, **options):
+    c = read_checked(spark, path, multi_line, **options)
+    return rows(c.rows), sorted((r["reason"], r["record"]) for r in c.misfits.collect()), c
+
+
+def test_the_four_row_file(spark, tmp_dir):
+    path = write(f"{tmp_dir}/t.csv", 'a,b,c\n1,2,3\n4,5\n6,7,8,9\n1,"x"y,3\n"open,2\n3,4,5\n')
+    good, bad, c = got(spark, path)
+    assert good == [("1", "2", "3")]
+    assert bad == [(OPEN, '"open,2\n3,4,5'), (SURPLUS, "6,7,8,9"), (QUOTES, '1,"x"y,3'), (FEW, "4,5")]
+    assert {r["file"].split("/")[-1] for r in c.misfits.collect()} == {"t.csv"}
+    assert c.seen.get["n_rows"] == 1 and c.seen.get["n_odd"] == 5
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+@pytest.mark.parametrize("text, open_", [
+    ('a,b\n1,"x\n', True), ('a,b\n1,"x', True), ('a,b\n1,"x""', True), ('a,b\n1,"', True), ('a,b\n1,"""', True),
+    ('a,b\n1,"x"\n', False), ('a,b\n1,"x"""\n', False), ('a,b\n1,""', False), ('a,b\n1,""""\n', False),
+    ('a,b\n1,5" pipe\n', False), ('a,b\n5" pipe,"x"\n', False), ('a,b\n5" pipe,"x\n', True), ('a,b\n"x","y"  \n', False),
+    ('a,b\r\n1,"x"\r\n', False), ('a,b\n"x,",","\n', False), ('a,b\n",","\n', True)])
+def test_open_quotes_are_told_from_others(spark, tmp_dir, text, open_, multi_line):
+    good, bad, _ = got(spark, write(f"{tmp_dir}/t.csv", text), multi_line)
+    assert [r for r, _ in bad] == ([OPEN] if open_ else []) and len(good) == (not open_)
+
+
+def test_good_records_are_those_of_the_plain_reader(spark, tmp_dir):
+    text = ('"a","b b",c\n1,,"""q"""\n" x ", y,"l1\nl2, ""z"""\n,,\n\n"r\r\ns",5" pipe,é\na,b b,d\n0,"",\'\n')
+    path = write(f"{tmp_dir}/t.csv", text)
+    good, bad, _ = got(spark, path)
+    assert bad == [] and good == rows(read_csv(spark, path)) and len(good) == 6
+    lines = write(f"{tmp_dir}/l.csv", "a;b\n1;x\n\n  \n2;'y;z'\n")
+    for ml in (True, False):
+        good, bad, _ = got(spark, lines, ml, sep=";", quote="'")
+        assert (good, bad) == ([("1", "x"), ("2", "y;z")], [])
+
+
+def test_one_column_and_many_separators(spark, tmp_dir):
+    good, bad, _ = got(spark, write(f"{tmp_dir}/t.csv", "a\nx\n\ny,z\n"))
+    assert (good, bad) == ([("x",)], [(SURPLUS, "y,z")])
+    good, bad, _ = got(spark, write(f"{tmp_dir}/u.csv", "a,b\n1,2,,,\n,,,4\n1,2,\n,\n"))
+    assert bad == [(SURPLUS, ",,,4"), (SURPLUS, "1,2,"), (SURPLUS, "1,2,,,")] and good == [(None, None)]
+
+
+FIELD = st.text(st.sampled_from('ab ",\n;é'), max_size=6)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(FIELD, min_size=1, max_size=5), max_size=12))
+def test_property_every_written_record_is_kept_or_set_apart(spark, tmp_path_factory, records):
+    """Properly quoted records of any number of fields: those of three are rows, all others misfits."""
+    path = str(tmp_path_factory.mktemp("csv") / "t.csv")
+    out = io.StringIO(newline="")
+    pycsv.writer(out, quoting=pycsv.QUOTE_ALL, lineterminator="\n").writerows([["f1", "f2", "f3"], *records])
+    write(path, out.getvalue())
+    good, bad, _ = got(spark, path)
+    blank = {("",), (" ",)}
+    want = sorted((tuple(v or None for v in r) for r in records if len(r) == 3), key=lambda t: tuple((v is not None, v) for v in t))
+    assert good == want
+    others = [r for r in records if len(r) != 3 and tuple(v.strip() for v in r) not in blank]
+    assert len([b for b in bad if b[0] in (FEW, SURPLUS)]) == len(bad) >= len(others)
+    assert sorted(r for r, _ in bad if r == SURPLUS) == [SURPLUS] * sum(len(r) > 3 for r in records)
+
+
+def test_bronze_sets_misfits_apart_and_counts_them(spark, tmp_dir):
+    layout = _layout(tmp_dir)
+    _write_landing(layout.landing)
+    with open(f"{layout.landing}/{mp.PAYMENTS}.csv", "a") as f:
+        f.write("o7,1,boleto,1\no8,1,boleto,1,2.0,extra\n")
+    report = run_layers(spark, layout, single_line=[mp.PAYMENTS])
+    assert report.misfits == {mp.PAYMENTS: {SURPLUS: 1, FEW: 1}} and report.bronze[mp.PAYMENTS] == "ok"
+    q = read_table(spark, layout.quarantine, landing_quarantine(mp.PAYMENTS))
+    assert sorted((r["reason"], r["record"]) for r in q.collect()) == [
+        (SURPLUS, "o8,1,boleto,1,2.0,extra"), (FEW, "o7,1,boleto,1")]
+    assert read_table(spark, layout.bronze, mp.PAYMENTS).count() == len(FIXTURES[mp.PAYMENTS]) - 1
+    _write_landing(layout.landing)  # a run without misfits leaves none there
+    assert run_layers(spark, layout).misfits == {}
+    assert read_table(spark, layout.quarantine, landing_quarantine(mp.PAYMENTS)).count() == 0
+
+
+def test_misfits_without_a_quarantine_fail_the_table(spark, tmp_dir):
+    layout = Layout(*(f"{tmp_dir}/{x}" for x in ("landing", "bronze", "silver", "gold")))
+    write(f"{layout.landing}/t.csv", "a,b\n1\n")
+    report = run_bronze(spark, layout)
+    assert report.bronze["t"].startswith("failed: Misfits") and "too_few_fields" in report.bronze["t"]
+    assert manifest(spark, layout.bronze).tables == {}
+
+
+def test_an_open_quote_fails_by_name_and_keeps_the_old_rows(spark, tmp_dir):
+    layout = _layout(tmp_dir)
+    _write_landing(layout.landing)
+    run_layers(spark, layout)
+    before = rows(read_table(spark, layout.bronze, mp.REVIEWS))
+    with open(f"{layout.landing}/{mp.REVIEWS}.csv", "a") as f:
+        f.write('r9,o1,5,,"never closed,2018-01-18 00:00:00,\nr10,o1,5,,,,\n')
+    with pytest.raises(LayerError, match=f"OpenQuote: {mp.REVIEWS}: .*{mp.REVIEWS}.csv ends inside"):
+        run_layers(spark, layout)
+    assert rows(read_table(spark, layout.bronze, mp.REVIEWS)) == before
+    assert not [f for f in os.listdir(f"{layout.bronze}/{mp.REVIEWS}") if f[2:] not in
+                {x[2:] for x in manifest(spark, layout.bronze).tables[mp.REVIEWS].folders}]
+
+
+def test_a_file_with_another_header_fails_by_name(spark, tmp_dir):
+    layout = _layout(tmp_dir)
+    for k, (other, status) in enumerate([("b,a\ny,2\n", "failed"), ("a,b,c\n1,2,3\n", "failed"), ("", "unmapped"),
+                                         ("\n\n", "unmapped"), ("a,b\n", "unmapped"), ('"a","b"\n7,8\na,b\n', "unmapped")]):
+        write(f"{layout.landing}/t{k}.csv/part-0.csv", "a,b\n1,x\n")
+        write(f"{layout.landing}/t{k}.csv/part-1.csv", other)
+        assert run_bronze(spark, layout).bronze[f"t{k}"].startswith(status), other
+    assert rows(read_table(spark, layout.bronze, "t5")) == [("1", "x"), ("7", "8")]
+
+
+def test_a_written_table_has_no_misfits(spark, tmp_dir):
+    df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").select("conv_id", "turn", "role", "text")
+    write_csv(df.repartition(3), f"{tmp_dir}/c.csv")
+    good, bad, c = got(spark, f"{tmp_dir}/c.csv")
+    assert bad == [] and len(good) == df.count() and c.seen.get["n_odd"] == 3
