@@ -180,9 +180,17 @@ REVIEW_COLUMNS = [
 ]
 
 
+# Silver tables that may be laid out in buckets of one key, for the fact's join.
+COLOCATED: dict[str, tuple[str, ...]] = {ORDERS: ("order_id",), ITEMS: ("order_id",)}
+
+
 def build_fact(items: DataFrame, orders: DataFrame) -> DataFrame:
     """fato_vendas: items ⋈ orders on order_id, 14 business columns."""
-    joined = star.fact_join(items, orders, "order_id")
+    return fact_of(star.fact_join(items, orders, "order_id"))
+
+
+def fact_of(joined: DataFrame) -> DataFrame:
+    """The fact's columns of the joined items and orders."""
     mapping = [(star.total("price", "freight_value") if s is None else s, d)
                for s, d in FACT_COLUMNS]
     return star.rename(joined, mapping)
@@ -190,15 +198,20 @@ def build_fact(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class GoldTable:
-    """A gold table: the tables it reads, silver or (``from_gold``) gold, and how it is built from them."""
+    """A gold table: the tables it reads, silver or (``from_gold``) gold, and how it is built from them.
+
+    ``of_join`` builds it from the inner join of its two inputs, where these
+    are laid out in the same buckets.
+    """
 
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     from_gold: bool = False
+    of_join: Callable[[DataFrame], DataFrame] | None = None
 
 
 GOLD_TABLES: dict[str, GoldTable] = {
-    "fato_vendas": GoldTable((ITEMS, ORDERS), build_fact),
+    "fato_vendas": GoldTable((ITEMS, ORDERS), build_fact, of_join=fact_of),
     "dim_produtos": GoldTable((PRODUCTS,), lambda p: star.rename(p, PRODUCT_COLUMNS)),
     "dim_clientes": GoldTable((CUSTOMERS,), lambda c: star.rename(c, CUSTOMER_COLUMNS)),
     "dim_vendedores": GoldTable((SELLERS,), lambda s: star.rename(s, SELLER_COLUMNS)),

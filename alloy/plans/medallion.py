@@ -39,12 +39,13 @@ from pyspark.sql import functions as F
 
 from alloy.functions import cast, predicates, text
 from alloy.operators import aggregate, clean, dedup, kpi, star
-from alloy.operators.clean import clean_counted, empty_quarantine, quarantine
+from alloy.operators.clean import clean_counted, empty_quarantine, quarantine, valid_rows
 from alloy.plans import marketplace
 from alloy.plans.jobs import DEFAULT_PARALLEL, described, each as _each
 from alloy.plans.lake_checks import GOLD_INPUTS, gold_checks
-from alloy.plans.marketplace import GOLD_TABLES, KPI_TABLES, SILVER_SPECS, GoldTable, silver_post
+from alloy.plans.marketplace import COLOCATED, GOLD_TABLES, KPI_TABLES, SILVER_SPECS, GoldTable, silver_post
 from alloy.sources import csv
+from alloy.sources.bucketed import bucketed_alike, hot_keys, join_bucketed, stage_bucketed
 from alloy.sources.csv import OPEN, Checked, read_checked
 from alloy.sources.landing import LandingTable, landing_entries
 from alloy.sources.parquet import (WEEK, Staged, drop_old, drop_staged, manifest, publish, read_staged, read_table,
@@ -252,13 +253,14 @@ def _keep_misfits(spark: SparkSession, layout: Layout, name: str, checked: Check
 
 def run_silver(spark: SparkSession, layout: Layout, report: RunReport | None = None,
                tables: Iterable[str] | None = None,
-               parallel: int = DEFAULT_PARALLEL, resume: bool = False) -> RunReport:
+               parallel: int = DEFAULT_PARALLEL, resume: bool = False, buckets: int | None = None) -> RunReport:
     """PL2: each spec'd bronze table → clean table (and its rejected rows).
 
     The rejected rows are counted while the clean table is written; the
     quarantine reads bronze again only when there are any.  After a bronze
     run in the same report, tables it didn't ingest are ``missing``.
-    ``resume`` keeps tables of the same bronze version and spec.
+    ``resume`` keeps tables of the same bronze version and spec.  ``buckets``
+    lays out the tables of the fact's join in so many buckets of their key.
     """
     report = report or RunReport()
     bronze, now = manifest(spark, layout.bronze).tables, manifest(spark, layout.silver).tables
@@ -270,12 +272,19 @@ def run_silver(spark: SparkSession, layout: Layout, report: RunReport | None = N
         if report.ingested and name not in report.bronze:
             return MISSING
         try:
-            made_from = _made_from("silver", bronze[name].folders, spec, layout.quarantine) if name in bronze else None
+            made_from = _made_from("silver", bronze[name].folders, spec, layout.quarantine,
+                                   name in COLOCATED and buckets) if name in bronze else None
             if resume and made_from and name in now and now[name].made_from == made_from:
                 return KEPT
             raw = read_table(spark, layout.bronze, name)
             cleaned, rejected = clean_counted(raw, spec)
-            staged = stage_table(silver_post(name, cleaned), layout.silver, name, made_from=made_from)
+            if buckets and name in COLOCATED:
+                key = COLOCATED[name]
+                hot = hot_keys(valid_rows(clean.project(raw, spec), spec), key, buckets)  # reads the key columns alone
+                staged = stage_bucketed(silver_post(name, cleaned), layout.silver, name, key, buckets,
+                                        made_from=made_from, hot=hot)
+            else:
+                staged = stage_table(silver_post(name, cleaned), layout.silver, name, made_from=made_from)
             try:
                 if layout.quarantine:
                     some = rejected.get["rejected"] > 0
@@ -328,8 +337,12 @@ def run_gold(spark: SparkSession, layout: Layout, report: RunReport | None = Non
             made_from = made[name] = _made_from("gold", name, known) if all(known) else None
             if resume and made_from and name in now and now[name].made_from == made_from:
                 return KEPT
-            inputs = [gold_frame(i) if gold.from_gold else read_table(spark, layout.silver, i) for i in gold.inputs]
-            staged[name] = stage_table(gold.build(*inputs), layout.gold, name, made_from=made_from)
+            if gold.of_join and bucketed_alike(spark, layout.silver, *gold.inputs):
+                frame = gold.of_join(join_bucketed(spark, layout.silver, *gold.inputs))
+            else:
+                frame = gold.build(*[gold_frame(i) if gold.from_gold else read_table(spark, layout.silver, i)
+                                     for i in gold.inputs])
+            staged[name] = stage_table(frame, layout.gold, name, made_from=made_from)
             return OK
         except Exception as e:
             return _failure(e)
@@ -367,18 +380,18 @@ def _exceeded(spark: SparkSession, report: RunReport, limits: Sequence[Limit], f
 def run_layers(spark: SparkSession, layout: Layout, raise_on_failure: bool = True,
                parallel: int = DEFAULT_PARALLEL, kpis: bool = False,
                single_line: Iterable[str] = (), limits: Sequence[Limit] = (), resume: bool = False,
-               keep_versions: float | None = WEEK) -> RunReport:
+               buckets: int | None = None, keep_versions: float | None = WEEK) -> RunReport:
     """PL4: bronze, silver, gold in order; raise at the end if anything failed.
 
     ``kpis`` adds the aggregate indicator tables to the gold layer;
-    ``single_line`` is passed to ``run_bronze``, ``limits`` to ``run_gold``,
-    ``resume`` to all.  Versions that have not been current for
+    ``single_line`` is passed to ``run_bronze``, ``buckets`` to
+    ``run_silver``, ``limits`` to ``run_gold``, ``resume`` to all.  Versions that have not been current for
     ``keep_versions`` seconds are removed (None: none are).
     """
     report = run_bronze(spark, layout, parallel=parallel, single_line=single_line, resume=resume)
     if not report.bronze:  # stop early, before silver reads stale or missing tables
         raise NoLandingFiles(f"no landing CSV files below {layout.landing}")
-    run_silver(spark, layout, report, parallel=parallel, resume=resume)
+    run_silver(spark, layout, report, parallel=parallel, resume=resume, buckets=buckets)
     run_gold(spark, layout, report, parallel=parallel, limits=limits, resume=resume,
              tables={**GOLD_TABLES, **KPI_TABLES} if kpis else GOLD_TABLES)
     if keep_versions is not None:

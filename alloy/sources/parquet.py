@@ -29,6 +29,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 MANIFESTS = "_manifests"
 WEEK = 7 * 24 * 3600.0
@@ -216,15 +217,24 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
 
 def current_paths(spark: SparkSession, root: str, name: str) -> list[str]:
     """Folders of the table's current rows; the table's own folder if the layer's manifest doesn't list it."""
-    entry = manifest(spark, root).tables.get(name)
-    base = table_path(root, name)
-    return [f"{base}/{f}" for f in entry.folders] if entry else [base]
+    return _paths(manifest(spark, root).tables.get(name), table_path(root, name))
+
+
+def _paths(entry: Entry | None, base: str) -> list[str]:
+    if entry is None:
+        return [base]
+    parts = [f"/{p}" for p in entry.layout["parts"]] if entry.layout else [""]
+    return [f"{base}/{f}{p}" for f in entry.folders for p in parts]
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Lazy scan of the current version: filters and column choices reach the Parquet reader."""
+    entry = manifest(spark, root).tables.get(name)
+    reader = spark.read
+    if entry and entry.layout:  # a bucketed folder without rows has no files
+        reader = reader.schema(StructType.fromJson(entry.layout["schema"]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                  [spark.read.parquet(p) for p in current_paths(spark, root, name)])
+                  [reader.parquet(p) for p in _paths(entry, table_path(root, name))])
 
 
 def read_staged(spark: SparkSession, staged: Staged) -> DataFrame:
