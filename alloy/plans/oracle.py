@@ -343,6 +343,23 @@ SELECT conv_id, turn, role, text FROM conversations
 SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer
 UNION ALL SELECT 'supplier', count(*) FROM supplier
 UNION ALL SELECT 'orders', count(*) FROM orders
+""",
+    "landing_misfits": """
+SELECT reason, CASE WHEN reason IS NULL THEN CAST(k AS VARCHAR) END AS order_id,
+       CASE WHEN reason IS NULL THEN CASE kind WHEN 5 THEN c || chr(10) || 'next, "q"' WHEN 6 THEN '5" ' || c ELSE c END END
+         AS customer_id,
+       CASE WHEN reason IS NULL THEN s END AS status,
+       CASE kind WHEN 1 THEN k || ',' || c WHEN 2 THEN k || ',' || c || ',' || s || ',extra'
+                 WHEN 3 THEN k || ',"' || c || '"x,' || s WHEN 4 THEN k || ',' || c || ',' || s || ',,two' END AS record
+FROM (SELECT *, CASE kind WHEN 1 THEN 'too_few_fields' WHEN 2 THEN 'surplus_fields' WHEN 3 THEN 'text_after_quote'
+                          WHEN 4 THEN 'surplus_fields' END AS reason
+      FROM (SELECT o_orderkey AS k, CAST(o_custkey AS VARCHAR) AS c, o_orderstatus AS s,
+                   CASE WHEN o_orderkey % 7 = 1 THEN 1 WHEN o_orderkey % 11 = 2 THEN 2 WHEN o_orderkey % 13 = 3 THEN 3
+                        WHEN o_orderkey % 17 = 4 THEN 4 WHEN o_orderkey % 19 = 5 THEN 5 WHEN o_orderkey % 23 = 6 THEN 6
+                        ELSE 0 END AS kind FROM orders) x) y
+""",
+    "atomic_replace": """
+SELECT o_orderkey, o_totalprice * 2 AS o_totalprice FROM orders
 """,
     "stream_ingest": """
 SELECT conv_id, turn, role, text FROM conversations
@@ -447,5 +464,20 @@ UNION ALL SELECT 'score_out_of_range', 'dim_avaliacoes',
        (SELECT count(*) FROM rev WHERE NOT (score BETWEEN 1 AND 5))
 UNION ALL SELECT 'negative_value', 'dim_pagamentos',
        (SELECT count(*) FROM pay WHERE amount < 0)
+""",
+    "gold_gate": f"""
+WITH {LAKE}
+SELECT 'fato_vendas' AS table_name, 'held' AS status, count(*) AS n_rows FROM fact
+UNION ALL SELECT 'dim_produtos', 'held', count(*) FROM prod
+UNION ALL SELECT 'dim_clientes', 'held', count(*) FROM cust
+UNION ALL SELECT 'dim_vendedores', 'held', count(*) FROM sell
+UNION ALL SELECT 'dim_pagamentos', 'held', count(*) FROM pay
+UNION ALL SELECT 'dim_geolocalizacao_clientes', 'held', count(*) FROM geo
+UNION ALL SELECT 'dim_geolocalizacao_vendedores', 'held', count(*) FROM geo
+UNION ALL SELECT 'dim_avaliacoes', 'held', count(*) FROM rev
 """,
 }
+
+# The same rows, whatever the layout of the joined tables.
+ORACLE_SQL["colocated_fact_join"] = ORACLE_SQL["fact_sales_join"]
+ORACLE_SQL["colocated_hot_order"] = ORACLE_SQL["fact_join_hot_order"]

@@ -13,6 +13,10 @@ Every query reads whole tables.
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +25,11 @@ from alloy.functions.text import normalise, strip
 from alloy.operators import aggregate, clean as cl, dedup, kpi, quality, star
 from alloy.plans import marketplace as mp
 from alloy.plans.lake_checks import bronze_checks, quality_report
-from alloy.plans.medallion import Layout, run_layers
+from alloy.plans.medallion import Layout, Limit, landing_quarantine, run_bronze, run_gold, run_layers
 from alloy.plans.tpch_landing import write_landing
 from alloy.session import scratch_path
 from alloy.streaming.ingest import ingest_stream
+from alloy.sources.bucketed import join_bucketed, write_bucketed
 from alloy.sources.csv import read_csv, write_csv
 from alloy.sources.landing import landing_counts
 from alloy.sources.parquet import read_table, write_table
@@ -360,6 +365,35 @@ def csv_multiline_roundtrip(spark, d):
     return cl.project(read_csv(spark, path), spec)
 
 
+def _misfit_lines(orders: DataFrame) -> DataFrame:
+    """Raw CSV lines of the orders, some of which don't fit the header; one column named by it."""
+    k = F.col("o_orderkey")
+    key, cust, status = k.cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus")
+    line = (F.when(k % 7 == 1, F.concat_ws(",", key, cust))
+            .when(k % 11 == 2, F.concat_ws(",", key, cust, status, F.lit("extra")))
+            .when(k % 13 == 3, F.concat(key, F.lit(',"'), cust, F.lit('"x,'), status))
+            .when(k % 17 == 4, F.concat_ws(",", key, cust, status, F.lit(""), F.lit("two")))
+            .when(k % 19 == 5, F.concat(key, F.lit(',"'), cust, F.lit('\nnext, ""q""",'), status))
+            .when(k % 23 == 6, F.concat(key, F.lit(',5" '), cust, F.lit(","), status))
+            .otherwise(F.concat_ws(",", key, cust, status)))
+    return orders.select(F.explode(F.split(line, "\n")).alias("order_id,customer_id,status"))
+
+
+def landing_misfits(spark, d):
+    """Bronze of landing files with records that don't fit: the good rows and, with their reason, all others."""
+    root = scratch_path(spark, "misfits")
+    layout = Layout(f"{root}/landing", f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/quarantine")
+    # lines as they are: no value is quoted by the writer
+    write_csv(_misfit_lines(table(spark, d, "orders")), f"{layout.landing}/orders.csv", sep="\u0001", quote="")
+    run_bronze(spark, layout)
+    none = F.lit(None).cast("string")
+    good = read_table(spark, layout.bronze, "orders").select(
+        none.alias("reason"), "order_id", "customer_id", "status", none.alias("record"))
+    bad = read_table(spark, layout.quarantine, landing_quarantine("orders")).select(
+        "reason", none.alias("order_id"), none.alias("customer_id"), none.alias("status"), "record")
+    return good.unionByName(bad)
+
+
 def landing_glob_scan(spark, d):
     """Count each table of a landing root: one in the root, one in a sub-folder in
     several part files, one in two places, and a text note that is no table."""
@@ -395,6 +429,39 @@ def parquet_roundtrip(spark, d):
     return read_table(spark, root, "orders")
 
 
+def atomic_replace(spark, d):
+    """A table is replaced from its own rows, and an overwrite that fails halfway leaves it so."""
+    root = scratch_path(spark, "replace")
+    orders = table(spark, d, "orders")
+    write_table(orders.select("o_orderkey", "o_totalprice"), root, "orders")
+    own = read_table(spark, root, "orders")
+    write_table(own.withColumn("o_totalprice", F.col("o_totalprice") * 2), root, "orders")
+    lost = F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("o_orderkey"))
+    try:
+        write_table(orders.select(lost.cast("long").alias("o_orderkey"), "o_totalprice"), root, "orders")
+    except PySparkException as e:
+        if "lost" not in str(e):
+            raise
+    return read_table(spark, root, "orders")
+
+
+def _colocated(spark, items: DataFrame, orders: DataFrame) -> DataFrame:
+    root = scratch_path(spark, "colocated")
+    write_bucketed(items, root, "items", ["order_key"])
+    write_bucketed(orders, root, "orders", ["order_key"])
+    return star.rename(join_bucketed(spark, root, "items", "orders"), fact_mapping())
+
+
+def colocated_fact_join(spark, d):
+    """The sales fact from tables laid out in buckets of the order: joined without an exchange."""
+    return _colocated(spark, _items(spark, d), _orders(spark, d))
+
+
+def colocated_hot_order(spark, d):
+    """The same with a third of the items on one order, which is kept out of the buckets."""
+    return _colocated(spark, hot_items(spark, d).withColumnRenamed("l_orderkey", "order_key"), _orders(spark, d))
+
+
 # ---------------------------------------------------------------- full layer run
 
 _RUNS: dict[tuple[str, str], Layout] = {}
@@ -458,6 +525,16 @@ def medallion_quality(spark, d):
     return quality_report(spark, lake.gold).unionByName(bronze_checks(spark, lake.bronze))
 
 
+def gold_gate(spark, d):
+    """Status and rows of each gold table after a run that a limit holds back."""
+    layout = replace(lake_run(spark, d), gold=scratch_path(spark, "gated"))
+    for most in (10 ** 12, 0):
+        report = run_gold(spark, layout, limits=[Limit("negative_value", "dim_pagamentos", most)])
+    frames = [read_table(spark, layout.gold, t).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(t).alias("table_name"), F.lit(report.gold[t]).alias("status"), "n_rows") for t in mp.GOLD_TABLES]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def medallion_kpi_monthly(spark, d):
     return read_table(spark, lake_run(spark, d).gold, "kpi_vendas_mensais")
 
@@ -500,7 +577,11 @@ QUERIES = {
     "kpi_sales_by_region": kpi_sales_by_region,
     "csv_multiline_roundtrip": csv_multiline_roundtrip,
     "landing_glob_scan": landing_glob_scan,
+    "landing_misfits": landing_misfits,
     "parquet_roundtrip": parquet_roundtrip,
+    "atomic_replace": atomic_replace,
+    "colocated_fact_join": colocated_fact_join,
+    "colocated_hot_order": colocated_hot_order,
     "stream_ingest": stream_ingest,
     "medallion_fact": medallion_fact,
     "medallion_geo_dim": medallion_geo_dim,
@@ -513,4 +594,5 @@ QUERIES = {
     "medallion_kpi_monthly": medallion_kpi_monthly,
     "medallion_kpi_state": medallion_kpi_state,
     "medallion_quality": medallion_quality,
+    "gold_gate": gold_gate,
 }
