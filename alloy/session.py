@@ -24,6 +24,10 @@ _DEFAULTS = {
 }
 
 
+#: Application id → its private folder, where no shared one is set.
+_private: dict[str, str] = {}
+
+
 def object_store_conf(
     endpoint: str,
     *,
@@ -106,12 +110,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         master = spark.conf.get("spark.master", "")
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="alloy-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:
-            pass
+        app = spark.conf.get("spark.app.id", "app")  # the setting itself can't be changed while a session runs
+        if app not in _private:
+            _private[app] = tempfile.mkdtemp(prefix="alloy-ckpt-")
+        root = _private[app]
     return root.rstrip("/")
 
 

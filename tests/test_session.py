@@ -36,6 +36,17 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         checkpoint_root(_Cluster)
 
 
+def test_a_local_session_without_a_folder_gets_one_of_its_own():
+    class _Local(_Cluster):
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "local[2]", "spark.app.id": "local-test"}.get(key, default)
+
+    assert checkpoint_root(_Local) == checkpoint_root(_Local)
+    assert scratch_path(_Local, "x").startswith(checkpoint_root(_Local))
+
+
 def test_scratch_of_the_application_can_be_dropped(spark, monkeypatch):
     root = f"{checkpoint_root(spark)}/other-application"
     monkeypatch.setattr("alloy.session._scratch_root", lambda _: root)
