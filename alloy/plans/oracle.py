@@ -41,6 +41,15 @@ def _one_per_key(source: str, key: str, order: str) -> str:
             f"AS rn FROM {source}) ranked WHERE rn = 1)")
 
 
+def _exact_avg(x: str) -> str:
+    """The average of doubles that are whole multiples of 2^-64: an exact sum, rounded once."""
+    whole, low = f"CAST({x} * pow(2, 64) AS HUGEINT)", 2 ** 40
+    total = (f"(CAST(sum(CAST({whole} // {low} AS BIGINT)) AS HUGEINT) * {low} "
+             f"+ CAST(sum(CAST({whole} % {low} AS BIGINT)) AS HUGEINT))")
+    return (f"(CAST(CAST({total} // {low} AS BIGINT) AS DOUBLE) * {low} "
+            f"+ CAST(CAST({total} % {low} AS BIGINT) AS DOUBLE)) / pow(2, 64) / count(*)")
+
+
 def _asc(columns: str) -> str:
     return ", ".join(f"{c.strip()} ASC NULLS FIRST" for c in columns.split(","))
 
@@ -124,8 +133,7 @@ geo AS (
   SELECT CASE WHEN c_custkey % 41 = 0 THEN '' ELSE lpad(CAST(c_nationkey AS VARCHAR), 5, '0') END AS zip,
          translate(CASE WHEN c_custkey % 3 = 0 THEN 'águas ' ELSE '' END || lower(n_name),
                    'áàâãéèêíìîóòôõúùûç', 'aaaaeeeiiioooouuuc') AS city,
-         lower(r_name) AS state, round(avg(c_acctbal), 4) AS lat,
-         round(avg(CAST(c_custkey AS DOUBLE)), 4) AS lng
+         lower(r_name) AS state, {_exact_avg("c_acctbal")} AS lat, {_exact_avg("CAST(c_custkey AS DOUBLE)")} AS lng
   FROM customer JOIN place ON c_nationkey = n_nationkey
   WHERE c_custkey % 37 <> 0 AND c_custkey % 39 <> 0
   GROUP BY 1, 2, 3),
@@ -275,6 +283,13 @@ FROM orders GROUP BY o_orderstatus, o_orderpriority
     "centroid_3key": f"""
 SELECT zip, city, state, round(avg(lat), 4) AS lat, round(avg(lng), 4) AS lng
 FROM {_LOCATED} GROUP BY zip, city, state
+""",
+    "centroid_exact": f"""
+SELECT c_nationkey % 7 AS zip, n_name AS city, c_mktsegment AS state,
+       {_exact_avg("c_acctbal")} AS lat, {_exact_avg("(c_acctbal / 3 - 7)")} AS lng
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE c_acctbal IS NOT NULL AND NOT isnan(c_acctbal)
+GROUP BY 1, 2, 3
 """,
     "zip_centroid": f"""
 SELECT zip, round(avg(lat), 4) AS lat, round(avg(lng), 4) AS lng, min(city) AS city, min(state) AS state

@@ -242,6 +242,15 @@ def centroid_3key(spark, d):
                     F.round("lng", 4).alias("lng"))
 
 
+def centroid_exact(spark, d):
+    """Mean positions of the customers' places, to the last bit and unrounded."""
+    c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    places = c.select((F.col("c_nationkey") % 7).alias("zip"), F.col("n_name").alias("city"),
+                      F.col("c_mktsegment").alias("state"), F.col("c_acctbal").alias("lat"),
+                      (F.col("c_acctbal") / 3 - 7).alias("lng"))
+    return aggregate.centroid(places, "zip", "lat", "lng", "city", "state")
+
+
 def zip_centroid(spark, d):
     z = aggregate.one_per_key(_supplier_geo(spark, d).dropna(subset=["zip", "lat", "lng"]),
                               "zip", ["lat", "lng"], ["city", "state"])
@@ -489,10 +498,7 @@ def medallion_fact(spark, d):
 
 
 def medallion_geo_dim(spark, d):
-    g = read_table(spark, lake_run(spark, d).gold, "dim_geolocalizacao_clientes")
-    return g.select("nk_cep_prefixo_cliente", F.round("latitude_cliente", 4).alias("latitude_cliente"),
-                    F.round("longitude_cliente", 4).alias("longitude_cliente"),
-                    "cidade_cliente", "estado_cliente")
+    return read_table(spark, lake_run(spark, d).gold, "dim_geolocalizacao_clientes")
 
 
 def medallion_customers(spark, d):
@@ -512,8 +518,7 @@ def medallion_payments(spark, d):
 
 
 def medallion_geo_sellers(spark, d):
-    g = read_table(spark, lake_run(spark, d).gold, "dim_geolocalizacao_vendedores")
-    return g.withColumns({c: F.round(c, 4) for c in ("latitude_vendedor", "longitude_vendedor")})
+    return read_table(spark, lake_run(spark, d).gold, "dim_geolocalizacao_vendedores")
 
 
 def medallion_reviews(spark, d):
@@ -566,6 +571,7 @@ QUERIES = {
     "fact_join_hot_order": fact_join_hot_order,
     "group_avg_two": group_avg_two,
     "centroid_3key": centroid_3key,
+    "centroid_exact": centroid_exact,
     "zip_centroid": zip_centroid,
     "dim_fanout_check": dim_fanout_check,
     "fact_sales_join": fact_sales_join,
