@@ -496,3 +496,26 @@ UNION ALL SELECT 'dim_avaliacoes', 'held', count(*) FROM rev
 # The same rows, whatever the layout of the joined tables.
 ORACLE_SQL["colocated_fact_join"] = ORACLE_SQL["fact_sales_join"]
 ORACLE_SQL["colocated_hot_order"] = ORACLE_SQL["fact_join_hot_order"]
+
+_CUBE = """
+SELECT CASE grouping_id(y, m, state, status) WHEN 3 THEN 'y+m' WHEN 12 THEN 'state+status' WHEN 7 THEN 'y'
+            WHEN 13 THEN 'state' WHEN 14 THEN 'status' ELSE 'all' END AS level,
+       y, m, state, status, count(*) AS n_items,
+       CAST(sum(TRY_CAST(l_extendedprice AS DECIMAL(38,2))) AS DOUBLE) AS revenue,
+       count(*) FILTER (WHERE l_extendedprice IS NOT NULL
+                          AND TRY_CAST(l_extendedprice AS DECIMAL(38,2)) IS NULL) AS n_bad_values,
+       count(DISTINCT o_orderkey) AS n_orders{extra}
+FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, r_name AS state,
+             o_orderstatus AS status, l_extendedprice, o_orderkey
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+      JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) x
+GROUP BY GROUPING SETS ((y, m), (state, status), (y), (state), (status), ())
+"""
+ORACLE_SQL["kpi_cube"] = _CUBE.format(extra=", true AS near")
+ORACLE_SQL["kpi_cube_merged"] = _CUBE.format(extra="")
+ORACLE_SQL["medallion_kpi_cube"] = f"""
+SELECT y, m, n_orders, revenue, n_bad_values, NULL AS customer_state, NULL AS order_status, NULL AS n_items
+FROM ({ORACLE_SQL["medallion_kpi_monthly"]}) a
+UNION ALL SELECT NULL, NULL, NULL, revenue, n_bad_values, customer_state, order_status, n_items
+FROM ({ORACLE_SQL["medallion_kpi_state"]}) b
+"""

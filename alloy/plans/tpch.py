@@ -362,6 +362,35 @@ def kpi_sales_by_region(spark, d):
                               group_col="r_name", value="l_extendedprice")
 
 
+def _cells(spark, d, items: DataFrame) -> DataFrame:
+    sales = star.fact_join(items, _orders(spark, d), "order_key")
+    return kpi.sales_cells(sales, _customer_region(spark, d), order_key="order_key", date_col="o_orderdate",
+                           customer="o_custkey", status="o_orderstatus", value="l_extendedprice",
+                           customer_key="c_custkey", state="r_name")
+
+
+def kpi_cube(spark, d):
+    """All totals of the sales; a sketch's count within 8 % (five deviations) of the exact one is ``near``."""
+    cube = kpi.sales_cube(_cells(spark, d, _items(spark, d)))
+    near = F.abs(F.col("n_orders_estimate") - F.col("n_orders")) <= 0.08 * F.col("n_orders") + 1
+    return cube.select("level", "y", "m", "state", "status", "n_items", F.col("revenue").cast("double").alias("revenue"),
+                       "n_bad_values", "n_orders", near.alias("near"))
+
+
+def kpi_cube_merged(spark, d):
+    """The same totals from stored cells of two halves of the orders, the second merged into the first."""
+    root = scratch_path(spark, "cells")
+    half = F.pmod("order_key", F.lit(2))
+    for k in (0, 1):
+        cells = _cells(spark, d, _items(spark, d).where(half == k))
+        if k:
+            cells = kpi.merge_cells(read_table(spark, root, "cells"), cells)
+        write_table(cells, root, "cells")
+    cube = kpi.sales_cube(read_table(spark, root, "cells"))
+    return cube.select("level", "y", "m", "state", "status", "n_items", F.col("revenue").cast("double").alias("revenue"),
+                       "n_bad_values", "n_orders")
+
+
 # ---------------------------------------------------------------- files
 
 def csv_multiline_roundtrip(spark, d):
@@ -548,6 +577,17 @@ def medallion_kpi_state(spark, d):
     return read_table(spark, lake_run(spark, d).gold, "kpi_vendas_por_estado")
 
 
+def medallion_kpi_cube(spark, d):
+    """Gold's two indicator tables as read off the cube of its fact."""
+    gold = lake_run(spark, d).gold
+    cells = kpi.sales_cells(read_table(spark, gold, "fato_vendas"), read_table(spark, gold, "dim_clientes"),
+                            order_key="sk_pedido", date_col="data_compra", customer="nk_cliente", status="status_pedido",
+                            value="valor_produto", customer_key="nk_cliente", state="estado_cliente")
+    cube = kpi.sales_cube(cells)
+    monthly, state = kpi.monthly_of(cube), kpi.by_state_of(cube, "customer_state", "order_status")
+    return monthly.unionByName(state, allowMissingColumns=True)
+
+
 QUERIES = {
     "project_rename": project_rename,
     "trim_lower": trim_lower,
@@ -581,6 +621,8 @@ QUERIES = {
     "ri_orphans": ri_orphans,
     "kpi_monthly_sales": kpi_monthly_sales,
     "kpi_sales_by_region": kpi_sales_by_region,
+    "kpi_cube": kpi_cube,
+    "kpi_cube_merged": kpi_cube_merged,
     "csv_multiline_roundtrip": csv_multiline_roundtrip,
     "landing_glob_scan": landing_glob_scan,
     "landing_misfits": landing_misfits,
@@ -599,6 +641,7 @@ QUERIES = {
     "medallion_reviews": medallion_reviews,
     "medallion_kpi_monthly": medallion_kpi_monthly,
     "medallion_kpi_state": medallion_kpi_state,
+    "medallion_kpi_cube": medallion_kpi_cube,
     "medallion_quality": medallion_quality,
     "gold_gate": gold_gate,
 }
