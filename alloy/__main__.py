@@ -67,7 +67,7 @@ def main(argv: list[str] | None = None) -> int:
                "silver": lambda: run_silver(spark, layout, report, buckets=args.buckets, **common),
                "gold": lambda: run_gold(spark, layout, report, tables=gold_tables, limits=args.limit, **common)}
         run[args.stage]()
-    out = {"report": report.as_dict(), "seconds": report.seconds, "misfits": report.misfits,
+    out = {"report": report.as_dict(), "seconds": report.seconds, "misfits": report.misfits, "repeated_files": report.repeated,
            "limits_checked": report.checks, "limits_exceeded": report.exceeded}
     if args.checks and args.stage in ("gold", "all") and not report.failed():
         from alloy.plans.lake_checks import quality_report

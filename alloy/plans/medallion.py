@@ -32,7 +32,7 @@ import inspect
 import json
 import time
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ from alloy.plans.marketplace import COLOCATED, GOLD_TABLES, KPI_TABLES, SILVER_S
 from alloy.sources import csv
 from alloy.sources.bucketed import bucketed_alike, hot_keys, join_bucketed, stage_bucketed
 from alloy.sources.csv import OPEN, Checked, read_checked
-from alloy.sources.landing import LandingTable, landing_entries
+from alloy.sources.landing import LandingTable, found_files, landing_entries, repeated_files
 from alloy.sources.parquet import (WEEK, Staged, drop_old, drop_staged, manifest, publish, read_staged, read_table,
                                    stage_table, write_table)
 
@@ -119,6 +119,7 @@ class RunReport:
     seconds: dict[str, float] = field(default_factory=dict)  # "layer/table" → wall time
     largest_file: dict[str, int] = field(default_factory=dict)  # landing table → bytes, for information
     misfits: dict[str, dict[str, int]] = field(default_factory=dict)  # landing table → reason → records
+    repeated: dict[str, dict[str, str]] = field(default_factory=dict)  # landing table → see ``run_bronze``
     checks: dict[str, int] = field(default_factory=dict)  # "check table" → bad rows, where limits were given
     exceeded: list[str] = field(default_factory=list)  # limits that hold gold back
     ingested: bool = False  # bronze ran in this run: tables it doesn't list are missing
@@ -201,15 +202,26 @@ def run_bronze(spark: SparkSession, layout: Layout, report: RunReport | None = N
     fail their table.  A file that ends inside a quoted value, or has not the
     table's header, fails its table before anything is published.
 
+    Files that hold the same lines as an older file of their table, under
+    another name or in another folder, are read once.  ``report.repeated``
+    has for each table the number of such files (``skipped``), an example
+    (``file``, ``first``), and ``other_table``, a table that holds a file
+    equal to one of this table's; that one is read, as its name is its own.
+    Sizes tell most files apart, so the check reads few.
+
     ``resume`` keeps tables whose files (paths, lengths and times) haven't
     changed since they were written.
     """
     report = report or RunReport()
-    found = landing_entries(spark, layout.landing)
+    files = found_files(spark, layout.landing)
+    found = landing_entries(spark, layout.landing, files=files)
+    repeated = repeated_files(spark, files) if found else None
+    extra = _repeated_by_table(repeated)
     single = set(single_line)
     now = manifest(spark, layout.bronze).tables if found else {}
 
     report.ingested = True
+    report.repeated.update({n: r["said"] for n, r in extra.items()})
     report.largest_file.update({name: t.largest for name, t in found.items()})
 
     def one(name: str) -> str:
@@ -218,7 +230,12 @@ def run_bronze(spark: SparkSession, layout: Layout, report: RunReport | None = N
             made_from = _made_from("bronze", table.state, name in single, layout.quarantine)
             if resume and name in now and now[name].made_from == made_from:
                 return KEPT if name in SILVER_SPECS else UNMAPPED
-            checked = read_checked(spark, list(table.paths), multi_line=name not in single)
+            skip = None
+            if name in extra and extra[name]["files"]:
+                skip = repeated.where((F.col("table_name") == name) & (F.col("first_table") == name))
+                table = replace(table, files=table.files - extra[name]["files"],
+                                file_print=table.file_print ^ extra[name]["file_print"])
+            checked = read_checked(spark, list(table.paths), multi_line=name not in single, skip=skip)
             staged = stage_table(checked.rows, layout.bronze, name, made_from=made_from)
             try:
                 misfits = _misfits(name, table, checked, name in single)
@@ -238,6 +255,24 @@ def run_bronze(spark: SparkSession, layout: Layout, report: RunReport | None = N
     return report
 
 
+def _repeated_by_table(repeated: DataFrame | None) -> dict[str, dict]:
+    """Per landing table, from one row each: what ``run_bronze`` reports, and number and print of the skipped files."""
+    if repeated is None:
+        return {}
+    own = F.col("first_table") == F.col("table_name")
+    rows = repeated.groupBy("table_name").agg(
+        F.count_if(own).alias("files"), csv.file_print(F.col("file"), own).alias("file_print"),
+        F.min(F.when(own, F.struct("file", "first_file"))).alias("x"),
+        F.min(F.when(~own, F.col("first_table"))).alias("other")).collect()
+    out = {}
+    for r in rows:
+        said = {"skipped": str(r["files"]), "file": r["x"]["file"], "first": r["x"]["first_file"]} if r["files"] else {}
+        if r["other"]:
+            said["other_table"] = r["other"]
+        out[r["table_name"]] = {"files": r["files"], "file_print": r["file_print"], "said": said}
+    return out
+
+
 def _keep_misfits(spark: SparkSession, layout: Layout, name: str, checked: Checked, misfits: dict[str, int]) -> None:
     """Write the misfits to the quarantine; after a run without any, none are left there."""
     target = landing_quarantine(name)

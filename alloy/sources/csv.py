@@ -139,7 +139,7 @@ def file_print(file: Column, where: Column) -> Column:
 
 
 def read_checked(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True,
-                 glob: str = "*.csv", **options: str) -> Checked:
+                 glob: str = "*.csv", skip: DataFrame | None = None, **options: str) -> Checked:
     """Read CSV files so that no value is lost.
 
     The files are read once, one column wider than their header, so that
@@ -148,7 +148,8 @@ def read_checked(spark: SparkSession, path: str | Sequence[str], multi_line: boo
     quotes are closed.  A record with fewer fields than the header, with
     more, or with text after a closing quote is a misfit; blank records are
     skipped, as by Spark's reader.  Header records are told by their values,
-    wherever they are.
+    wherever they are.  ``skip`` has a column ``file``, as ``input_file_name``
+    spells it, of files whose records are left out.
     """
     paths = [path] if isinstance(path, str) else list(path)
     given = {**CSV_READ_OPTIONS, **options, "multiLine": str(multi_line).lower()}
@@ -169,6 +170,10 @@ def read_checked(spark: SparkSession, path: str | Sequence[str], multi_line: boo
         first = first.add(c, StringType())
     header = reader().schema(first).csv(paths).head()  # the first record of some file
     wide = reader().option("columnNameOfCorruptRecord", "__record").schema(schema).csv(paths)
+    file = F.input_file_name()
+    if skip is not None:  # a join ends the scan that input_file_name belongs to
+        wide = wide.withColumn("__from", file).join(skip.select(F.col("file").alias("__from")), "__from", "left_anti")
+        file = F.col("__from")
 
     record, more = F.col("__record"), F.col("__more")
     quoted = F.when(record.contains(quote), _quoting(record, sep, quote))
@@ -182,7 +187,7 @@ def read_checked(spark: SparkSession, path: str | Sequence[str], multi_line: boo
     good = F.col("__kind").isNull()
     odd = ~good & (F.col("__kind") != "blank")
     header_ = F.col("__kind").eqNullSafe("header")
-    judged = judged.withColumn("__file", F.when(odd, F.input_file_name()))
+    judged = judged.withColumn("__file", F.when(odd, file))
 
     seen = Observation()
     rows = (judged.observe(seen, F.count_if(good).alias("n_rows"), F.count_if(odd).alias("n_odd"),
@@ -191,6 +196,6 @@ def read_checked(spark: SparkSession, path: str | Sequence[str], multi_line: boo
     whole = F.coalesce(record, F.to_csv(F.struct(*slots, "__more"), {"quote": quote, "escape": quote, "sep": sep}))
     misfits = judged.where(odd & ~header_).select(
         F.col("__file").alias("file"), F.col("__kind").alias("reason"), whole.alias("record"))
-    per_file = (judged.where(good | odd).groupBy(F.input_file_name().alias("file"))
+    per_file = (judged.where(good | odd).groupBy(file.alias("file"))
                 .agg(F.count_if(header_).alias("n_headers"), F.count_if(good).alias("n_records")))
     return Checked(rows, seen, misfits, per_file)

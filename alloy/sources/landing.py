@@ -70,32 +70,77 @@ def list_landing(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFra
                      F.regexp_extract("entry", r"([^/]+)$", 1), r"\.csv$", "")))
 
 
-def landing_entries(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[str, LandingTable]:
-    """Table name → its places below the root, in the order of their paths.
-
-    One row per table reaches the driver.  A missing root has no tables.
-    """
+def found_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame | None:
+    """``list_landing``; None if the root doesn't exist."""
     try:
-        rows = (list_landing(spark, root, glob)
-                .groupBy("table_name")
-                .agg(F.sort_array(F.collect_set("entry")).alias("entries"),
-                     F.max("length").alias("largest"),
-                     F.count_if(F.col("length") > 0).alias("files"),
-                     file_print(F.col("file"), F.col("length") > 0).alias("file_print"),
-                     F.concat_ws("-", F.count(F.lit(1)), F.sum("length"),
-                                 *[F.hex(F.bit_xor(F.xxhash64("path", "length", "modified", F.lit(k))))
-                                   for k in (0, 1)]).alias("state"))
-                .collect())
+        return list_landing(spark, root, glob)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return {}
+            return None
         raise
+
+
+def landing_entries(spark: SparkSession, root: str, glob: str = "*.csv",
+                    files: DataFrame | None = None) -> dict[str, LandingTable]:
+    """Table name → its places below the root, in the order of their paths.
+
+    One row per table reaches the driver.  A missing root has no tables.
+    ``files``: the root's ``list_landing``, where it has been listed already.
+    """
+    files = found_files(spark, root, glob) if files is None else files
+    if files is None:
+        return {}
+    rows = (files.groupBy("table_name")
+            .agg(F.sort_array(F.collect_set("entry")).alias("entries"),
+                 F.max("length").alias("largest"),
+                 F.count_if(F.col("length") > 0).alias("files"),
+                 file_print(F.col("file"), F.col("length") > 0).alias("file_print"),
+                 F.concat_ws("-", F.count(F.lit(1)), F.sum("length"),
+                             *[F.hex(F.bit_xor(F.xxhash64("path", "length", "modified", F.lit(k))))
+                               for k in (0, 1)]).alias("state"))
+            .collect())
     base = root.rstrip("/")
     return {r.table_name: LandingTable(tuple(f"{base}/{e}" for e in r.entries), int(r.largest),
                                        int(r.files), int(r.file_print), r.state)
             for r in sorted(rows, key=lambda r: r.table_name)}
 
 
+#: Files whose lines are hashed one by one list; beyond, all files of their tables are read.
+MOST_PATHS = 1000
+
+
+def repeated_files(spark: SparkSession, files: DataFrame) -> DataFrame | None:
+    """Files that hold the same lines as another: (file, table_name, length, first_file, first_table).
+
+    None if there are none.  Two files can only be equal if their lengths
+    are, so only files that share one with a file of another entry are read:
+    their lines are hashed, in any order, in two ways of 64 bits.  The first
+    of equal files is the oldest, on ties the one with the least path; part
+    files of one folder are one drop and not compared with each other.
+    """
+    sizes = files.where(F.col("length") > 0).groupBy("length").agg(
+        F.count_distinct("entry").alias("entries")).where(F.col("entries") > 1)
+    alike = files.join(sizes.select("length"), "length")
+    some = alike.select("path").limit(MOST_PATHS + 1).collect()
+    if not some:
+        return None
+    paths = [r["path"] for r in some]
+    if len(paths) > MOST_PATHS:
+        paths = [r["folder"] for r in files.groupBy(F.regexp_extract("path", "^(.*)/", 1).alias("folder")).count().collect()]
+    h = F.xxhash64("value")
+    lines = (spark.read.option("recursiveFileLookup", "true").text(paths)
+             .groupBy(F.input_file_name().alias("file"))
+             .agg(F.count(F.lit(1)).alias("lines"), F.bit_xor(h).alias("h1"),
+                  F.sum(F.xxhash64("value", F.lit(1)).cast("decimal(20,0)")).alias("h2")))
+    same = ["length", "lines", "h1", "h2"]
+    hashed = alike.join(lines, "file")
+    firsts = hashed.groupBy(*same).agg(
+        F.min(F.struct("modified", "path", "file", "entry", "table_name")).alias("first"))
+    found = hashed.join(firsts, same).where(F.col("entry") != F.col("first.entry"))
+    return found.select("file", "table_name", "length", F.col("first.file").alias("first_file"),
+                        F.col("first.table_name").alias("first_table"))
+
+
 def landing_tables(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[str, list[str]]:
     """Table name → paths to read, for every table with at least one file."""
     return {name: list(t.paths) for name, t in landing_entries(spark, root, glob).items()}
