@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
@@ -53,6 +55,38 @@ def splittable(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).bitwiseXOR(F.lit(0).cast("long")))
 
 
+def splittable_text(df: DataFrame, column: str) -> DataFrame:
+    """``splittable`` for a column of strings."""
+    return df.withColumn(column, F.concat(F.col(column), F.lit("")))
+
+
+#: Salts of a group of rows that are numbered.
+SALTS = 4096
+
+
+def salted(df: DataFrame) -> DataFrame:
+    """``df`` with ``__salt``, from the row's place; store it before it is read twice."""
+    return df.withColumn("__salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))
+
+
+def numbered(rows: DataFrame, unit: list[str], order: list[str]) -> DataFrame:
+    """Salted, stored ``rows`` with ``__rank``: 1, 2, … in a unit by ``order``, among equal ones in any order.
+
+    Rows are counted by unit, order and salt, the counts of those before are
+    added up in each unit, and rows are numbered within a salt alone, so that
+    no task holds equal rows that are many.
+    """
+    by = [*unit, *order, "__salt"]
+    counts = rows.groupBy(*by).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*unit).orderBy(*order, "__salt").rowsBetween(Window.unboundedPreceding, -1))
+    names = [f"__u{i}" for i in range(len(by))]
+    offsets = counts.withColumn("__before", F.coalesce(before, F.lit(0))).drop("__n").toDF(*names, "__before")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(u)) for c, u in zip(by, names, strict=True)])
+    within = F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(0)))
+    ranked = rows.withColumn("__within", within).join(offsets, same)
+    return ranked.withColumn("__rank", F.col("__before") + F.col("__within")).drop("__within", "__before", "__salt", *names)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written as a table in the shared folder and read back.
 

@@ -149,25 +149,28 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def training_sample(docs: DataFrame, per_language: int = 800, max_languages: int = 200,
+def training_sample(docs: DataFrame, per_language: int = 800,
                     max_docs: int = 6_000, max_chars: int = 20_000) -> tuple[list[str], list[str]]:
     """A bounded sample of labelled documents, the same on every run.
 
-    Of each of the ``max_languages`` most frequent languages about
-    ``per_language`` documents of up to ``max_chars`` characters, drawn by
-    the hash of doc_id, or fewer so that all come to about ``max_docs``;
-    held-out documents and those without id, text or language are left out.
+    Of every language about ``per_language`` documents of up to ``max_chars``
+    characters, drawn by the hash of doc_id, or fewer so that all come to
+    about ``max_docs``; held-out documents and those without id, text or
+    language are left out.  No language is left out: more than ``max_docs`` of
+    them raise an error.
     """
     rows = pick(docs, "doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counts = sorted(rows.groupBy("lang").count().limit(max_docs + 1).collect(), key=lambda r: (-r["count"], r["lang"]))
     if not counts:
         return [], []
+    if len(counts) > max_docs:
+        raise ValueError(f"more languages than documents in the sample ({max_docs}): raise max_docs")
     each = max(1, min(per_language, max_docs // len(counts)))
     part = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rates = rows.sparkSession.createDataFrame(
         [(r["lang"], min(1.0, each / r["count"])) for r in counts], "lang string, rate double")
-    drawn = (rows.join(F.broadcast(rates), "lang").where(part < F.col("rate"))  # max_languages rows
+    drawn = (rows.join(F.broadcast(rates), "lang").where(part < F.col("rate"))  # max_docs rows at most
              .where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
              .select("doc_id", "text", "lang").orderBy("doc_id", "lang", "text")
              .limit(2 * each * len(counts)).collect())

@@ -123,7 +123,7 @@ def line_quality(docs: DataFrame, host: str = "source", min_docs: int = 10, max_
                 .agg(F.count("*").alias("texts")))
     frequent = (lines.groupBy("host", "line").agg(F.count("*").alias("texts_with"))
                 .where(F.col("texts_with") > min_docs)
-                .join(per_host, "host")
+                .join(splittable(per_host, "host"), "host")
                 .where(F.col("texts_with") > F.lit(max_share) * F.col("texts"))
                 .select("host", "line"))
     removed = (lines.join(splittable(frequent, "line"), ["host", "line"]).groupBy(*unit)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from alloy.llm.common import pick, stored, word_count
+from alloy.llm.common import numbered, pick, salted, stored, word_count
 
 SEED = 71
 WEIGHTS = (5, 2, 1)
@@ -76,26 +76,32 @@ def shard_ranges(quotas: np.ndarray, shards: int, shard: int, seed: int = SEED)
     return [(int(x), int(x + n)) for x, n in zip(lo, q, strict=True)]
 
 
-def fill(sizes: Sequence[int], room: float) -> list[bool]:
-    """Which of these, in order, to take: each that fits, then one more if that comes nearer."""
+def fill_units(sizes: Sequence[int], counts: Sequence[int], room: float) -> list[int]:
+    """How many rows of each unit, in order, to take: as many as fit, then one more row if that comes nearer."""
     taken = []
-    for s in sizes:
-        taken.append(0 < s <= room)
-        room -= s if taken[-1] else 0
-    rest = [(s, i) for i, s in enumerate(sizes) if s > 0 and not taken[i]]
+    for s, n in zip(sizes, counts, strict=True):
+        taken.append(min(n, int(room // s)) if s > 0 else 0)
+        room -= s * taken[-1]
+    rest = [(s, i) for i, s in enumerate(sizes) if s > 0 and taken[i] < counts[i]]
     if rest and min(rest)[0] < 2 * room:
-        taken[min(rest)[1]] = True
+        taken[min(rest)[1]] += 1
     return taken
 
 
+def fill(sizes: Sequence[int], room: float) -> list[bool]:
+    """``fill_units`` of single rows."""
+    return [n > 0 for n in fill_units(sizes, [1] * len(sizes), room)]
+
+
 @dataclass(frozen=True)
 class Mix:
     """What the draws need: the sizes, a row per source, the chosen documents of the last blocks, the draws."""
-    rows: DataFrame  # doc_id, source, size
+    rows: DataFrame  # doc_id, source, size, __salt
     sources: DataFrame  # source, sid, source_size, target, blocks, passes, a, c, last
-    chosen: DataFrame  # sid, doc_id, size
+    chosen: DataFrame  # sid, doc_id, size, n, take: units of the blocks that are filled up
     draws: DataFrame  # sid, block, draws
     shards: int
+    partial: bool  # a unit is taken in part: its rows must be numbered
 
 
 def _block(blocks: Column) -> Column:
@@ -124,7 +130,8 @@ def _end(sums: DataFrame, column: str, room: dict[int, float]) -> dict[int, tupl
 
 def _fill_block(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(["h", "doc_id", "size"])
-    return pdf.loc[fill(pdf["weight"].tolist(), float(pdf["room"].iloc[0])), ["sid", "doc_id", "size"]]
+    take = fill_units(pdf["size"].tolist(), pdf["n"].tolist(), float(pdf["room"].iloc[0]))
+    return pdf.assign(take=take).loc[lambda d: d["take"] > 0, ["sid", "doc_id", "size", "n", "take"]]
 
 
 def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST, shard_words: int = SHARD_WORDS,
@@ -138,8 +145,8 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float =
     if not 0 < most <= MOST:
         raise ValueError(f"most must be over 0 and at most {MOST}")
     spark = docs.sparkSession
-    rows = stored(pick(docs, "doc_id", "source", "text").select(
-        "doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    rows = stored(salted(pick(docs, "doc_id", "source", "text").select(
+        "doc_id", "source", word_count(F.col("text")).alias("size"))), "mix-sizes")
     found = (rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
              .limit(max_sources + 1).collect())
     if len(found) > max_sources:
@@ -170,18 +177,19 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float =
     sources = spark.createDataFrame([tuple(m) for m in made], schema)
     ends = spark.createDataFrame([(s, p, float(r)) for s, (p, r) in last.items()],
                                  "sid int, place long, room double")
-    # about block_docs documents of each source; equal rows are one unit
+    # about block_docs units of each source
     chosen = stored(
         placed.join(F.broadcast(ends), ["sid", "place"]).groupBy("sid", "doc_id", "size", "room")
-        .agg(F.sum("size").alias("weight")).withColumn("h", F.xxhash64("doc_id", F.lit(SEED + 1)))
-        .groupBy("sid").applyInPandas(_fill_block, "sid int, doc_id long, size long"), "mix-chosen")
+        .agg(F.count("*").alias("n")).withColumn("h", F.xxhash64("doc_id", F.lit(SEED + 1)))
+        .groupBy("sid").applyInPandas(_fill_block, "sid int, doc_id long, size long, n long, take long"), "mix-chosen")
     quotas = []
     for m in made:
         blocks, passes, end = m[4], m[5], m[8]
         rest = end + 1 if end >= 0 and room[m[1]] > 0 else 0
         quotas.append(passes * blocks + rest)
     shards = max(1, -(-sum(r["size"] for r in found) // shard_words))
-    return Mix(rows, sources, chosen, stored(_draws(spark, np.array(quotas, np.int64), made, shards), "mix-draws"), shards)
+    draws = stored(_draws(spark, np.array(quotas, np.int64), made, shards), "mix-draws")
+    return Mix(rows, sources, chosen, draws, shards, not chosen.where("take < n").isEmpty())
 
 
 def _draws(spark, quotas: np.ndarray, made: list[list], shards: int) -> DataFrame:
@@ -198,7 +206,7 @@ def _draws(spark, quotas: np.ndarray, made: list[list], shards: int) -> DataFram
     known = spark.createDataFrame(
         [(m[1], m[4], [int(x) for x in inverse[i]], [(SEED * 7919 * (p + 1)) % m[4] for p in range(MOST + 1)])
          for i, m in enumerate(made)], "sid int, blocks long, inverse array<long>, shift array<long>")
-    leaves = (spark.range(shards).repartition(min(shards, 200)).mapInPandas(ranges, "shard int, sid int, lo long, hi long")
+    leaves = (spark.range(shards).repartition(min(shards, max(200, shards // 1000))).mapInPandas(ranges, "shard int, sid int, lo long, hi long")
               .where(F.col("hi") > F.col("lo")).join(F.broadcast(known), "sid"))
     each = leaves.select("*", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("k"))
     each = each.withColumn("pass", F.floor(F.col("k") / F.col("blocks")).cast("int"))
@@ -211,17 +219,27 @@ def _draws(spark, quotas: np.ndarray, made: list[list], shards: int) -> DataFram
 
 
 def _drawn(rows: DataFrame, mix: Mix) -> DataFrame:
-    """``rows`` (doc_id, source, size, any ``_c`` columns) with source_size, target and draws."""
+    """``rows`` (doc_id, source, size, any ``_c`` columns) with source_size, target and draws.
+
+    Where units are taken in part, ``rows`` must read a written table that
+    has a column ``__salt``.
+    """
     found = _place(rows, mix.sources).join(mix.draws, ["sid", "block"], "left")
     pick_ = mix.chosen.select(F.col("sid").alias("__sid"), F.col("doc_id").alias("__id"),
-                              F.col("size").alias("__size"), F.lit(True).alias("__in"))
+                              F.col("size").alias("__size"), F.col("n").alias("__n"), F.col("take").alias("__take"))
     same = ((F.col("sid") == F.col("__sid")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-            & (F.col("size") == F.col("__size")))
+            & (F.col("size") == F.col("__size")) & (F.col("place") == F.col("last")))
     found = found.join(F.broadcast(pick_), same, "left")  # about block_docs rows of each source
-    out = F.col("__in").isNull() & (F.col("place") == F.col("last"))
+    found = found.withColumn("__rank", F.lit(0).cast("long"))
+    if mix.partial:
+        parted = F.coalesce(F.col("__take") < F.col("__n"), F.lit(False))
+        ranked = numbered(found.where(parted).drop("__rank"), ["sid", "doc_id", "size"], [])
+        found = found.where(~parted).drop("__salt").unionByName(ranked)
+    out = (F.col("place") == F.col("last")) & ~F.coalesce(F.col("__rank") <= F.col("__take"), F.lit(False))
     kept = F.when(out, F.filter("draws", lambda d: d["pass"] < F.col("passes"))).otherwise(F.col("draws"))
     kept = F.coalesce(kept, F.array().cast("array<struct<pass:int,shard:int>>"))
-    return found.withColumn("draws", kept).select(*rows.columns, "source_size", "target", "draws")
+    return found.withColumn("draws", kept).select(
+        *[c for c in rows.columns if c != "__salt"], "source_size", "target", "draws")
 
 
 def mix_plan_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST,
@@ -230,20 +248,22 @@ def mix_plan_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: flo
 
     draws: array of (pass, shard), one entry for each time the mix takes the
     document, empty if it doesn't.  Documents without words weigh nothing;
-    a NULL text has none.  NULL sources form the last source.  Rows with
-    equal ids and sizes are taken alike.  An empty input gives no rows.
-    Other columns of ``docs`` are not read.
+    a NULL text has none.  NULL sources form the last source.  Rows of equal
+    id and size can be taken in part, whichever of them: how many is the same
+    on every run.  An empty input gives no rows.  Other columns of ``docs``
+    are not read.
     """
     mix = plan_mix(docs, weights, most, shard_words, block_docs)
     return _drawn(mix.rows, mix)
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST,
-                  shard_words: int = SHARD_WORDS, block_docs: int = 64) -> DataFrame:
+                  shard_words: int = SHARD_WORDS, block_docs: int = 64, most_partitions: int = 10_000) -> DataFrame:
     """The mix itself: rows of ``docs`` (its own columns), each as often as it is drawn.
 
-    A partition holds whole shards, as many as the session's shuffle
-    partitions ask for; rows of a shard are in the order of a hash.
+    A partition holds whole shards, dealt over as many partitions as there
+    are shards, up to ``most_partitions``; rows of a shard are in the order
+    of a hash.
     """
     names = docs.columns
     mix = plan_mix(docs, weights, most, shard_words, block_docs)
@@ -251,8 +271,10 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: flo
     col = {n: F.col(f"_c{names.index(n)}") for n in ("doc_id", "source", "text")}
     rows = flat.select("*", col["doc_id"].alias("doc_id"), col["source"].alias("source"),
                        word_count(col["text"]).alias("size"))
+    if mix.partial:
+        rows = stored(salted(rows), "mix-rows")
     out = _drawn(rows, mix).select("*", F.explode("draws").alias("d"))
     out = out.withColumn("__shard", F.col("d.shard")).withColumn(
         "__order", F.xxhash64("doc_id", "d", F.lit(SEED + 2)))
-    return (out.repartition("__shard").sortWithinPartitions("__shard", "__order")
+    return (out.repartition(min(mix.shards, most_partitions), "__shard").sortWithinPartitions("__shard", "__order")
             .select(*[f"_c{i}" for i in range(len(names))]).toDF(*names))

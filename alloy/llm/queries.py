@@ -14,8 +14,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 #: Fixed values of the URL contract.
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
              ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Hosts whose pages make up the list of URLs.
-LISTED_HOSTS = r"(^|\.)(spam-farm|cheap-pills)\."
+#: Pages whose html holds this many runs of symbols make up the list of URLs.
+SYMBOL_RUNS, MOST_RUNS = r"[#%*$]{3}", 10
 
 
 def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,10 +41,13 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listed_urls(pages: DataFrame) -> DataFrame:
-    """Canonical URLs of all pages on the listed hosts."""
-    url = F.col("url")
-    return (pick(pages, "url").where(url_filter.host_of(url).rlike(LISTED_HOSTS))
-            .select(url_filter.canonical(url).alias("url_key")))
+    """Canonical URLs of the pages whose html is full of symbols; a NULL html is none of them.
+
+    Other pages of the same canonical URL (by another scheme, host prefix,
+    port or query) are listed with them, whatever their own html holds.
+    """
+    junk = F.regexp_count("html", F.lit(SYMBOL_RUNS)) >= MOST_RUNS
+    return pick(pages, "url", "html").where(junk).select(url_filter.canonical(F.col("url")).alias("url_key"))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,24 +182,28 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.d
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)""",
     "op6_url_filter": r"""
 WITH parts AS (
-  SELECT page_id,
+  SELECT page_id, html,
     coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
-    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*[^?#]*\?([^#]*)', 1), '') AS query
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*[^?#]*\?([^#]*)', 1), '') AS query,
+    lower(regexp_extract(url, '(?s)^(.*?)://', 1)) = 'https' AS secure
   FROM pages),
 keyed AS (
   SELECT *, array_to_string(list_filter(string_split(query, '&'),
-      lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)=')), '&') AS kept
+      lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)=')), '&') AS kept,
+    regexp_replace(regexp_replace(host, '(?s)^.*@', ''),
+      CASE WHEN secure THEN ':(443)?\z' ELSE ':(80)?\z' END, '') AS name
   FROM parts),
 canon AS (
-  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^www\.', '')
-      || regexp_replace(path, '/+\z', '')
-      || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END END AS url_key
+  SELECT *, CASE WHEN name <> '' THEN regexp_replace(regexp_replace(name, '\.+((:[0-9]+)?)\z', '\1'), '^www\.', '')
+      || array_to_string(list_transform(string_split(regexp_replace(path, '/+\z', '')
+      || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END, '%'), lambda s, i: CASE
+        WHEN i > 1 AND regexp_matches(s, '^[0-9a-fA-F]{2}') THEN upper(s[:2]) || s[3:] ELSE s END), '%') END AS url_key
   FROM keyed),
 listed AS (
   SELECT DISTINCT url_key FROM canon
-  WHERE regexp_matches(host, '(^|\.)(spam-farm|cheap-pills)\.')),
+  WHERE len(regexp_extract_all(html, '[#%*$]{3}')) >= 10),
 rules(kind, h, p) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
   ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
 best AS (

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from alloy.llm.common import pick
+from alloy.llm.common import numbered, pick, salted, stored
 
 CELLS = 1 << 17
 SEED = 41
@@ -106,7 +106,7 @@ def walk(cell: np.ndarray, count: np.ndarray, shards: int, vnodes: int,
 
 
 def shard_rows(rows: DataFrame, key: Sequence[str], shards: int = 24, vnodes: int = 64,
-               load_factor: float | None = None, cells: int = CELLS) -> DataFrame:
+               load_factor: float | None = None, cells: int = CELLS, hot_rows: int = 10_000) -> DataFrame:
     """``rows`` with ``shard`` (0 to shards-1) and ``slot`` (gapless from 0 in a shard).
 
     ``key``: columns that place a row on the ring and order rows of a cell
@@ -114,7 +114,8 @@ def shard_rows(rows: DataFrame, key: Sequence[str], shards: int = 24, vnodes: in
     The same rows give the same shards whatever their order or partitions.
     NULL keys are keys like others; rows with equal keys are placed one by
     one, in any order among themselves.  An empty input gives no rows.  The
-    names ``shard`` and ``slot`` must be free in ``rows``.
+    names ``shard`` and ``slot`` must be free in ``rows``.  A cell with more
+    rows than ``hot_rows`` and eight average cells is sorted by no task alone.
     """
     if shards < 1 or vnodes < 1:
         raise ValueError("shards and vnodes must be 1 at least")
@@ -127,9 +128,20 @@ def shard_rows(rows: DataFrame, key: Sequence[str], shards: int = 24, vnodes: in
     names = ["__cell", "__lo", "__hi", "shard", "__slot"]
     made = spark.createDataFrame([tuple(map(int, p)) for p in pieces.T],
                                  "__cell int, __lo long, __hi long, shard int, __slot long")
-    order = Window.partitionBy("__cell").orderBy(F.xxhash64(*key, F.lit(SEED + 1)), *key)
-    ranked = (rows.withColumn("__cell", cell)
-              .withColumn("__rank", F.row_number().over(order).cast("long") - 1))
+    # equal keys share a cell: rows of a cell far beyond the others are numbered by salted counts
+    limit = hot_rows + 8 * int(counted["count"].sum()) // cells
+    hot = [(int(c),) for c in counted["__cell"][counted["count"] > limit]]
+    placed = rows.withColumn("__cell", cell).withColumn("__order", F.xxhash64(*key, F.lit(SEED + 1)))
+    order = ["__order", *key]
+    ranked = None
+    if hot:
+        hot_cells = F.broadcast(spark.createDataFrame(hot, "__cell int"))  # at most `cells` rows
+        crowd = stored(salted(placed.join(hot_cells, "__cell", "left_semi")), "ring-hot")
+        ranked = numbered(crowd, ["__cell"], order).withColumn("__rank", F.col("__rank") - 1)
+        placed = placed.join(hot_cells, "__cell", "left_anti")
+    plain = placed.withColumn("__rank", F.row_number().over(
+        Window.partitionBy("__cell").orderBy(*order)).cast("long") - 1)
+    ranked = (plain if ranked is None else plain.unionByName(ranked)).drop("__order")
     fits = (F.col("__rank") >= F.col("__lo")) & (F.col("__rank") < F.col("__hi"))
     return (ranked.join(F.broadcast(made), "__cell").where(fits)  # at most cells + shards**2 pieces
             .withColumn("slot", F.col("__slot") + F.col("__rank") - F.col("__lo"))

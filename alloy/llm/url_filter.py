@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from alloy.llm.common import pick
+from alloy.llm.common import pick, splittable_text
 
 #: verdict, host, path: a rule holds for its host and all subdomains.
 Rule = tuple[str, str, str]
@@ -44,14 +44,25 @@ def _lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def _percent_case(c: Column) -> Column:
+    """Hexadecimal digits of percent codes as capitals."""
+    return F.array_join(F.transform(F.split(c, "%", -1), lambda p, i: F.when(
+        (i > 0) & p.rlike("^[0-9a-fA-F]{2}"), F.concat(F.upper(F.substring(p, 1, 2)), F.substr(p, F.lit(3)))).otherwise(p)), "%")
+
+
 def canonical(url: Column) -> Column:
-    """Host without a leading ``www.``, path without closing slashes, and the
-    query without tracking parameters.  Scheme and fragment go.  NULL without a host."""
-    host = host_of(url)
+    """The key of a page: its host without user, default port, closing dots and a
+    leading ``www.``, its path without closing slashes, and its query without
+    tracking parameters; percent codes in capitals.  Scheme and fragment go.
+    NULL without a host."""
+    host = F.regexp_replace(host_of(url), r"(?s)^.*@", "")
+    secure = F.lower(F.regexp_extract(url, r"(?s)^(.*?)://", 1)) == "https"
+    host = F.regexp_replace(host, F.when(secure, r":(443)?\z").otherwise(r":(80)?\z"), F.lit(""))
+    host = F.regexp_replace(F.regexp_replace(host, r"\.+(?=(:[0-9]+)?\z)", ""), r"^www\.", "")
     kept = F.array_join(F.filter(F.split(query_of(url), "&"), lambda p: (p != "") & ~p.rlike(TRACKING)), "&")
     return F.when(host != "", F.concat(
-        F.regexp_replace(host, r"^www\.", ""), F.regexp_replace(path_of(url), r"/+\z", ""),
-        F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise("")))
+        host, _percent_case(F.regexp_replace(path_of(url), r"/+\z", "")),
+        F.when(kept != "", F.concat(F.lit("?"), _percent_case(kept))).otherwise("")))
 
 
 def _block(key: Column, blocks: int) -> Column:
@@ -114,8 +125,9 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = (),
         canonical(url).alias("url_key"))
     keys = listed.select("url_key").where(F.col("url_key").isNotNull())
     probed = with_possible(rows, "url_key", bloom(keys, "url_key", blocks), blocks)
-    exact = keys.distinct().withColumn("listed", F.lit(True))
-    # a hash join whatever the list's size: distinct keys, dealt evenly over the partitions
+    exact = splittable_text(keys.distinct(), "url_key").withColumn("listed", F.lit(True))
+    # a hash join whatever the list's size: distinct keys, dealt evenly over the partitions;
+    # AQE can split the pages of one hot URL
     hits = probed.where("__possible").join(exact.hint("shuffle_hash"), "url_key", "left").withColumn(
         "listed", F.coalesce("listed", F.lit(False)))
     missed = probed.where(~F.col("__possible")).withColumn("listed", F.lit(False))

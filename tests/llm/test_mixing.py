@@ -1,10 +1,17 @@
+import re
+import struct
+from collections import Counter
+
 import numpy as np
 import pytest
+import xxhash
 from edge import EDGE, documents, empty, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from alloy.llm import mixing
+from alloy.llm.common import pick
 
 
 def brute_targets(sizes, weights, most):
@@ -46,6 +53,18 @@ def test_fill_takes_what_fits_then_the_nearest():
     assert mixing.fill([0, 4], 0) == [False, False]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 20)), min_size=1, max_size=8), st.floats(0, 3000))
+def test_fill_units_leaves_less_than_half_the_least_row(units, room):
+    sizes, counts = [s for s, _ in units], [n for _, n in units]
+    got = mixing.fill_units(sizes, counts, room)
+    assert all(0 <= t <= n for t, n in zip(got, counts))
+    taken = sum(s * t for s, t in zip(sizes, got))
+    left = [s for s, t, n in zip(sizes, got, counts) if s and t < n]
+    assert not left or abs(room - taken) <= max(sizes)
+    assert got == [int(x) for x in mixing.fill(sizes, room)] if set(counts) == {1} else True
+
+
 def corpus():
     rng = np.random.default_rng(4)
     rows = [(i, prose(i, int(rng.integers(1, 60))), "en", "abcdefg"[min(6, int(rng.integers(0, 12)))]) for i in range(1500)]
@@ -103,3 +122,82 @@ def test_edge_cases(spark):
     assert mixing.mix_documents(nothing).count() == 0
     with pytest.raises(ValueError, match="sources"):
         mixing.plan_mix(documents(spark, corpus()), max_sources=3)
+
+
+# ------------------------------------------------------------------ whole quotas, by plain loops
+
+def spark_hash(doc_id, seed):
+    """xxhash64(doc_id, seed) as Spark counts it."""
+    h = 42 if doc_id is None else xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42)
+    h = xxhash.xxh64_intdigest(struct.pack("<i", seed), h)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def brute_taken(rows, weights, block_docs):
+    """(source, doc_id, size) → how often its rows are taken in all."""
+    by = {}
+    for i, t, _, s in rows:
+        by.setdefault(s, []).append((i, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))))
+    order = sorted(by, key=lambda s: (s is None, s or ""))
+    goal = mixing.targets([sum(z for _, z in by[s]) for s in order], [weights[k % len(weights)] for k in range(len(order))])
+    out = Counter()
+    for s, target in zip(order, goal):
+        docs, whole = by[s], sum(z for _, z in by[s])
+        blocks = -(-len(docs) // block_docs)
+        passes = min(int(target // whole), 3) if whole else 0
+        room = target - passes * whole
+        a, c = mixing._TIMES[passes] % blocks, (mixing.SEED * 7919 * (passes + 1)) % blocks
+        placed = {}
+        for i, z in docs:
+            out[s, i, z] += passes
+            placed.setdefault((spark_hash(i, mixing.SEED) % blocks * a + c) % blocks, Counter())[i, z] += 1
+        for place in sorted(placed):
+            size = sum(z * n for (_, z), n in placed[place].items())
+            if size <= room:
+                for (i, z), n in placed[place].items():
+                    out[s, i, z] += n
+                room -= size
+                continue
+            units = sorted(placed[place].items(), key=lambda u: (spark_hash(u[0][0], mixing.SEED + 1), u[0][0] or 0, u[0][1]))
+            for ((i, z), _), n in zip(units, mixing.fill_units([z for (_, z), _ in units], [n for _, n in units], room)):
+                out[s, i, z] += n
+            break
+    return out
+
+
+def repeated():
+    """A third of each source is one row; some ids repeat with other sizes."""
+    rows = [(1, prose(1, 10), "en", "a")] * 60 + [(100 + i, prose(i, 3), "en", "a") for i in range(100)]
+    rows += [(2, prose(2, 7), "en", "b")] * 300 + [(3000 + i, prose(i, 1 + i % 30), "en", "b") for i in range(150)]
+    rows += [(None, prose(3, 4), "en", "c")] * 90 + [(5, prose(i, 1 + i % 5), "en", "c") for i in range(200)]
+    return rows + [(9000 + i, prose(i, 25), "en", None) for i in range(400)]
+
+
+@pytest.mark.parametrize("block_docs", [8, 64, 1000])
+def test_whole_quotas_equal_plain_loops(spark, block_docs):
+    rows = repeated()
+    want = brute_taken(rows, (5, 2, 1), block_docs)
+    for docs in (documents(spark, rows), documents(spark, rows).repartition(7)):
+        got = Counter()
+        for r in mixing.mix_plan_rows(docs, block_docs=block_docs, shard_words=500).select("source", "doc_id", "size", "draws").collect():
+            assert len(r["draws"]) <= 3
+            got[r["source"], r["doc_id"], r["size"]] += len(r["draws"])
+        assert +got == +want
+        mixed = Counter((r["source"], r["doc_id"]) for r in
+                        mixing.mix_documents(pick(docs, "doc_id", "text", "source"),
+                                             block_docs=block_docs, shard_words=500).collect())
+        by_id = Counter()
+        for (s, i, z), n in want.items():
+            by_id[s, i] += n
+        assert +mixed == +by_id
+
+
+def test_repeated_rows_are_taken_in_part(spark):
+    """60 equal rows of 10 words and 100 rows of 3 beside a source that leaves the target between."""
+    rows = repeated()
+    got = mixing.mix_plan_rows(documents(spark, rows)).toPandas()
+    got["taken"] = got.draws.map(len) * got["size"]
+    by = got.assign(source=got.source.fillna("~")).groupby("source").agg(target=("target", "first"), taken=("taken", "sum"), most=("size", "max"))
+    assert (abs(by.taken - by.target) <= by.most).all()
+    hot = got[(got.doc_id == 1)].draws.map(len)
+    assert len(hot) == 60

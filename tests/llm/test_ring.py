@@ -4,7 +4,10 @@ from edge import EDGE, documents, empty
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from alloy.llm import ring
+from alloy.llm.common import pick
 
 
 def one_by_one(cells, shards, vnodes, load_factor, ring_cells):
@@ -72,3 +75,21 @@ def test_edge_cases(spark):
     assert ring.shard_documents(empty(spark), 3).count() == 0
     with pytest.raises(ValueError):
         ring.shard_documents(documents(spark), 3, load_factor=0.5)
+
+
+def test_a_third_of_the_rows_on_one_key(spark):
+    """Hot cells are numbered by salted counts: the same shards and slots for every key, whatever the limit."""
+    rows = [(i, f"t{i}", "en", "s") for i in range(2000)] + [(None, None, "en", "s")] * 700 + [(3, "t3", "en", "s")] * 300
+    docs = pick(documents(spark, rows), "doc_id", "text")
+    keyed = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n"))
+    got = []
+    for hot_rows in (10 ** 9, 50, 1):
+        placed = ring.shard_rows(keyed.repartition(5), ["doc_id", "n"], 7, cells=64, hot_rows=hot_rows - 8 * 3000 // 64)
+        assert placed.columns == ["doc_id", "n", "shard", "slot"]
+        got.append(sorted(map(tuple, placed.collect()), key=str))
+        by = {}
+        for *_, shard, slot in got[-1]:
+            by.setdefault(shard, []).append(slot)
+        assert all(sorted(s) == list(range(len(s))) for s in by.values())
+        assert max(map(len, by.values())) - min(map(len, by.values())) <= 1
+    assert got[0] == got[1] == got[2]
