@@ -12,7 +12,7 @@ from alloy.session import scratch_path
 
 #: A word is a run of characters other than these six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH_BYTES = str(4 << 20)
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,9 +39,13 @@ def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """``df.mapInArrow``, its Arrow batches bounded by ``BATCH_BYTES``.
 
     Texts take from no byte to many megabytes, and a batch is held several
-    times on its way to Python and back.  The bound is set in the session.
+    times on its way to Python and back.  A larger bound of the session is
+    lowered; plans that were made before run with it too.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(conf.get(key))
+    if not now.removesuffix("b").isdigit() or not 0 < int(now.removesuffix("b")) <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 

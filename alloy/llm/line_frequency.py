@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.column import Column
 
 from alloy.llm.common import map_arrow, pick, splittable, stored
 
@@ -90,12 +91,41 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             offsets = pa.array(ends, pa.int32())
             yield pa.record_batch(
                 [batch.column(0), batch.column(1),
-                 pa.array([xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in texts], pa.int64()),
+                 pa.array(list(map(text_hash, texts)), pa.int64()),
                  *[pa.array(s, pa.int64()) for s in stats],
                  pa.ListArray.from_arrays(offsets, hashes), pa.ListArray.from_arrays(offsets, sizes)],
                 ["doc_id", "host", "text_hash", *_STATS, "hashes", "sizes"])
 
 
+def _measured(docs: DataFrame, host: str) -> DataFrame:
+    rows = pick(docs, "doc_id", host, "text").toDF("doc_id", "host", "text").withColumn("host", _host(F.col("host")))
+    return stored(map_arrow(
+        rows, _measure, "doc_id long, host long, text_hash long, " + ", ".join(f"{s} long" for s in _STATS)
+        + ", hashes array<long>, sizes array<int>"), "lines")
+
+
+def _host(host: Column) -> Column:
+    return F.xxhash64(F.isnull(host), host)
+
+
+_UNIT = ["host", "text_hash"]
+
+
+def _frequent(measured: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+    """(host, text_hash, line, size) of every text's distinct lines that are frequent."""
+    lines = (measured.select(*_UNIT, F.explode(F.arrays_zip("hashes", "sizes")).alias("l"))
+             .select(*_UNIT, F.col("l.hashes").alias("line"), F.col("l.sizes").alias("size"))
+             .distinct())
+    per_host = (measured.select(*_UNIT).distinct().groupBy("host")
+                .agg(F.count("*").alias("texts")))
+    frequent = (lines.groupBy("host", "line").agg(F.count("*").alias("texts_with"))
+                .where(F.col("texts_with") > min_docs)
+                .join(splittable(per_host, "host"), "host")
+                .where(F.col("texts_with") > F.lit(max_share) * F.col("texts"))
+                .select("host", "line"))
+    return lines.join(splittable(frequent, "line"), ["host", "line"])
+
+
 def line_quality(docs: DataFrame, host: str = "source", min_docs: int = 10, max_share: float = 0.01,
                  min_left: float = 0.3) -> DataFrame:
     """One row per document: doc_id, the statistics, base_failed, n_words_left, kept.
@@ -110,27 +140,62 @@ def line_quality(docs: DataFrame, host: str = "source", min_docs: int = 10, max_
     Repeated rows repeat their result, NULL ids are returned as they are,
     other columns of ``docs`` are not read.
     """
-    rows = pick(docs, "doc_id", host, "text").toDF("doc_id", "host", "text").withColumn(
-        "host", F.xxhash64(F.isnull("host"), "host"))
-    measured = stored(map_arrow(
-        rows, _measure, "doc_id long, host long, text_hash long, " + ", ".join(f"{s} long" for s in _STATS)
-        + ", hashes array<long>, sizes array<int>"), "lines")
-    unit = ["host", "text_hash"]
-    lines = (measured.select(*unit, F.explode(F.arrays_zip("hashes", "sizes")).alias("l"))
-             .select(*unit, F.col("l.hashes").alias("line"), F.col("l.sizes").alias("size"))
-             .distinct())
-    per_host = (measured.select(*unit).distinct().groupBy("host")
-                .agg(F.count("*").alias("texts")))
-    frequent = (lines.groupBy("host", "line").agg(F.count("*").alias("texts_with"))
-                .where(F.col("texts_with") > min_docs)
-                .join(splittable(per_host, "host"), "host")
-                .where(F.col("texts_with") > F.lit(max_share) * F.col("texts"))
-                .select("host", "line"))
-    removed = (lines.join(splittable(frequent, "line"), ["host", "line"]).groupBy(*unit)
-               .agg(F.sum("size").alias("gone")))
+    measured = _measured(docs, host)
+    frequent = _frequent(measured, min_docs, max_share)
+    removed = frequent.groupBy(*_UNIT).agg(F.sum("size").alias("gone"))
     n = F.col("n_words")
     failed = (n < 50) | (100 * F.col("n_repeat_words") > 50 * n)
     left = n - F.coalesce("gone", F.lit(0))
-    return (measured.drop("hashes", "sizes").join(splittable(removed, "text_hash"), unit, "left")
+    return (measured.drop("hashes", "sizes").join(splittable(removed, "text_hash"), _UNIT, "left")
             .select("doc_id", *_STATS, failed.alias("base_failed"), left.alias("n_words_left"),
                     (~failed & (left >= F.lit(min_left) * n)).alias("kept")))
+
+
+def text_hash(text: bytes | None) -> int:
+    return xxhash.xxh3_64_intdigest(text or b"") - (1 << 63)
+
+
+def _hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        h = [text_hash(t) for t in batch.column(0).cast(pa.binary()).to_pylist()]
+        yield pa.record_batch([*batch.columns, pa.array(h, pa.int64())], [*batch.schema.names, "text_hash"])
+
+
+def strip_lines(text: bytes, gone: set[int]) -> bytes:
+    """``text`` without the lines whose normalised form has one of these hashes."""
+    def stays(line: bytes) -> bool:
+        norm = normalise(line)
+        return not norm or xxhash.xxh3_64_intdigest(norm) - (1 << 63) not in gone
+    return b"\n".join(filter(stays, text.split(b"\n")))
+
+
+def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [strip_lines(t, set(g)) for t, g in zip(
+            batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+        yield pa.record_batch([pa.array(texts, pa.binary()).cast(pa.string()), *batch.columns[1:]], batch.schema.names)
+
+
+def without_frequent_lines(docs: DataFrame, host: str = "source", min_docs: int = 10,
+                           max_share: float = 0.01) -> DataFrame:
+    """The rows of ``docs`` (its own columns), every frequent line cut out of its texts.
+
+    Lines are frequent as in ``line_quality``; lines without a word, and all
+    texts without a frequent line, stay as they are.  A NULL text stays NULL.
+    Only hashes are counted and joined; the texts are shuffled once, to meet
+    the hashes of their own lines.
+    """
+    names = docs.columns
+    frequent = _frequent(_measured(docs, host), min_docs, max_share)
+    gone = stored(frequent.groupBy(*_UNIT).agg(F.collect_set("line").alias("gone")), "frequent-lines")  # lines of one text
+    flat = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    text = f"_c{names.index('text')}"
+    others = [c for c in flat.columns if c != text]
+    rows = flat.select(F.col(text).alias("text"), *others, _host(F.col(f"_c{names.index(host)}")).alias("host"))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    met = map_arrow(rows, _hash_texts, f"{fields}, text_hash long").join(splittable(gone, "text_hash"), _UNIT, "left")
+    met = met.select("text", "gone", *others)
+    cut = map_arrow(met.where(F.col("gone").isNotNull() & F.col("text").isNotNull()), _strip,
+                    ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in met.schema))
+    out = met.where(F.col("gone").isNull() | F.col("text").isNull()).unionByName(cut)
+    return out.select(*[F.col("text" if c == text else c) for c in flat.columns]).toDF(*names)

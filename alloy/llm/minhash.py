@@ -229,7 +229,7 @@ def _only(rows: DataFrame, needed: DataFrame, column: str) -> DataFrame:
     """``rows`` whose ``column`` is in ``needed`` (a column of that name): a Bloom filter first, then a join."""
     ids = needed.select(column).distinct()
     possible = with_possible(rows, column, bloom(ids, column)).where("__possible").drop("__possible")
-    return possible.join(ids, column, "left_semi")
+    return possible.join(splittable(ids, column), column, "left_semi")
 
 
 def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -248,7 +248,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
 
     A NULL or empty text, or one without words, has no shingles, is linked
     with nothing and kept.  Rows with one doc_id are one document and are
-    all returned.  A row without doc_id has its class's component and isn't
+    all returned; if their texts differ, the document is linked with all that
+    any of them is linked with.  A row without doc_id has its class's component and isn't
     kept; without any id in its class it has none and is kept.  Other
     columns of ``docs`` are not read.
     """
@@ -259,6 +260,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
         docs, _measure(size), "doc_id long, key1 long, key2 long, n_shingles long, sig binary, bands array<long>"),
         "minhash")
     key = ["key1", "key2"]
+    texts_of = measured.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        *[f(k).alias(f"{n}{k}") for k in key for n, f in (("min", F.min), ("max", F.max))])
+    if not texts_of.where("minkey1 <> maxkey1 or minkey2 <> maxkey2").isEmpty():
+        return _of_rows(docs, size, similarity)
     # members of a class have equal texts but for blanks and case, so any member's signature is the class's
     classes = stored(measured.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy(*key)
                      .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
@@ -291,6 +296,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     return out.select("doc_id", "n_shingles", own.alias("component_id"), kept.alias("kept"))
 
 
+def _of_rows(docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``near_duplicates`` where a doc_id has several texts: rows are compared, then joined by their ids."""
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "minhash-rows")
+    found = near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), size, similarity)
+    found = found.select(F.col("doc_id").alias("__row"), "n_shingles", F.col("component_id").alias("part"))
+    found = stored(found.join(rows.select("__row", "doc_id"), "__row").drop("__row"), "minhash-row-parts")
+    filled = found.where("n_shingles > 0")
+    ids = filled.where(F.col("doc_id").isNotNull()).select("doc_id", "part").distinct()
+    least = ids.groupBy("doc_id").agg(F.min("part").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    links = ids.join(splittable(least, "doc_id"), "doc_id").where("part <> b").select(F.col("part").alias("a"), "b")
+    roots = components(links).toDF("part", "root")
+    parts = filled.groupBy("part").agg(F.min("doc_id").alias("least"))
+    parts = parts.join(roots, "part", "left").withColumn("root", F.coalesce("root", "part"))
+    parts = stored(parts, "minhash-parts")
+    firsts = parts.groupBy("root").agg(F.min("least").alias("component_id"))
+    ended = parts.select("part", "root").join(firsts, "root").select("part", "component_id")
+    out = found.join(splittable(ended, "part"), "part", "left")
+    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    kept = F.when(own.isNull(), True).otherwise(F.coalesce(own == F.col("doc_id"), F.lit(False)))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), kept.alias("kept"))
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("rep"))
 

@@ -59,3 +59,32 @@ def test_windows_overlap_and_empty_tables(spark):
     assert lf.repeat_words(b"a b c d a b c".split()) == 6
     assert lf.repeat_words(b"a b".split()) == 0
     assert lf.line_quality(empty(spark)).count() == 0
+
+
+def test_cleaned_texts_equal_brute_force(spark):
+    rows = list(EDGE)
+    for i in range(60):
+        menu = "Home | About | Contact us 2024\nSign UP  for our letter\n\n  "
+        rows.append((100 + i, f"{menu}\n{prose(i, 30)}\n" + (menu if i % 2 else "") + f"Page {i} of 9", "en", "abc"[i % 3]))
+    rows += [(None, "Home | About | contact us 1999", "en", None)] * 3 + [(7, "Home | About | CONTACT us 2024\nown", "en", "a")]
+    docs = documents(spark, rows)
+
+    def norm(line):
+        return " ".join(WORD.findall(re.sub("[0-9]", "0", re.sub("[A-Z]", lambda m: m[0].lower(), line))))
+
+    texts = defaultdict(set)
+    for _, t, _, s in rows:
+        texts[s].add(t or "")
+    bad = {}
+    for s, ts in texts.items():
+        seen = Counter(x for t in ts for x in {norm(y) for y in t.split("\n")} if x)
+        bad[s] = {x for x, n in seen.items() if n > 5 and n > 0.1 * len(ts)}
+    want = [(i, None if t is None else "\n".join(x for x in t.split("\n") if norm(x) not in bad[s]), x, s)
+            for i, t, x, s in rows]
+    got = lf.without_frequent_lines(docs, min_docs=5, max_share=0.1)
+    assert got.columns == docs.columns and any(bad.values())
+    assert sorted((tuple(r)[:4] for r in got.collect()), key=str) == sorted(want, key=str)
+    # once cleaned, no line of these is left
+    again = lf.line_quality(got, min_docs=5, max_share=0.1)
+    assert again.where("n_words_left < n_words").count() == 0
+    assert lf.without_frequent_lines(empty(spark)).count() == 0

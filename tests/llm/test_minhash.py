@@ -1,4 +1,5 @@
 import random
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -109,3 +110,20 @@ def test_components_equal_brute_force(spark, seed):
     got = {(r.node, r.component_id) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {(x, find(x)) for x in root}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_id_with_several_texts(spark):
+    """A document is linked with all that any text of its id is linked with."""
+    a, b, c, d = (prose(k, 60) for k in (21, 22, 23, 24))
+    rows = [(5, a, "en", "s"), (5, b, "en", "s"), (9, b + " z", "en", "s"), (3, c, "en", "s"), (9, c, "en", "s"),
+            (7, d, "en", "s"), (7, d, "en", "s"), (8, d + " y", "en", "s"), (None, a + " x", "en", "s"), (None, prose(25, 40), "en", "s"),
+            (5, None, "en", "s"), (12, " ", "en", "s")]
+    got = minhash.near_duplicates(documents(spark, rows), 4, 0.8).collect()
+    by = defaultdict(set)
+    for r in got:
+        by[r["doc_id"]].add((r["n_shingles"] > 0, r["component_id"], r["kept"]))
+    assert len(got) == len(rows)
+    assert by[9] == {(True, 3, False)} and by[3] == {(True, 3, True)}
+    assert by[5] == {(True, 3, False), (False, 5, True)}
+    assert by[7] == {(True, 7, True)} and by[8] == {(True, 7, False)} and by[12] == {(False, 12, True)}
+    assert by[None] == {(True, 3, False), (True, None, True)}
