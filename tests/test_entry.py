@@ -1,0 +1,36 @@
+"""The entry without the llm subpackage, and with one that is broken."""
+
+import os
+import shutil
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SAY = "import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries(), set(e.oracle_sql()) <= set(e.queries()))"
+
+
+def run(folder):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    return subprocess.run([sys.executable, "-c", SAY], cwd=folder, env=env, capture_output=True, text=True, timeout=120)
+
+
+def copy(to, *left_out):
+    shutil.copytree(f"{ROOT}/alloy", f"{to}/alloy", ignore=shutil.ignore_patterns("__pycache__", *left_out))
+    shutil.copy(f"{ROOT}/__spark_entry__.py", to)
+
+
+def test_without_the_subpackage(tmp_path):
+    copy(tmp_path, "llm")
+    got = run(tmp_path)
+    assert got.returncode == 0, got.stderr
+    n, pipeline, known = got.stdout.split()
+    assert int(n) >= 50 and pipeline == "False" and known == "True"
+
+
+def test_an_error_within_the_subpackage_is_not_swallowed(tmp_path):
+    copy(tmp_path, "llm")
+    os.mkdir(tmp_path / "alloy" / "llm")
+    (tmp_path / "alloy" / "llm" / "__init__.py").write_text("")
+    (tmp_path / "alloy" / "llm" / "queries.py").write_text("import no_such_module\n")
+    got = run(tmp_path)
+    assert got.returncode != 0 and "no_such_module" in got.stderr
