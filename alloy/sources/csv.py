@@ -138,6 +138,59 @@ def file_print(file: Column, where: Column) -> Column:
     return F.coalesce(F.bit_xor(F.when(where, F.xxhash64(file))), F.lit(0).cast("long"))
 
 
+def _slots(n: int) -> list[str]:
+    return [f"__f{i}" for i in range(n)]
+
+
+def _wide(slots: list[str]) -> list[str]:
+    """Columns of a read that is one column wider than its header, and the record's text."""
+    return [*slots, "__more", "__record"]
+
+
+def _strings(names: Sequence[str]) -> StructType:
+    out = StructType()
+    for c in names:
+        out = out.add(c, StringType())
+    return out
+
+
+def _judged(wide: DataFrame, slots: list[str], header: Sequence[str | None] | None, sep: str, quote: str) -> DataFrame:
+    """``wide`` with ``__kind``: NULL for a record that fits, else ``header``, ``blank`` or its reason."""
+    n = len(slots)
+    record, more = F.col("__record"), F.col("__more")
+    quoted = F.when(record.contains(quote), _quoting(record, sep, quote))
+    fields = F.when(record.isNull(), n + 1).otherwise(F.coalesce(F.col("__q.n_seps"), _count_in(record, sep)) + 1)
+    bad, open_ = (F.coalesce(F.col(f"__q.{c}"), F.lit(False)) for c in ("bad", "open"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(h)) for c, h in zip(slots, header or [None] * n)])
+    blank = more.isNull() & (F.trim(record) == "")
+    kind = (F.when(open_, OPEN).when(bad, QUOTES).when(F.col("__n") < n, F.when(blank, "blank").otherwise(FEW))
+            .when(F.col("__n") > n, SURPLUS).when(same, "header"))
+    return wide.withColumn("__q", quoted).withColumn("__n", fields).withColumn("__kind", kind)
+
+
+def _text(slots: list[str], sep: str, quote: str) -> Column:
+    """A record's text; of one with exactly one field too many, its fields as CSV."""
+    return F.coalesce(F.col("__record"), F.to_csv(F.struct(*slots, "__more"), {"quote": quote, "escape": quote, "sep": sep}))
+
+
+def stream_checked(spark: SparkSession, source: str, names: Sequence[str], glob: str = "*.csv") -> tuple[DataFrame, DataFrame]:
+    """Streams of the records below ``source`` that fit the header ``names``, and of (file, reason, record) of the others.
+
+    As in ``read_checked``; a record that ends inside a quoted value is one of
+    the others, with all that it swallows.
+    """
+    slots = _slots(len(names))
+    wide = (spark.readStream.format("csv").options(**{**CSV_READ_OPTIONS, "header": "false"})
+            .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+            .option("columnNameOfCorruptRecord", "__record").schema(_strings(_wide(slots))).load(source))
+    judged = _judged(wide, slots, names, CSV_READ_OPTIONS.get("sep", ","), CSV_READ_OPTIONS["quote"])
+    good = judged.where(F.col("__kind").isNull()).select(*[F.col(s).alias(c) for s, c in zip(slots, names)])
+    bad = judged.where(F.col("__kind").isin(*REASONS)).select(
+        F.input_file_name().alias("file"), F.col("__kind").alias("reason"),
+        _text(slots, ",", CSV_READ_OPTIONS["quote"]).alias("record"))
+    return good, bad
+
+
 def read_checked(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True,
                  glob: str = "*.csv", skip: DataFrame | None = None, **options: str) -> Checked:
     """Read CSV files so that no value is lost.
@@ -161,29 +214,15 @@ def read_checked(spark: SparkSession, path: str | Sequence[str], multi_line: boo
         return (spark.read.options(**{**given, "header": "false"})
                 .option("pathGlobFilter", glob).option("recursiveFileLookup", "true"))
 
-    slots = [f"__f{i}" for i in range(n)]
-    schema = StructType()
-    for c in [*slots, "__more", "__record"]:
-        schema = schema.add(c, StringType())
-    first = StructType()
-    for c in slots:
-        first = first.add(c, StringType())
-    header = reader().schema(first).csv(paths).head()  # the first record of some file
-    wide = reader().option("columnNameOfCorruptRecord", "__record").schema(schema).csv(paths)
+    slots = _slots(n)
+    header = reader().schema(_strings(slots)).csv(paths).head()  # the first record of some file
+    wide = reader().option("columnNameOfCorruptRecord", "__record").schema(_strings(_wide(slots))).csv(paths)
     file = F.input_file_name()
     if skip is not None:  # a join ends the scan that input_file_name belongs to
         wide = wide.withColumn("__from", file).join(skip.select(F.col("file").alias("__from")), "__from", "left_anti")
         file = F.col("__from")
 
-    record, more = F.col("__record"), F.col("__more")
-    quoted = F.when(record.contains(quote), _quoting(record, sep, quote))
-    fields = F.when(record.isNull(), n + 1).otherwise(F.coalesce(F.col("__q.n_seps"), _count_in(record, sep)) + 1)
-    bad, open_ = (F.coalesce(F.col(f"__q.{c}"), F.lit(False)) for c in ("bad", "open"))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(h)) for c, h in zip(slots, header or [None] * n)])
-    blank = more.isNull() & (F.trim(record) == "")
-    kind = (F.when(open_, OPEN).when(bad, QUOTES).when(F.col("__n") < n, F.when(blank, "blank").otherwise(FEW))
-            .when(F.col("__n") > n, SURPLUS).when(same, "header"))
-    judged = wide.withColumn("__q", quoted).withColumn("__n", fields).withColumn("__kind", kind)
+    judged = _judged(wide, slots, header, sep, quote)
     good = F.col("__kind").isNull()
     odd = ~good & (F.col("__kind") != "blank")
     header_ = F.col("__kind").eqNullSafe("header")
@@ -193,9 +232,8 @@ def read_checked(spark: SparkSession, path: str | Sequence[str], multi_line: boo
     rows = (judged.observe(seen, F.count_if(good).alias("n_rows"), F.count_if(odd).alias("n_odd"),
                            file_print(F.col("__file"), header_).alias("header_files"))
             .where(good).select(*[F.col(s).alias(c) for s, c in zip(slots, names)]))
-    whole = F.coalesce(record, F.to_csv(F.struct(*slots, "__more"), {"quote": quote, "escape": quote, "sep": sep}))
     misfits = judged.where(odd & ~header_).select(
-        F.col("__file").alias("file"), F.col("__kind").alias("reason"), whole.alias("record"))
+        F.col("__file").alias("file"), F.col("__kind").alias("reason"), _text(slots, sep, quote).alias("record"))
     per_file = (judged.where(good | odd).groupBy(file.alias("file"))
                 .agg(F.count_if(header_).alias("n_headers"), F.count_if(good).alias("n_records")))
     return Checked(rows, seen, misfits, per_file)

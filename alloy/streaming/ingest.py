@@ -12,12 +12,12 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from alloy.session import checkpoint_root
-from alloy.sources.csv import CSV_READ_OPTIONS, read_csv
+from alloy.sources.csv import CSV_READ_OPTIONS, read_csv, stream_checked
 
 
 class LostCheckpoint(RuntimeError):
@@ -42,9 +42,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def ingest_stream(spark: SparkSession, source: str, target: str, *,
                   schema: StructType | None = None, checkpoint: str | None = None,
-                  glob: str = "*.csv") -> StreamingQuery:
+                  glob: str = "*.csv", quarantine: str | None = None) -> StreamingQuery:
     """Start an ``availableNow`` stream from CSV files below ``source`` to Parquet.
 
+    With a ``quarantine`` path, records that don't fit the header go there
+    (file, reason, record; see ``csv.stream_checked``) and no others to the
+    target.  A stream of its own writes them, with a checkpoint of its own,
+    and has finished when this function returns.
+
     Call ``awaitTermination()`` on the result to wait for the run to finish.
     The checkpoint defaults to a folder of this source and target below the
     shared checkpoint root.  A target that has a sink log while the
@@ -55,12 +60,23 @@ def ingest_stream(spark: SparkSession, source: str, target: str, *,
     checkpoint = checkpoint or default_checkpoint(spark, source, target)
     if _exists(spark, f"{target.rstrip('/')}/_spark_metadata") and not _exists(spark, checkpoint):
         raise LostCheckpoint(f"{target} was written by a stream, and its checkpoint {checkpoint} doesn't exist")
+    if quarantine is not None:
+        stream, misfits = stream_checked(spark, source, schema.names, glob)
+        apart = f"{checkpoint.rstrip('/')}-misfits"
+        if _exists(spark, f"{quarantine.rstrip('/')}/_spark_metadata") and not _exists(spark, apart):
+            raise LostCheckpoint(f"{quarantine} was written by a stream, and its checkpoint {apart} doesn't exist")
+        _write(misfits, quarantine, apart).awaitTermination()
+        return _write(stream, target, checkpoint)
     stream = (spark.readStream.format("csv")
               .options(**CSV_READ_OPTIONS)
               .option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true")
               .schema(schema)
               .load(source))
+    return _write(stream, target, checkpoint)
+
+
+def _write(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     return (stream.writeStream.format("parquet")
             .option("path", target)
             .option("checkpointLocation", checkpoint)

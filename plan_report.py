@@ -19,7 +19,7 @@ import sys
 from alloy.plans import tpch
 from alloy.session import get_spark
 
-FILE_QUERIES = {"csv_multiline_roundtrip", "landing_glob_scan",
+FILE_QUERIES = {"csv_multiline_roundtrip", "landing_glob_scan", "landing_misfits", "atomic_replace", "kpi_cube_merged",
                 "parquet_roundtrip", "stream_ingest"}
 
 NOTES = "## Reading the at-scale rows"
