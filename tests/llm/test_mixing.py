@@ -8,8 +8,6 @@ import xxhash
 from edge import EDGE, documents, empty, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
-
 from alloy.llm import mixing
 from alloy.llm.common import pick
 
