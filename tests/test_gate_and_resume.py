@@ -1,6 +1,7 @@
 """Gold is published within its limits only; a retry redoes what failed or changed."""
 
 import os
+import uuid
 
 import pytest
 from conftest import rows
@@ -9,6 +10,7 @@ from alloy.operators import quality
 from alloy.plans import marketplace as mp
 from alloy.plans.lake_checks import quality_report
 from alloy.plans.medallion import HELD, KEPT, OK, LayerError, Limit, run_layers
+from alloy.sources.landing import found_files, landing_entries, repeated_files
 from alloy.sources.parquet import manifest, read_table
 from test_medallion import FIXTURES, _layout, _write_landing
 
@@ -53,15 +55,15 @@ def test_a_gate_that_cannot_be_counted_holds(spark, tmp_dir):
     assert manifest(spark, layout.gold).tables == {}
 
 
-def _jobs(spark, work):
-    """Descriptions of the jobs that ``work`` starts."""
-    seen, sc = [], spark.sparkContext
-    real = type(sc).setJobDescription
-    type(sc).setJobDescription = lambda self, value: (value and seen.append(value), real(self, value))[1]
+def _jobs(spark, work) -> int:
+    """How many Spark jobs ``work`` starts from this thread."""
+    sc, group = spark.sparkContext, f"jobs-{uuid.uuid4().hex}"
+    sc.setJobGroup(group, group)
     try:
-        return work(), seen
+        work()
     finally:
-        type(sc).setJobDescription = real
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
 
 
 def _statuses(report):
@@ -105,17 +107,19 @@ def test_a_changed_file_is_done_anew_down_to_the_indicators(spark, tmp_dir):
 
 
 def test_jobs_of_kept_tables_are_not_started(spark, tmp_dir):
+    """A run that keeps all tables starts the jobs that look at the landing files, and no other."""
     layout = _layout(tmp_dir)
     _write_landing(layout.landing)
     run_layers(spark, layout)
-    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
-    sc.setJobGroup("resume", "resume")
-    try:
-        run_layers(spark, layout, resume=True, parallel=1)
-    finally:
-        sc.setLocalProperty("spark.jobGroup.id", None)
-    # the listing of the landing files alone
-    assert len(tracker.getJobIdsForGroup("resume")) <= 4
+
+    def look():
+        files = found_files(spark, layout.landing)
+        landing_entries(spark, layout.landing, files=files)
+        repeated_files(spark, files)
+
+    looking = _jobs(spark, look)
+    assert _jobs(spark, lambda: run_layers(spark, layout, resume=True, parallel=1)) == looking
+    assert _jobs(spark, lambda: run_layers(spark, layout, parallel=1)) > looking + 20
 
 
 # ------------------------------------------------------------------ one-pass integrity
