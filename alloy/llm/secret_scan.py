@@ -34,9 +34,9 @@ SHORTEST = 20
 SHORT_PART = 14
 STRICTER = 0.4
 MIXED = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])|.*[a-z][A-Z]", re.S)
-#: UUIDs, times, and digests of the right length with their name, as whole parts.
+#: UUIDs, times, encoded host names, and digests of the right length with their name, as whole parts.
 KNOWN = re.compile(r"(?<![A-Za-z0-9])(?:" + "|".join([
-    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9]{8}T[0-9]{4,6}Z?",
+    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9]{8}T[0-9]{4,6}Z?", r"xn--[A-Za-z0-9-]+",
     *(rf"(?i:{name})[-_]?(?:[0-9a-fA-F]{{{2 * n}}}|[A-Za-z0-9+/_-]{{{-(-4 * n // 3)}}}={{0,2}})"
       for name, n in (("md5", 16), ("sha1", 20), ("sha224", 28), ("sha256", 32), ("sha384", 48), ("sha512", 64))),
 ]) + r")(?![A-Za-z0-9])")
@@ -44,6 +44,9 @@ KNOWN = re.compile(r"(?<![A-Za-z0-9])(?:" + "|".join([
 DIGEST_HEX = frozenset({32, 40, 56, 64, 96, 128})
 PART = re.compile(r"[A-Za-z0-9]+")
 _CAPITALS = re.compile(r"[A-Z]{4,}")
+#: Parts that can be words, and the characters a token from which on they are.
+WORDLIKE = re.compile(r"[A-Za-z]{3,}[0-9]{0,4}")
+WORD_RATIO = 3
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -75,6 +78,10 @@ def without(start: int, end: int, spans: list[tuple[int, int]]) -> list[tuple[in
     return [*out, (start, end)] if start < end else out
 
 
+def _spelled(run: str) -> str:
+    return _CAPITALS.sub(lambda m: m[0].lower(), run)
+
+
 def _scores(enc, run: str, max_ratio: float) -> tuple[list[int], list[float], list[int]]:
     """Of each token of a run: its end, its score, and the characters it counts for.
 
@@ -85,7 +92,7 @@ def _scores(enc, run: str, max_ratio: float) -> tuple[list[int], list[float], li
     as small letters: the vocabulary has few words in capitals.
     """
     ends, at = [], 0
-    for t in enc.encode_ordinary(_CAPITALS.sub(lambda m: m[0].lower(), run)):
+    for t in enc.encode_ordinary(_spelled(run)):
         at += len(enc.decode_single_token_bytes(t))
         ends.append(at)
     sizes = [e - s for s, e in zip([0, *ends], ends)]
@@ -104,8 +111,21 @@ def _scores(enc, run: str, max_ratio: float) -> tuple[list[int], list[float], li
     return ends, score, counted
 
 
+def between_words(enc, run: str) -> list[tuple[int, int]]:
+    """What whole parts that are words leave of a run, the separator beside a word left out too."""
+    words = [m.span() for m in PART.finditer(run) if WORDLIKE.fullmatch(m[0])
+             and len(m[0]) >= WORD_RATIO * len(enc.encode_ordinary(_spelled(m[0])))]
+    return without(0, len(run), [(max(0, s - 1), e + 1) for s, e in words])
+
+
 def random_parts(enc, run: str, max_ratio: float) -> list[tuple[int, int]]:
-    """Stretches of a run with at most ``max_ratio`` characters a token, words and paths around them left out.
+    """Stretches of a run with at most ``max_ratio`` characters a token, none across a part that is a word."""
+    return [(s + x, s + y) for s, e in between_words(enc, run) if e - s >= SHORTEST
+            for x, y in _stretches(enc, run[s:e], max_ratio)]
+
+
+def _stretches(enc, run: str, max_ratio: float) -> list[tuple[int, int]]:
+    """Stretches of what lies between words, names around them left out.
 
     Each is a stretch of the highest score, grown to whole parts if these
     still hold the ratio; of ``SHORTEST`` characters or more, three quarters
@@ -151,8 +171,7 @@ def short_parts(enc, run: str, max_ratio: float) -> list[tuple[int, int]]:
     out = []
     for m in PART.finditer(run):
         if SHORT_PART <= len(m[0]) < SHORTEST and MIXED.match(m[0]):
-            spelled = _CAPITALS.sub(lambda c: c[0].lower(), m[0])
-            if len(spelled) <= (max_ratio - STRICTER) * len(enc.encode_ordinary(spelled)):
+            if len(m[0]) <= (max_ratio - STRICTER) * len(enc.encode_ordinary(_spelled(m[0]))):
                 out.append(m.span())
     return out
 

@@ -99,6 +99,25 @@ def test_short_random_strings_are_found():
         assert ss.random_spans(enc, f"see {c} here", [], 2.2) == [], c
 
 
+def test_spans_end_at_words():
+    """Words between two random strings, or before one, are no part of a span."""
+    enc, rng = encoding(PATH, P.PATTERN), random.Random(9)
+    letters = string.ascii_letters + string.digits
+    exact = 0
+    for _ in range(100):
+        a, b = ("".join(rng.choice(letters) for _ in range(26)) for _ in range(2))
+        text = f"see {a}/customers/files/archive/{b} here"
+        spans = ss.random_spans(enc, text, [], 2.2)
+        assert all(text[s:e] in (a, b) or text[s:e] in a or text[s:e] in b for s, _, e in spans), (text, spans)
+        exact += [text[s:e] for s, _, e in spans] == [a, b]
+    assert exact >= 95
+    for text in ("see https://example.com/a/kYx81bTz9QwPm4 here", "see https://example.com/watch/v/dQw4w9WgXcQ-mZ8 here"):
+        for s, _, e in ss.random_spans(enc, text, [], 2.2):
+            assert not {"com", "watch"} & set(re.split("[^A-Za-z0-9]", text[s:e])), text[s:e]
+    assert ss.random_spans(enc, "see xn--80akhbyknj4f-qx7bvz2kd9w here", [], 2.2) == []
+    assert ss.between_words(enc, "customers/Xk9/files_2024-qZ") == [(10, 13), (20, 27)]
+
+
 def test_redaction_keeps_the_other_columns(spark):
     rows = [(i, t, "en", "s") for i, t in enumerate(TEXTS)]
     docs = documents(spark, rows)
