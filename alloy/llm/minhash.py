@@ -6,8 +6,12 @@
    a group have different heads; pairs whose signatures agree too little
    for the threshold are dropped, the rest are confirmed on full sets.
 3. Components of these links.  What a bucket holds besides its largest
-   component is compared with all its members, in blocks of bounded size;
-   members that are already in one component are not.
+   component is compared with all its members; members that are already in
+   one component are not.  Members of a large bucket (pages of one template,
+   say) meet in smaller cells instead: documents that are similar enough
+   share one of the rarest shingles of both, so each shingle that is among
+   the rarest of several members makes a cell.  Cells are compared in blocks
+   of bounded size.
 4. Components of all links.
 
 Signatures and texts are shuffled for the classes that a comparison needs
@@ -33,7 +37,8 @@ from alloy.llm.url_filter import bloom, with_possible
 
 BANDS, ROWS = 25, 5
 SEED = 5
-BLOCK = 256  # members of a bucket that one task compares with as many others
+BLOCK = 256  # members of a cell that one task compares with as many others; larger buckets are divided
+PLACES = 1 << 20  # counters of shingles: they order the shingles of a set, whatever their number
 _U = np.uint64
 _rng = np.random.default_rng(SEED)
 # the universal family h(x) = high half of (a x + b) mod 2**64, a odd
@@ -169,10 +174,11 @@ def _confirm(size: int, percent: int):
 
 
 def _able(odd: pd.DataFrame, rest: pd.DataFrame, least: int) -> np.ndarray:
-    """Which pairs of two blocks of a bucket need a comparison.
+    """Which pairs of two blocks of a cell need a comparison.
 
     Not those of one component, those whose signatures agree too little, and
-    those that share an earlier band: its bucket compares them.
+    those that share an earlier band: its bucket compares them, or the cells
+    that it is divided into (their own band is 0).
     """
     band = int(rest["band"].iloc[0])
     roots = rest["root"].to_numpy()
@@ -185,8 +191,47 @@ def _able(odd: pd.DataFrame, rest: pd.DataFrame, least: int) -> np.ndarray:
     return out
 
 
-_SIDES = ["bucket", "i", "j", "band", "rep", "root", "sig", "bands", "odd_side"]
-_SIDES_SCHEMA = ("bucket long, i int, j int, band int, rep long, root long, sig binary, bands array<long>, "
+def _count(size: int):
+    """How often each place has a shingle, of all texts that a task reads."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(PLACES, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                np.add.at(n, _places(shingles(words_of(text), size)), 1)
+        used = np.nonzero(n)[0]
+        yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(n[used])], ["place", "n"])
+    return run
+
+
+def _places(sh: np.ndarray) -> np.ndarray:
+    return (sh % _U(PLACES)).astype(np.int64)
+
+
+def rarest(sh: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest shingles of a set, so many that two sets of the similarity share one of theirs.
+
+    Both share at least ``percent`` of the larger set, and both are in one
+    order (count, then hash).  If none of the first n - percent of n + 1 were
+    shared, fewer than ``percent`` of n could be.
+    """
+    order = np.lexsort((sh, counts[_places(sh)]))
+    return sh[order[:len(sh) + (-percent * len(sh)) // 100 + 1]]
+
+
+def _rarest(size: int, percent: int, counts: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                found = [rarest(shingles(words_of(t), size), counts, percent) for t in batch.column(2).to_pylist()]
+                row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+                yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64)), batch.column(0).take(row),
+                                       batch.column(1).take(row)], ["cell", "rep", "root"])
+    return run
+
+
+_SIDES = ["cell", "i", "j", "band", "rep", "root", "sig", "bands", "odd_side"]
+_SIDES_SCHEMA = ("cell long, i int, j int, band int, rep long, root long, sig binary, bands array<long>, "
                  "odd_side boolean")
 
 
@@ -324,34 +369,42 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 def _odd_members(docs: DataFrame, classes: DataFrame, members: DataFrame, roots: DataFrame,
                  size: int, percent: int, least: int) -> DataFrame | None:
-    """Links of members that are not in their bucket's largest component, or None.
+    """Links of members that are not in their cell's largest component, or None.
 
-    Buckets of two are done: their only pair was compared.  Others deal
-    their members and their odd members into blocks; every block of odd
-    members meets every block of members, first by signatures, then those
+    Buckets of two are done: their only pair was compared, as is a bucket of
+    one component.  Of the others, those of at most ``BLOCK`` members are cells;
+    the members of larger ones are dealt into cells of their rarest shingles.
+    Cells deal their members and their odd members into blocks; every block of
+    odd members meets every block of members, first by signatures, then those
     with a partner by their full sets.
     """
     placed = (members.where(F.col("members") > 2).join(roots.toDF("rep", "root"), "rep", "left")
               .select("bucket", "band", "rep", F.coalesce("root", "rep").alias("root"), "members"))
     placed = stored(placed, "minhash-placed")
-    largest = (placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-               .groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("largest"),
-                                      (F.sum("n") - F.max("n")).alias("odds"))
-               .where(F.col("odds") > 0))
-    left = placed.join(splittable(largest, "bucket"), "bucket").withColumn("odd", F.col("root") != F.col("largest"))
+    mixed = (placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+             .where("low <> high").select("bucket"))
+    cells = stored(placed.join(splittable(mixed, "bucket"), "bucket").withColumnRenamed("bucket", "cell"), "minhash-cells")
+    if cells.isEmpty():
+        return None
+    large = cells.where(F.col("members") > BLOCK).select("rep", "root").distinct()
+    if not large.isEmpty():
+        divided = _divided(docs, stored(large, "minhash-large"), size, percent)
+        cells = cells.where(F.col("members") <= BLOCK).unionByName(divided.withColumn("band", F.lit(0)))
+    largest = (cells.groupBy("cell", "root").agg(F.count("*").alias("n"))
+               .groupBy("cell").agg(F.max_by("root", F.struct("n", "root")).alias("largest"),
+                                    (F.sum("n") - F.max("n")).alias("odds")))
+    left = cells.join(splittable(largest, "cell"), "cell").withColumn("odd", F.col("root") != F.col("largest"))
     blocks = (F.ceil(F.col("members") / BLOCK)).cast("int")
     odd_blocks = (F.ceil(F.col("odds") / BLOCK)).cast("int")
     place = F.xxhash64("rep", F.lit(SEED))
     rest = left.withColumn("i", F.explode(F.sequence(F.lit(0), odd_blocks - 1))).select(
-        "bucket", "band", "rep", "root", "i", F.pmod(place, blocks).cast("int").alias("j"),
+        "cell", "band", "rep", "root", "i", F.pmod(place, blocks).cast("int").alias("j"),
         F.lit(False).alias("odd_side"))
     odd = left.where("odd").withColumn("j", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "bucket", "band", "rep", "root", F.pmod(place, odd_blocks).cast("int").alias("i"), "j",
+        "cell", "band", "rep", "root", F.pmod(place, odd_blocks).cast("int").alias("i"), "j",
         F.lit(True).alias("odd_side"))
     sides = stored(rest.unionByName(odd), "minhash-sides")
-    if sides.isEmpty():
-        return None
-    group = ["bucket", "i", "j"]
+    group = ["cell", "i", "j"]
     sigs = _only(classes.select("rep", "sig", "bands"), sides, "rep")
     partners = stored(sides.join(sigs, "rep").groupBy(*group).applyInPandas(
         _agree_block(least), _SIDES_SCHEMA), "minhash-partners")
@@ -359,3 +412,23 @@ def _odd_members(docs: DataFrame, classes: DataFrame, members: DataFrame, roots:
         _compare_block(size, percent, least), "a long, b long")
     links = stored(links, "minhash-more")
     return None if links.isEmpty() else links
+
+
+def _divided(docs: DataFrame, large: DataFrame, size: int, percent: int) -> DataFrame:
+    """(cell, rep, root, members): the members of large buckets by each of their rarest shingles.
+
+    The order of shingles is by their counts among these members, in
+    ``PLACES`` counters that every task gets; shingles that share a counter
+    make larger cells, never other links.  Cells of one component are left
+    out, and of cells with the same members all but one.
+    """
+    texts = stored(_texts(docs, large).join(large, "rep").select("rep", "root", "text"), "minhash-large-texts")
+    found = map_arrow(texts.select("text"), _count(size), "place int, n long").groupBy("place").agg(
+        F.sum("n").alias("n")).toArrow()  # PLACES rows at most
+    counts = np.zeros(PLACES, np.int64)
+    counts[found["place"].to_numpy()] = found["n"].to_numpy()
+    rare = stored(map_arrow(texts, _rarest(size, percent, counts), "cell long, rep long, root long"), "minhash-rarest")
+    mixed = (rare.groupBy("cell").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("rep")).alias("print"),
+                                      F.min("root").alias("low"), F.max("root").alias("high"))
+             .where("low <> high").groupBy("members", "print").agg(F.min("cell").alias("cell")))
+    return rare.join(splittable(mixed.select("cell", "members"), "cell"), "cell").select("cell", "rep", "root", "members")

@@ -75,6 +75,52 @@ def test_odd_members_in_small_blocks(spark, monkeypatch):
     assert result(documents(spark, rows), size=4) == brute(rows, 4)
 
 
+def test_similar_sets_share_a_rare_shingle():
+    """Whatever the counts that order them, and at the threshold itself."""
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 4, 5, 9, 10, 99, 100, 400):
+        for percent in (80, 95, 100):
+            counts = rng.integers(0, 5, minhash.PLACES)
+            y = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            x = np.sort(rng.permutation(y)[:-(-percent * n // 100)])  # a part of y that just holds the similarity
+            assert minhash.similar(x, y, percent)
+            assert np.intersect1d(minhash.rarest(x, counts, percent), minhash.rarest(y, counts, percent)).size
+            assert len(minhash.rarest(y, counts, percent)) == n - -(-percent * n // 100) + 1
+    assert len(minhash.rarest(np.zeros(0, np.uint64), counts, 80)) <= 1
+
+
+def template_rows(n, own, rng):
+    """Pages of one template, each with words of its own: far from the threshold."""
+    base = prose(31, 90)
+    return [(k, base + " " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(own)), "en", "s") for k in range(n)]
+
+
+def test_pages_of_a_template_grow_in_proportion(spark, monkeypatch):
+    """No block of a large bucket meets every other; links are those of brute force."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rows, seen = {}, minhash.stored
+
+    def counting(df, name):
+        out = seen(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "stored", counting)
+    sizes = []
+    for n in (250, 500, 1000):
+        rng = random.Random(n)
+        given = template_rows(n, 40, rng)
+        given += [(5000 + k, edited(given[k][1], 2, rng), "en", "s") for k in range(20)]
+        rows.clear()
+        got = result(documents(spark, given), size=4)
+        assert rows["minhash-large"] > 100  # the buckets are large ones
+        if n == 250:
+            assert got == brute(given, 4)
+        assert sum(i >= 5000 and not kept for i, _, _, kept in got) >= 15
+        sizes.append(rows.get("minhash-sides", 0) + rows["minhash-rarest"])
+    assert sizes[2] < 5 * sizes[0], sizes
+
+
 def test_rows_without_an_id(spark):
     rows = [(None, prose(1, 50), "en", "s"), (3, prose(1, 50), "en", "s"), (None, prose(2, 50), "en", "s")]
     got = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(documents(spark, rows)).collect()}
