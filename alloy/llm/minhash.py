@@ -7,8 +7,8 @@
    for the threshold are dropped, the rest are confirmed on full sets.
 3. Components of these links.  What a bucket holds besides its largest
    component is compared with all its members; members that are already in
-   one component are not.  Members of a large bucket (pages of one template,
-   say) meet in smaller cells instead: documents that are similar enough
+   one component are not.  Members of a bucket of more than ``DIVIDE`` blocks
+   (pages of one template, say) meet in smaller cells instead: documents that are similar enough
    share one of the rarest shingles of both, so each shingle that is among
    the rarest of several members makes a cell.  Cells are compared in blocks
    of bounded size.
@@ -37,7 +37,8 @@ from alloy.llm.url_filter import bloom, with_possible
 
 BANDS, ROWS = 25, 5
 SEED = 5
-BLOCK = 256  # members of a cell that one task compares with as many others; larger buckets are divided
+BLOCK = 256  # members of a cell that one task compares with as many others
+DIVIDE = 16  # buckets of more blocks are divided: a member has some dozens of rarest shingles, so fewer blocks cost less
 PLACES = 1 << 20  # counters of shingles: they order the shingles of a set, whatever their number
 _U = np.uint64
 _rng = np.random.default_rng(SEED)
@@ -372,7 +373,7 @@ def _odd_members(docs: DataFrame, classes: DataFrame, members: DataFrame, roots:
     """Links of members that are not in their cell's largest component, or None.
 
     Buckets of two are done: their only pair was compared, as is a bucket of
-    one component.  Of the others, those of at most ``BLOCK`` members are cells;
+    one component.  Of the others, those of at most ``DIVIDE`` blocks are cells;
     the members of larger ones are dealt into cells of their rarest shingles.
     Cells deal their members and their odd members into blocks; every block of
     odd members meets every block of members, first by signatures, then those
@@ -386,10 +387,10 @@ def _odd_members(docs: DataFrame, classes: DataFrame, members: DataFrame, roots:
     cells = stored(placed.join(splittable(mixed, "bucket"), "bucket").withColumnRenamed("bucket", "cell"), "minhash-cells")
     if cells.isEmpty():
         return None
-    large = cells.where(F.col("members") > BLOCK).select("rep", "root").distinct()
+    large = cells.where(F.col("members") > DIVIDE * BLOCK).select("rep", "root").distinct()
     if not large.isEmpty():
         divided = _divided(docs, stored(large, "minhash-large"), size, percent)
-        cells = cells.where(F.col("members") <= BLOCK).unionByName(divided.withColumn("band", F.lit(0)))
+        cells = cells.where(F.col("members") <= DIVIDE * BLOCK).unionByName(divided.withColumn("band", F.lit(0)))
     largest = (cells.groupBy("cell", "root").agg(F.count("*").alias("n"))
                .groupBy("cell").agg(F.max_by("root", F.struct("n", "root")).alias("largest"),
                                     (F.sum("n") - F.max("n")).alias("odds")))
@@ -425,8 +426,8 @@ def _divided(docs: DataFrame, large: DataFrame, size: int, percent: int) -> Data
     texts = stored(_texts(docs, large).join(large, "rep").select("rep", "root", "text"), "minhash-large-texts")
     found = map_arrow(texts.select("text"), _count(size), "place int, n long").groupBy("place").agg(
         F.sum("n").alias("n")).toArrow()  # PLACES rows at most
-    counts = np.zeros(PLACES, np.int64)
-    counts[found["place"].to_numpy()] = found["n"].to_numpy()
+    counts = np.zeros(PLACES, np.int32)
+    counts[found["place"].to_numpy()] = np.minimum(found["n"].to_numpy(), np.iinfo(np.int32).max)
     rare = stored(map_arrow(texts, _rarest(size, percent, counts), "cell long, rep long, root long"), "minhash-rarest")
     mixed = (rare.groupBy("cell").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("rep")).alias("print"),
                                       F.min("root").alias("low"), F.max("root").alias("high"))

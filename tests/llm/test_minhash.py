@@ -66,9 +66,11 @@ def test_equals_brute_force(spark):
     assert result(documents(spark, rows), size=4) == brute(rows, 4)
 
 
-def test_odd_members_in_small_blocks(spark, monkeypatch):
-    """A chain: neighbours are similar, the ends of a bucket are not."""
+@pytest.mark.parametrize("divide", [1, 16])
+def test_odd_members_in_small_blocks(spark, monkeypatch, divide):
+    """A chain: neighbours are similar, the ends of a bucket are not; in blocks of buckets and of divided ones."""
     monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(minhash, "DIVIDE", divide)
     w = prose(5, 400).split()
     rows = [(100 - k, " ".join(w[4 * k:4 * k + 120]), "en", "s") for k in range(40)]
     rows += family_rows(21, 40, 60, 4)
@@ -98,6 +100,7 @@ def template_rows(n, own, rng):
 def test_pages_of_a_template_grow_in_proportion(spark, monkeypatch):
     """No block of a large bucket meets every other; links are those of brute force."""
     monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "DIVIDE", 1)
     rows, seen = {}, minhash.stored
 
     def counting(df, name):
