@@ -3,7 +3,7 @@
 Lines are normalised and hashed.  For each host (a column of the documents)
 the distinct documents that hold a line are counted; a line above both
 limits is boilerplate and is removed; a document that loses most of its
-words is rejected.  Documents of one host with equal texts count as one, so
+words, or has too few left, is rejected.  Documents of one host with equal texts count as one, so
 copies of a document don't make its lines boilerplate.
 """
 
@@ -127,13 +127,14 @@ def _frequent(measured: DataFrame, min_docs: int, max_share: float) -> DataFrame
 
 
 def line_quality(docs: DataFrame, host: str = "source", min_docs: int = 10, max_share: float = 0.01,
-                 min_left: float = 0.3) -> DataFrame:
+                 min_left: float = 0.3, min_words: int = 50) -> DataFrame:
     """One row per document: doc_id, the statistics, base_failed, n_words_left, kept.
 
     A line goes if more than ``min_docs`` distinct texts of its host hold it
     and these are over ``max_share`` of the host's distinct texts.
     n_words_left: words on the other lines.  kept: not base_failed, and at
-    least ``min_left`` of the words left.
+    least ``min_left`` of the words and ``min_words`` words left: a text that
+    is long enough by its boilerplate alone is depleted too.
 
     NULL or empty texts have no words and fail the base rule.  Documents
     without a host form a host of their own.  Lines count once per text.
@@ -148,7 +149,7 @@ def line_quality(docs: DataFrame, host: str = "source", min_docs: int = 10, max_
     left = n - F.coalesce("gone", F.lit(0))
     return (measured.drop("hashes", "sizes").join(splittable(removed, "text_hash"), _UNIT, "left")
             .select("doc_id", *_STATS, failed.alias("base_failed"), left.alias("n_words_left"),
-                    (~failed & (left >= F.lit(min_left) * n)).alias("kept")))
+                    (~failed & (left >= F.lit(min_left) * n) & (left >= min_words)).alias("kept")))
 
 
 def text_hash(text: bytes | None) -> int:

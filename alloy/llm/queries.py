@@ -139,7 +139,7 @@ judged AS (
     CAST(n_words - coalesce(g.gone, 0) AS BIGINT) AS n_words_left
   FROM stats s LEFT JOIN gone g ON s.source IS NOT DISTINCT FROM g.source AND s.text = g.text)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_words_left,
-  (NOT base_failed AND n_words_left >= 0.3 * n_words) AS kept
+  (NOT base_failed AND n_words_left >= 0.3 * n_words AND n_words_left >= 50) AS kept
 FROM judged""",
     "op4_rp_forest": r"""
 WITH RECURSIVE vectors AS (

@@ -4,11 +4,12 @@ from collections import Counter, defaultdict
 from edge import EDGE, documents, empty, prose
 
 from alloy.llm import line_frequency as lf
+from alloy.llm.common import table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def brute(rows, min_docs, max_share, min_left):
+def brute(rows, min_docs, max_share, min_left, min_words=50):
     def norm(line):
         line = re.sub("[A-Z]", lambda m: m[0].lower(), line)
         return " ".join(WORD.findall(re.sub("[0-9]", "0", line)))
@@ -31,7 +32,7 @@ def brute(rows, min_docs, max_share, min_left):
         left = len(w) - sum(len(WORD.findall(x)) for x in full if norm(x) in bad[s])
         failed = len(w) < 50 or 100 * len(hit) > 50 * len(w)
         out.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(full) - len(set(full)), len(hit),
-                    failed, left, not failed and left >= min_left * len(w)))
+                    failed, left, not failed and left >= min_left * len(w) and left >= min_words))
     return sorted(out, key=str)
 
 
@@ -54,6 +55,20 @@ def test_equals_brute_force(spark):
     assert all(r[-1] for r in want if r[0] is not None and r[0] >= 500)
 
 
+def test_too_few_words_left(spark):
+    menu = "Home | About | Contact us\n" * 4  # 24 words of 24 + 40 or 24 + 60
+    rows = [(i, menu + prose(i, 40 if i % 2 else 60), "en", "a") for i in range(40)]
+    got = rows_of(lf.line_quality(documents(spark, rows)))
+    assert got == brute(rows, 10, 0.01, 0.3)
+    assert {r[0] for r in got if r[-1]} == set(range(0, 40, 2)) and not any(r[6] for r in got)
+    assert all(r[-1] for r in lf.line_quality(documents(spark, rows), min_words=40).collect())
+
+
+def test_the_query_rejects_depleted_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    assert lf.line_quality(docs).where("not base_failed and not kept").count() > 0
+
+
 def test_windows_overlap_and_empty_tables(spark):
     assert lf.repeat_words(b"a a a a".split()) == 4
     assert lf.repeat_words(b"a b c d a b c".split()) == 6
