@@ -2,8 +2,10 @@
 
 The ranks come from a local file; its path is a parameter and the file is
 read on the executors, once per Python worker.  Long texts are cut before a
-blank that follows a non-blank: the split pattern always starts a new match
-there, so the pieces' ids joined are the whole text's ids.
+blank that follows a non-blank.  GPT-2-like patterns always start a new match
+there, so the pieces' ids joined are the whole text's ids.  A pattern whose
+matches go on from a non-blank into a blank (punctuation with the line breaks
+after it) needs another cut: pass such a pattern only for texts up to ``PIECE``.
 """
 
 from __future__ import annotations
