@@ -123,3 +123,18 @@ def test_the_lake_joins_its_fact_in_buckets(spark, tmp_dir):
         assert rows(read_table(spark, laid.silver, t)) == rows(read_table(spark, plain.silver, t))
     for t in [*mp.GOLD_TABLES, *mp.KPI_TABLES]:
         assert rows(read_table(spark, laid.gold, t)) == rows(read_table(spark, plain.gold, t)), t
+
+
+def test_a_hot_key_is_dealt_over_several_tasks(spark):
+    """All rows of the hot key meet their partner, by parts that no one task holds together."""
+    hot = spark.range(0, 20_000, 1, 4).select((F.col("id") % 10 == 0).cast("long").alias("k"), F.col("id").alias("x"))
+    other = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (2, "d"), (None, "e")], "k long, y string")
+
+    def work():
+        df = bk._join_hot(hot, other, ["k"], part_rows=1000)
+        sizes = df.groupBy(F.spark_partition_id().alias("p")).count().toPandas()["count"]
+        return df.collect(), sizes
+
+    got, sizes = _with_conf(spark, LOW | {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.enabled": "false"}, work)
+    assert sorted(got) == sorted(r for r in hot.join(other, "k").collect())
+    assert len(sizes) == 8 and sizes.max() < 22_000 / 2  # 18,000 rows of one key
