@@ -3,7 +3,7 @@ import random
 
 from hypothesis import given, settings, strategies as st
 
-from alloy.operators.dedup import duplicate_count, keep_one
+from alloy.operators.dedup import duplicate_count, few_repeated, keep_one, keep_one_of_repeated
 
 from conftest import rows
 
@@ -148,3 +148,19 @@ def test_array_and_struct_desc_match_the_window_order(spark, data):
         rest = [c for c in df.columns if c not in ("k", col)]
         want = keep_one_window(df, ["k"], [(col, True)], rest)
         assert rows(got) == rows(want.select(*got.columns)), col
+
+
+def test_rows_of_single_keys_are_not_shuffled(spark):
+    """Equal to the plain form, with NULL and repeated keys; only the rows of repeated keys are exchanged."""
+    rows_ = [(f"k{i}", i % 3, f"t{i}") for i in range(200)] + [("k7", 1, "a"), ("k7", 1, "z"), (None, None, "x"), (None, None, "y"),
+                                                             (None, 1, "n"), ("k9", None, "m")]
+    df = spark.createDataFrame(rows_, "k string, n int, t string")
+    repeated = few_repeated(df, ["k", "n"])
+    assert repeated.count() == 2 and few_repeated(df, ["k", "n"], most=1) is None
+    got = keep_one_of_repeated(df, ["k", "n"], [("t", "desc")], repeated)
+    assert rows(got) == rows(keep_one(df, ["k", "n"], [("t", "desc")]))
+    assert got.columns == df.columns
+    n = keep_one_of_repeated(df, ["k", "n"], [("t", "desc")], repeated, df.limit(0)).count()
+    assert n == 199 + 2  # k7/1 and NULL/NULL are the repeated ones
+    repeated.unpersist()
+    assert few_repeated(df.select(F.lit(1).alias("k")), ["k"], most=1) is None  # nearly all rows repeat a key
