@@ -3,7 +3,7 @@ import random
 
 from hypothesis import given, settings, strategies as st
 
-from alloy.operators.dedup import duplicate_count, few_repeated, keep_one, keep_one_of_repeated
+from alloy.operators.dedup import duplicate_count, keep_one, keep_one_by, repeats
 
 from conftest import rows
 
@@ -151,16 +151,26 @@ def test_array_and_struct_desc_match_the_window_order(spark, data):
 
 
 def test_rows_of_single_keys_are_not_shuffled(spark):
-    """Equal to the plain form, with NULL and repeated keys; only the rows of repeated keys are exchanged."""
+    """Equal to the plain form, with NULL and repeated keys; only the rows of repeated keys are reduced."""
     rows_ = [(f"k{i}", i % 3, f"t{i}") for i in range(200)] + [("k7", 1, "a"), ("k7", 1, "z"), (None, None, "x"), (None, None, "y"),
                                                              (None, 1, "n"), ("k9", None, "m")]
     df = spark.createDataFrame(rows_, "k string, n int, t string")
-    repeated = few_repeated(df, ["k", "n"])
-    assert repeated.count() == 2 and few_repeated(df, ["k", "n"], most=1) is None
-    got = keep_one_of_repeated(df, ["k", "n"], [("t", "desc")], repeated)
-    assert rows(got) == rows(keep_one(df, ["k", "n"], [("t", "desc")]))
-    assert got.columns == df.columns
-    n = keep_one_of_repeated(df, ["k", "n"], [("t", "desc")], repeated, df.limit(0)).count()
-    assert n == 199 + 2  # k7/1 and NULL/NULL are the repeated ones
-    repeated.unpersist()
-    assert few_repeated(df.select(F.lit(1).alias("k")), ["k"], most=1) is None  # nearly all rows repeat a key
+    found = repeats(df, ["k", "n"])
+    assert (found.n, found.rest_single) == (2, True)
+    got = keep_one_by(df, ["k", "n"], [("t", "desc")], found)
+    assert rows(got) == rows(keep_one(df, ["k", "n"], [("t", "desc")])) and got.columns == df.columns
+    assert keep_one_by(df, ["k", "n"], [("t", "desc")], found, df.limit(0)).count() == 199 + 2
+
+
+def test_many_repeated_keys_and_a_frequent_one(spark):
+    """Rows are not sorted before their shuffle but for those of the frequent key."""
+    df = spark.range(40_000).selectExpr("if(id % 2 = 0, 1, id % 9001) as k", "id % 77 as t", "id as x")
+    found = repeats(df, ["k"], most=10)
+    assert (found.n, found.rest_single) == (1, False)
+    got = keep_one_by(df, ["k"], [("t", "desc")], found)
+    assert rows(got) == rows(keep_one(df, ["k"], [("t", "desc")]))
+    none = repeats(df.where("k != 1"), ["k"], most=10)
+    got = keep_one_by(df.where("k != 1"), ["k"], [("t", "desc")], none)
+    assert none.n == 0 and rows(got) == rows(keep_one(df.where("k != 1"), ["k"], [("t", "desc")]))
+    below = got._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
+    assert "Sort" not in below and "Aggregate" not in below
